@@ -156,3 +156,249 @@ def error_dist(spark, sf):
 @query("batch_stats")
 def batch_stats(spark, sf):
     return omt.batch_stats(_results(spark, sf), batch_size=100)
+
+
+# -- cleaning and sources -----------------------------------------------------
+
+from .operators import cleaning as oc, quality as oq, profiling as op, remediation as orm  # noqa: E402
+from .sources.tables import filtered_scan, typed_load  # noqa: E402
+
+TYPED = {"id": "int", "cylinders": "float", "api_cylinders": "int", "api_response_time": "double"}
+
+
+@query("clean_drop_null")
+def clean_drop_null(spark, sf):
+    return oc.drop_missing(fx.vehicles(spark, sf), "cylinders")
+
+
+@query("clean_absent_col")
+def clean_absent_col(spark, sf):
+    return oc.drop_missing(fx.vehicles(spark, sf), "engine")
+
+
+@query("clean_stats")
+def clean_stats(spark, sf):
+    return oc.clean_stats(fx.vehicles(spark, sf), "cylinders")
+
+
+@query("dry_run_estimate")
+def dry_run_estimate(spark, sf):
+    return oc.dry_run_estimate(fx.vehicles(spark, sf), "cylinders", n=1000, order_by="id")
+
+
+@query("src_filtered_scan")
+def src_filtered_scan(spark, sf):
+    return filtered_scan(fx.vehicles(spark, sf), "cylinders", missing=True)
+
+
+@query("typed_load")
+def typed_load_q(spark, sf):
+    return typed_load(merge_fill(spark, sf), TYPED)
+
+
+# -- data quality ---------------------------------------------------------------
+
+SCAN = "vehicles-dq"
+RUN1 = ("job-1", "2024-01-01 00:00:00")
+RUN2 = ("job-2", "2024-01-02 00:00:00")
+
+
+def _show_ts(df):
+    return df.withColumn("run_ts", F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _suite(spark, sf, rules, run=RUN1):
+    return oq.run_suite(fx.vehicles(spark, sf), rules, scan_id=SCAN, job_id=run[0], run_ts=run[1])
+
+
+def _rule(i, year_min="1996", year_max="2000"):
+    return oq.vehicle_rules(year_min, year_max)[i]
+
+
+@query("dq_non_null")
+def dq_non_null(spark, sf):
+    return _show_ts(_suite(spark, sf, [_rule(0)]))
+
+
+@query("dq_row_condition")
+def dq_row_condition(spark, sf):
+    return _show_ts(_suite(spark, sf, [_rule(1)]))
+
+
+@query("dq_table_condition")
+def dq_table_condition(spark, sf):
+    return _show_ts(_suite(spark, sf, [_rule(2)]))
+
+
+@query("dq_range")
+def dq_range(spark, sf):
+    return _show_ts(_suite(spark, sf, [_rule(3)]))
+
+
+@query("dq_suite")
+def dq_suite(spark, sf):
+    return _show_ts(_suite(spark, sf, oq.vehicle_rules("1996", "2000")))
+
+
+@query("dq_latest")
+def dq_latest(spark, sf):
+    runs = _suite(spark, sf, oq.vehicle_rules(), RUN1).unionByName(
+        _suite(spark, sf, oq.vehicle_rules("1996", "2000"), RUN2))
+    return _show_ts(oq.latest(runs, SCAN))
+
+
+@query("dq_by_dimension")
+def dq_by_dimension(spark, sf):
+    return oq.by_dimension(_suite(spark, sf, oq.vehicle_rules("1996", "2000")))
+
+
+# -- profiling and remediation --------------------------------------------------
+
+PROFILE_TABLES = {
+    "lineitem": (["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
+    "events": (["event_type", "user_id"], ["value"]),
+    "customer": (["c_mktsegment", "c_nationkey"], ["c_acctbal"]),
+}
+
+
+@query("prof_nulls")
+def prof_nulls(spark, sf):
+    return op.null_profile(fx.vehicles(spark, sf))
+
+
+@query("prof_key")
+def prof_key(spark, sf):
+    return op.key_profile(fx.vehicles(spark, sf), "VIN")
+
+
+@query("prof_validity")
+def prof_validity(spark, sf):
+    return op.validity_profile(fx.vehicles(spark, sf), [("price", ">", 250000), ("year", "<", 1981)])
+
+
+@query("prof_cardinality")
+def prof_cardinality(spark, sf):
+    out = None
+    for t, (cats, _) in PROFILE_TABLES.items():
+        p = op.cardinality(fx.table(spark, sf, t), cats, table_name=t)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("prof_numeric")
+def prof_numeric(spark, sf):
+    out = None
+    for t, (_, nums) in PROFILE_TABLES.items():
+        p = op.numeric_profile(fx.table(spark, sf, t), nums, table_name=t, digits=4)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("fix_drop_null_cols")
+def fix_drop_null_cols(spark, sf):
+    v = fx.vehicles(spark, sf).withColumn("county", F.lit(None).cast("string"))
+    return orm.drop_all_null(v)
+
+
+@query("fix_flag_key")
+def fix_flag_key(spark, sf):
+    return orm.flag_invalid_key(fx.vehicles(spark, sf), "VIN", "vin_invalid")
+
+
+@query("fix_outliers")
+def fix_outliers(spark, sf):
+    v = fx.vehicles(spark, sf).select("id", "price")
+    return orm.cap_outliers(v, {"price": 250000.0, "odometer": 1000000.0})
+
+
+@query("fix_year")
+def fix_year(spark, sf):
+    # The fixture's years are 1995-2001, so the pre-1981 cut-off would change
+    # nothing; 1997 exercises the operator.
+    v = fx.vehicles(spark, sf).select("id", "year")
+    return orm.null_out_of_range(v, "year", lo=1997, target="year_fixed")
+
+
+@query("fix_impute")
+def fix_impute(spark, sf):
+    return orm.impute(fx.vehicles(spark, sf), ["VIN", "cylinders"], "unknown")
+
+
+# -- JSON decode and the external lookup -------------------------------------------
+
+from .functions.json import first_result  # noqa: E402
+from .functions.json import ERR_NO_RESULTS, ERR_NOT_JSON  # noqa: E402
+
+
+@query("json_decode")
+def json_decode(spark, sf):
+    r = fx.api_responses(spark, sf)
+    p = first_result(F.col("body"), ["k"])
+    return r.select(
+        "event_id", p["n_results"].cast("int").alias("n_results"),
+        F.when(~p["corrupt"], p["first"]["k"]).alias("k"),
+        F.when(~p["corrupt"], ft.try_int(p["first"]["k"])).alias("k_int"),
+        F.when(p["corrupt"], F.lit(ERR_NOT_JSON))
+        .when(p["n_results"] == 0, F.lit(ERR_NO_RESULTS)).alias("error_message"))
+
+
+def checksum_fetch(key: str):
+    """Offline stand-in for the decoding service, deterministic per key:
+    MD5 digit 0 -> empty result, f -> timeout; otherwise attributes derived
+    from the digest and the key."""
+    import hashlib
+
+    h = hashlib.md5(key.encode("utf-8")).hexdigest()
+    if h[0] == "0":
+        return '{"Results": []}'
+    if h[0] == "f":
+        raise TimeoutError("read timed out")
+    return {"Results": [{"EngineCylinders": str(4 + 2 * (int(h[1], 16) % 3)),
+                         "Make": key[:3], "ModelYear": str(1990 + int(h[2], 16)),
+                         "Model": "", "DisplacementL": None}]}
+
+
+@query("lookup_udf")
+def lookup_udf(spark, sf):
+    keys = ok.keys_to_enrich(fx.vehicles(spark, sf))
+    res = ol.lookup_udf(keys, checksum_fetch, partitions=8, rate_per_sec=None,
+                        max_attempts=3, base_delay=0.0)
+    return res.select("VIN", "api_cylinders", "api_make", "api_model", "api_year",
+                      "api_engine_displacement", "api_error_message")
+
+
+# -- streaming and file round trips ------------------------------------------------
+
+from .session import work_dir  # noqa: E402
+from .sources.sinks import write_table  # noqa: E402
+from .sources.tables import read_table  # noqa: E402
+from . import streaming as st  # noqa: E402
+
+VEHICLE_SCHEMA = "id bigint, VIN string, cylinders string, year int, price double, paint_color string"
+
+
+@query("stream_clean")
+def stream_clean(spark, sf):
+    w = work_dir(spark, "stream-clean")
+    st.land_csv(fx.vehicles(spark, sf), f"{w}/in", files=4)
+    st.stream_clean(spark, f"{w}/in", f"{w}/out", f"{w}/ckpt", VEHICLE_SCHEMA)
+    return spark.read.parquet(f"{w}/out")
+
+
+@query("stream_enrich")
+def stream_enrich(spark, sf):
+    w = work_dir(spark, "stream-enrich")
+    st.land_csv(fx.vehicles(spark, sf), f"{w}/in", files=4)
+    attrs = fx.vin_attrs(spark, sf)
+    out, _ = st.stream_enrich(spark, f"{w}/in", w, VEHICLE_SCHEMA,
+                              lambda keys: ol.lookup_table(keys, attrs))
+    return out
+
+
+@query("src_csv_roundtrip")
+def src_csv_roundtrip(spark, sf):
+    w = work_dir(spark, "csv-roundtrip")
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    write_table(docs, f"{w}/documents.csv", mode="overwrite")
+    back = read_table(spark, f"{w}/documents.csv")
+    return typed_load(back, {"doc_id": "bigint", "n_chars": "bigint"})

@@ -139,3 +139,177 @@ select ('0x' || substring(md5(VIN), 1, 8))::bigint % (select n from nb) as batch
   round(avg(api_response_time), 6) as avg_response_time
 from results group by 1""",
 }
+
+
+def pct_sql(a: str, b: str, digits: int = 4) -> str:
+    return f"round(({a})::double / nullif(({b}), 0) * 100.0, {digits})"
+
+
+MERGE_SELECT = f"""select v.id, v.VIN, {FILL} as cylinders, v.year, v.price, v.paint_color,
+  {', '.join('r.' + c.strip() for c in API_COLS.split(','))}
+from vehicles v left join results r on v.VIN = r.VIN"""
+
+NULL_CYL = "count(*) filter (where cylinders is null)"
+
+ORACLE.update({
+    "clean_drop_null": with_(VEHICLES) + "select * from vehicles where cylinders is not null",
+    "clean_absent_col": with_(VEHICLES) + "select * from vehicles",
+    "clean_stats": with_(VEHICLES) + f"""select count(*) as total_rows, {NULL_CYL} as filtered_rows,
+  count(*) - {NULL_CYL} as cleaned_rows, {pct_sql(f'count(*) - {NULL_CYL}', 'count(*)')} as retention_pct
+from vehicles""",
+    "dry_run_estimate": with_(VEHICLES, "head as (select * from vehicles order by id limit 1000)",
+                              f"s as (select count(*) as sample_rows, {NULL_CYL} as sample_null_rows from head)",
+                              "t as (select count(*) as n from vehicles)") + """select sample_rows, sample_null_rows,
+  round(sample_null_rows::double / nullif(sample_rows, 0), 6) as null_ratio,
+  t.n as estimated_rows,
+  cast(floor(t.n * (sample_null_rows::double / nullif(sample_rows, 0))) as bigint) as estimated_null_rows,
+  t.n - cast(floor(t.n * (sample_null_rows::double / nullif(sample_rows, 0))) as bigint) as estimated_clean_rows
+from s, t""",
+    "src_filtered_scan": with_(VEHICLES) + "select * from vehicles where cylinders is null",
+    "typed_load": ENRICH_BASE.rstrip() + f""",
+m as ({MERGE_SELECT})
+select cast(id as integer) as id, VIN, try_cast(trim(cylinders) as float) as cylinders, year, price,
+  paint_color, cast(api_cylinders as integer) as api_cylinders, api_make, api_model, api_year,
+  api_engine_displacement, api_fuel_type, cast(api_response_time as double) as api_response_time,
+  api_error_message
+from m""",
+})
+
+# -- data quality ---------------------------------------------------------------
+
+RUN1 = ("job-1", "2024-01-01 00:00:00")
+RUN2 = ("job-2", "2024-01-02 00:00:00")
+
+
+def _dq_rules(year_min="1996", year_max="2000"):
+    """(name, dimension, column, description, type, evaluated, passed, null_count)."""
+    return [
+        ("cylinders-not-null", "COMPLETENESS", "cylinders", "Ensure cylinders field is not null",
+         "NON_NULL", "count(*)", "count(*) filter (where cylinders is not null)", NULL_CYL),
+        ("vin-length-check", "VALIDITY", "VIN", "VIN must be exactly 17 characters", "ROW_CONDITION",
+         "count(*)", "count(*) filter (where VIN is not null and coalesce(length(VIN) = 17, false))",
+         "count(*) filter (where VIN is null)"),
+        ("vin-uniqueness", "UNIQUENESS", None, "VIN values must be unique across all records",
+         "TABLE_CONDITION", "1",
+         "case when coalesce(count(distinct VIN) = count(*), false) then 1 else 0 end", "null"),
+        ("year-range-check", "VALIDITY", "year", f"Year must be between {year_min} and {year_max}",
+         "RANGE", "count(*)",
+         f"count(*) filter (where year is not null and year >= {year_min} and year <= {year_max})",
+         "count(*) filter (where year is null)"),
+    ]
+
+
+def dq_sql(rules, run=RUN1, show_ts=True) -> str:
+    parts = []
+    for name, dim, col, desc, rtype, ev, ps, nc in rules:
+        colv = f"'{col}'" if col else "cast(null as varchar)"
+        ratio = f"cast({ps} as double) / nullif(cast({ev} as double), 0)"
+        parts.append(f"""select 'vehicles-dq' as scan_id, '{run[0]}' as job_id,
+  {f"'{run[1]}'" if show_ts else f"timestamp '{run[1]}'"} as run_ts,
+  '{name}' as rule_name, '{dim}' as dimension, {colv} as column_name, '{desc}' as description,
+  '{rtype}' as rule_type, cast({ev} as bigint) as evaluated, cast({ps} as bigint) as passed,
+  cast({nc} as bigint) as null_count, round({ratio}, 6) as pass_ratio,
+  coalesce({ratio} >= 1.0, true) as passed_flag
+from vehicles""")
+    return "\nunion all\n".join(parts)
+
+
+_R = _dq_rules()
+ORACLE.update({
+    "dq_non_null": with_(VEHICLES) + dq_sql(_R[0:1]),
+    "dq_row_condition": with_(VEHICLES) + dq_sql(_R[1:2]),
+    "dq_table_condition": with_(VEHICLES) + dq_sql(_R[2:3]),
+    "dq_range": with_(VEHICLES) + dq_sql(_R[3:4]),
+    "dq_suite": with_(VEHICLES) + dq_sql(_R),
+    "dq_latest": with_(VEHICLES, f"runs as ({dq_sql(_dq_rules('1900', '2025'), RUN1)}\nunion all\n{dq_sql(_R, RUN2)})")
+    + "select * from runs where job_id = (select job_id from runs order by run_ts desc limit 1)",
+    "dq_by_dimension": with_(VEHICLES, f"suite as ({dq_sql(_R)})") + """select scan_id, job_id, dimension,
+  count(*) as rules, count(*) filter (where passed_flag) as rules_passed,
+  cast(sum(evaluated) as bigint) as evaluated, cast(sum(passed) as bigint) as passed,
+  round(cast(sum(passed) as double) / nullif(cast(sum(evaluated) as double), 0), 6) as pass_ratio
+from suite group by 1, 2, 3""",
+})
+
+# -- profiling and remediation --------------------------------------------------
+
+_VCOLS = ["id", "VIN", "cylinders", "year", "price", "paint_color"]
+
+
+def _nulls_sql(c: str) -> str:
+    cond = f"{c} is null or isnan({c})" if c == "price" else f"{c} is null"
+    n = f"count(*) filter (where {cond})"
+    return f"select '{c}' as column_name, {n} as null_count, {pct_sql(n, 'count(*)')} as null_pct from vehicles"
+
+
+PROFILE_TABLES = {
+    "lineitem": (["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
+    "events": (["event_type", "user_id"], ["value"]),
+    "customer": (["c_mktsegment", "c_nationkey"], ["c_acctbal"]),
+}
+
+LEN17 = "count(*) filter (where length(VIN) = 17)"
+ORACLE.update({
+    "prof_nulls": with_(VEHICLES) + "\nunion all\n".join(_nulls_sql(c) for c in _VCOLS),
+    "prof_key": with_(VEHICLES) + f"""select count(*) as total_rows, {LEN17} as len17_rows,
+  count(*) filter (where {valid('VIN')}) as valid_rows, count(*) filter (where VIN is null) as null_rows,
+  count(*) - {LEN17} as missing_or_invalid_rows, {pct_sql(LEN17, 'count(*)')} as len17_pct,
+  {pct_sql(f'count(*) - {LEN17}', 'count(*)')} as missing_or_invalid_pct
+from vehicles""",
+    "prof_validity": with_(VEHICLES) + """select 'price > 250000' as check_name, 'price' as column_name,
+  cast(min(price) as double) as min_value, cast(max(price) as double) as max_value, 250000.0::double as threshold,
+  count(*) filter (where price > 250000) as n_flagged from vehicles
+union all
+select 'year < 1981', 'year', cast(min(year) as double), cast(max(year) as double), 1981.0::double,
+  count(*) filter (where year < 1981) from vehicles""",
+    "prof_cardinality": "\nunion all\n".join(
+        f"select '{t}' as table_name, '{c}' as column_name, count(distinct {c}) as n_distinct from {t}"
+        for t, (cats, _) in PROFILE_TABLES.items() for c in cats),
+    "prof_numeric": "\nunion all\n".join(
+        f"""select '{t}' as table_name, '{c}' as column_name, count({c}) as n,
+  round(cast(min({c}) as double), 4) as min_value, round(cast(max({c}) as double), 4) as max_value,
+  round(avg({c}), 4) as avg_value, round(stddev_samp({c}), 4) as stddev_value from {t}"""
+        for t, (_, nums) in PROFILE_TABLES.items() for c in nums),
+    "fix_drop_null_cols": with_(VEHICLES) + "select * from vehicles",
+    "fix_flag_key": with_(VEHICLES) + f"select *, not {valid('VIN')} as vin_invalid from vehicles",
+    "fix_outliers": with_(VEHICLES) + """select id, price, least(price, 250000.0) as price_capped,
+  coalesce(price > 250000.0, false) as price_outlier from vehicles""",
+    "fix_year": with_(VEHICLES) + "select id, year, case when year >= 1997 then year end as year_fixed from vehicles",
+    "fix_impute": with_(VEHICLES) + """select id, coalesce(VIN, 'unknown') as VIN,
+  coalesce(cylinders, 'unknown') as cylinders, year, price, paint_color from vehicles""",
+})
+
+# -- JSON decode, external lookup, streams, file round trips -----------------------
+
+_BODY = """case when event_type = 'error' then '{"Results":[]}'
+  when event_id % 17 = 0 then '<html>Service Unavailable</html>'
+  else concat('{"Results":[', props, ']}') end"""
+_K = "json_extract_string(body, '$.Results[0].k')"
+_N = "coalesce(json_array_length(body, '$.Results'), 0)"
+_H = "md5(norm)"
+_HIT = f"valid and substring({_H}, 1, 1) not in ('0', 'f')"
+
+ORACLE.update({
+    "json_decode": f"""with r as (select event_id, {_BODY} as body from events)
+select event_id,
+  cast(case when json_valid(body) then {_N} else 0 end as integer) as n_results,
+  case when json_valid(body) then {_K} end as k,
+  case when json_valid(body) then {try_int(_K)} end as k_int,
+  case when not json_valid(body) then 'API request failed: response is not valid JSON'
+       when {_N} = 0 then 'No results returned from API' end as error_message
+from r""",
+    "lookup_udf": with_(VEHICLES, keys_cte(),
+                        f"kn as (select VIN, upper(trim(VIN)) as norm, {valid('VIN')} as valid from keys)")
+    + f"""select VIN,
+  case when {_HIT} then 4 + 2 * (('0x' || substring({_H}, 2, 1))::integer % 3) end as api_cylinders,
+  case when {_HIT} then substring(norm, 1, 3) end as api_make,
+  cast(null as varchar) as api_model,
+  case when {_HIT} then cast(1990 + ('0x' || substring({_H}, 3, 1))::integer as varchar) end as api_year,
+  cast(null as varchar) as api_engine_displacement,
+  case when not valid then 'Invalid VIN format'
+       when substring({_H}, 1, 1) = '0' then 'No results returned from API'
+       when substring({_H}, 1, 1) = 'f' then 'API request timeout' end as api_error_message
+from kn""",
+    "stream_clean": ORACLE["clean_drop_null"],
+    "stream_enrich": ORACLE["merge_fill"],
+    "src_csv_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
+})

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .tables import _format_for, read_table
 
-CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quoteAll": "false"}
+# Spark's CSV writer trims values by default; keep text exactly as it is.
+CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quoteAll": "false",
+                     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_table(df: DataFrame, target: str, mode: str = "errorifexists",

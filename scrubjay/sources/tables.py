@@ -16,8 +16,12 @@ NA_TOKENS = [
 
 # RFC-4180 options: quoted fields may hold newlines and doubled quotes. Without
 # these Spark splits records and mangles quotes.
+# An unquoted empty field is NULL and a quoted one (``""``) is the empty
+# string, so text survives a round trip exactly: the NUL character stands for
+# NULL only inside the parser (it never occurs in text CSV).
 CSV_READ_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"',
-                    "inferSchema": "false", "mode": "PERMISSIVE"}
+                    "inferSchema": "false", "mode": "PERMISSIVE",
+                    "nullValue": "\u0000", "emptyValue": ""}
 
 
 def _format_for(path: str, fmt: str | None) -> str:
