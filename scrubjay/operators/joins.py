@@ -55,14 +55,18 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
         lsalt = (F.when(~ok, -1 - pid)
                  .when(is_hot, F.pmod(pid, F.lit(salts))).otherwise(F.lit(0)))
         rsalt = F.explode(F.when(F.col("_rk").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-                          .otherwise(F.array(F.lit(0))))
+                          .otherwise(F.array(F.lit(0))))  # int elements already
     else:
         lsalt = F.when(~ok, -1 - pid).otherwise(F.lit(0))
-        rsalt = F.lit(0)
+        rsalt = F.lit(0).cast("int")
     rcols = [c for c in right.columns if c != key]
+    # Right-side columns get private names so the join resolves by name even
+    # when both sides descend from the same plan (re-running a merge).
     l = left.withColumn("_lk", F.when(ok, F.col(key)).otherwise(F.lit(""))) \
             .withColumn("_ls", lsalt.cast("int"))
-    r = right.select(F.col(key).alias("_rk"), *[F.col(f"`{c}`") for c in rcols]) \
-             .withColumn("_rs", rsalt.cast("int"))
-    j = l.join(r, (l["_lk"] == r["_rk"]) & (l["_ls"] == r["_rs"]), "left")
-    return j.select(*[l[f"`{c}`"] for c in left.columns], *[r[f"`{c}`"] for c in rcols])
+    r = right.select(F.col(key).alias("_rk"),
+                     *[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rcols)]) \
+             .withColumn("_rs", rsalt)
+    j = l.join(r, (F.col("_lk") == F.col("_rk")) & (F.col("_ls") == F.col("_rs")), "left")
+    return j.select(*[F.col(f"`{c}`") for c in left.columns],
+                    *[F.col(f"_r{i}").alias(c) for i, c in enumerate(rcols)])

@@ -52,13 +52,23 @@ def stream_clean(spark: SparkSession, src: str, sink: str, checkpoint: str, sche
     """Clean every new CSV file into a Parquet sink (append). Runs until the
     files present at start are done (``availableNow``) and returns progress."""
     s = csv_source(spark, src, schema, max_files_per_trigger)
-    q = (drop_missing(s, column).writeStream.format("parquet")
+    # Count before the filter (an observed node also keeps the filter out of
+    # the CSV reader, so the counts are exact rather than post-pushdown).
+    nul = F.count_if(F.col(column).isNull()) if column in s.columns else F.lit(0).cast("bigint")
+    watched = s.observe("clean", F.count(F.lit(1)).alias("total_rows"), nul.alias("filtered_rows"))
+    q = (drop_missing(watched, column).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", sink)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    prog = q.recentProgress
-    return {"batches": len([p for p in prog if p.get("numInputRows", 0) > 0]),
-            "rows_in": sum(p.get("numInputRows", 0) for p in prog)}
+    total = filtered = batches = 0
+    for p in q.recentProgress:
+        m = (p.get("observedMetrics") or {}).get("clean")
+        if m is not None and m["total_rows"]:
+            batches += 1
+            total += m["total_rows"]
+            filtered += m["filtered_rows"]
+    return {"batches": batches, "rows_in": total, "filtered_rows": filtered,
+            "cleaned_rows": total - filtered}
 
 
 def read_lookup_cache(spark: SparkSession, cache: str, key: str = "VIN",

@@ -1,0 +1,48 @@
+"""File-arrival streams: only new files are processed; keys looked up once."""
+
+from pyspark.sql import functions as F
+
+from scrubjay.operators.lookup import lookup_table
+from scrubjay.sources.sinks import write_table
+from scrubjay.streaming import stream_clean, stream_enrich
+
+SCHEMA = "id bigint, VIN string, cylinders string"
+
+
+def _drop(spark, rows, folder):
+    write_table(spark.createDataFrame(rows, SCHEMA).coalesce(1), folder, mode="overwrite", fmt="csv")
+
+
+def test_stream_clean_incremental(spark, tmpdir_path):
+    src = f"{tmpdir_path}/in"
+    _drop(spark, [(1, "A", "8"), (2, "B", None)], f"{src}/a")
+    with open(f"{src}/a/notes.txt", "w") as f:
+        f.write("id,VIN,cylinders\n9,Z,8\n")  # not a .csv file: ignored
+    st = stream_clean(spark, f"{src}/a", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", SCHEMA)
+    assert st["rows_in"] == 2
+    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 1
+    # new file arrives: only it is processed on the next run
+    _drop(spark, [(3, "C", "6"), (4, "D", "")], f"{tmpdir_path}/stage")
+    import glob
+    import shutil
+    for p in glob.glob(f"{tmpdir_path}/stage/*.csv"):
+        shutil.copy(p, f"{src}/a/new-part.csv")
+    st2 = stream_clean(spark, f"{src}/a", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", SCHEMA)
+    assert st2["rows_in"] == 2
+    assert sorted(r.id for r in spark.read.parquet(f"{tmpdir_path}/out").collect()) == [1, 3, 4]
+
+
+def test_stream_enrich_looks_up_each_key_once(spark, tmpdir_path):
+    src = f"{tmpdir_path}/in"
+    rows = [(i, f"1GCSCSE06AZ{i % 5:06d}", None if i % 2 else "8") for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    write_table(df.repartition(4), src, mode="overwrite", fmt="csv")
+    attrs = spark.createDataFrame([(f"1GCSCSE06AZ{i:06d}", 6) for i in range(5)],
+                                  "vin_key string, api_cylinders int")
+    out, counters = stream_enrich(spark, src, f"{tmpdir_path}/work", SCHEMA,
+                                  lambda k: lookup_table(k, attrs))
+    assert counters["batches"] == 4
+    cache = spark.read.parquet(f"{tmpdir_path}/work/cache")
+    assert cache.count() == 5  # each key once across micro-batches
+    got = {r.id: r.cylinders for r in out.collect()}
+    assert all(got[i] == ("6.0" if i % 2 else "8") for i in range(40))
