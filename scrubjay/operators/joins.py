@@ -41,32 +41,38 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01,
 
 
 def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
-                        hot: list | None = None, salts: int = 16) -> DataFrame:
+                        hot: list | None = None, salts: int = 16,
+                        broadcast_right: bool = False) -> DataFrame:
     """``left LEFT JOIN right USING (key)``; ``right`` must be unique on key.
 
     Output keeps all left columns (in order) followed by right's non-key
-    columns; row count equals ``left``'s.
+    columns; row count equals ``left``'s. ``broadcast_right`` only for a right
+    side whose size the caller has checked.
     """
     hot = [h for h in (hot or []) if h is not None]
     pid = F.spark_partition_id()
     ok = usable(F.col(key))
-    if hot:
-        is_hot = F.col(key).isin(hot)
-        lsalt = (F.when(~ok, -1 - pid)
-                 .when(is_hot, F.pmod(pid, F.lit(salts))).otherwise(F.lit(0)))
-        rsalt = F.explode(F.when(F.col("_rk").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-                          .otherwise(F.array(F.lit(0))))  # int elements already
-    else:
-        lsalt = F.when(~ok, -1 - pid).otherwise(F.lit(0))
-        rsalt = F.lit(0).cast("int")
+    # Unusable keys can never match: give them a per-partition string so they
+    # hash apart; the ``_lok`` guard keeps them from matching anything.
+    lk = F.when(ok, F.col(key)).otherwise(F.concat(F.lit("\u0000"), pid.cast("string")))
     rcols = [c for c in right.columns if c != key]
     # Right-side columns get private names so the join resolves by name even
     # when both sides descend from the same plan (re-running a merge).
-    l = left.withColumn("_lk", F.when(ok, F.col(key)).otherwise(F.lit(""))) \
-            .withColumn("_ls", lsalt.cast("int"))
     r = right.select(F.col(key).alias("_rk"),
-                     *[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rcols)]) \
-             .withColumn("_rs", rsalt)
-    j = l.join(r, (F.col("_lk") == F.col("_rk")) & (F.col("_ls") == F.col("_rs")), "left")
+                     *[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rcols)])
+    l = left.withColumn("_lk", lk).withColumn("_lok", ok)
+    cond = (F.col("_lk") == F.col("_rk")) & F.col("_lok")
+    if hot:
+        # Hot keys: (key, salt) is the join key, so one hot key spreads over
+        # ``salts`` reducers; its single right row is replicated per salt.
+        l = l.withColumn("_ls", F.when(ok & F.col(key).isin(hot), F.pmod(pid, F.lit(salts)))
+                         .otherwise(F.lit(0)).cast("int"))
+        r = r.withColumn("_rs", F.explode(
+            F.when(F.col("_rk").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+            .otherwise(F.array(F.lit(0)))))
+        cond = cond & (F.col("_ls") == F.col("_rs"))
+    if broadcast_right:
+        r = F.broadcast(r)
+    j = l.join(r, cond, "left")
     return j.select(*[F.col(f"`{c}`") for c in left.columns],
                     *[F.col(f"_r{i}").alias(c) for i, c in enumerate(rcols)])
