@@ -24,7 +24,7 @@ def _fill_value(df: DataFrame, value: str) -> Column:
 def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
                  value: str = "cylinders", include_metadata: bool = True,
                  hot: list | None = None, salts: int = 16,
-                 with_fill_flag: bool = False) -> DataFrame:
+                 with_fill_flag: bool = False, broadcast_results: bool = False) -> DataFrame:
     """Listings LEFT JOIN results on the raw key, then fill ``value`` where it
     is missing (fill flavour: NULL/blank) and the lookup has a number.
 
@@ -33,7 +33,8 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
     * ``include_metadata=False`` adds only ``api_cylinders`` (P9);
     * with no ``value`` column, one is created from ``api_cylinders`` and
       appended last (P11);
-    * ``with_fill_flag`` adds ``_filled`` (for counting updated rows, A6).
+    * ``with_fill_flag`` adds ``_filled`` (for counting updated rows, A6);
+    * ``broadcast_results`` only when the caller has checked their size.
 
     The join is skew-safe (see ``joins``); row count is preserved because
     results hold one row per key.
@@ -41,7 +42,8 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
     base = df.drop(*[c for c in df.columns if c.startswith("api_")])
     api = API_COLUMNS if include_metadata else ["api_cylinders"]
     res = results.select(F.col(key), *[F.col(c) for c in api])
-    j = skew_safe_left_join(base, res, key, hot=hot, salts=salts)
+    j = skew_safe_left_join(base, res, key, hot=hot, salts=salts,
+                            broadcast_right=broadcast_results)
     if value in base.columns:
         mask = value_missing(j, value, "fill") & F.col("api_cylinders").isNotNull()
         cols = [F.when(mask, _fill_value(j, value)).otherwise(F.col(f"`{c}`")).alias(c)

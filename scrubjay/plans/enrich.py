@@ -19,9 +19,19 @@ from ..operators.joins import hot_keys as find_hot
 from ..operators.keys import keys_to_enrich, unseen
 from ..operators.merge import merge_lookup
 from ..session import work_dir
-from ..sources.sinks import path_exists, write_table
+from ..sources.sinks import path_exists, stored_bytes, write_table
 from ..sources.tables import read_table, require_columns
-from ..streaming.incremental import read_lookup_cache, TRANSIENT_ERRORS
+from ..streaming.incremental import read_lookup_cache, seen_keys
+
+
+def _threshold(spark: SparkSession) -> int:
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(v)
+    except ValueError:  # e.g. "10MB"
+        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        v = v.strip().lower().rstrip("b")
+        return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else 10 << 20
 
 
 def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
@@ -29,11 +39,13 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
            value: str = "cylinders", skip_existing: bool = True,
            include_metadata: bool = True, stable_schema: bool = True,
            cache: str | None = None, overwrite: bool = True, detect_skew: bool = True,
-           fmt: str | None = None) -> dict:
+           fmt: str | None = None, broadcast_bytes: int | None = None) -> dict:
     """Run one enrichment; returns ``total_rows, vins_enriched,
     successful_enrichments, failed_enrichments, success_rate, rows_updated,
     processing_time``. ``cache`` is the persistent lookup table folder
-    (default: a fresh folder under the session's checkpoint dir)."""
+    (default: a fresh folder under the session's checkpoint dir).
+    ``broadcast_bytes`` caps the lookup-table size that may be broadcast
+    (default: ``spark.sql.autoBroadcastJoinThreshold``)."""
     t0 = time.time()
     df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path)
     require_columns(df, [key])
@@ -43,12 +55,9 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     run = int(time.time() * 1000) * 1000 + uuid.uuid4().int % 1000
 
     keys = keys_to_enrich(df, key, value, skip_existing)
-    seen = read_lookup_cache(spark, cache, key)
+    seen = seen_keys(spark, cache, key)
     if seen is not None:
-        done = seen
-        for pat in TRANSIENT_ERRORS:
-            done = done.filter(~F.coalesce(F.col("api_error_message").like(pat), F.lit(False)))
-        keys = unseen(keys, done.select(key), key)
+        keys = unseen(keys, seen, key)
     write_table(lookup(keys).withColumn("batch_id", F.lit(run)),
                 f"{cache}/batch_id={run}", mode="overwrite", fmt="parquet")
     this_run = spark.read.parquet(f"{cache}/batch_id={run}")
@@ -63,9 +72,14 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
         total, updated = int(obs.get["n"]), 0
     else:
         results = read_lookup_cache(spark, cache, key)
-        hot = find_hot(df, key) if detect_skew else None
+        # Broadcast the lookup table only on a measured size (Parquet bytes
+        # on storage, a lower bound of its in-memory size, hence the 1/4);
+        # otherwise a shuffle join with hot keys split over several tasks.
+        limit = broadcast_bytes if broadcast_bytes is not None else _threshold(spark)
+        small = 0 <= stored_bytes(spark, cache) <= limit // 4
+        hot = find_hot(df, key) if (detect_skew and not small) else None
         merged = merge_lookup(df, results, key, value, include_metadata, hot=hot,
-                              with_fill_flag=True)
+                              with_fill_flag=True, broadcast_results=small)
         obs = Observation("merge")
         watched = merged.observe(obs, F.count(F.lit(1)).alias("n"),
                                  F.count_if(F.col("_filled")).alias("updated"))

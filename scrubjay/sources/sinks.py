@@ -38,6 +38,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under a path (file or folder), from the file system's
+    metadata; -1 when absent. Used to decide broadcasts on a proven size."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return -1
+    return int(fs.getContentSummary(p).getLength())
+
+
 def put_and_verify(df: DataFrame, uri: str, overwrite: bool = False,
                    fmt: str | None = None) -> bool:
     """Object-store put (K4): refuse (False) when present and not overwriting;

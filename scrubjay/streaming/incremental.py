@@ -71,6 +71,20 @@ def stream_clean(spark: SparkSession, src: str, sink: str, checkpoint: str, sche
             "cleaned_rows": total - filtered}
 
 
+def seen_keys(spark: SparkSession, cache: str, key: str = "VIN",
+              exclude_batch: int | None = None) -> DataFrame | None:
+    """Keys with a final result in the lookup table (transient failures are
+    not final). Just a filtered key scan: the anti-join needs no dedupe."""
+    if not path_exists(spark, cache):
+        return None
+    c = spark.read.parquet(cache)
+    if exclude_batch is not None:
+        c = c.filter(F.col("batch_id") != exclude_batch)
+    for pat in TRANSIENT_ERRORS:
+        c = c.filter(~F.coalesce(F.col("api_error_message").like(pat), F.lit(False)))
+    return c.select(key)
+
+
 def read_lookup_cache(spark: SparkSession, cache: str, key: str = "VIN",
                       exclude_batch: int | None = None) -> DataFrame | None:
     """Lookup table, one row per key: the latest batch's result wins (a key
@@ -105,12 +119,9 @@ def stream_enrich(spark: SparkSession, src: str, work: str, schema,
         try:
             write_table(batch, f"{landed}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
             keys = keys_to_enrich(batch, key, value, skip_existing)
-            seen = read_lookup_cache(spark, cache, key, exclude_batch=batch_id)
+            seen = seen_keys(spark, cache, key, exclude_batch=batch_id)
             if seen is not None:
-                done = seen
-                for pat in TRANSIENT_ERRORS:
-                    done = done.filter(~F.coalesce(F.col("api_error_message").like(pat), F.lit(False)))
-                keys = unseen(keys, done.select(key), key)
+                keys = unseen(keys, seen, key)
             res = lookup(keys).withColumn("batch_id", F.lit(batch_id))
             write_table(res, f"{cache}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
             counters["batches"] += 1
