@@ -18,6 +18,13 @@ def _nullish(df, name):
     return (c.isNull() | F.isnan(c)) if isinstance(dt, (DoubleType, FloatType)) else c.isNull()
 
 
+def profile_sample(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """A Bernoulli sample for quick profiles (S10): each task keeps each row
+    with probability ``fraction``; no shuffle, deterministic for a seed and
+    an input split."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """``column_name, null_count, null_pct`` for every column."""
     cols = cols or df.columns

@@ -105,6 +105,16 @@ class TableCondition(Rule):
             F.lit(None).cast("bigint")
 
 
+def quality_source(spark, table: str | None = None, path: str | None = None) -> DataFrame:
+    """The table a suite scans, addressed by catalog name or by path."""
+    if (table is None) == (path is None):
+        raise ValueError("give exactly one of table= or path=")
+    if table is not None:
+        return spark.table(table)
+    from ..sources.tables import read_table
+    return read_table(spark, path)
+
+
 def vehicle_rules(year_min: str = "1900", year_max: str = "2025") -> list[Rule]:
     """The listing suite."""
     # Rule names, dimensions, expressions and descriptions of the

@@ -42,7 +42,7 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
            fmt: str | None = None, broadcast_bytes: int | None = None) -> dict:
     """Run one enrichment; returns ``total_rows, vins_enriched,
     successful_enrichments, failed_enrichments, success_rate, rows_updated,
-    processing_time``. ``cache`` is the persistent lookup table folder
+    mean_response_time, keys_per_minute, processing_time`` (A3, A6, A16). ``cache`` is the persistent lookup table folder
     (default: a fresh folder under the session's checkpoint dir).
     ``broadcast_bytes`` caps the lookup-table size that may be broadcast
     (default: ``spark.sql.autoBroadcastJoinThreshold``)."""
@@ -62,8 +62,10 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
                 f"{cache}/batch_id={run}", mode="overwrite", fmt="parquet")
     this_run = spark.read.parquet(f"{cache}/batch_id={run}")
     st = this_run.agg(F.count(F.lit(1)).alias("n"),
-                      F.count_if(F.col("api_cylinders").isNotNull()).alias("ok")).first()
-    attempted, ok = int(st["n"]), int(st["ok"])
+                      F.count_if(F.col("api_cylinders").isNotNull()).alias("ok"),
+                      F.avg("api_response_time").alias("t")).first()
+    attempted, ok, mean_t = int(st["n"]), int(st["ok"]), st["t"]
+    lookup_secs = time.time() - t0
 
     if attempted == 0 and seen is None and not stable_schema:
         obs = Observation("passthrough")
@@ -88,4 +90,6 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     return {"total_rows": total, "vins_enriched": attempted,
             "successful_enrichments": ok, "failed_enrichments": attempted - ok,
             "success_rate": round(ok * 100.0 / attempted, 4) if attempted else None,
-            "rows_updated": updated, "processing_time": time.time() - t0}
+            "rows_updated": updated, "mean_response_time": mean_t,
+            "keys_per_minute": attempted * 60.0 / lookup_secs if lookup_secs > 0 else None,
+            "processing_time": time.time() - t0}

@@ -112,7 +112,7 @@ def stream_enrich(spark: SparkSession, src: str, work: str, schema,
     the cache) and run counters.
     """
     landed, cache, ckpt = f"{work}/landed", f"{work}/cache", f"{work}/checkpoint"
-    counters = {"batches": 0}
+    counters = {"batches": 0, "batch_ids": []}
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -125,6 +125,7 @@ def stream_enrich(spark: SparkSession, src: str, work: str, schema,
             res = lookup(keys).withColumn("batch_id", F.lit(batch_id))
             write_table(res, f"{cache}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
             counters["batches"] += 1
+            counters["batch_ids"].append(batch_id)
         finally:
             batch.unpersist()
 
@@ -134,6 +135,10 @@ def stream_enrich(spark: SparkSession, src: str, work: str, schema,
     q.awaitTermination()
     rows = spark.read.parquet(landed).drop("batch_id") if path_exists(spark, landed) else None
     results = read_lookup_cache(spark, cache, key)
+    # A5: keys this run looked up and micro-batches it processed.
+    counters["unique_keys_processed"] = (
+        spark.read.parquet(cache).filter(F.col("batch_id").isin(counters["batch_ids"])).count()
+        if counters["batch_ids"] else 0)
     if rows is None:
         return None, counters
     if results is None:

@@ -61,3 +61,12 @@ def test_cleaning(spark):
     assert (s2.filtered_rows, s2.cleaned_rows) == (0, 4)
     d = dry_run_estimate(df, n=2).first()
     assert (d.sample_rows, d.sample_null_rows, d.estimated_rows, d.estimated_null_rows) == (2, 1, 4, 2)
+
+
+def test_profile_sample(spark):
+    from scrubjay.operators.profiling import profile_sample
+
+    df = spark.range(20000)
+    n = profile_sample(df, 0.1, seed=7).count()
+    assert 1600 < n < 2400
+    assert profile_sample(df, 0.1, seed=7).count() == n  # deterministic for a seed

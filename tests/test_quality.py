@@ -66,3 +66,15 @@ def test_latest_and_dimension(spark, tmpdir_path):
     assert {r.job_id for r in latest(results, "s", job_id="j1").collect()} == {"j1"}
     dims = {r.dimension: r for r in by_dimension(latest(results, "s")).collect()}
     assert dims["VALIDITY"].rules == 2
+
+
+def test_quality_source_by_name_or_path(spark, tmpdir_path):
+    from scrubjay.operators.quality import quality_source
+
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    df.write.mode("overwrite").parquet(f"{tmpdir_path}/v.parquet")
+    df.write.mode("overwrite").saveAsTable("dq_vehicles")
+    a = run_suite(quality_source(spark, table="dq_vehicles"), vehicle_rules(), job_id="j").collect()
+    b = run_suite(quality_source(spark, path=f"{tmpdir_path}/v.parquet"), vehicle_rules(), job_id="j").collect()
+    key = lambda r: (r.rule_name, r.evaluated, r.passed)
+    assert sorted(map(key, a)) == sorted(map(key, b))

@@ -41,7 +41,7 @@ def test_stream_enrich_looks_up_each_key_once(spark, tmpdir_path):
                                   "vin_key string, api_cylinders int")
     out, counters = stream_enrich(spark, src, f"{tmpdir_path}/work", SCHEMA,
                                   lambda k: lookup_table(k, attrs))
-    assert counters["batches"] == 4
+    assert counters["batches"] == 4 and counters["unique_keys_processed"] == 5
     cache = spark.read.parquet(f"{tmpdir_path}/work/cache")
     assert cache.count() == 5  # each key once across micro-batches
     got = {r.id: r.cylinders for r in out.collect()}
