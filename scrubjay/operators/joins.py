@@ -26,18 +26,25 @@ from ..functions.keys import usable
 def hot_keys(df: DataFrame, key: str, min_share: float = 0.01,
              max_hot: int = 64) -> list:
     """Keys holding at least ``min_share`` of all rows (at most ``max_hot``;
-    with ``min_share=0.01`` there can be at most 100). One pass over the key
-    column with map-side partial aggregation; only the bounded top list
-    reaches the driver."""
+    with ``min_share=0.01`` there can be at most 100).
+
+    One job: per-key counts (map-side partial aggregation, so a hot key ships
+    one row per map task) unioned with the table's row count; the top
+    ``max_hot + 1`` rows by count come back. The total always ranks first,
+    so the driver receives a bounded list and no second pass is needed.
+    """
     counts = (df.select(F.col(key).alias("_k")).filter(usable(F.col("_k")))
-              .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
-    total = df.select(F.count(F.lit(1)).alias("t")).first()["t"]
-    if not total:
+              .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+              .select(F.lit(False).alias("_total"), "_k", "_n"))
+    total = df.agg(F.count(F.lit(1)).alias("_n")).select(
+        F.lit(True).alias("_total"), F.lit(None).cast(counts.schema["_k"].dataType).alias("_k"), "_n")
+    top = counts.unionByName(total).orderBy(F.col("_n").desc(), F.col("_total").desc()) \
+                .limit(max_hot + 1).collect()
+    n_total = next((r["_n"] for r in top if r["_total"]), 0)
+    if not n_total:
         return []
-    floor = max(1, int(total * min_share))
-    top = (counts.filter(F.col("_n") >= floor)
-           .orderBy(F.col("_n").desc()).limit(max_hot).collect())
-    return [r["_k"] for r in top]
+    floor = max(1, int(n_total * min_share))
+    return [r["_k"] for r in top if not r["_total"] and r["_n"] >= floor][:max_hot]
 
 
 def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from .joins import skew_safe_left_join
+from .joins import hot_keys, skew_safe_left_join
 from .keys import value_missing
 from .lookup import API_COLUMNS
 
@@ -23,7 +23,7 @@ def _fill_value(df: DataFrame, value: str) -> Column:
 
 def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
                  value: str = "cylinders", include_metadata: bool = True,
-                 hot: list | None = None, salts: int = 16,
+                 hot: list | str | None = "auto", salts: int = 16,
                  with_fill_flag: bool = False, broadcast_results: bool = False) -> DataFrame:
     """Listings LEFT JOIN results on the raw key, then fill ``value`` where it
     is missing (fill flavour: NULL/blank) and the lookup has a number.
@@ -34,12 +34,17 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
     * with no ``value`` column, one is created from ``api_cylinders`` and
       appended last (P11);
     * ``with_fill_flag`` adds ``_filled`` (for counting updated rows, A6);
-    * ``broadcast_results`` only when the caller has checked their size.
+    * ``broadcast_results`` only when the caller has checked their size;
+    * ``hot="auto"`` finds keys holding >= 1% of rows (one partial-aggregate
+      pass over the key column) and salts them; pass a list to skip the
+      pass, or ``None`` to rely on AQE alone.
 
     The join is skew-safe (see ``joins``); row count is preserved because
     results hold one row per key.
     """
     base = df.drop(*[c for c in df.columns if c.startswith("api_")])
+    if isinstance(hot, str) and hot == "auto":
+        hot = None if broadcast_results else hot_keys(base, key)
     api = API_COLUMNS if include_metadata else ["api_cylinders"]
     res = results.select(F.col(key), *[F.col(c) for c in api])
     j = skew_safe_left_join(base, res, key, hot=hot, salts=salts,
@@ -58,12 +63,17 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
 
 
 def fanout(df: DataFrame, results: DataFrame, key: str = "VIN",
-           columns: list[str] | None = None) -> DataFrame:
+           columns: list[str] | None = None, hot: list | str | None = "auto",
+           salts: int = 16) -> DataFrame:
     """Every listing row whose key was looked up, with the key's result (J2):
-    distinct keys in, one value copied to each duplicate row."""
+    distinct keys in, one value copied to each duplicate row. Same skew-safe
+    join as ``merge_lookup``, keeping matched rows only."""
     cols = columns or ["api_cylinders", "api_error_message"]
-    res = results.select(F.col(key).alias("_rk"), *cols)
-    return df.join(res, df[key] == res["_rk"], "inner").drop("_rk")
+    res = results.select(F.col(key), *cols, F.lit(True).alias("_matched"))
+    if isinstance(hot, str) and hot == "auto":
+        hot = hot_keys(df, key)
+    j = skew_safe_left_join(df, res, key, hot=hot, salts=salts)
+    return j.filter(F.col("_matched")).drop("_matched")
 
 
 def rows_updated(df: DataFrame, results: DataFrame, key: str = "VIN",

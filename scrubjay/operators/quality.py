@@ -176,8 +176,9 @@ def latest(results: DataFrame, scan_id: str | None = None,
     r = results if scan_id is None else results.filter(F.col("scan_id") == scan_id)
     if job_id is not None:
         return r.filter(F.col("job_id") == job_id)
-    last = r.groupBy("scan_id").agg(F.max_by("job_id", "run_ts").alias("_job"))
-    return r.join(last, (r["scan_id"] == last["scan_id"]) & (r["job_id"] == last["_job"]),
+    last = r.groupBy(F.col("scan_id").alias("_scan")).agg(
+        F.max_by("job_id", "run_ts").alias("_job"))
+    return r.join(last, (F.col("scan_id") == F.col("_scan")) & (F.col("job_id") == F.col("_job")),
                   "left_semi")
 
 
