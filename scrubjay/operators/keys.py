@@ -44,16 +44,40 @@ def keys_to_enrich(df: DataFrame, key: str = "VIN", value: str = "cylinders",
     return rows.select(key).distinct()
 
 
+def _key_valid(df: DataFrame, key: str, ascii_only: bool = False):
+    """Validity of ``key``; a non-text key column is never valid (a number is
+    not an identifier, whatever its digits)."""
+    if dict(df.dtypes)[key] != "string":
+        return F.lit(False)
+    return is_valid_key(F.col(key), ascii_only)
+
+
 def split_keys(keys: DataFrame, key: str = "VIN", ascii_only: bool = False):
     """Add the normalised key and its validity (F1): ``(key, _norm, _valid)``."""
-    return keys.select(F.col(key), upper_strip(F.col(key), ascii_only).alias("_norm"),
-                       is_valid_key(F.col(key), ascii_only).alias("_valid"))
+    return keys.select(F.col(key), upper_strip(F.col(key).cast("string"), ascii_only).alias("_norm"),
+                       _key_valid(keys, key, ascii_only).alias("_valid"))
+
+
+def key_stats(df: DataFrame, key: str = "VIN", value: str = "cylinders",
+              skip_existing: bool = True) -> DataFrame:
+    """One row per present key: ``(key, n_rows, needs_lookup)``.
+
+    A single aggregation (map-side partial) that serves both key selection
+    (``needs_lookup``) and hot-key detection (``n_rows``), so a job that
+    materialises it scans the key column once.
+    """
+    cols = [key, value] if value in df.columns else [key]
+    rows = usable_rows(df.select(*cols), key)
+    need = (value_missing(rows, value, "select")
+            if (skip_existing and value in df.columns) else F.lit(True))
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"),
+                                 F.max(need).alias("needs_lookup"))
 
 
 def invalid_keys(df: DataFrame, key: str = "VIN") -> DataFrame:
     """Distinct present keys that fail validation."""
     return (usable_rows(df.select(key), key)
-            .filter(~is_valid_key(F.col(key))).select(key).distinct())
+            .filter(~_key_valid(df, key)).select(key).distinct())
 
 
 def unseen(keys: DataFrame, seen: DataFrame, key: str = "VIN",

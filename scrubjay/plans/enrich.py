@@ -15,8 +15,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..operators.joins import hot_keys as find_hot
-from ..operators.keys import keys_to_enrich, unseen
+from ..operators.keys import key_stats, unseen
 from ..operators.merge import merge_lookup
 from ..session import work_dir
 from ..sources.sinks import path_exists, stored_bytes, write_table
@@ -24,6 +23,19 @@ from ..sources.tables import read_table, require_columns
 from ..streaming.incremental import read_lookup_cache, seen_keys
 
 
+def _hot_from_stats(df: DataFrame, kstats: DataFrame, key: str, min_share: float = 0.01,
+                    max_hot: int = 64) -> list:
+    """Hot keys from the per-key counts; only the bounded top list (and the
+    input's row count, a metadata count on Parquet) reaches the driver."""
+    total = df.count()
+    if not total:
+        return []
+    floor = max(1, int(total * min_share))
+    top = (kstats.filter(F.col("n_rows") >= floor).orderBy(F.col("n_rows").desc())
+           .limit(max_hot).select(key).collect())
+    return [r[key] for r in top]
+
+
 def _threshold(spark: SparkSession) -> int:
     v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     try:
@@ -54,7 +66,12 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     cache = cache or f"{work_dir(spark, 'lookup')}/cache"
     run = int(time.time() * 1000) * 1000 + uuid.uuid4().int % 1000
 
-    keys = keys_to_enrich(df, key, value, skip_existing)
+    # Per-key statistics, written once: key selection and hot-key detection
+    # both read this (distinct keys) table instead of re-scanning the input.
+    stats_path = f"{work_dir(spark, 'keystats')}/key_stats"
+    write_table(key_stats(df, key, value, skip_existing), stats_path, mode="overwrite", fmt="parquet")
+    kstats = spark.read.parquet(stats_path)
+    keys = kstats.filter("needs_lookup").select(key)
     seen = seen_keys(spark, cache, key)
     if seen is not None:
         keys = unseen(keys, seen, key)
@@ -79,7 +96,7 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
         # otherwise a shuffle join with hot keys split over several tasks.
         limit = broadcast_bytes if broadcast_bytes is not None else _threshold(spark)
         small = 0 <= stored_bytes(spark, cache) <= limit // 4
-        hot = find_hot(df, key) if (detect_skew and not small) else None
+        hot = _hot_from_stats(df, kstats, key) if (detect_skew and not small) else None
         merged = merge_lookup(df, results, key, value, include_metadata, hot=hot,
                               with_fill_flag=True, broadcast_results=small)
         obs = Observation("merge")
