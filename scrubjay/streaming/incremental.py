@@ -30,6 +30,19 @@ from ..functions.json import ERR_TIMEOUT
 TRANSIENT_ERRORS = (ERR_TIMEOUT, "API request failed:%")
 
 
+def job_fingerprint(source: str, config: dict | None = None, n: int = 12) -> str:
+    """Stable id for a (source, settings) pair: MD5 of the source path and
+    the settings as sorted-key JSON, first ``n`` hex digits (F15). Use it to
+    name a job's work folder, so a rerun with the same settings resumes from
+    the same checkpoint and lookup table, and changed settings start fresh.
+    Which files are done is tracked by the stream's own file log (D14)."""
+    import hashlib
+    import json as _json
+
+    text = f"{source}:{_json.dumps(config or {}, sort_keys=True, default=str)}"
+    return hashlib.md5(text.encode("utf-8"), usedforsecurity=False).hexdigest()[:n]
+
+
 def land_csv(df: DataFrame, folder: str, files: int = 4) -> None:
     """Write ``df`` as ``files`` CSV part files (a stand-in for uploads)."""
     write_table(df.repartition(files), folder, mode="overwrite", fmt="csv")

@@ -85,3 +85,15 @@ def test_lookup_table_semantics(spark):
     assert r["1GCSCSE06AZ999999"].api_error_message == "No results returned from API"
     assert r["BAD"].api_error_message == "Invalid VIN format" and r["BAD"].api_cylinders is None
     assert r["BAD"].api_model is None
+
+
+def test_rate_budget_per_partition(spark):
+    import time
+
+    keys = spark.createDataFrame([(f"1GCSCSE06AZ{i:06d}",) for i in range(10)], "VIN string")
+    res = lookup_udf(keys, lambda k: {"Results": [{"EngineCylinders": "4"}]}, partitions=1,
+                     rate_per_sec=20.0, base_delay=0.0)
+    t0 = time.perf_counter()
+    rows = res.collect()
+    assert len(rows) == 10 and all(r.api_cylinders == 4 for r in rows)
+    assert time.perf_counter() - t0 >= 0.45  # 10 calls at most 20/s on one partition

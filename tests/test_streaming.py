@@ -46,3 +46,21 @@ def test_stream_enrich_looks_up_each_key_once(spark, tmpdir_path):
     assert cache.count() == 5  # each key once across micro-batches
     got = {r.id: r.cylinders for r in out.collect()}
     assert all(got[i] == ("6.0" if i % 2 else "8") for i in range(40))
+
+
+def test_job_fingerprint_resumes_same_folder(spark, tmpdir_path):
+    from scrubjay.streaming import job_fingerprint
+
+    cfg = {"skip_existing": True, "rate": 5.0, "lookup": {"retries": 3}}
+    a = job_fingerprint("/data/in", cfg)
+    assert a == job_fingerprint("/data/in", dict(reversed(list(cfg.items()))))
+    assert a != job_fingerprint("/data/in", {**cfg, "skip_existing": False})
+    assert a != job_fingerprint("/data/other", cfg) and len(a) == 12
+    # the same work folder resumes: a second run over unchanged input does nothing new
+    src = f"{tmpdir_path}/in"
+    write_table(spark.createDataFrame([(1, "1GCSCSE06AZ000001", None)], SCHEMA), src, mode="overwrite", fmt="csv")
+    attrs = spark.createDataFrame([("1GCSCSE06AZ000001", 6)], "vin_key string, api_cylinders int")
+    work = f"{tmpdir_path}/{a}"
+    _, c1 = stream_enrich(spark, src, work, SCHEMA, lambda k: lookup_table(k, attrs))
+    _, c2 = stream_enrich(spark, src, work, SCHEMA, lambda k: lookup_table(k, attrs))
+    assert c1["unique_keys_processed"] == 1 and c2["batches"] == 0
