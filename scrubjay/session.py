@@ -67,3 +67,30 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
     if sub.startswith("/") or sub.startswith("file:"):
         os.makedirs(sub.replace("file:", "", 1), exist_ok=True)
     return sub
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``scrubjay`` importable in Python workers (needed by the external
+    lookup's ``mapInPandas``). On a cluster, deploy it with ``--py-files`` or
+    an environment instead; this zips the package once per application into
+    the shared work folder and registers it with ``addPyFile``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    folder = work_dir(spark, "pyfiles")
+    local = folder.replace("file:", "", 1)
+    target = os.path.join(local, "scrubjay.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
