@@ -3,17 +3,20 @@
 Two kinds of skew hit a listing table joined on its key:
 
 * rows whose key is NULL/blank never match, yet a plain shuffle sends all of
-  them to one reducer (they hash alike). They get a per-source-partition
-  negative salt so they spread out and still never match;
+  them to one reducer (they hash alike). They get a salted string key that
+  spreads them out, and a guard column keeps them from ever matching;
 * a hot key (one value holding a large share of rows) is split over
-  ``salts`` reducers: its left rows take ``pmod(spark_partition_id(), salts)``
-  and its (single) right row is replicated ``salts`` times.
+  ``salts`` reducers: its left rows take a round-robin salt and its single
+  right row is replicated ``salts`` times.
 
-``spark_partition_id()`` is deterministic for a given input split, so task
-retries regenerate the same salts (unlike ``rand()``). The hot-key list is
-bounded by construction (at most ``max_hot`` keys), so it is a literal
-``isin``. When the right side turns out small at run time, AQE replaces the
-sort-merge join with a broadcast join anyway.
+Salts come from ``monotonically_increasing_id()`` (partition id and row
+position), so rows spread evenly even when the input is clustered by key and
+one partition holds a whole hot key. Results never depend on the salt a row
+draws (every salt finds exactly one replica of its key's right row), and
+Spark re-runs stages that hash such expressions as a whole on retry. The
+hot-key list is bounded by construction (at most ``max_hot`` keys), so it is
+a literal ``isin``. When the right side turns out small at run time, AQE
+replaces the sort-merge join with a broadcast join anyway.
 """
 
 from __future__ import annotations
@@ -57,11 +60,12 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
     side whose size the caller has checked.
     """
     hot = [h for h in (hot or []) if h is not None]
-    pid = F.spark_partition_id()
+    row = F.monotonically_increasing_id()
     ok = usable(F.col(key))
-    # Unusable keys can never match: give them a per-partition string so they
-    # hash apart; the ``_lok`` guard keeps them from matching anything.
-    lk = F.when(ok, F.col(key)).otherwise(F.concat(F.lit("\u0000"), pid.cast("string")))
+    # Unusable keys can never match: give them one of 65536 salted strings so
+    # they hash apart; the ``_lok`` guard keeps them from matching anything.
+    lk = F.when(ok, F.col(key)).otherwise(
+        F.concat(F.lit("\u0000"), F.pmod(row, F.lit(1 << 16)).cast("string")))
     rcols = [c for c in right.columns if c != key]
     # Right-side columns get private names so the join resolves by name even
     # when both sides descend from the same plan (re-running a merge).
@@ -72,7 +76,7 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
     if hot:
         # Hot keys: (key, salt) is the join key, so one hot key spreads over
         # ``salts`` reducers; its single right row is replicated per salt.
-        l = l.withColumn("_ls", F.when(ok & F.col(key).isin(hot), F.pmod(pid, F.lit(salts)))
+        l = l.withColumn("_ls", F.when(ok & F.col(key).isin(hot), F.pmod(row, F.lit(salts)))
                          .otherwise(F.lit(0)).cast("int"))
         r = r.withColumn("_rs", F.explode(
             F.when(F.col("_rk").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
