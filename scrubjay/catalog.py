@@ -52,6 +52,11 @@ def keys_invalid(spark, sf):
     return ok.invalid_keys(fx.vehicles(spark, sf))
 
 
+@query("keys_invalid_rows")
+def keys_invalid_rows(spark, sf):
+    return ok.invalid_key_rows(fx.vehicles(spark, sf).select("id", "VIN"))
+
+
 @query("keys_unseen")
 def keys_unseen(spark, sf):
     keys = ok.keys_to_enrich(fx.vehicles(spark, sf))

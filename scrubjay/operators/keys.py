@@ -80,6 +80,11 @@ def invalid_keys(df: DataFrame, key: str = "VIN") -> DataFrame:
             .filter(~_key_valid(df, key)).select(key).distinct())
 
 
+def invalid_key_rows(df: DataFrame, key: str = "VIN") -> DataFrame:
+    """Rows whose key fails validation, missing keys included (P7, row form)."""
+    return df.filter(~_key_valid(df, key))
+
+
 def unseen(keys: DataFrame, seen: DataFrame, key: str = "VIN",
            seen_key: str | None = None) -> DataFrame:
     """Keys not processed yet: ``keys`` left-anti ``seen`` (J3). The seen table

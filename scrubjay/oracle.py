@@ -100,6 +100,7 @@ ORACLE: dict[str, str] = {
     "keys_to_enrich": with_(VEHICLES, keys_cte()) + "select VIN from keys",
     "keys_all": with_(VEHICLES, keys_cte(skip=False)) + "select VIN from keys",
     "keys_invalid": with_(VEHICLES) + f"select distinct VIN from vehicles where {USABLE} and not {valid('VIN')}",
+    "keys_invalid_rows": with_(VEHICLES) + f"select id, VIN from vehicles where not {valid('VIN')}",
     "keys_unseen": with_(VEHICLES, VIN_ATTRS, keys_cte())
     + "select VIN from keys where upper(trim(VIN)) not in (select vin_key from vin_attrs)",
     "fn_validate": with_(VEHICLES) + f"select id, VIN, {valid('VIN')} as is_valid from vehicles",

@@ -51,20 +51,24 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
            value: str = "cylinders", skip_existing: bool = True,
            include_metadata: bool = True, stable_schema: bool = True,
            cache: str | None = None, overwrite: bool = True, detect_skew: bool = True,
-           fmt: str | None = None, broadcast_bytes: int | None = None) -> dict:
+           fmt: str | None = None, broadcast_bytes: int | None = None,
+           append: bool = False) -> dict:
     """Run one enrichment; returns ``total_rows, vins_enriched,
     successful_enrichments, failed_enrichments, success_rate, rows_updated,
     mean_response_time, keys_per_minute, processing_time`` (A3, A6, A16). ``cache`` is the persistent lookup table folder
     (default: a fresh folder under the session's checkpoint dir).
     ``broadcast_bytes`` caps the lookup-table size that may be broadcast
-    (default: ``spark.sql.autoBroadcastJoinThreshold``)."""
+    (default: ``spark.sql.autoBroadcastJoinThreshold``). ``append`` adds the
+    enriched rows to an existing output (e.g. enrich only the rows read with
+    ``where cylinders IS NULL`` and append them to an enriched table, K6)."""
     t0 = time.time()
     df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path)
     require_columns(df, [key])
-    if path_exists(spark, output_path) and not overwrite:
+    if path_exists(spark, output_path) and not overwrite and not append:
         raise FileExistsError(f"Output {output_path} already exists")
     cache = cache or f"{work_dir(spark, 'lookup')}/cache"
     run = int(time.time() * 1000) * 1000 + uuid.uuid4().int % 1000
+    out_mode = "append" if append else "overwrite"
 
     # Per-key statistics, written once: key selection and hot-key detection
     # both read this (distinct keys) table instead of re-scanning the input.
@@ -102,7 +106,7 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
         obs = Observation("merge")
         watched = merged.observe(obs, F.count(F.lit(1)).alias("n"),
                                  F.count_if(F.col("_filled")).alias("updated"))
-        write_table(watched.drop("_filled"), output_path, mode="overwrite", fmt=fmt)
+        write_table(watched.drop("_filled"), output_path, mode=out_mode, fmt=fmt)
         total, updated = int(obs.get["n"]), int(obs.get["updated"])
     return {"total_rows": total, "vins_enriched": attempted,
             "successful_enrichments": ok, "failed_enrichments": attempted - ok,

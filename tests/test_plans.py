@@ -114,3 +114,18 @@ def test_clean_job(spark, tmpdir_path):
         clean(spark, src, f"{tmpdir_path}/clean.csv", overwrite=False)
     dry = clean(spark, src, f"{tmpdir_path}/never.csv", dry_run=True)
     assert dry["estimated_rows"] == 4 and not os.path.exists(f"{tmpdir_path}/never.csv")
+
+
+def test_enrich_missing_rows_and_append(spark, tmpdir_path):
+    """Read only rows lacking a value (pushed-down filter), enrich them and
+    append to an output table."""
+    rows = [(1, "3GTP1VEC4EG551563", None), (2, "1GCSCSE06AZ123805", "6"), (3, "1HGCM82633A004352", None)]
+    spark.createDataFrame(rows, "id long, VIN string, cylinders string").write.parquet(f"{tmpdir_path}/v.parquet")
+    attrs = _attrs(spark, [("3GTP1VEC4EG551563", 8, "GMC"), ("1HGCM82633A004352", 4, "HONDA")])
+    missing = read_table(spark, f"{tmpdir_path}/v.parquet", where="cylinders IS NULL")
+    out = f"{tmpdir_path}/enriched.parquet"
+    st = enrich(spark, missing, out, lambda k: lookup_table(k, attrs), append=True)
+    st2 = enrich(spark, missing, out, lambda k: lookup_table(k, attrs), append=True)
+    assert st["total_rows"] == 2 and st["rows_updated"] == 2 and st2["rows_updated"] == 2
+    got = spark.read.parquet(out)
+    assert got.count() == 4 and {r.cylinders for r in got.collect()} == {"8.0", "4.0"}
