@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Observation, SparkSession, functions as F
 
 from ..operators.cleaning import _nullish, dry_run_estimate
+from ..session import observed
 from ..sources.sinks import path_exists, write_table
 from ..sources.tables import normalize_na, read_table
 
@@ -34,7 +35,7 @@ def clean(spark: SparkSession, input_path: str, output_path: str,
     watched = df.observe(obs, F.count(F.lit(1)).alias("total_rows"), filt.alias("filtered_rows"))
     out = watched.filter(~_nullish(df, column)) if has else watched
     write_table(out, output_path, mode="overwrite", fmt=fmt)
-    m = obs.get
+    m = observed(obs, "total_rows", "filtered_rows")
     total, filtered = int(m["total_rows"]), int(m["filtered_rows"])
     return {"total_rows": total, "filtered_rows": filtered, "cleaned_rows": total - filtered,
             "retention_pct": round((total - filtered) * 100.0 / total, 4) if total else None}

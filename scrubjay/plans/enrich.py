@@ -17,17 +17,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.keys import key_stats, unseen
 from ..operators.merge import merge_lookup
-from ..session import work_dir
+from ..session import observed, work_dir
 from ..sources.sinks import path_exists, stored_bytes, write_table
 from ..sources.tables import read_table, require_columns
 from ..streaming.incremental import read_lookup_cache, seen_keys
 
 
-def _hot_from_stats(df: DataFrame, kstats: DataFrame, key: str, min_share: float = 0.01,
+def _hot_from_stats(total: int, kstats: DataFrame, key: str, min_share: float = 0.01,
                     max_hot: int = 64) -> list:
-    """Hot keys from the per-key counts; only the bounded top list (and the
-    input's row count, a metadata count on Parquet) reaches the driver."""
-    total = df.count()
+    """Hot keys from the per-key counts; only the bounded top list reaches
+    the driver. ``total`` is the input's row count."""
     if not total:
         return []
     floor = max(1, int(total * min_share))
@@ -72,13 +71,19 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
 
     # Per-key statistics, written once: key selection and hot-key detection
     # both read this (distinct keys) table instead of re-scanning the input.
+    # The same pass counts all input rows (``observe``), for hot-key shares.
     stats_path = f"{work_dir(spark, 'keystats')}/key_stats"
-    write_table(key_stats(df, key, value, skip_existing), stats_path, mode="overwrite", fmt="parquet")
+    rows_obs = Observation("input_rows")
+    counted = df.observe(rows_obs, F.count(F.lit(1)).alias("n"))
+    write_table(key_stats(counted, key, value, skip_existing), stats_path, mode="overwrite",
+                fmt="parquet")
+    n_input = int(observed(rows_obs, "n")["n"])
     kstats = spark.read.parquet(stats_path)
     keys = kstats.filter("needs_lookup").select(key)
     seen = seen_keys(spark, cache, key)
     if seen is not None:
         keys = unseen(keys, seen, key)
+    t_lookup = time.time()
     write_table(lookup(keys).withColumn("batch_id", F.lit(run)),
                 f"{cache}/batch_id={run}", mode="overwrite", fmt="parquet")
     this_run = spark.read.parquet(f"{cache}/batch_id={run}")
@@ -86,13 +91,13 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
                       F.count_if(F.col("api_cylinders").isNotNull()).alias("ok"),
                       F.avg("api_response_time").alias("t")).first()
     attempted, ok, mean_t = int(st["n"]), int(st["ok"]), st["t"]
-    lookup_secs = time.time() - t0
+    lookup_secs = time.time() - t_lookup
 
     if attempted == 0 and seen is None and not stable_schema:
         obs = Observation("passthrough")
         write_table(df.observe(obs, F.count(F.lit(1)).alias("n")), output_path,
                     mode="overwrite", fmt=fmt)
-        total, updated = int(obs.get["n"]), 0
+        total, updated = int(observed(obs, "n")["n"]), 0
     else:
         results = read_lookup_cache(spark, cache, key)
         # Broadcast the lookup table only on a measured size (Parquet bytes
@@ -100,14 +105,15 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
         # otherwise a shuffle join with hot keys split over several tasks.
         limit = broadcast_bytes if broadcast_bytes is not None else _threshold(spark)
         small = 0 <= stored_bytes(spark, cache) <= limit // 4
-        hot = _hot_from_stats(df, kstats, key) if (detect_skew and not small) else None
+        hot = _hot_from_stats(n_input, kstats, key) if (detect_skew and not small) else None
         merged = merge_lookup(df, results, key, value, include_metadata, hot=hot,
                               with_fill_flag=True, broadcast_results=small)
         obs = Observation("merge")
         watched = merged.observe(obs, F.count(F.lit(1)).alias("n"),
                                  F.count_if(F.col("_filled")).alias("updated"))
         write_table(watched.drop("_filled"), output_path, mode=out_mode, fmt=fmt)
-        total, updated = int(obs.get["n"]), int(obs.get["updated"])
+        m = observed(obs, "n", "updated")
+        total, updated = int(m["n"]), int(m["updated"])
     return {"total_rows": total, "vins_enriched": attempted,
             "successful_enrichments": ok, "failed_enrichments": attempted - ok,
             "success_rate": round(ok * 100.0 / attempted, 4) if attempted else None,

@@ -94,3 +94,13 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
+
+
+def observed(obs, *names: str) -> dict:
+    """Metrics of an ``Observation`` after its action. An input with no
+    partitions emits none; its counts are zero."""
+    try:
+        got = obs.get
+    except Exception:  # no metrics were emitted (empty input)
+        got = {}
+    return {n: (got.get(n) if got and got.get(n) is not None else 0) for n in names}

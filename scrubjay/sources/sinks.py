@@ -63,7 +63,8 @@ def put_and_verify(df: DataFrame, uri: str, overwrite: bool = False,
     obs = Observation("put")
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), uri,
                 mode="overwrite" if overwrite else "errorifexists", fmt=fmt)
-    written = obs.get["rows"]
+    from ..session import observed
+    written = observed(obs, "rows")["rows"]
     if not path_exists(spark, uri):
         return False
     return read_table(spark, uri, fmt=fmt).count() == written
@@ -81,4 +82,5 @@ def load_table(df: DataFrame, name: str, mode: str = "errorifexists",
         df = typed_load(df, types)
     obs = Observation("load")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).saveAsTable(name)
-    return int(obs.get["rows"])
+    from ..session import observed
+    return int(observed(obs, "rows")["rows"])

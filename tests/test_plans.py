@@ -129,3 +129,9 @@ def test_enrich_missing_rows_and_append(spark, tmpdir_path):
     assert st["total_rows"] == 2 and st["rows_updated"] == 2 and st2["rows_updated"] == 2
     got = spark.read.parquet(out)
     assert got.count() == 4 and {r.cylinders for r in got.collect()} == {"8.0", "4.0"}
+
+
+def test_clean_header_only(spark, tmpdir_path):
+    src = _csv(spark, [], "id long, cylinders string", f"{tmpdir_path}/empty.csv")
+    st = clean(spark, src, f"{tmpdir_path}/out.csv")
+    assert st == {"total_rows": 0, "filtered_rows": 0, "cleaned_rows": 0, "retention_pct": None}
