@@ -26,27 +26,35 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.keys import usable
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01,
-             max_hot: int = 64) -> list:
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, max_hot: int = 64,
+             fraction: float = 0.01, min_sample_rows: int = 100, seed: int = 17) -> list:
     """Keys holding at least ``min_share`` of all rows (at most ``max_hot``;
     with ``min_share=0.01`` there can be at most 100).
 
-    One job: per-key counts (map-side partial aggregation, so a hot key ships
-    one row per map task) unioned with the table's row count; the top
-    ``max_hot + 1`` rows by count come back. The total always ranks first,
-    so the driver receives a bounded list and no second pass is needed.
+    Detection only decides where to salt (results never depend on it), so it
+    runs on a ``fraction`` Bernoulli sample: a key with 1% of 10^11 rows still
+    shows ~10^7 times in a 1% sample, while the aggregation shuffles 100x
+    less. A key must also be seen ``min_sample_rows`` times, so small tables
+    (which need no salting) report none. ``fraction=1`` counts exactly.
+
+    One job: per-key counts (map-side partial aggregation) unioned with the
+    sample's row count; only the top ``max_hot + 1`` rows come back (the
+    total always ranks first), so the driver gets a bounded list.
     """
-    counts = (df.select(F.col(key).alias("_k")).filter(usable(F.col("_k")))
+    src = df.select(F.col(key).alias("_k"))
+    if fraction < 1.0:
+        src = src.sample(withReplacement=False, fraction=fraction, seed=seed)
+    counts = (src.filter(usable(F.col("_k")))
               .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
               .select(F.lit(False).alias("_total"), "_k", "_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_n")).select(
+    total = src.agg(F.count(F.lit(1)).alias("_n")).select(
         F.lit(True).alias("_total"), F.lit(None).cast(counts.schema["_k"].dataType).alias("_k"), "_n")
     top = counts.unionByName(total).orderBy(F.col("_n").desc(), F.col("_total").desc()) \
                 .limit(max_hot + 1).collect()
     n_total = next((r["_n"] for r in top if r["_total"]), 0)
     if not n_total:
         return []
-    floor = max(1, int(n_total * min_share))
+    floor = max(1 if fraction >= 1.0 else min_sample_rows, int(n_total * min_share))
     return [r["_k"] for r in top if not r["_total"] and r["_n"] >= floor][:max_hot]
 
 

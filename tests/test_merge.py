@@ -127,9 +127,30 @@ def test_skew_safe_join_equals_plain_join(spark):
     rows = [(i, "HOT" if i % 3 else (None if i % 5 == 0 else f"K{i % 7}")) for i in range(300)]
     left = spark.createDataFrame(rows, "id long, VIN string")
     right = spark.createDataFrame([("HOT", 1), ("K0", 2), ("K3", 3)], "VIN string, v int")
-    hot = hot_keys(left, "VIN", min_share=0.2)
+    hot = hot_keys(left, "VIN", min_share=0.2, fraction=1.0)
+    assert hot_keys(left, "VIN") == []  # sampled: 300 rows are too few to need salting
     assert hot == ["HOT"]
     a = sorted(map(tuple, skew_safe_left_join(left, right, "VIN", hot=hot, salts=4).collect()),
                key=str)
     b = sorted(map(tuple, left.join(right, "VIN", "left").select("id", "VIN", "v").collect()), key=str)
     assert a == b and len(a) == 300
+
+
+def test_hot_key_detected_on_sample_and_join_exact(spark):
+    """A key holding a third of 300k rows, with its rows clustered in one
+    partition, is found from a 1% sample; the salted join is exact."""
+    from pyspark.sql import functions as F
+
+    n = 300_000
+    left = (spark.range(n).select(F.col("id"), F.when(F.col("id") < n // 3, F.lit("HOT"))
+                                  .when(F.col("id") % 10 == 0, F.lit(None))
+                                  .otherwise(F.concat(F.lit("K"), (F.col("id") % 5000).cast("string")))
+                                  .alias("VIN")).coalesce(4))
+    hot = hot_keys(left, "VIN")
+    assert hot == ["HOT"]
+    right = spark.createDataFrame([("HOT", 1)] + [(f"K{i}", i) for i in range(0, 5000, 7)],
+                                  "VIN string, v int")
+    j = skew_safe_left_join(left, right, "VIN", hot=hot, salts=8)
+    want = left.join(right, "VIN", "left")
+    agg = lambda d: d.agg(F.count(F.lit(1)), F.count("v"), F.sum("v"), F.sum("id")).first()
+    assert tuple(agg(j)) == tuple(agg(want))
