@@ -11,9 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The tables are read-only, so one DataFrame per
+    application and path is reused (no repeated schema inference)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[k] = spark.read.parquet(path)
+    return df
 
 
 def synthetic_key(k: Column) -> Column:
