@@ -144,12 +144,28 @@ def run_suite(df: DataFrame, rules: list[Rule], scan_id: str = "scan",
     for r in rules:
         if r.column is not None and r.column not in df.columns:
             raise ValueError(f"rule {r.name}: column '{r.column}' not in table")
-    aggs = []
-    for i, r in enumerate(rules):
-        ev, ps, nc = r.aggregates(df)
-        aggs += [ev.cast("bigint").alias(f"e{i}"), ps.cast("bigint").alias(f"p{i}"),
-                 nc.cast("bigint").alias(f"n{i}")]
-    one = df.agg(*aggs)
+    # One scan for the whole suite. Several DISTINCT table rules in one
+    # aggregate would make Spark expand every row once per distinct group;
+    # then the table rules get their own aggregate instead.
+    n_distinct = sum(isinstance(r, TableCondition) and "distinct" in r.sql_expression.lower()
+                     for r in rules)
+    split = n_distinct > 1
+    groups = ([[i for i, r in enumerate(rules) if not isinstance(r, TableCondition)],
+               [i for i, r in enumerate(rules) if isinstance(r, TableCondition)]]
+              if split else [list(range(len(rules)))])
+    one = None
+    for idx in groups:
+        if not idx:
+            continue
+        aggs = []
+        for i in idx:
+            ev, ps, nc = rules[i].aggregates(df)
+            aggs += [ev.cast("bigint").alias(f"e{i}"), ps.cast("bigint").alias(f"p{i}"),
+                     nc.cast("bigint").alias(f"n{i}")]
+        part = df.agg(*aggs)
+        # two one-row frames side by side: a union then max per column keeps
+        # it a plain aggregate (no join of any kind)
+        one = part if one is None else _side_by_side(one, part)
     ts = (F.to_timestamp(F.lit(str(run_ts))) if run_ts is not None else F.current_timestamp())
     jid = F.lit(job_id) if job_id else F.concat(F.lit(f"{scan_id}-"),
                                                 F.date_format(ts, "yyyyMMddHHmmss"))
@@ -169,6 +185,14 @@ def run_suite(df: DataFrame, rules: list[Rule], scan_id: str = "scan",
                       ts.alias("run_ts"), *[c for c in out.columns])
 
 
+def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Combine two one-row frames with disjoint columns into one row."""
+    cols = a.columns + b.columns
+    ua = a.select(*[F.col(c) if c in a.columns else F.lit(None).cast("bigint").alias(c) for c in cols])
+    ub = b.select(*[F.col(c) if c in b.columns else F.lit(None).cast("bigint").alias(c) for c in cols])
+    return ua.unionByName(ub).agg(*[F.max(c).alias(c) for c in cols])
+
+
 def latest(results: DataFrame, scan_id: str | None = None,
            job_id: str | None = None) -> DataFrame:
     """Result rows of one run (Q7): by ``job_id`` if given, else each scan's

@@ -78,3 +78,12 @@ def test_quality_source_by_name_or_path(spark, tmpdir_path):
     b = run_suite(quality_source(spark, path=f"{tmpdir_path}/v.parquet"), vehicle_rules(), job_id="j").collect()
     key = lambda r: (r.rule_name, r.evaluated, r.passed)
     assert sorted(map(key, a)) == sorted(map(key, b))
+
+
+def test_several_distinct_table_rules(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    rules = vehicle_rules() + [TableCondition(name="ids-unique", dimension="UNIQUENESS",
+                                              sql_expression="COUNT(DISTINCT id) = COUNT(*)")]
+    r = _by_rule(run_suite(df, rules, job_id="j"))
+    assert r["ids-unique"].passed_flag is True and r["vin-uniqueness"].passed_flag is False
+    assert r["cylinders-not-null"].passed == 3
