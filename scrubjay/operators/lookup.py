@@ -8,8 +8,9 @@ rate budget is split across partitions, transient errors are retried with
 capped exponential backoff, and every error is captured as data. Response
 bodies come back as text and are decoded JVM-side with ``from_json``.
 
-Both return the result schema below keyed by the *raw* key (D15): invalid
-keys get ``Invalid VIN format`` without any lookup.
+Both return the result schema below keyed by the *raw* key (D15; the key
+column keeps the caller's name): invalid keys get ``Invalid VIN format``
+without any lookup.
 
 Note: ``mapInPandas`` is re-run by every action on its output, so callers
 that need the results more than once must materialise them (see
@@ -58,11 +59,11 @@ def lookup_table(keys: DataFrame, attrs: DataFrame, key: str = "VIN",
     a = attrs.select(F.col(attrs_key).alias("_ak"), F.lit(True).alias("_hit"),
                      *[F.col(c) for c in API_COLUMNS
                        if c in have and c not in ("api_response_time", "api_error_message")])
-    j = k.join(a, (k["_norm"] == a["_ak"]) & k["_valid"], "left")
+    j = k.join(a, (F.col("_norm") == F.col("_ak")) & F.col("_valid"), "left")
     cols = []
     for c, t in RESULT_COLUMNS:
         if c == "VIN":
-            cols.append(F.col(key).alias("VIN"))
+            cols.append(F.col(key))
         elif c == "api_response_time":
             cols.append(F.lit(0.0).alias(c))
         elif c == "api_error_message":
@@ -162,7 +163,7 @@ def lookup_udf(keys: DataFrame, fetch: Callable[[str], object], key: str = "VIN"
     cols = []
     for c, t in RESULT_COLUMNS:
         if c == "VIN":
-            cols.append(F.col(key).alias("VIN"))
+            cols.append(F.col(key))
         elif c == "api_response_time":
             cols.append(F.when(F.col("_valid"), F.col(c)).otherwise(F.lit(0.0)).alias(c))
         elif c == "api_error_message":

@@ -97,3 +97,20 @@ def test_rate_budget_per_partition(spark):
     rows = res.collect()
     assert len(rows) == 10 and all(r.api_cylinders == 4 for r in rows)
     assert time.perf_counter() - t0 >= 0.45  # 10 calls at most 20/s on one partition
+
+
+def test_other_key_name_and_self_derived_reference(spark):
+    """A key column with another name; the reference table derived from the
+    same frame as the keys (self-join safe)."""
+    from scrubjay.operators.keys import keys_to_enrich
+    from scrubjay.operators.merge import merge_lookup
+
+    df = spark.createDataFrame([(1, "3GTP1VEC4EG551563", None, 8), (2, "3GTP1VEC4EG551563", "", 8),
+                                (3, "1GCSCSE06AZ123805", None, None)],
+                               "id long, vin string, cylinders string, known int")
+    attrs = df.filter("known is not null").selectExpr("vin as vin_key", "known as api_cylinders").distinct()
+    keys = keys_to_enrich(df, key="vin")
+    res = lookup_table(keys, attrs, key="vin")
+    assert "vin" in res.columns
+    out = {r.id: r.cylinders for r in merge_lookup(df, res, key="vin").collect()}
+    assert out == {1: "8.0", 2: "8.0", 3: None}
