@@ -2,5 +2,5 @@
 
 from .incremental import (  # noqa: F401
     csv_source, land_csv, stream_clean, stream_enrich, read_lookup_cache, seen_keys,
-    TRANSIENT_ERRORS, job_fingerprint,
+    TRANSIENT_ERRORS, job_fingerprint, retry_transient,
 )

@@ -3,14 +3,14 @@
 * ``stream_clean``: each new ``*.csv`` file in a folder is cleaned and
   appended to a Parquet sink; the checkpoint remembers which files are done,
   so reruns only process new files (S8, T1).
-* ``stream_enrich``: each micro-batch lands its rows as Parquet, finds keys
-  needing a lookup, drops keys already in the persisted lookup table
-  (left-anti, T3), looks the rest up once and writes them to the table under
-  the micro-batch id. Writes are ``overwrite`` per batch id, so a batch
-  replayed after a crash rewrites the same folder: no duplicates, no lost
-  keys (D4). Keys that failed transiently are retried by later runs (D5).
-  After the stream, one batch join of all landed rows with the lookup table
-  produces the enriched output (T5).
+* ``stream_enrich``: rows land in a Parquet file sink; keys needing a value
+  go through streaming ``dropDuplicates``, whose state store remembers every
+  key ever seen, so each is looked up once across micro-batches and runs
+  (T3) at a cost that grows with the batch, not with the lookup table.
+  Results are written per micro-batch id with ``overwrite``, so a replayed
+  batch rewrites the same folder: no duplicates, no lost keys (D4).
+  Transient failures are retried as a batch step (D5); one batch join of
+  the landed rows with the lookup table gives the enriched output (T5).
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.cleaning import drop_missing
-from ..operators.keys import keys_to_enrich, unseen
+from ..functions.keys import usable
+from ..operators.keys import value_missing
 from ..operators.merge import merge_lookup
 from ..sources.sinks import path_exists, write_table
 from ..sources.tables import CSV_READ_OPTIONS
@@ -112,48 +113,85 @@ def read_lookup_cache(spark: SparkSession, cache: str, key: str = "VIN",
     return latest.select(key, *[F.col("_r")[x].alias(x) for x in cols])
 
 
+def retry_transient(spark: SparkSession, cache: str,
+                    lookup: Callable[[DataFrame], DataFrame], key: str = "VIN") -> int:
+    """Look up again the keys whose latest result is a transient failure
+    (timeouts, request errors) and append them as a new batch; permanent
+    failures stay (D5). Returns how many keys were retried."""
+    import time as _time
+
+    latest = read_lookup_cache(spark, cache, key)
+    if latest is None:
+        return 0
+    transient = F.lit(False)
+    for pat in TRANSIENT_ERRORS:
+        transient = transient | F.coalesce(F.col("api_error_message").like(pat), F.lit(False))
+    failed = latest.filter(transient).select(key)
+    if failed.isEmpty():
+        return 0
+    # ids above any stream batch id, so the retry wins in ``read_lookup_cache``
+    rid = int(_time.time() * 1000)
+    write_table(lookup(failed).withColumn("batch_id", F.lit(rid)),
+                f"{cache}/batch_id={rid}", mode="overwrite", fmt="parquet")
+    return spark.read.parquet(f"{cache}/batch_id={rid}").count()
+
+
 def stream_enrich(spark: SparkSession, src: str, work: str, schema,
                   lookup: Callable[[DataFrame], DataFrame], key: str = "VIN",
                   value: str = "cylinders", skip_existing: bool = True,
                   max_files_per_trigger: int | None = 1,
-                  include_metadata: bool = True) -> tuple[DataFrame, dict]:
+                  include_metadata: bool = True, retry: bool = True) -> tuple[DataFrame, dict]:
     """Incremental enrichment over arriving CSV files.
 
-    ``lookup(keys_df) -> results_df`` is any lookup operator (table or
-    external). ``work`` holds ``landed/``, ``cache/`` (the lookup table),
-    ``checkpoint/``. Returns the enriched table (reading the landed rows and
-    the cache) and run counters.
+    Two streaming queries share the source:
+
+    * ``landed``: rows appended to a Parquet file sink, exactly once (its
+      metadata log lists committed files only);
+    * ``keys``: rows needing a value -> their key -> ``dropDuplicates(key)``.
+      The state store remembers every key ever seen (partitioned by key and
+      checkpointed; use the RocksDB provider for very many keys), so each key
+      is emitted once over all runs (T3) without re-reading the lookup table.
+      Each micro-batch looks its new keys up once and overwrites
+      ``cache/batch_id=N``: a replayed batch restores the same state, emits
+      the same keys and rewrites the same folder (D4).
+
+    Afterwards, keys whose latest result is a transient failure are retried
+    once as a batch (D5), and one batch join of all landed rows with the
+    lookup table gives the enriched table (T5). ``lookup(keys_df) ->
+    results_df`` is any lookup operator (table or external). Returns the
+    enriched table and run counters (A5).
     """
     landed, cache, ckpt = f"{work}/landed", f"{work}/cache", f"{work}/checkpoint"
     counters = {"batches": 0, "batch_ids": []}
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            write_table(batch, f"{landed}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
-            keys = keys_to_enrich(batch, key, value, skip_existing)
-            seen = seen_keys(spark, cache, key, exclude_batch=batch_id)
-            if seen is not None:
-                keys = unseen(keys, seen, key)
-            res = lookup(keys).withColumn("batch_id", F.lit(batch_id))
-            write_table(res, f"{cache}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
-            counters["batches"] += 1
-            counters["batch_ids"].append(batch_id)
-        finally:
-            batch.unpersist()
+    def per_batch(keys: DataFrame, batch_id: int) -> None:
+        write_table(lookup(keys).withColumn("batch_id", F.lit(batch_id)),
+                    f"{cache}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
+        counters["batches"] += 1
+        counters["batch_ids"].append(batch_id)
 
     s = csv_source(spark, src, schema, max_files_per_trigger)
-    q = (s.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    rows = spark.read.parquet(landed).drop("batch_id") if path_exists(spark, landed) else None
-    results = read_lookup_cache(spark, cache, key)
-    # A5: keys this run looked up and micro-batches it processed.
+    q_land = (s.writeStream.format("parquet").option("path", landed)
+              .option("checkpointLocation", f"{ckpt}/landed").outputMode("append")
+              .trigger(availableNow=True).start())
+    need = s.filter(usable(F.col(key)))
+    if skip_existing and value in s.columns:
+        need = need.filter(value_missing(s, value, "select"))
+    firsts = need.select(key).dropDuplicates([key])
+    q_keys = (firsts.writeStream.foreachBatch(per_batch)
+              .option("checkpointLocation", f"{ckpt}/keys").outputMode("append")
+              .trigger(availableNow=True).start())
+    q_land.awaitTermination()
+    q_keys.awaitTermination()
+    counters["retried"] = retry_transient(spark, cache, lookup, key) if retry else 0
+    # A5: keys this run looked up for the first time.
     counters["unique_keys_processed"] = (
         spark.read.parquet(cache).filter(F.col("batch_id").isin(counters["batch_ids"])).count()
         if counters["batch_ids"] else 0)
-    if rows is None:
+    if not path_exists(spark, landed):
         return None, counters
+    rows = spark.read.parquet(landed)
+    results = read_lookup_cache(spark, cache, key)
     if results is None:
         from ..operators.lookup import empty_results
         results = empty_results(spark)

@@ -64,3 +64,27 @@ def test_job_fingerprint_resumes_same_folder(spark, tmpdir_path):
     _, c1 = stream_enrich(spark, src, work, SCHEMA, lambda k: lookup_table(k, attrs))
     _, c2 = stream_enrich(spark, src, work, SCHEMA, lambda k: lookup_table(k, attrs))
     assert c1["unique_keys_processed"] == 1 and c2["batches"] == 0
+
+
+def test_stream_enrich_retries_transient_once(spark, tmpdir_path):
+    import os
+
+    from scrubjay.operators.lookup import lookup_udf
+
+    src = f"{tmpdir_path}/in"
+    rows = [(1, "3GTP1VEC4EG551563", None), (2, "1GCSCSE06AZ500500", None), (3, "BADKEY", None)]
+    write_table(spark.createDataFrame(rows, SCHEMA), src, mode="overwrite", fmt="csv")
+    down = f"{tmpdir_path}/down"
+    open(down, "w").close()
+
+    def fetch(k):
+        if k == "1GCSCSE06AZ500500" and os.path.exists(down):
+            os.remove(down)  # fails once, then the service is back
+            raise TimeoutError()
+        return {"Results": [{"EngineCylinders": "6"}]}
+
+    look = lambda k: lookup_udf(k, fetch, partitions=1, rate_per_sec=None, max_attempts=1)
+    out, c = stream_enrich(spark, src, f"{tmpdir_path}/w", SCHEMA, look)
+    got = {r.id: (r.cylinders, r.api_error_message) for r in out.collect()}
+    assert c["retried"] == 1
+    assert got == {1: ("6.0", None), 2: ("6.0", None), 3: (None, "Invalid VIN format")}
