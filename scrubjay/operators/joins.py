@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.keys import usable
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, max_hot: int = 64,
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, max_hot: int | None = None,
              fraction: float = 0.01, min_sample_rows: int = 100, seed: int = 17) -> list:
-    """Keys holding at least ``min_share`` of all rows (at most ``max_hot``;
-    with ``min_share=0.01`` there can be at most 100).
+    """Keys holding at least ``min_share`` of all rows. At most
+    ``1 / min_share`` keys can qualify, so the list is bounded by
+    construction (``max_hot`` defaults to that bound); a key left off the
+    list still joins exactly, only unsalted.
 
     Detection only decides where to salt (results never depend on it), so it
     runs on a ``fraction`` Bernoulli sample: a key with 1% of 10^11 rows still
@@ -41,6 +43,7 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01, max_hot: int = 64
     sample's row count; only the top ``max_hot + 1`` rows come back (the
     total always ranks first), so the driver gets a bounded list.
     """
+    max_hot = max_hot or int(1 / min_share)
     src = df.select(F.col(key).alias("_k"))
     if fraction < 1.0:
         src = src.sample(withReplacement=False, fraction=fraction, seed=seed)

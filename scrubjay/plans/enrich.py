@@ -23,10 +23,10 @@ from ..sources.tables import read_table, require_columns
 from ..streaming.incremental import read_lookup_cache, seen_keys
 
 
-def _hot_from_stats(total: int, kstats: DataFrame, key: str, min_share: float = 0.01,
-                    max_hot: int = 64) -> list:
-    """Hot keys from the per-key counts; only the bounded top list reaches
-    the driver. ``total`` is the input's row count."""
+def _hot_from_stats(total: int, kstats: DataFrame, key: str, min_share: float = 0.01) -> list:
+    """Hot keys from the exact per-key counts: at most ``1 / min_share`` keys
+    can hold ``min_share`` of ``total`` rows, so the list is bounded."""
+    max_hot = int(1 / min_share)
     if not total:
         return []
     floor = max(1, int(total * min_share))
