@@ -172,14 +172,15 @@ def run_suite(df: DataFrame, rules: list[Rule], scan_id: str = "scan",
     rows = []
     for i, r in enumerate(rules):
         ev, ps = F.col(f"e{i}"), F.col(f"p{i}")
-        ratio = F.round(F.try_divide(ps.cast("double"), ev.cast("double")), 6)
+        raw = F.try_divide(ps.cast("double"), ev.cast("double"))
+        ratio = F.round(raw, 6)
         rows.append(F.struct(
             F.lit(r.name).alias("rule_name"), F.lit(r.dimension).alias("dimension"),
             F.lit(r.column).cast("string").alias("column_name"),
             F.lit(r.description).alias("description"), F.lit(r.rule_type).alias("rule_type"),
             ev.alias("evaluated"), ps.alias("passed"), F.col(f"n{i}").alias("null_count"),
             ratio.alias("pass_ratio"),
-            F.coalesce(ratio >= F.lit(r.threshold), F.lit(True)).alias("passed_flag")))
+            F.coalesce(raw >= F.lit(r.threshold), F.lit(True)).alias("passed_flag")))
     out = one.select(F.inline(F.array(*rows)))
     return out.select(F.lit(scan_id).alias("scan_id"), jid.alias("job_id"),
                       ts.alias("run_ts"), *[c for c in out.columns])

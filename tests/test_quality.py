@@ -87,3 +87,10 @@ def test_several_distinct_table_rules(spark):
     r = _by_rule(run_suite(df, rules, job_id="j"))
     assert r["ids-unique"].passed_flag is True and r["vin-uniqueness"].passed_flag is False
     assert r["cylinders-not-null"].passed == 3
+
+
+def test_flag_uses_unrounded_ratio(spark):
+    # 1 failure in 3 million rows: the ratio rounds to 1.0 but must still fail
+    df = spark.range(3_000_000).selectExpr("case when id = 7 then null else id end as x")
+    r = run_suite(df, [NonNull(name="nn", dimension="COMPLETENESS", column="x")]).first()
+    assert r.pass_ratio == 1.0 and r.passed_flag is False
