@@ -67,3 +67,8 @@ def is_nullish(c, dtype=None) -> Column:
     if isinstance(dtype, (DoubleType, FloatType)):
         return c.isNull() | F.isnan(c)
     return c.isNull()
+
+
+def nullish_in(df, name: str) -> Column:
+    """``is_nullish`` for column ``name`` of ``df`` (its type decides NaN)."""
+    return is_nullish(F.col(f"`{name}`"), df.schema[name].dataType)

@@ -7,13 +7,12 @@ import logging
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import is_nullish, pct
+from ..functions.text import nullish_in, pct
 
 log = logging.getLogger(__name__)
 
 
-def _nullish(df: DataFrame, column: str) -> Column:
-    return is_nullish(F.col(f"`{column}`"), df.schema[column].dataType)
+_nullish = nullish_in
 
 
 def drop_missing(df: DataFrame, column: str = "cylinders") -> DataFrame:

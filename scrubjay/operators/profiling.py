@@ -4,18 +4,15 @@ unpivoted into one row per column with ``inline``."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import NumericType
 
 from ..functions.keys import is_valid_key
-from ..functions.text import pct
+from ..functions.text import nullish_in, pct
 
 KEY_LENGTH = 17
 
 
-def _nullish(df, name):
-    c = F.col(f"`{name}`")
-    dt = df.schema[name].dataType
-    return (c.isNull() | F.isnan(c)) if isinstance(dt, (DoubleType, FloatType)) else c.isNull()
+_nullish = nullish_in
 
 
 def profile_sample(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:

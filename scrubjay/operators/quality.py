@@ -12,7 +12,9 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import NumericType
+
+from ..functions.text import nullish_in
 
 RESULT_COLUMNS = ["scan_id", "job_id", "run_ts", "rule_name", "dimension", "column_name",
                   "description", "rule_type", "evaluated", "passed", "null_count",
@@ -31,9 +33,7 @@ class Rule:
     rule_type = "RULE"
 
     def _null(self, df) -> Column:
-        c = F.col(f"`{self.column}`")
-        dt = df.schema[self.column].dataType
-        return (c.isNull() | F.isnan(c)) if isinstance(dt, (DoubleType, FloatType)) else c.isNull()
+        return nullish_in(df, self.column)
 
     def _cond(self, df) -> Column:
         raise NotImplementedError
