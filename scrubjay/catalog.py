@@ -411,3 +411,66 @@ def src_csv_roundtrip(spark, sf):
     write_table(docs, f"{w}/documents.csv", mode="overwrite")
     back = read_table(spark, f"{w}/documents.csv")
     return typed_load(back, {"doc_id": "bigint", "n_chars": "bigint"})
+
+
+# -- other driver tables: real NULLs from a join, duplicate texts ---------------
+
+def _labeled(spark, sf):
+    """``documents`` LEFT JOIN ``labels``: unlabeled documents carry NULLs."""
+    d = fx.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return d.join(fx.table(spark, sf, "labels"), "doc_id", "left")
+
+
+@query("prof_nulls_labeled")
+def prof_nulls_labeled(spark, sf):
+    return op.null_profile(_labeled(spark, sf))
+
+
+@query("clean_stats_labeled")
+def clean_stats_labeled(spark, sf):
+    return oc.clean_stats(_labeled(spark, sf), "quality")
+
+
+def doc_rules() -> list:
+    return [
+        oq.NonNull(name="text-not-null", column="text", dimension="COMPLETENESS",
+                   description="Every document has text"),
+        oq.RowCondition(name="text-not-empty", column="text", dimension="VALIDITY",
+                        sql_expression="LENGTH(text) > 0", description="Text is not empty"),
+        oq.TableCondition(name="text-unique", dimension="UNIQUENESS",
+                          sql_expression="COUNT(DISTINCT text) = COUNT(*)",
+                          description="No two documents share a text"),
+        oq.Range(name="n-chars-range", column="n_chars", dimension="VALIDITY",
+                 min_value="1", max_value="200000", description="Length between 1 and 200000"),
+    ]
+
+
+@query("dq_docs")
+def dq_docs(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return _show_ts(oq.run_suite(d, doc_rules(), scan_id="documents-dq", job_id=RUN1[0],
+                                 run_ts=RUN1[1]))
+
+
+DIM_TABLES = {
+    "orders": (["o_orderpriority", "o_orderstatus"], ["o_totalprice"]),
+    "part": (["p_brand", "p_type"], ["p_size", "p_retailprice"]),
+}
+
+
+@query("prof_cardinality_dims")
+def prof_cardinality_dims(spark, sf):
+    out = None
+    for t, (cats, _) in DIM_TABLES.items():
+        p = op.cardinality(fx.table(spark, sf, t), cats, table_name=t)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("prof_numeric_dims")
+def prof_numeric_dims(spark, sf):
+    out = None
+    for t, (_, nums) in DIM_TABLES.items():
+        p = op.numeric_profile(fx.table(spark, sf, t), nums, table_name=t, digits=4)
+        out = p if out is None else out.unionByName(p)
+    return out

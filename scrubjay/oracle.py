@@ -314,3 +314,52 @@ from kn""",
     "stream_enrich": ORACLE["merge_fill"],
     "src_csv_roundtrip": "select doc_id, text, lang, source, n_chars from documents",
 })
+
+# -- other driver tables ----------------------------------------------------------
+
+LABELED = """labeled as (select d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  from documents d left join labels l on d.doc_id = l.doc_id)"""
+
+
+def _nulls_of(src: str, c: str) -> str:
+    n = f"count(*) filter (where {c} is null)"
+    return f"select '{c}' as column_name, {n} as null_count, {pct_sql(n, 'count(*)')} as null_pct from {src}"
+
+
+_DOC_RULES = [
+    ("text-not-null", "COMPLETENESS", "text", "Every document has text", "NON_NULL",
+     "count(*)", "count(*) filter (where text is not null)", "count(*) filter (where text is null)"),
+    ("text-not-empty", "VALIDITY", "text", "Text is not empty", "ROW_CONDITION", "count(*)",
+     "count(*) filter (where text is not null and coalesce(length(text) > 0, false))",
+     "count(*) filter (where text is null)"),
+    ("text-unique", "UNIQUENESS", None, "No two documents share a text", "TABLE_CONDITION", "1",
+     "case when coalesce(count(distinct text) = count(*), false) then 1 else 0 end", "null"),
+    ("n-chars-range", "VALIDITY", "n_chars", "Length between 1 and 200000", "RANGE", "count(*)",
+     "count(*) filter (where n_chars is not null and n_chars >= 1 and n_chars <= 200000)",
+     "count(*) filter (where n_chars is null)"),
+]
+
+DIM_TABLES = {
+    "orders": (["o_orderpriority", "o_orderstatus"], ["o_totalprice"]),
+    "part": (["p_brand", "p_type"], ["p_size", "p_retailprice"]),
+}
+
+ORACLE.update({
+    "prof_nulls_labeled": with_(LABELED) + "\nunion all\n".join(
+        _nulls_of("labeled", c) for c in ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]),
+    "clean_stats_labeled": with_(LABELED) + f"""select count(*) as total_rows,
+  count(*) filter (where quality is null) as filtered_rows,
+  count(*) - count(*) filter (where quality is null) as cleaned_rows,
+  {pct_sql('count(*) - count(*) filter (where quality is null)', 'count(*)')} as retention_pct
+from labeled""",
+    "dq_docs": dq_sql(_DOC_RULES).replace("from vehicles", "from documents")
+    .replace("'vehicles-dq' as scan_id", "'documents-dq' as scan_id"),
+    "prof_cardinality_dims": "\nunion all\n".join(
+        f"select '{t}' as table_name, '{c}' as column_name, count(distinct {c}) as n_distinct from {t}"
+        for t, (cats, _) in DIM_TABLES.items() for c in cats),
+    "prof_numeric_dims": "\nunion all\n".join(
+        f"""select '{t}' as table_name, '{c}' as column_name, count({c}) as n,
+  round(cast(min({c}) as double), 4) as min_value, round(cast(max({c}) as double), 4) as max_value,
+  round(avg({c}), 4) as avg_value, round(stddev_samp({c}), 4) as stddev_value from {t}"""
+        for t, (_, nums) in DIM_TABLES.items() for c in nums),
+})
