@@ -135,3 +135,20 @@ def test_clean_header_only(spark, tmpdir_path):
     src = _csv(spark, [], "id long, cylinders string", f"{tmpdir_path}/empty.csv")
     st = clean(spark, src, f"{tmpdir_path}/out.csv")
     assert st == {"total_rows": 0, "filtered_rows": 0, "cleaned_rows": 0, "retention_pct": None}
+
+
+def test_nothing_to_enrich_golden(spark, tmpdir_path):
+    """Rows 1-4 have a value and row 5 has no key: nothing is looked up and,
+    without a stable schema, the output equals the input."""
+    rows = [(7316814884, "3GTP1VEC4EG551563", "8 cylinders"), (7316814758, "1GCSCSE06AZ123805", "8 cylinders"),
+            (7316814989, "3GCPWCED5LG130317", "8 cylinders"), (7316743432, "5TFRM5F17HX120972", "8 cylinders"),
+            (7316356412, None, "6 cylinders")]
+    schema = "id long, VIN string, cylinders string"
+    src = _csv(spark, rows, schema, f"{tmpdir_path}/sample.csv")
+    attrs = _attrs(spark, [("3GTP1VEC4EG551563", 8, "GMC")])
+    st = enrich(spark, src, f"{tmpdir_path}/out.csv", lambda k: lookup_table(k, attrs), stable_schema=False)
+    assert (st["total_rows"], st["vins_enriched"], st["rows_updated"]) == (5, 0, 0)
+    back = read_table(spark, f"{tmpdir_path}/out.csv")
+    assert back.columns == ["id", "VIN", "cylinders"]
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(
+        [(str(a), b, c) for a, b, c in rows], key=str)
