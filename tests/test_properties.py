@@ -41,3 +41,55 @@ def test_strip_and_validity_match_python(spark, values):
     assert [r.s for r in got] == [v.strip() for v in values]
     assert [r.ok for r in got] == [_py_valid(v) for v in values]
     assert [r.n for r in got] == [_py_int(v) for v in values]
+
+
+KEYS = ["3GTP1VEC4EG551563", "1GCSCSE06AZ123805", " 3gtp1vec4eg551563 ", "JTDKN3DU7A1234567",
+        "1GCSCSE06AZ12380I", "SHORT", "", " ", None, "1HGCM82633A004352"]
+VALUES = [None, "", " ", "None", "nan", "8", "6 cylinders"]
+ATTRS = {"3GTP1VEC4EG551563": 8, "1GCSCSE06AZ123805": None, "1HGCM82633A004352": 4,
+         "1GCSCSE06AZ12380I": 6}
+
+
+def _brute(rows, skip=True):
+    """The enrichment rules, row by row in plain Python."""
+    def usable(k):
+        return k is not None and k.strip() != ""
+
+    def miss_select(v):
+        return v is None or v.strip() == "" or v in ("nan", "None")
+
+    def miss_fill(v):
+        return v is None or v.strip() == ""
+
+    keys = {k for _, k, v in rows if usable(k) and (not skip or miss_select(v))}
+    res = {}
+    for k in keys:
+        if not _py_valid(k):
+            res[k] = (None, "Invalid VIN format")
+        elif k.strip().upper() in ATTRS:
+            res[k] = (ATTRS[k.strip().upper()], None)
+        else:
+            res[k] = (None, "No results returned from API")
+    out = []
+    for i, k, v in rows:
+        api, err = res.get(k, (None, None))
+        fill = miss_fill(v) and api is not None
+        out.append((i, k, f"{float(api)}" if fill else v, api, err))
+    return sorted(out, key=lambda t: t[0])
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(KEYS), st.sampled_from(VALUES)), min_size=1, max_size=80),
+       st.booleans())
+def test_merge_matches_brute_force(spark, pairs, skip):
+    from scrubjay.operators.keys import keys_to_enrich
+    from scrubjay.operators.lookup import lookup_table
+    from scrubjay.operators.merge import merge_lookup
+
+    rows = [(i, k, v) for i, (k, v) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "id long, VIN string, cylinders string")
+    attrs = spark.createDataFrame(list(ATTRS.items()), "vin_key string, api_cylinders int")
+    res = lookup_table(keys_to_enrich(df, skip_existing=skip), attrs)
+    got = merge_lookup(df, res, hot=None).select("id", "VIN", "cylinders", "api_cylinders",
+                                                 "api_error_message")
+    assert sorted(map(tuple, got.collect()), key=lambda t: t[0]) == _brute(rows, skip)
