@@ -19,7 +19,7 @@ from ..operators.keys import key_stats, unseen
 from ..operators.merge import merge_lookup
 from ..session import observed, work_dir
 from ..sources.sinks import path_exists, stored_bytes, write_table
-from ..sources.tables import read_table, require_columns
+from ..sources.tables import normalize_na, read_table, require_columns
 from ..streaming.incremental import read_lookup_cache, seen_keys
 
 
@@ -51,7 +51,7 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
            include_metadata: bool = True, stable_schema: bool = True,
            cache: str | None = None, overwrite: bool = True, detect_skew: bool = True,
            fmt: str | None = None, broadcast_bytes: int | None = None,
-           append: bool = False) -> dict:
+           append: bool = False, normalize: bool = False) -> dict:
     """Run one enrichment; returns ``total_rows, vins_enriched,
     successful_enrichments, failed_enrichments, success_rate, rows_updated,
     mean_response_time, keys_per_minute, processing_time`` (A3, A6, A16). ``cache`` is the persistent lookup table folder
@@ -59,10 +59,15 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     ``broadcast_bytes`` caps the lookup-table size that may be broadcast
     (default: ``spark.sql.autoBroadcastJoinThreshold``). ``append`` adds the
     enriched rows to an existing output (e.g. enrich only the rows read with
-    ``where cylinders IS NULL`` and append them to an enriched table, K6)."""
+    ``where cylinders IS NULL`` and append them to an enriched table, K6).
+    ``normalize`` folds the text NA tokens (``""``, ``None``, ``NaN``, ...)
+    into NULL first, as a pandas-style CSV reader does (S3); then such
+    values are filled, not only looked up."""
     t0 = time.time()
     df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path)
     require_columns(df, [key])
+    if normalize:
+        df = normalize_na(df)
     if path_exists(spark, output_path) and not overwrite and not append:
         raise FileExistsError(f"Output {output_path} already exists")
     cache = cache or f"{work_dir(spark, 'lookup')}/cache"

@@ -152,3 +152,16 @@ def test_nothing_to_enrich_golden(spark, tmpdir_path):
     assert back.columns == ["id", "VIN", "cylinders"]
     assert sorted(map(tuple, back.collect()), key=str) == sorted(
         [(str(a), b, c) for a, b, c in rows], key=str)
+
+
+def test_enrich_normalize_fills_na_tokens(spark, tmpdir_path):
+    rows = [(1, "3GTP1VEC4EG551563", "None"), (2, "3GTP1VEC4EG551563", "NaN"), (3, "3GTP1VEC4EG551563", "8")]
+    src = _csv(spark, rows, "id long, VIN string, cylinders string", f"{tmpdir_path}/na.csv")
+    attrs = _attrs(spark, [("3GTP1VEC4EG551563", 6, "GMC")])
+    look = lambda k: lookup_table(k, attrs)
+    enrich(spark, src, f"{tmpdir_path}/raw.parquet", look)
+    enrich(spark, src, f"{tmpdir_path}/norm.parquet", look, normalize=True)
+    raw = {int(r.id): r.cylinders for r in spark.read.parquet(f"{tmpdir_path}/raw.parquet").collect()}
+    norm = {int(r.id): r.cylinders for r in spark.read.parquet(f"{tmpdir_path}/norm.parquet").collect()}
+    assert raw == {1: "None", 2: "NaN", 3: "8"}       # text kept: looked up, not filled
+    assert norm == {1: "6.0", 2: "6.0", 3: "8"}       # pandas-style reading: filled
