@@ -114,3 +114,21 @@ def test_other_key_name_and_self_derived_reference(spark):
     assert "vin" in res.columns
     out = {r.id: r.cylinders for r in merge_lookup(df, res, key="vin").collect()}
     assert out == {1: "8.0", 2: "8.0", 3: None}
+
+
+def test_threaded_workers_same_results_and_overlap(spark):
+    import time
+
+    def slow(k):
+        time.sleep(0.2)
+        return {"Results": [{"EngineCylinders": str(len(k) % 5 + 4), "Make": k[:3]}]}
+
+    keys = spark.createDataFrame([(f"1GCSCSE06AZ{i:06d}",) for i in range(16)], "VIN string")
+    seq = lookup_udf(keys, slow, partitions=1, rate_per_sec=None, workers=1)
+    par = lookup_udf(keys, slow, partitions=1, rate_per_sec=None, workers=8)
+    t0 = time.perf_counter()
+    a = sorted((r.VIN, r.api_cylinders, r.api_make) for r in par.collect())
+    t_par = time.perf_counter() - t0
+    b = sorted((r.VIN, r.api_cylinders, r.api_make) for r in seq.collect())
+    assert a == b and len(a) == 16
+    assert t_par < 16 * 0.2 * 0.6  # 8 threads overlap the waits (sequential would be 3.2 s)
