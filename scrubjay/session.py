@@ -88,7 +88,12 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     folder = work_dir(spark, "pyfiles")
-    local = folder.replace("file:", "", 1)
+    if folder.startswith("/") or folder.startswith("file:"):
+        local = folder.replace("file:", "", 1)
+    else:
+        # a remote shared folder: build the zip on the driver; addPyFile ships
+        # it to executors through Spark's file server (like --py-files)
+        local = tempfile.mkdtemp(prefix="scrubjay-pyfiles-")
     target = os.path.join(local, "scrubjay.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg):
