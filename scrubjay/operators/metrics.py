@@ -55,7 +55,9 @@ def batch_stats(results: DataFrame, batch_size: int = 100, key: str = "VIN") ->
     """Per-batch successes, failures and mean response time.
 
     The batch count is ``ceil(keys / batch_size)``, a scalar subquery
-    (no driver round trip); invalid keys count with 0.0 s.
+    (no driver round trip); invalid keys count with 0.0 s. The subquery reads
+    ``results`` a second time, so pass a materialised lookup table (as the
+    enrich job writes), never an unmaterialised external lookup.
     """
     n_keys = results.select(F.count(F.lit(1))).scalar()
     n_batches = F.greatest(F.lit(1), F.ceil(n_keys / F.lit(batch_size))).cast("bigint")
