@@ -62,10 +62,15 @@ def csv_source(spark: SparkSession, folder: str, schema,
 
 
 def stream_clean(spark: SparkSession, src: str, sink: str, checkpoint: str, schema,
-                 column: str = "cylinders", max_files_per_trigger: int | None = 1) -> dict:
+                 column: str = "cylinders", max_files_per_trigger: int | None = 1,
+                 normalize: bool = False) -> dict:
     """Clean every new CSV file into a Parquet sink (append). Runs until the
-    files present at start are done (``availableNow``) and returns progress."""
+    files present at start are done (``availableNow``) and returns progress.
+    ``normalize`` folds text NA tokens into NULL first (S3)."""
     s = csv_source(spark, src, schema, max_files_per_trigger)
+    if normalize:
+        from ..sources.tables import normalize_na
+        s = normalize_na(s)
     # Count before the filter (an observed node also keeps the filter out of
     # the CSV reader, so the counts are exact rather than post-pushdown).
     nul = F.count_if(F.col(column).isNull()) if column in s.columns else F.lit(0).cast("bigint")

@@ -88,3 +88,11 @@ def test_stream_enrich_retries_transient_once(spark, tmpdir_path):
     got = {r.id: (r.cylinders, r.api_error_message) for r in out.collect()}
     assert c["retried"] == 1
     assert got == {1: ("6.0", None), 2: ("6.0", None), 3: (None, "Invalid VIN format")}
+
+
+def test_stream_clean_normalize(spark, tmpdir_path):
+    _drop(spark, [(1, "A", "8"), (2, "B", "None"), (3, "C", ""), (4, "D", " ")], f"{tmpdir_path}/in")
+    st = stream_clean(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", SCHEMA,
+                      normalize=True)
+    assert (st["rows_in"], st["filtered_rows"]) == (4, 2)
+    assert sorted(r.id for r in spark.read.parquet(f"{tmpdir_path}/out").collect()) == [1, 4]
