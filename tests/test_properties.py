@@ -93,3 +93,20 @@ def test_merge_matches_brute_force(spark, pairs, skip):
     got = merge_lookup(df, res, hot=None).select("id", "VIN", "cylinders", "api_cylinders",
                                                  "api_error_message")
     assert sorted(map(tuple, got.collect()), key=lambda t: t[0]) == _brute(rows, skip)
+
+
+CSV_TEXT = st.one_of(st.none(), st.text(alphabet=st.sampled_from(
+    list('ab ,"\n\r;é☃\t\'　')), max_size=30))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(CSV_TEXT, CSV_TEXT), min_size=1, max_size=60))
+def test_csv_round_trip_is_exact(spark, tmp_path_factory, pairs):
+    from scrubjay.sources.sinks import write_table
+    from scrubjay.sources.tables import read_table, typed_load
+
+    rows = [(i, a, b) for i, (a, b) in enumerate(pairs)]
+    path = str(tmp_path_factory.mktemp("csv") / "t.csv")
+    write_table(spark.createDataFrame(rows, "id long, a string, b string"), path, mode="overwrite")
+    back = typed_load(read_table(spark, path), {"id": "bigint"})
+    assert sorted(map(tuple, back.collect()), key=lambda t: t[0]) == rows
