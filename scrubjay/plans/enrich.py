@@ -104,12 +104,18 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
                     mode="overwrite", fmt=fmt)
         total, updated = int(observed(obs, "n")["n"]), 0
     else:
-        results = read_lookup_cache(spark, cache, key)
-        # Broadcast the lookup table only on a measured size (Parquet bytes
-        # on storage, a lower bound of its in-memory size, hence the 1/4);
-        # otherwise a shuffle join with hot keys split over several tasks.
+        # Only this input's keys matter: the lookup table (which grows over
+        # runs) is cut to them and written once, so the size check measures
+        # what the join will really use.
+        rel_path = f"{work_dir(spark, 'results')}/results"
+        write_table(read_lookup_cache(spark, cache, key).join(kstats.select(key), key, "left_semi"),
+                    rel_path, mode="overwrite", fmt="parquet")
+        results = spark.read.parquet(rel_path)
+        # Broadcast only on a measured size (Parquet bytes on storage, a lower
+        # bound of the in-memory size, hence the 1/4); otherwise a shuffle join
+        # with hot keys split over several tasks.
         limit = broadcast_bytes if broadcast_bytes is not None else _threshold(spark)
-        small = 0 <= stored_bytes(spark, cache) <= limit // 4
+        small = 0 <= stored_bytes(spark, rel_path) <= limit // 4
         hot = _hot_from_stats(n_input, kstats, key) if (detect_skew and not small) else None
         merged = merge_lookup(df, results, key, value, include_metadata, hot=hot,
                               with_fill_flag=True, broadcast_results=small)
