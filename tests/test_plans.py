@@ -165,3 +165,24 @@ def test_enrich_normalize_fills_na_tokens(spark, tmpdir_path):
     norm = {int(r.id): r.cylinders for r in spark.read.parquet(f"{tmpdir_path}/norm.parquet").collect()}
     assert raw == {1: "None", 2: "NaN", 3: "8"}       # text kept: looked up, not filled
     assert norm == {1: "6.0", 2: "6.0", 3: "8"}       # pandas-style reading: filled
+
+
+def test_enrich_broadcast_or_shuffle_same_output(spark, tmpdir_path):
+    """The size check picks broadcast or a shuffle join; results are equal.
+    A lookup table full of other inputs' keys is cut to this input's keys
+    before it is sized."""
+    vins = [f"1GCSCSE06AZ{i:06d}" for i in range(40)]
+    src = _csv(spark, [(i, vins[i % 40], None if i % 3 else "8") for i in range(200)],
+               "id long, VIN string, cylinders string", f"{tmpdir_path}/in.csv")
+    attrs = _attrs(spark, [(v, 4 + i % 3, "CHEVROLET") for i, v in enumerate(vins)])
+    look = lambda k: lookup_table(k, attrs)
+    cache = f"{tmpdir_path}/cache"
+    # an earlier run over many other keys fills the lookup table
+    other = _csv(spark, [(i, f"3GCPWCED5LG{i:06d}", None) for i in range(3000)],
+                 "id long, VIN string, cylinders string", f"{tmpdir_path}/other.csv")
+    enrich(spark, other, f"{tmpdir_path}/other_out.parquet", look, cache=cache)
+    a = enrich(spark, src, f"{tmpdir_path}/a.parquet", look, cache=cache, broadcast_bytes=1 << 30)
+    b = enrich(spark, src, f"{tmpdir_path}/b.parquet", look, cache=cache, broadcast_bytes=0)
+    ra = sorted(map(tuple, spark.read.parquet(f"{tmpdir_path}/a.parquet").collect()), key=str)
+    rb = sorted(map(tuple, spark.read.parquet(f"{tmpdir_path}/b.parquet").collect()), key=str)
+    assert ra == rb and len(ra) == 200 and a["rows_updated"] == b["rows_updated"]
