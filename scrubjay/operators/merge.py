@@ -24,7 +24,8 @@ def _fill_value(df: DataFrame, value: str) -> Column:
 def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
                  value: str = "cylinders", include_metadata: bool = True,
                  hot: list | str | None = "auto", salts: int = 16,
-                 with_fill_flag: bool = False, broadcast_results: bool = False) -> DataFrame:
+                 with_fill_flag: bool = False, broadcast_results: bool = False,
+                 co_located: bool = False) -> DataFrame:
     """Listings LEFT JOIN results on the raw key, then fill ``value`` where it
     is missing (fill flavour: NULL/blank) and the lookup has a number.
 
@@ -37,18 +38,28 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
     * ``broadcast_results`` only when the caller has checked their size;
     * ``hot="auto"`` finds keys holding >= 1% of rows (one partial-aggregate
       pass over the key column) and salts them; pass a list to skip the
-      pass, or ``None`` to rely on AQE alone.
+      pass, or ``None`` to rely on AQE alone;
+    * ``co_located=True`` is for a listing table stored bucketed by ``key``:
+      a plain join on the raw key keeps the bucket partitioning, so only the
+      lookup side is shuffled (salting would change the join key). Skew is
+      then left to AQE.
 
     The join is skew-safe (see ``joins``); row count is preserved because
     results hold one row per key.
     """
     base = df.drop(*[c for c in df.columns if c.startswith("api_")])
-    if isinstance(hot, str) and hot == "auto":
-        hot = None if broadcast_results else hot_keys(base, key)
     api = API_COLUMNS if include_metadata else ["api_cylinders"]
     res = results.select(F.col(key), *[F.col(c) for c in api])
-    j = skew_safe_left_join(base, res, key, hot=hot, salts=salts,
-                            broadcast_right=broadcast_results)
+    if co_located:
+        r = res.select(F.col(key).alias("_rk"), *api)
+        r = F.broadcast(r) if broadcast_results else r
+        j = (base.join(r, F.col(key) == F.col("_rk"), "left")
+             .select(*[F.col(f"`{c}`") for c in base.columns], *api))
+    else:
+        if isinstance(hot, str) and hot == "auto":
+            hot = None if broadcast_results else hot_keys(base, key)
+        j = skew_safe_left_join(base, res, key, hot=hot, salts=salts,
+                                broadcast_right=broadcast_results)
     if value in base.columns:
         mask = value_missing(j, value, "fill") & F.col("api_cylinders").isNotNull()
         cols = [F.when(mask, _fill_value(j, value)).otherwise(F.col(f"`{c}`")).alias(c)
