@@ -51,7 +51,8 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
            include_metadata: bool = True, stable_schema: bool = True,
            cache: str | None = None, overwrite: bool = True, detect_skew: bool = True,
            fmt: str | None = None, broadcast_bytes: int | None = None,
-           append: bool = False, normalize: bool = False) -> dict:
+           append: bool = False, normalize: bool = False,
+           co_located: bool = False) -> dict:
     """Run one enrichment; returns ``total_rows, vins_enriched,
     successful_enrichments, failed_enrichments, success_rate, rows_updated,
     mean_response_time, keys_per_minute, processing_time`` (A3, A6, A16). ``cache`` is the persistent lookup table folder
@@ -62,7 +63,9 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     ``where cylinders IS NULL`` and append them to an enriched table, K6).
     ``normalize`` folds the text NA tokens (``""``, ``None``, ``NaN``, ...)
     into NULL first, as a pandas-style CSV reader does (S3); then such
-    values are filled, not only looked up."""
+    values are filled, not only looked up. ``co_located`` is for an input
+    table bucketed by ``key``: the merge keeps its buckets and shuffles only
+    the lookup side (see ``merge_lookup``)."""
     t0 = time.time()
     df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path)
     require_columns(df, [key])
@@ -116,9 +119,11 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
         # with hot keys split over several tasks.
         limit = broadcast_bytes if broadcast_bytes is not None else _threshold(spark)
         small = 0 <= stored_bytes(spark, rel_path) <= limit // 4
-        hot = _hot_from_stats(n_input, kstats, key) if (detect_skew and not small) else None
+        hot = (_hot_from_stats(n_input, kstats, key)
+               if (detect_skew and not small and not co_located) else None)
         merged = merge_lookup(df, results, key, value, include_metadata, hot=hot,
-                              with_fill_flag=True, broadcast_results=small)
+                              with_fill_flag=True, broadcast_results=small,
+                              co_located=co_located)
         obs = Observation("merge")
         watched = merged.observe(obs, F.count(F.lit(1)).alias("n"),
                                  F.count_if(F.col("_filled")).alias("updated"))

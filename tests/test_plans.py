@@ -186,3 +186,14 @@ def test_enrich_broadcast_or_shuffle_same_output(spark, tmpdir_path):
     ra = sorted(map(tuple, spark.read.parquet(f"{tmpdir_path}/a.parquet").collect()), key=str)
     rb = sorted(map(tuple, spark.read.parquet(f"{tmpdir_path}/b.parquet").collect()), key=str)
     assert ra == rb and len(ra) == 200 and a["rows_updated"] == b["rows_updated"]
+
+
+def test_enrich_co_located_bucketed_input(spark, tmpdir_path):
+    rows = [(i, f"1GCSCSE06AZ{i % 7:06d}", None if i % 2 else "8") for i in range(50)]
+    spark.createDataFrame(rows, "id long, VIN string, cylinders string").write.mode("overwrite") \
+        .bucketBy(4, "VIN").saveAsTable("enrich_bucketed")
+    attrs = _attrs(spark, [(f"1GCSCSE06AZ{i:06d}", 6, "X") for i in range(7)])
+    st = enrich(spark, spark.table("enrich_bucketed"), f"{tmpdir_path}/out.parquet",
+                lambda k: lookup_table(k, attrs), co_located=True)
+    assert st["rows_updated"] == 25
+    assert spark.read.parquet(f"{tmpdir_path}/out.parquet").filter("cylinders = '6.0'").count() == 25
