@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .mixing import op2_mixing
 from .sharding import op5_sharding
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op5_sharding": op5_sharding,
 }
 
