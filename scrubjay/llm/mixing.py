@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import materialise, number_rows, table, without
@@ -101,7 +102,26 @@ def _round_cells(cap: int):
             k = min(cap * n, max(0, round(owed / size))) if size else n
             owed -= k * size
             out.append(k)
-        return pdf.assign(k=out)[["sid", "size", "n", "rate", "k"]]
+        pdf = pdf.assign(k=out)
+        # what is still owed goes to the one document, or the swap of two, that fits best
+        sized = pdf["size"].to_numpy()
+        up = np.flatnonzero((sized > 0) & (pdf["k"].to_numpy() < cap * pdf["n"].to_numpy()))
+        down = np.flatnonzero((sized > 0) & (pdf["k"].to_numpy() > 0))
+        more, less = np.append(sized[up], 0), np.append(sized[down], 0)
+        if len(up) + len(down):
+            order = np.argsort(less, kind="stable")
+            near = np.searchsorted(less[order], more - owed)
+            tries = [(abs(owed - (more - less[order[np.clip(near + d, 0, len(order) - 1)]])), np.clip(near + d, 0, len(order) - 1)) for d in (-1, 0)]
+            best = min(((gap.min(), int(gap.argmin()), at) for gap, at in tries), key=lambda t: t[0])
+            if best[0] < abs(owed):
+                a, b = best[1], order[best[2][best[1]]]
+                k = pdf["k"].to_numpy().copy()
+                if a < len(up):
+                    k[up[a]] += 1
+                if b < len(down):
+                    k[down[b]] -= 1
+                pdf = pdf.assign(k=k)
+        return pdf[["sid", "size", "n", "rate", "k"]]
     return run
 
 
@@ -133,12 +153,13 @@ def mix_sources(docs: DataFrame, source: str = "source", text: str = "text", cyc
     rounded = materialise(rated.groupBy("sid").applyInPandas(
         _round_cells(cap), "sid long, size long, n long, rate double, k long"), "mix-rounded")
     rows = raw.agg(F.sum("n")).first()[0] or 0
-    known = targets.select(F.col("source").alias("__name"), "sid", "source_size", "target")
+    known = targets.select(F.col("source").alias("__name"), F.col("sid").alias("__sid"), "source_size", "target")
     placed = sized.join(known, F.col("__source").eqNullSafe(F.col("__name"))).drop("__source", "__name")
     order = ["doc_id"] if "doc_id" in keep else [source]
-    ranked = number_rows(placed, ["sid", "size"], order, "__rank", salts=16 + rows // rows_per_part)
-    copies = F.expr("k div n") + F.when(F.col("__rank") < F.col("k") % F.col("n"), 1).otherwise(0)
-    out = ranked.join(rounded, ["sid", "size"]).withColumn("copies", copies.cast("int"))
+    ranked = number_rows(placed, ["__sid", "size"], order, "__rank", salts=16 + rows // rows_per_part)
+    plan = rounded.select(F.col("sid").alias("__sid"), "size", F.col("n").alias("__n"), "rate", F.col("k").alias("__k"))
+    copies = F.expr("__k div __n") + F.when(F.col("__rank") < F.col("__k") % F.col("__n"), 1).otherwise(0)
+    out = ranked.join(plan, ["__sid", "size"]).withColumn("copies", copies.cast("int"))
     return out.withColumn("taken", F.col("copies") * F.col("size")).select(*keep, *OUTPUTS)
 
 

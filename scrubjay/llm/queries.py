@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .decontam import op7_decontamination
 from .mixing import op2_mixing
 from .sharding import op5_sharding
 
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op5_sharding": op5_sharding,
+    "op7_decontamination": op7_decontamination,
 }
 
 ORACLE: dict[str, str] = {}

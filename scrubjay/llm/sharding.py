@@ -160,17 +160,17 @@ def shard_documents(docs: DataFrame, text: str = "text", shards: int = 24, overh
     replaced. ``carry`` names the columns to keep (default all)."""
     keep = [c for c in without(docs, ["size", "shard", "slot"]) if carry is None or c in carry]
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(overhead).cast("long")
-    sized = docs.select(*keep, size.alias("size"), order_key(F.col(text)).alias("k"))
+    sized = docs.select(*keep, size.alias("size"), order_key(F.col(text)).alias("__key"))
     if carry is not None:  # a narrow digest: written once, so that texts are read once
         sized = materialise(sized, "shard-digest")
-    groups = materialise(sized.groupBy("k").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    groups = materialise(sized.groupBy(F.col("__key").alias("k")).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
                          .repartition(F.shiftright("k", KEY_BITS - FIRST_BITS)).sortWithinPartitions("k"),
                          "shard-groups")
     cuts, _ = contiguous_cuts(groups, shards)
     rows = groups.agg(F.sum("n")).first()[0] or 0
-    placed = sized.withColumn("shard", _shard_of(F.col("k"), cuts))
-    order = (["doc_id"] if "doc_id" in keep else []) + ["k"]
-    return number_rows(placed, ["shard"], order, "slot", salts=16 + rows // rows_per_part).drop("k")
+    placed = sized.withColumn("shard", _shard_of(F.col("__key"), cuts))
+    order = (["doc_id"] if "doc_id" in keep else []) + ["__key"]
+    return number_rows(placed, ["shard"], order, "slot", salts=16 + rows // rows_per_part).drop("__key")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

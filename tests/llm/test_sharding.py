@@ -1,0 +1,76 @@
+import random
+import zlib
+
+import pandas as pd
+import pytest
+from conftest import SF
+
+from scrubjay.llm import sharding
+from scrubjay.llm.queries import QUERIES
+
+
+def brute_capacity(sizes, shards):
+    def fits(c):
+        used, left = 1, c
+        for s in sizes:
+            if s > c:
+                return False
+            if s > left:
+                used, left = used + 1, c
+            left -= s
+        return used <= shards
+    lo, hi = 0, sum(sizes)
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if fits(mid) else (mid + 1, hi)
+    return lo
+
+
+def test_contract(spark):
+    out = QUERIES["op5_sharding"](spark, SF).toPandas()
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    m = out.merge(docs, on="doc_id")
+    assert len(out) == len(m) == len(docs)
+    assert (m["size"] == m.text.str.encode("utf8").str.len() + 8).all()
+    assert (m.text_crc32 == m.text.map(lambda t: zlib.crc32(t.encode()))).all()
+    assert set(m.law) == {"bytes"} and m.shard.between(0, 23).all() and m.grown_shard.isna().all()
+    assert m.groupby("text").shard.nunique().max() == 1
+    for _, g in m.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+
+
+@pytest.mark.parametrize("seed,n,shards,hot", [(1, 500, 7, 0), (2, 3000, 24, 0), (3, 400, 24, 50_000), (4, 10, 24, 0), (5, 2000, 100, 300)])
+def test_smallest_capacity(spark, seed, n, shards, hot):
+    rng = random.Random(seed)
+    rows = {rng.getrandbits(60): rng.randint(1, 1000) for _ in range(n)}
+    rows[rng.getrandbits(60)] = hot or 1
+    groups = spark.createDataFrame(list(rows.items()), "k long, size long")
+    cuts, capacity = sharding.contiguous_cuts(groups, shards)
+    sizes = [s for _, s in sorted(rows.items())]
+    assert capacity == brute_capacity(sizes, shards)
+    got = [0] * shards
+    for k, s in rows.items():
+        got[sum(c <= k for c in cuts)] += s
+    assert max(got) == capacity and sum(got) == sum(sizes)
+
+
+def test_odd_rows(spark, odd_docs):
+    out = sharding.shard_documents(odd_docs, shards=3)
+    assert out.columns.count("size") == 1 and "Size" not in out.columns
+    rows = out.collect()
+    assert len(rows) == odd_docs.count()
+    assert len({r.shard for r in rows if r.text is None}) == 1
+    assert sorted(r["size"] for r in rows if r.text is None) == [8, 8]
+    for s in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == s)
+        assert slots == list(range(len(slots)))
+
+
+def test_empty_table(spark, odd_docs):
+    assert sharding.shard_documents(odd_docs.limit(0)).count() == 0
+
+
+def test_write(spark, odd_docs, tmpdir_path):
+    sharded = sharding.shard_documents(odd_docs.select("doc_id", "text"), shards=3)
+    sharding.write_shards(sharded, f"{tmpdir_path}/s")
+    assert spark.read.parquet(f"{tmpdir_path}/s").count() == odd_docs.count()
