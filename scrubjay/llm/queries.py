@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .decontam import op7_decontamination
+from .minhash import op6_minhash_near_dedup
 from .mixing import op2_mixing
 from .sharding import op5_sharding
 
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op5_sharding": op5_sharding,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
 }
 
