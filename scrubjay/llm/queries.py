@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontam import op7_decontamination
 from .minhash import op6_minhash_near_dedup
 from .mixing import op2_mixing
+from .quality import op10_quality
 from .sharding import op5_sharding
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}

@@ -82,15 +82,15 @@ def word_hashes(data: np.ndarray, off: np.ndarray, kind: np.ndarray) -> tuple[np
     return np.concatenate(hashes), np.searchsorted(starts, off).astype(np.int64)
 
 
-def slices(column: pa.Array, limit: int = 4 << 20) -> list[tuple[int, int]]:
-    """Runs of rows of about ``limit`` bytes of text; one longer text is a run."""
+def slices(column: pa.Array, limit: int = 4 << 20, rows: int = 1 << 20) -> list[tuple[int, int]]:
+    """Runs of at most ``rows`` rows and about ``limit`` bytes of text; one longer text is a run."""
     if not len(column):
         return []
     ends = buffers(column)[1][1:]
     out, a = [], 0
     while a < len(column):
         base = ends[a - 1] if a else 0
-        b = max(a + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        b = min(a + rows, max(a + 1, int(np.searchsorted(ends, base + limit, side="right"))))
         out.append((a, b))
         a = b
     return out
