@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import op7_decontamination
+from .langid import op9_language_id
 from .minhash import op6_minhash_near_dedup
 from .mixing import op2_mixing
 from .quality import op10_quality
@@ -13,6 +14,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
+    "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
 }
 
