@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import op7_decontamination
+from .embeddings import op1_embedding_near_dedup
 from .langid import op9_language_id
 from .minhash import op6_minhash_near_dedup
 from .mixing import op2_mixing
@@ -10,6 +11,7 @@ from .quality import op10_quality
 from .sharding import op5_sharding
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mixing": op2_mixing,
     "op5_sharding": op5_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
