@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import licenses
 from .decontam import op7_decontamination
 from .embeddings import op1_embedding_near_dedup
 from .langid import op9_language_id
@@ -13,6 +14,7 @@ from .sharding import op5_sharding
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mixing": op2_mixing,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_sharding": op5_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
@@ -20,4 +22,6 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_license_scan": licenses.oracle_sql(),
+}
