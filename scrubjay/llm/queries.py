@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import licenses
 from .decontam import op7_decontamination
 from .embeddings import op1_embedding_near_dedup
+from .html_text import op3_html_text
 from .langid import op9_language_id
 from .minhash import op6_minhash_near_dedup
 from .mixing import op2_mixing
@@ -14,6 +15,7 @@ from .sharding import op5_sharding
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mixing": op2_mixing,
+    "op3_html_text": op3_html_text,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_sharding": op5_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
@@ -23,5 +25,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_html_text": op3_html_text,
     "op4_license_scan": licenses.oracle_sql(),
 }
