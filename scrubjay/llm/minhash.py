@@ -9,7 +9,7 @@ third, ... agreeing coordinate, each within that bound.
 
 Lists are never expanded into all pairs. First each member is compared with its list's
 pivot, which joins families of copies; then only members outside the pivot's component are
-compared with the rest, while they are few, else the list is split by a further coordinate.
+compared with the rest; a list with many of them is first split by a further coordinate.
 Candidates must agree in t coordinates and fit in size; what remains is
 confirmed on the full shingle sets.
 """
@@ -29,7 +29,9 @@ from .words import NOT_SPACE, buffers, mix, slices, word_hashes
 K = 32
 MISS = 1e-8
 #: Members outside a pivot's component that are compared with a whole list; longer lists are split.
-FEW = 64
+FEW = 1024
+#: Coordinates by which long lists are split; lists that are still long are then compared in full.
+DEPTH = 3
 _rng = np.random.default_rng(64087)
 _XOR = _rng.integers(0, 1 << 63, K, dtype=np.uint64)
 _MUL = _rng.integers(0, 1 << 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -139,14 +141,14 @@ class _Links:
         self.links: DataFrame | None = None
         self.seen: DataFrame | None = None
 
-    def add(self, candidates: DataFrame) -> None:
-        """``candidates(a, b)``: distinct pairs that pass signatures and sizes."""
+    def add(self, candidates: DataFrame) -> bool:
+        """``candidates(a, b)``: distinct pairs that pass signatures and sizes. Whether links were found."""
         if self.seen is not None:
             candidates = candidates.join(self.seen, ["a", "b"], "left_anti")
         pairs = materialise(candidates, "minhash-pairs")
         self.seen = pairs if self.seen is None else self.seen.union(pairs)
         if pairs.isEmpty():
-            return
+            return False
         active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         heads = active.join(self.classes.select("node", F.col("head").alias("__head")), "node").select("__head").distinct()
         texts = self.docs.join(heads, F.col("__id").eqNullSafe(F.col("__head")), "left_semi").select(self.text)
@@ -157,7 +159,10 @@ class _Links:
                   .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                   .select("a", "b", "sa", "sb"))
         new = materialise(joined.mapInArrow(_confirm(self.percent), "a long, b long"), "minhash-links")
+        if new.isEmpty():
+            return False
         self.links = new if self.links is None else self.links.union(new)
+        return True
 
     def components(self) -> DataFrame | None:
         return None if self.links is None else materialise(connected_components(self.links), "minhash-components")
@@ -166,7 +171,8 @@ class _Links:
 def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few: int) -> DataFrame | None:
     lists = classes.select("node", F.posexplode(F.slice("sig", 1, K - t + 1)).alias("i", "v")).select(
         F.xxhash64("i", "v").alias("list"), "i", "node")
-    for depth in range(1, t + 1):
+    comp, more = None, False
+    for depth in range(1, min(DEPTH, t) + 1):
         sizes = lists.groupBy("list").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
         lists = materialise(lists.join(sizes, "list"), "minhash-lists")
         sig = classes.select("node", "n", "sig")
@@ -174,8 +180,8 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
         star = (star.join(sig.select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("sig").alias("asig")), "a")
                 .join(sig.select(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("sig").alias("bsig")), "b")
                 .where(_fits("a", "b", percent, t)).select("a", "b"))
-        links.add(star)
-        comp = links.components()
+        if links.add(star):
+            comp = links.components()
         if comp is not None:
             roots = comp.select(F.col("node").alias("pivot"), F.col("comp").alias("pc"))
             lists = lists.join(comp, "node", "left").join(roots, "pivot", "left")
@@ -185,18 +191,17 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
                              (F.coalesce("comp", "node") != F.coalesce("pc", "pivot")).alias("outside"))
         apart = lists.groupBy("list").agg(F.count_if("outside").alias("others")).where("others > 0")
         lists = materialise(lists.join(apart, "list").join(sig, "node"), "minhash-apart")
-        last = depth == t
+        last = depth == min(DEPTH, t)
         near = lists if last else lists.where(F.col("others") <= few)
         side = lambda p: [F.col(c).alias(p + c) for c in ("node", "comp", "n", "sig", "outside")]
         cross = (near.where("outside").select("list", *side("a")).join(near.select("list", *side("b")), "list")
                  .where("acomp <> bcomp AND (NOT boutside OR anode < bnode)").where(_fits("a", "b", percent, t)))
-        links.add(_pairs(cross.select(F.col("anode").alias("a"), F.col("bnode").alias("b"))))
+        more = links.add(_pairs(cross.select(F.col("anode").alias("a"), F.col("bnode").alias("b")))) or more
         far = lists.where(F.col("others") > few)
         if last or far.isEmpty():
-            break
+            return links.components() if more else comp
         lists = far.select("list", "node", "sig", F.explode(F.sequence(F.col("i") + 1, F.lit(K - t + depth))).alias("i"))
         lists = lists.select(F.xxhash64("list", "i", F.col("sig")[F.col("i")]).alias("list"), "i", "node")
-    return links.components()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 85,
