@@ -4,7 +4,7 @@ Documents with the same shingle set form one class. Every class is posted
 under its coordinate-value pairs. A pair similar enough agrees in at least ``t`` of the
 ``K`` coordinates (but for a chance of at most ``MISS``), so its d-th smallest agreeing
 coordinate is at most K - t + d - 1: posting under the first K - t + 1 coordinates
-(the prefix) finds it, and a list that is too long is posted again under a second,
+(the prefix), apart for each band of sizes, finds it, and a list that is too long is posted again under a second,
 third, ... agreeing coordinate, each within that bound.
 
 Lists are never expanded into all pairs. First each member is compared with its list's
@@ -29,7 +29,7 @@ from .words import NOT_SPACE, buffers, mix, slices, word_hashes
 K = 32
 MISS = 1e-8
 #: Members outside a pivot's component that are compared with a whole list; longer lists are split.
-FEW = 1024
+FEW = 256
 #: Coordinates by which long lists are split; lists that are still long are then compared in full.
 DEPTH = 3
 _rng = np.random.default_rng(64087)
@@ -169,8 +169,12 @@ class _Links:
 
 
 def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few: int) -> DataFrame | None:
-    lists = classes.select("node", F.posexplode(F.slice("sig", 1, K - t + 1)).alias("i", "v")).select(
-        F.xxhash64("i", "v").alias("list"), "i", "node")
+    # sizes of a similar pair lie in one band or in neighbours, so they share the band of the larger
+    width = -math.log(min(percent, 99.9) / 100) * (1 + 1e-9)
+    band = F.floor(F.log(F.col("n")) / width)
+    lists = classes.select("node", F.posexplode(F.slice("sig", 1, K - t + 1)).alias("i", "v"), band.alias("band"))
+    lists = lists.select("node", "i", "v", F.explode(F.array("band", F.col("band") + 1)).alias("band")).select(
+        F.xxhash64("i", "v", "band").alias("list"), "i", "node")
     comp, more = None, False
     for depth in range(1, min(DEPTH, t) + 1):
         sizes = lists.groupBy("list").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")

@@ -11,6 +11,7 @@ from .minhash import op6_minhash_near_dedup
 from .mixing import op2_mixing
 from .quality import op10_quality
 from .sharding import op5_sharding
+from .tokens import op8_token_counts
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
@@ -20,11 +21,11 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
-    "op3_html_text": op3_html_text,
     "op4_license_scan": licenses.oracle_sql(),
 }
