@@ -10,8 +10,8 @@ third, ... agreeing coordinate, each within that bound.
 Lists are never expanded into all pairs. First each member is compared with its list's
 pivot, which joins families of copies; then only members outside the pivot's component are
 compared with the rest; a list with many of them is first split by a further coordinate.
-Candidates must agree in t coordinates and fit in size; what remains is
-confirmed on the full shingle sets.
+Candidates must fit in size and agree in t coordinates, counted on four bits of each; what
+remains is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -78,6 +78,12 @@ def _signature(s: np.ndarray) -> np.ndarray:
     return low.astype(np.uint32).view(np.int32)
 
 
+def _digest(sign: np.ndarray) -> np.ndarray:
+    """Four bits of every coordinate, sixteen to a long. Equal coordinates have equal bits."""
+    bits = (sign.view(np.uint32) & 15).astype(np.uint64).reshape(2, 16)
+    return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
 def _sign(width: int, text: str):
     def run(batches):
         for batch in batches:
@@ -89,12 +95,15 @@ def _sign(width: int, text: str):
                 signs = [_signature(s) for s in sets if len(s)]
                 flat = np.concatenate(signs) if signs else np.zeros(0, np.int32)
                 offsets = np.concatenate([[0], np.cumsum(full * K)]).astype(np.int32)
+                bits = np.zeros((len(sets), 2), np.int64)
+                if signs:
+                    bits[full] = [_digest(x) for x in signs]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in others]
                     + [pa.array([len(s) for s in sets], pa.int64()),
                        pa.array([_class_id(s) if len(s) else None for s in sets], pa.int64()),
-                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=others + ["n_shingles", "node", "sig"])
+                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(bits[:, 0]), pa.array(bits[:, 1])],
+                    names=others + ["n_shingles", "node", "sig", "x", "y"])
     return run
 
 
@@ -124,9 +133,17 @@ def _confirm(percent: int):
 
 
 def _fits(a: str, b: str, percent: int, t: int) -> Column:
-    """Sizes and signatures leave a similarity of ``percent`` possible."""
-    same = " + ".join(f"int({a}sig[{i}] = {b}sig[{i}])" for i in range(K))
-    return F.expr(f"100 * least({a}n, {b}n) >= {percent} * greatest({a}n, {b}n) AND {same} >= {t}")
+    """Sizes leave a similarity of ``percent`` possible, and at least ``t`` coordinates agree
+    in their four bits, as they do if the coordinates agree."""
+    x, ones = F.col, F.lit(0x1111111111111111)
+
+    def differ(c):
+        d = x(a + c).bitwiseXOR(x(b + c))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(ones))
+
+    sizes = 100 * F.least(x(a + "n"), x(b + "n")) >= percent * F.greatest(x(a + "n"), x(b + "n"))
+    return sizes & (differ("x") + differ("y") <= K - t)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -179,10 +196,9 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
     for depth in range(1, min(DEPTH, t) + 1):
         sizes = lists.groupBy("list").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
         lists = materialise(lists.join(sizes, "list"), "minhash-lists")
-        sig = classes.select("node", "n", "sig")
+        signs = lambda p: classes.select(*[F.col(c).alias(p + c) for c in ("node", "n", "x", "y")])
         star = _pairs(lists.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        star = (star.join(sig.select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("sig").alias("asig")), "a")
-                .join(sig.select(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("sig").alias("bsig")), "b")
+        star = (star.join(signs("a"), F.col("a") == F.col("anode")).join(signs("b"), F.col("b") == F.col("bnode"))
                 .where(_fits("a", "b", percent, t)).select("a", "b"))
         if links.add(star):
             comp = links.components()
@@ -194,16 +210,17 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
         lists = lists.select("list", "i", "node", "members", F.coalesce("comp", "node").alias("comp"),
                              (F.coalesce("comp", "node") != F.coalesce("pc", "pivot")).alias("outside"))
         apart = lists.groupBy("list").agg(F.count_if("outside").alias("others")).where("others > 0")
-        lists = materialise(lists.join(apart, "list").join(sig, "node"), "minhash-apart")
+        lists = materialise(lists.join(apart, "list").join(signs(""), "node"), "minhash-apart")
         last = depth == min(DEPTH, t)
         near = lists if last else lists.where(F.col("others") <= few)
-        side = lambda p: [F.col(c).alias(p + c) for c in ("node", "comp", "n", "sig", "outside")]
+        side = lambda p: [F.col(c).alias(p + c) for c in ("node", "comp", "n", "x", "y", "outside")]
         cross = (near.where("outside").select("list", *side("a")).join(near.select("list", *side("b")), "list")
                  .where("acomp <> bcomp AND (NOT boutside OR anode < bnode)").where(_fits("a", "b", percent, t)))
         more = links.add(_pairs(cross.select(F.col("anode").alias("a"), F.col("bnode").alias("b")))) or more
         far = lists.where(F.col("others") > few)
         if last or far.isEmpty():
             return links.components() if more else comp
+        far = far.select("list", "i", "node").join(classes.select("node", "sig"), "node")
         lists = far.select("list", "node", "sig", F.explode(F.sequence(F.col("i") + 1, F.lit(K - t + depth))).alias("i"))
         lists = lists.select(F.xxhash64("list", "i", F.col("sig")[F.col("i")]).alias("list"), "i", "node")
 
@@ -221,11 +238,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     base = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__text"))
     digest = materialise(
         base.select("__id", F.xxhash64("__text").alias("text_hash"), "__text").mapInArrow(
-            _sign(width, "__text"), "__id long, text_hash long, n_shingles long, node long, sig array<int>"), "minhash-digest")
+            _sign(width, "__text"), "__id long, text_hash long, n_shingles long, node long, sig array<int>, x long, y long"), "minhash-digest")
     classes = materialise(
         digest.where("node IS NOT NULL").groupBy("node").agg(
-            F.min_by(F.struct("n_shingles", "sig"), "text_hash").alias("s"), F.min("__id").alias("head"))
-        .select("node", F.col("s.n_shingles").alias("n"), F.col("s.sig").alias("sig"), "head"), "minhash-classes")
+            F.min_by(F.struct("n_shingles", "sig", "x", "y"), "text_hash").alias("s"), F.min("__id").alias("head"))
+        .select("node", F.col("s.n_shingles").alias("n"), F.col("s.sig").alias("sig"), "s.x", "s.y", "head"), "minhash-classes")
     comp = _link_classes(_Links(base, classes, "__text", width, percent), classes, percent, t, few)
     rows = digest.select("__id", "text_hash", "n_shingles", "node")
     rows = rows.join(comp, "node", "left") if comp is not None else rows.withColumn("comp", F.lit(None).cast("long"))
