@@ -30,6 +30,15 @@ def _results(spark, sf, skip=True, src=None):
     return ol.lookup_table(keys, fx.vin_attrs(spark, sf))
 
 
+def _written(spark, results):
+    """Lookup results as the job has them: a table that is written once."""
+    from .session import work_dir
+
+    path = f"{work_dir(spark, 'results')}/results"
+    results.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # -- keys and scalar functions ------------------------------------------------
 
 @query("keys_usable")
@@ -100,7 +109,7 @@ def norm_na(spark, sf):
 def fn_try_int(spark, sf):
     v = fx.vehicles(spark, sf)
     return v.select("id", "cylinders", ft.try_int("cylinders").alias("cylinders_int"),
-                    ft.try_int(F.substring("VIN", 1, 3)).alias("vin_head_int"))
+                    ft.try_int(F.col("id").cast("string")).alias("id_int"))
 
 
 @query("fn_fingerprint")
@@ -160,7 +169,12 @@ def error_dist(spark, sf):
 
 @query("batch_stats")
 def batch_stats(spark, sf):
-    return omt.batch_stats(_results(spark, sf), batch_size=100)
+    return omt.batch_stats(_written(spark, _results(spark, sf)), batch_size=100)
+
+
+@query("run_summary")
+def run_summary(spark, sf):
+    return omt.run_summary(_written(spark, _results(spark, sf)), batch_size=100)
 
 
 # -- cleaning and sources -----------------------------------------------------
@@ -168,7 +182,9 @@ def batch_stats(spark, sf):
 from .operators import cleaning as oc, quality as oq, profiling as op, remediation as orm  # noqa: E402
 from .sources.tables import filtered_scan, typed_load  # noqa: E402
 
-TYPED = {"id": "int", "cylinders": "float", "api_cylinders": "int", "api_response_time": "double"}
+# 64-bit column types of the warehouse table.
+TYPED = {"id": "bigint", "cylinders": "double", "api_cylinders": "bigint", "api_response_time": "double"}
+ID_BASE = 7_300_000_000  # real listing ids do not fit in 32 bits
 
 
 @query("clean_drop_null")
@@ -198,7 +214,8 @@ def src_filtered_scan(spark, sf):
 
 @query("typed_load")
 def typed_load_q(spark, sf):
-    return typed_load(merge_fill(spark, sf), TYPED)
+    merged = merge_fill(spark, sf)
+    return typed_load(merged.withColumn("id", (F.col("id") + F.lit(ID_BASE)).cast("string")), TYPED)
 
 
 # -- data quality ---------------------------------------------------------------
@@ -335,14 +352,15 @@ def fix_impute(spark, sf):
 
 # -- JSON decode and the external lookup -------------------------------------------
 
-from .functions.json import first_result  # noqa: E402
+from .functions.json import first_result, parse_results  # noqa: E402
 from .functions.json import ERR_NO_RESULTS, ERR_NOT_JSON  # noqa: E402
 
 
 @query("json_decode")
 def json_decode(spark, sf):
     r = fx.api_responses(spark, sf)
-    p = first_result(F.col("body"), ["k"])
+    r = r.withColumn("_parsed", parse_results(F.col("body"), ["k"]))
+    p = first_result("_parsed")
     return r.select(
         "event_id", p["n_results"].cast("int").alias("n_results"),
         F.when(~p["corrupt"], p["first"]["k"]).alias("k"),
@@ -351,6 +369,7 @@ def json_decode(spark, sf):
         .when(p["n_results"] == 0, F.lit(ERR_NO_RESULTS)).alias("error_message"))
 
 
+# Field names of the service's answer.
 def checksum_fetch(key: str):
     """Offline stand-in for the decoding service, deterministic per key:
     MD5 digit 0 -> empty result, f -> timeout; otherwise attributes derived
@@ -370,7 +389,7 @@ def checksum_fetch(key: str):
 @query("lookup_udf")
 def lookup_udf(spark, sf):
     keys = ok.keys_to_enrich(fx.vehicles(spark, sf))
-    res = ol.lookup_udf(keys, checksum_fetch, partitions=8, rate_per_sec=None,
+    res = ol.lookup_udf(keys, checksum_fetch, rate_per_sec=None,
                         max_attempts=3, base_delay=0.0)
     return res.select("VIN", "api_cylinders", "api_make", "api_model", "api_year",
                       "api_engine_displacement", "api_error_message")
@@ -389,7 +408,7 @@ VEHICLE_SCHEMA = "id bigint, VIN string, cylinders string, year int, price doubl
 @query("stream_clean")
 def stream_clean(spark, sf):
     w = work_dir(spark, "stream-clean")
-    st.land_csv(fx.vehicles(spark, sf), f"{w}/in", files=4)
+    st.land_csv(fx.vehicles(spark, sf), f"{w}/in")
     st.stream_clean(spark, f"{w}/in", f"{w}/out", f"{w}/ckpt", VEHICLE_SCHEMA)
     return spark.read.parquet(f"{w}/out")
 
@@ -397,7 +416,7 @@ def stream_clean(spark, sf):
 @query("stream_enrich")
 def stream_enrich(spark, sf):
     w = work_dir(spark, "stream-enrich")
-    st.land_csv(fx.vehicles(spark, sf), f"{w}/in", files=4)
+    st.land_csv(fx.vehicles(spark, sf), f"{w}/in")
     attrs = fx.vin_attrs(spark, sf)
     out, _ = st.stream_enrich(spark, f"{w}/in", w, VEHICLE_SCHEMA,
                               lambda keys: ol.lookup_table(keys, attrs))
@@ -438,7 +457,7 @@ def doc_rules() -> list:
         oq.RowCondition(name="text-not-empty", column="text", dimension="VALIDITY",
                         sql_expression="LENGTH(text) > 0", description="Text is not empty"),
         oq.TableCondition(name="text-unique", dimension="UNIQUENESS",
-                          sql_expression="COUNT(DISTINCT text) = COUNT(*)",
+                          sql_expression="COUNT(DISTINCT sha2(text, 256)) = COUNT(*)",
                           description="No two documents share a text"),
         oq.Range(name="n-chars-range", column="n_chars", dimension="VALIDITY",
                  min_value="1", max_value="200000", description="Length between 1 and 200000"),
@@ -474,3 +493,79 @@ def prof_numeric_dims(spark, sf):
         p = op.numeric_profile(fx.table(spark, sf, t), nums, table_name=t, digits=4)
         out = p if out is None else out.unionByName(p)
     return out
+
+
+# -- further checked forms ---------------------------------------------------------
+
+@query("src_pushed_scan")
+def src_pushed_scan(spark, sf):
+    # A predicate on a stored column reaches the Parquet reader.
+    return read_table(spark, f"{sf.rstrip('/')}/orders.parquet", fmt="parquet",
+                      where="o_totalprice > 200000 AND o_orderstatus = 'F'",
+                      columns=["o_orderkey", "o_totalprice"])
+
+
+@query("fix_flag_key_exclude")
+def fix_flag_key_exclude(spark, sf):
+    return orm.flag_invalid_key(fx.vehicles(spark, sf), "VIN", exclude=True)
+
+
+@query("fix_year_exclude")
+def fix_year_exclude(spark, sf):
+    return orm.null_out_of_range(fx.vehicles(spark, sf).select("id", "year"), "year", lo=1997, exclude=True)
+
+
+@query("fix_outliers_quantity")
+def fix_outliers_quantity(spark, sf):
+    li = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return orm.cap_outliers(li, {"l_quantity": 40.0, "l_extendedprice": 60000.0})
+
+
+@query("clean_job_readback")
+def clean_job_readback(spark, sf):
+    # K2, K3: the job's output, read back.
+    from .plans import clean
+
+    out = f"{work_dir(spark, 'clean-job')}/clean.parquet"
+    clean(spark, fx.vehicles(spark, sf), out)
+    return read_table(spark, out)
+
+
+@query("append_readback")
+def append_readback(spark, sf):
+    # K6: two appends to one output.
+    out = f"{work_dir(spark, 'append')}/rows.parquet"
+    v = fx.vehicles(spark, sf).select("id", "VIN", "cylinders")
+    write_table(v.filter("cylinders IS NULL"), out, mode="append")
+    write_table(v.filter("cylinders IS NOT NULL"), out, mode="append")
+    return read_table(spark, out)
+
+
+@query("load_table_readback")
+def load_table_readback(spark, sf):
+    # K5: typed load into a catalog table.
+    import uuid
+
+    from .sources.sinks import load_table
+
+    name = f"loaded_{uuid.uuid4().hex}"
+    v = fx.vehicles(spark, sf).select((F.col("id") + F.lit(ID_BASE)).cast("string").alias("id"), "VIN", "cylinders")
+    load_table(v, name, types={"id": "bigint", "cylinders": "double"})
+    return spark.table(name)
+
+
+@query("csv_quotes_readback")
+def csv_quotes_readback(spark, sf):
+    # Quotes, separators and line breaks inside fields.
+    d = fx.table(spark, sf, "documents")
+    hard = d.select("doc_id", F.concat(F.lit('"a", "'), F.col("lang"), F.lit('"\n,'), F.col("source")).alias("field"))
+    out = f"{work_dir(spark, 'csv-quotes')}/rows.csv"
+    write_table(hard, out)
+    return typed_load(read_table(spark, out), {"doc_id": "bigint"})
+
+
+@query("dq_source_path")
+def dq_source_path(spark, sf):
+    # A suite over a source addressed by path.
+    src = oq.quality_source(spark, path=f"{sf.rstrip('/')}/documents.parquet")
+    return _show_ts(oq.run_suite(src, doc_rules(), scan_id="documents-dq", job_id=RUN1[0], run_ts=RUN1[1]))

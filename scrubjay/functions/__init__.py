@@ -7,4 +7,4 @@ from .text import (  # noqa: F401
 from .keys import (  # noqa: F401
     is_valid_key, usable, missing_for_select, missing_for_fill,
 )
-from .json import RESPONSE_FIELDS, first_result, decode_response  # noqa: F401
+from .json import RESPONSE_FIELDS, decode_response, first_result, parse_results  # noqa: F401

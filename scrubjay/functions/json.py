@@ -22,6 +22,8 @@ ERR_INVALID = "Invalid VIN format"
 ERR_NO_RESULTS = "No results returned from API"
 ERR_NOT_JSON = "API request failed: response is not valid JSON"
 ERR_TIMEOUT = "API request timeout"
+ERR_REQUEST_PREFIX = "API request failed: "
+ERR_UNEXPECTED_PREFIX = "Unexpected error: "
 
 
 def _schema(fields) -> StructType:
@@ -30,27 +32,32 @@ def _schema(fields) -> StructType:
                        StructField("_corrupt_record", StringType())])
 
 
-def first_result(body, fields) -> Column:
-    """Parse ``{"Results": [{...}, ...]}`` and return a struct
-    ``(n_results, first: struct<fields as string>, corrupt: boolean)``.
+def parse_results(body, fields=tuple(RESPONSE_FIELDS)) -> Column:
+    """Parse ``{"Results": [{...}, ...]}`` with one ``from_json``. Put the result
+    into a column of its own and hand that column to ``first_result`` or
+    ``decode_response``: an expression that is used many times is then still
+    evaluated once per row.
 
-    Scalars of any JSON type are read as their text (``69`` -> ``"69"``);
-    a missing ``Results`` array counts as zero results (F10); a body that is
-    not JSON is flagged ``corrupt`` (D8)."""
-    p = F.from_json(_c(body), _schema(fields),
-                    {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"})
-    n = F.coalesce(F.size(p["Results"]), F.lit(0))
-    n = F.when(n < 0, F.lit(0)).otherwise(n)
-    return F.struct(n.alias("n_results"),
-                    F.try_element_at(p["Results"], F.lit(1)).alias("first"),
-                    (p["_corrupt_record"].isNotNull() | p.isNull()).alias("corrupt"))
+    Scalars of any JSON type are read as their text (``69`` -> ``"69"``)."""
+    return F.from_json(_c(body), _schema(fields),
+                       {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"})
 
 
-def decode_response(body) -> dict[str, Column]:
-    """Map one response body to the typed ``api_*`` attributes plus an error
-    message (F7-F10, D7): cylinders parsed like ``int()``, other attributes
+def first_result(parsed: str) -> dict[str, Column]:
+    """``n_results``, ``first`` (struct of text fields) and ``corrupt`` of a column made by
+    ``parse_results``. A missing ``Results`` array counts as zero results (F10); a
+    body that is not JSON is ``corrupt`` (D8)."""
+    p = F.col(parsed)
+    return {"n_results": F.greatest(F.coalesce(F.size(p["Results"]), F.lit(0)), F.lit(0)),
+            "first": F.try_element_at(p["Results"], F.lit(1)),
+            "corrupt": p["_corrupt_record"].isNotNull() | p.isNull()}
+
+
+def decode_response(parsed: str) -> dict[str, Column]:
+    """Map a column made by ``parse_results`` to the typed ``api_*`` attributes plus an
+    error message (F7-F10, D7): cylinders parsed like ``int()``, other attributes
     blank-to-null, a null JSON field is just a null attribute."""
-    r = first_result(body, list(RESPONSE_FIELDS))
+    r = first_result(parsed)
     out: dict[str, Column] = {}
     for src, dst in RESPONSE_FIELDS.items():
         v = r["first"][src]

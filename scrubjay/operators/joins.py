@@ -3,8 +3,8 @@
 Two kinds of skew hit a listing table joined on its key:
 
 * rows whose key is NULL/blank never match, yet a plain shuffle sends all of
-  them to one reducer (they hash alike). They get a salted string key that
-  spreads them out, and a guard column keeps them from ever matching;
+  them to one reducer (they hash alike). They go around the join: a filter
+  splits them off, NULLs stand for the right side, and a union brings them back;
 * a hot key (one value holding a large share of rows) is split over
   ``salts`` reducers: its left rows take a round-robin salt and its single
   right row is replicated ``salts`` times.
@@ -73,21 +73,17 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
     hot = [h for h in (hot or []) if h is not None]
     row = F.monotonically_increasing_id()
     ok = usable(F.col(key))
-    # Unusable keys can never match: give them one of 65536 salted strings so
-    # they hash apart; the ``_lok`` guard keeps them from matching anything.
-    lk = F.when(ok, F.col(key)).otherwise(
-        F.concat(F.lit("\u0000"), F.pmod(row, F.lit(1 << 16)).cast("string")))
     rcols = [c for c in right.columns if c != key]
     # Right-side columns get private names so the join resolves by name even
     # when both sides descend from the same plan (re-running a merge).
     r = right.select(F.col(key).alias("_rk"),
                      *[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rcols)])
-    l = left.withColumn("_lk", lk).withColumn("_lok", ok)
-    cond = (F.col("_lk") == F.col("_rk")) & F.col("_lok")
+    l = left.filter(ok)
+    cond = F.col(key) == F.col("_rk")
     if hot:
         # Hot keys: (key, salt) is the join key, so one hot key spreads over
         # ``salts`` reducers; its single right row is replicated per salt.
-        l = l.withColumn("_ls", F.when(ok & F.col(key).isin(hot), F.pmod(row, F.lit(salts)))
+        l = l.withColumn("_ls", F.when(F.col(key).isin(hot), F.pmod(row, F.lit(salts)))
                          .otherwise(F.lit(0)).cast("int"))
         r = r.withColumn("_rs", F.explode(
             F.when(F.col("_rk").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -95,6 +91,9 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str,
         cond = cond & (F.col("_ls") == F.col("_rs"))
     if broadcast_right:
         r = F.broadcast(r)
-    j = l.join(r, cond, "left")
-    return j.select(*[F.col(f"`{c}`") for c in left.columns],
-                    *[F.col(f"_r{i}").alias(c) for i, c in enumerate(rcols)])
+    own = [F.col(f"`{c}`") for c in left.columns]
+    j = l.join(r, cond, "left").select(*own, *[F.col(f"_r{i}").alias(c) for i, c in enumerate(rcols)])
+    types = {f.name: f.dataType for f in right.schema.fields}
+    rest = left.filter(~F.coalesce(ok, F.lit(False))).select(
+        *own, *[F.lit(None).cast(types[c]).alias(c) for c in rcols])
+    return j.union(rest)

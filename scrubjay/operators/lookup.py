@@ -3,9 +3,9 @@
 ``lookup_table`` re-aims the per-key HTTP call as a join with a decode table
 (J4). ``lookup_udf`` is the pluggable external call (U1-U4, U6): distinct
 *normalised valid* keys are partitioned and handed to a caller-supplied
-``fetch`` inside ``mapInPandas``; partition count is the concurrency, the
-rate budget is split across partitions, transient errors are retried with
-capped exponential backoff, and every error is captured as data. Response
+``fetch`` inside ``mapInPandas``; partition count is the concurrency, every
+attempt keeps to the rate budget, transient errors are retried after a
+random pause, and every error is captured as data. Response
 bodies come back as text and are decoded JVM-side with ``from_json``.
 
 Both return the result schema below keyed by the *raw* key (D15; the key
@@ -27,9 +27,11 @@ from typing import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.json import ERR_INVALID, ERR_NO_RESULTS, ERR_TIMEOUT, decode_response
+from ..functions.json import (ERR_INVALID, ERR_NO_RESULTS, ERR_REQUEST_PREFIX, ERR_TIMEOUT,
+                              ERR_UNEXPECTED_PREFIX, decode_response, parse_results)
 from .keys import split_keys
 
+# The result columns of a lookup.
 RESULT_COLUMNS = [
     ("VIN", "string"), ("api_cylinders", "int"), ("api_make", "string"),
     ("api_model", "string"), ("api_year", "string"),
@@ -45,11 +47,19 @@ def empty_results(spark) -> DataFrame:
     return spark.createDataFrame([], RESULT_DDL)
 
 
+def check_unique(attrs: DataFrame, attrs_key: str = "vin_key") -> DataFrame:
+    """Raise if a reference table repeats a key: a lookup would then repeat rows."""
+    twice = attrs.groupBy(attrs_key).count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"repeated {attrs_key}: {[r[0] for r in twice]}")
+    return attrs
+
+
 def lookup_table(keys: DataFrame, attrs: DataFrame, key: str = "VIN",
                  attrs_key: str = "vin_key") -> DataFrame:
     """Resolve each raw key against a reference table.
 
-    ``attrs`` must be unique on ``attrs_key`` and may carry any subset of the
+    ``attrs`` must be unique on ``attrs_key`` (``check_unique`` tells) and may carry any subset of the
     ``api_*`` attribute columns (missing ones are NULL). Matching uses the
     normalised key; invalid keys never match. Unmatched valid keys record
     ``No results returned from API``. Response time is 0.0 (no remote call).
@@ -84,107 +94,102 @@ class TransientLookupError(Exception):
     """Raise from ``fetch`` for retryable failures (connection reset, 5xx)."""
 
 
-def _backoff(attempt: int, base: float, cap: float) -> float:
-    d = min(base * (2 ** attempt), cap)
-    return d + random.uniform(0.1, 0.3) * d  # nosec: jitter, not crypto
-
-
-def _call_one(fetch, key, max_attempts, base_delay, max_delay):
-    """Return (body, error) for one key; never raises."""
-    for attempt in range(max_attempts):
-        last = attempt == max_attempts - 1
-        try:
-            body = fetch(key)
-            if isinstance(body, (dict, list)):
-                body = json.dumps(body)
-            return body, None
-        except TimeoutError:
-            if last:
-                return None, ERR_TIMEOUT
-        except (TransientLookupError, ConnectionError, OSError) as e:
-            if last:
-                return None, f"API request failed: {e}"
-        except Exception as e:  # permanent: no retry
-            return None, f"Unexpected error: {e}"
-        time.sleep(_backoff(attempt, base_delay, max_delay))
-    return None, ERR_TIMEOUT
-
-
 class _Pacer:
-    """Minimum interval between calls, shared by the threads of one task."""
+    """Spaces the calls of one task, shared by its threads: every call, the first
+    one and retries included, waits for the next free slot. The first slot lies one interval
+    after the start, so a task that follows another in the same core slot
+    keeps its distance."""
 
-    def __init__(self, min_interval: float):
+    def __init__(self, interval: float):
         import threading
 
-        self.min_interval = min_interval
-        self.next_at = 0.0
+        self.interval = interval
+        self.next_at = time.monotonic() + interval
         self.lock = threading.Lock()
 
     def wait(self) -> None:
-        if not self.min_interval:
+        if not self.interval:
             return
         with self.lock:
-            now = time.monotonic()
-            at = max(now, self.next_at)
-            self.next_at = at + self.min_interval
-        if at > now:
-            time.sleep(at - now)
-
-
-def _make_caller(fetch, min_interval, max_attempts, base_delay, max_delay, workers=1):
-    def timed(key, pacer):
+            at = max(time.monotonic(), self.next_at)
+            self.next_at = at + self.interval
+        time.sleep(max(0.0, at - time.monotonic()))
+
+
+def _ask(fetch, key, pacer, tries, pause):
+    """(body, error) of one key; failures become error texts, never exceptions.
+    ``pause(i)`` is how long to wait after the i-th transient failure."""
+    error = ERR_TIMEOUT
+    for i in range(tries):
+        if i:
+            time.sleep(pause(i))
         pacer.wait()
-        t0 = time.monotonic()
-        body, err = _call_one(fetch, key, max_attempts, base_delay, max_delay)
-        return body, err, time.monotonic() - t0
+        try:
+            body = fetch(key)
+        except TimeoutError:
+            error = ERR_TIMEOUT
+        except (TransientLookupError, OSError) as e:
+            error = f"{ERR_REQUEST_PREFIX}{e}"
+        except Exception as e:  # permanent: no retry
+            return None, f"{ERR_UNEXPECTED_PREFIX}{e}"
+        else:
+            return (json.dumps(body) if isinstance(body, (dict, list)) else body), None
+    return None, error
+
 
+def _make_caller(fetch, interval, tries, shortest, longest, workers, seed):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pacer = _Pacer(min_interval)
-        pool = None
-        if workers > 1:
-            from concurrent.futures import ThreadPoolExecutor
-            pool = ThreadPoolExecutor(max_workers=workers)
-        try:
+        from concurrent.futures import ThreadPoolExecutor
+
+        pacer, rng = _Pacer(interval), random.Random(seed)
+
+        def pause(i):  # anywhere up to a ceiling that doubles
+            return rng.uniform(0.0, min(longest, shortest * 2 ** (i - 1)))
+
+        def timed(key):
+            t0 = time.monotonic()
+            return (*_ask(fetch, key, pacer, tries, pause), time.monotonic() - t0)
+
+        with ThreadPoolExecutor(max_workers=workers) as pool:
             for pdf in batches:
                 keys = list(pdf["_norm"])
-                if pool is None:
-                    out = [timed(k, pacer) for k in keys]
-                else:  # I/O-bound calls overlap; order is kept
-                    out = list(pool.map(lambda k: timed(k, pacer), keys))
+                out = list(pool.map(timed, keys))  # order is kept
                 yield pd.DataFrame({"_norm": keys, "_body": [o[0] for o in out],
                                     "_call_error": [o[1] for o in out],
                                     "api_response_time": [o[2] for o in out]})
-        finally:
-            if pool is not None:
-                pool.shutdown(wait=True)
     return run
 
 
 def lookup_udf(keys: DataFrame, fetch: Callable[[str], object], key: str = "VIN",
                partitions: int | None = None, rate_per_sec: float | None = 5.0,
                max_attempts: int = 3, base_delay: float = 1.0,
-               max_delay: float = 30.0, workers: int = 1) -> DataFrame:
+               max_delay: float = 30.0, workers: int = 1, seed: int | None = None) -> DataFrame:
     """Per-key external lookup.
 
     ``fetch(normalised_key) -> body`` returns the response body (JSON text or
     a dict). Raise ``TimeoutError`` / ``TransientLookupError`` /
     ``ConnectionError`` for retryable failures; anything else is recorded as
-    ``Unexpected error: ...`` without retry (U6). ``partitions`` x
-    ``workers`` is the number of concurrent callers (U2: ``workers`` threads
-    per task overlap I/O-bound calls without taking more cores);
-    ``rate_per_sec`` is the cluster-wide budget, split evenly over partitions
-    and shared by a task's threads (U3).
+    ``Unexpected error: ...`` without retry (U6). Retries wait a random time up to a
+    ceiling that doubles from ``base_delay`` to ``max_delay`` (U4; ``seed`` fixes it).
+
+    ``partitions`` (default: the session's core slots) x ``workers`` threads
+    call at once (U2). ``rate_per_sec`` bounds the calls of the whole job, retries
+    included (U3): at most min(partitions, core slots) tasks run at a time, and
+    each spaces its calls by that number over the rate. More partitions than
+    slots run in waves at the same total rate. On a cluster that grows while the job runs,
+    set ``partitions`` to the concurrency wanted; the slots are counted when the query is built.
     """
-    spark = keys.sparkSession
+    slots = max(1, keys.sparkSession.sparkContext.defaultParallelism)
     k = split_keys(keys.select(key), key)
     targets = k.filter("_valid").select("_norm").distinct()
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or slots
     targets = targets.repartition(n, "_norm")
-    min_interval = (n / rate_per_sec) if rate_per_sec else 0.0
+    interval = min(n, slots) / rate_per_sec if rate_per_sec else 0.0
     called = targets.mapInPandas(
-        _make_caller(fetch, min_interval, max_attempts, base_delay, max_delay, workers),
+        _make_caller(fetch, interval, max_attempts, base_delay, max_delay, workers, seed),
         "_norm string, _body string, _call_error string, api_response_time double")
-    dec = decode_response(F.col("_body"))
+    called = called.withColumn("_parsed", parse_results(F.col("_body")))
+    dec = decode_response("_parsed")
     decoded = called.select(
         "_norm", "api_response_time",
         *[F.when(F.col("_call_error").isNull(), v).alias(c) for c, v in dec.items()

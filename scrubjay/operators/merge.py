@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from .joins import hot_keys, skew_safe_left_join
+from .joins import skew_safe_left_join
 from .keys import value_missing
 from .lookup import API_COLUMNS
 
@@ -23,7 +23,7 @@ def _fill_value(df: DataFrame, value: str) -> Column:
 
 def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
                  value: str = "cylinders", include_metadata: bool = True,
-                 hot: list | str | None = "auto", salts: int = 16,
+                 hot: list | None = None, salts: int = 16,
                  with_fill_flag: bool = False, broadcast_results: bool = False,
                  co_located: bool = False) -> DataFrame:
     """Listings LEFT JOIN results on the raw key, then fill ``value`` where it
@@ -36,13 +36,14 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
       appended last (P11);
     * ``with_fill_flag`` adds ``_filled`` (for counting updated rows, A6);
     * ``broadcast_results`` only when the caller has checked their size;
-    * ``hot="auto"`` finds keys holding >= 1% of rows (one partial-aggregate
-      pass over the key column) and salts them; pass a list to skip the
-      pass, or ``None`` to rely on AQE alone;
+    * ``hot``: keys known to hold many rows (from ``hot_keys`` or a per-key
+      statistics table); they are salted. By default skewed shuffles are left
+      to AQE, and building the query starts no job;
     * ``co_located=True`` is for a listing table stored bucketed by ``key``:
-      a plain join on the raw key keeps the bucket partitioning, so only the
-      lookup side is shuffled (salting would change the join key). Skew is
-      then left to AQE.
+      the join on the raw key keeps the bucket partitioning, so only the
+      lookup side is shuffled. Salting would change the join key, so ``hot``
+      is refused; AQE cannot split a bucketed side either, so such a table
+      should have no hot keys.
 
     The join is skew-safe (see ``joins``); row count is preserved because
     results hold one row per key.
@@ -50,16 +51,10 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
     base = df.drop(*[c for c in df.columns if c.startswith("api_")])
     api = API_COLUMNS if include_metadata else ["api_cylinders"]
     res = results.select(F.col(key), *[F.col(c) for c in api])
-    if co_located:
-        r = res.select(F.col(key).alias("_rk"), *api)
-        r = F.broadcast(r) if broadcast_results else r
-        j = (base.join(r, F.col(key) == F.col("_rk"), "left")
-             .select(*[F.col(f"`{c}`") for c in base.columns], *api))
-    else:
-        if isinstance(hot, str) and hot == "auto":
-            hot = None if broadcast_results else hot_keys(base, key)
-        j = skew_safe_left_join(base, res, key, hot=hot, salts=salts,
-                                broadcast_right=broadcast_results)
+    if co_located and hot:
+        raise ValueError("a co-located merge cannot salt hot keys; use co_located=False")
+    j = skew_safe_left_join(base, res, key, hot=hot, salts=salts,
+                            broadcast_right=broadcast_results)
     if value in base.columns:
         mask = value_missing(j, value, "fill") & F.col("api_cylinders").isNotNull()
         cols = [F.when(mask, _fill_value(j, value)).otherwise(F.col(f"`{c}`")).alias(c)
@@ -74,15 +69,13 @@ def merge_lookup(df: DataFrame, results: DataFrame, key: str = "VIN",
 
 
 def fanout(df: DataFrame, results: DataFrame, key: str = "VIN",
-           columns: list[str] | None = None, hot: list | str | None = "auto",
+           columns: list[str] | None = None, hot: list | None = None,
            salts: int = 16) -> DataFrame:
     """Every listing row whose key was looked up, with the key's result (J2):
     distinct keys in, one value copied to each duplicate row. Same skew-safe
     join as ``merge_lookup``, keeping matched rows only."""
     cols = columns or ["api_cylinders", "api_error_message"]
     res = results.select(F.col(key), *cols, F.lit(True).alias("_matched"))
-    if isinstance(hot, str) and hot == "auto":
-        hot = hot_keys(df, key)
     j = skew_safe_left_join(df, res, key, hot=hot, salts=salts)
     return j.filter(F.col("_matched")).drop("_matched")
 

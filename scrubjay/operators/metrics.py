@@ -14,8 +14,9 @@ def success():
 
 
 def enrich_stats(df: DataFrame, results: DataFrame) -> DataFrame:
-    """``total_rows, vins_enriched, successful_enrichments,
-    failed_enrichments, success_rate, mean_response_time`` (A3, A16).
+    """``total_rows, vins_enriched, successful_enrichments, failed_enrichments,
+    success_rate, mean_response_time, keys_per_minute`` (A3, A16); the rate is that of
+    one caller, NULL if the calls took no time.
 
     ``vins_enriched`` counts keys *attempted* (including invalid ones);
     success means a cylinder number came back (P12). Both inputs are counted
@@ -31,12 +32,14 @@ def enrich_stats(df: DataFrame, results: DataFrame) -> DataFrame:
         F.count_if(F.col("_row")).alias("total_rows"),
         F.count_if(~F.col("_row")).alias("vins_enriched"),
         F.count_if(F.col("_ok")).alias("successful_enrichments"),
-        F.avg("_t").alias("_mean_t"))
+        F.avg("_t").alias("_mean_t"), F.sum("_t").alias("_sum_t"))
     return a.select(
         "total_rows", "vins_enriched", "successful_enrichments",
         (F.col("vins_enriched") - F.col("successful_enrichments")).alias("failed_enrichments"),
         pct("successful_enrichments", "vins_enriched", 4).alias("success_rate"),
-        F.round("_mean_t", 6).alias("mean_response_time"))
+        F.round("_mean_t", 6).alias("mean_response_time"),
+        F.when(F.col("_sum_t") > 0, F.round(F.col("vins_enriched") * 60.0 / F.col("_sum_t"), 4))
+        .alias("keys_per_minute"))
 
 
 def error_dist(results: DataFrame) -> DataFrame:
@@ -67,3 +70,11 @@ def batch_stats(results: DataFrame, batch_size: int = 100, key: str = "VIN") ->
         F.count_if(success()).alias("successful"),
         F.count_if(~success()).alias("failed"),
         F.round(F.avg("api_response_time"), 6).alias("avg_response_time"))
+
+
+def run_summary(results: DataFrame, batch_size: int = 100, key: str = "VIN") -> DataFrame:
+    """``unique_keys_processed`` and ``chunks_processed`` (batches that hold a key) of a
+    batch run (A5). Like ``batch_stats``, give it a written lookup table."""
+    b = batch_stats(results, batch_size, key)
+    return b.agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("unique_keys_processed"),
+                 F.count(F.lit(1)).alias("chunks_processed"))

@@ -8,8 +8,9 @@ unpivoted into one result row per rule.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
@@ -138,8 +139,8 @@ def run_suite(df: DataFrame, rules: list[Rule], scan_id: str = "scan",
               job_id: str | None = None, run_ts: str | datetime | None = None) -> DataFrame:
     """Evaluate ``rules`` over ``df`` now (Q5, Q6); one result row per rule.
 
-    ``run_ts`` (default: now) and ``job_id`` (default: derived from scan and
-    time) identify the run in a results table.
+    ``run_ts`` (default: now, in UTC) and ``job_id`` (default: a new id) identify the
+    run in a results table; both are fixed when the suite is built.
     """
     for r in rules:
         if r.column is not None and r.column not in df.columns:
@@ -166,9 +167,10 @@ def run_suite(df: DataFrame, rules: list[Rule], scan_id: str = "scan",
         # two one-row frames side by side: a union then max per column keeps
         # it a plain aggregate (no join of any kind)
         one = part if one is None else _side_by_side(one, part)
-    ts = (F.to_timestamp(F.lit(str(run_ts))) if run_ts is not None else F.current_timestamp())
-    jid = F.lit(job_id) if job_id else F.concat(F.lit(f"{scan_id}-"),
-                                                F.date_format(ts, "yyyyMMddHHmmss"))
+    # literals: an exported run and a displayed one are the same run
+    when = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f") if run_ts is None else str(run_ts)
+    ts = F.to_timestamp(F.lit(when))
+    jid = F.lit(job_id or f"{scan_id}-{uuid.uuid4().hex}")
     rows = []
     for i, r in enumerate(rules):
         ev, ps = F.col(f"e{i}"), F.col(f"p{i}")
@@ -198,6 +200,7 @@ def latest(results: DataFrame, scan_id: str | None = None,
            job_id: str | None = None) -> DataFrame:
     """Result rows of one run (Q7): by ``job_id`` if given, else each scan's
     latest run by ``run_ts``."""
+    results = results.withColumn("job_id", F.col("job_id").cast("string"))
     r = results if scan_id is None else results.filter(F.col("scan_id") == scan_id)
     if job_id is not None:
         return r.filter(F.col("job_id") == job_id)
@@ -218,9 +221,19 @@ def by_dimension(results: DataFrame) -> DataFrame:
 
 
 def export_results(results: DataFrame, target: str, as_table: bool = False) -> None:
-    """Append scan results to a results table or folder (K8)."""
-    w = results.write.mode("append")
-    if as_table:
-        w.saveAsTable(target)
+    """Add a run's results to a results table or folder, partitioned by ``job_id`` (K8).
+    Exporting a job id again replaces its rows, so a retry leaves no duplicates."""
+    spark = results.sparkSession
+    if not as_table:
+        w = results.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+        w.partitionBy("job_id").parquet(target)
+    elif spark.catalog.tableExists(target):
+        mode = "spark.sql.sources.partitionOverwriteMode"  # a table insert takes it from the session only
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            results.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
     else:
-        w.parquet(target)
+        results.write.partitionBy("job_id").format("parquet").saveAsTable(target)

@@ -67,9 +67,13 @@ def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
+# The text tokens of a missing value, stated here on their own.
+NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+      "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
 def na(x: str) -> str:
-    from .sources.tables import NA_TOKENS
-    toks = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+    toks = ", ".join(f"'{t}'" for t in NA)
     return f"case when {x} in ({toks}) then null else {x} end"
 
 
@@ -88,11 +92,12 @@ def stats_sql(src: str, results: str) -> str:
     return f"""select t.total_rows, r.vins_enriched, r.successful_enrichments,
   r.vins_enriched - r.successful_enrichments as failed_enrichments,
   round(r.successful_enrichments * 100.0 / nullif(r.vins_enriched, 0), 4) as success_rate,
-  round(r.mean_t, 6) as mean_response_time
+  round(r.mean_t, 6) as mean_response_time,
+  case when r.sum_t > 0 then round(r.vins_enriched * 60.0 / r.sum_t, 4) end as keys_per_minute
 from (select count(*) as total_rows from {src}) t,
      (select count(*) as vins_enriched,
              count(*) filter (where api_cylinders is not null) as successful_enrichments,
-             avg(api_response_time) as mean_t from {results}) r"""
+             avg(api_response_time) as mean_t, sum(api_response_time) as sum_t from {results}) r"""
 
 
 ORACLE: dict[str, str] = {
@@ -110,7 +115,7 @@ ORACLE: dict[str, str] = {
     "norm_na": with_(VEHICLES) + f"""select id, {na('VIN')} as VIN, {na('cylinders')} as cylinders,
   year, price, {na('paint_color')} as paint_color from vehicles""",
     "fn_try_int": with_(VEHICLES) + f"""select id, cylinders, {try_int('cylinders')} as cylinders_int,
-  {try_int('substring(VIN, 1, 3)')} as vin_head_int from vehicles""",
+  {try_int('cast(id as varchar)')} as id_int from vehicles""",
     "fn_fingerprint": "select doc_id, substring(md5(text), 1, 12) as fingerprint from documents",
     "lookup_table": ENRICH_BASE + "select * from results",
     "enrich_fanout": ENRICH_BASE + """select v.*, r.api_cylinders, r.api_error_message
@@ -169,8 +174,8 @@ from s, t""",
     "src_filtered_scan": with_(VEHICLES) + "select * from vehicles where cylinders is null",
     "typed_load": ENRICH_BASE.rstrip() + f""",
 m as ({MERGE_SELECT})
-select cast(id as integer) as id, VIN, try_cast(trim(cylinders) as float) as cylinders, year, price,
-  paint_color, cast(api_cylinders as integer) as api_cylinders, api_make, api_model, api_year,
+select cast(id + 7300000000 as bigint) as id, VIN, try_cast(trim(cylinders) as double) as cylinders, year, price,
+  paint_color, cast(api_cylinders as bigint) as api_cylinders, api_make, api_model, api_year,
   api_engine_displacement, api_fuel_type, cast(api_response_time as double) as api_response_time,
   api_error_message
 from m""",
@@ -363,3 +368,19 @@ from labeled""",
   round(avg({c}), 4) as avg_value, round(stddev_samp({c}), 4) as stddev_value from {t}"""
         for t, (_, nums) in DIM_TABLES.items() for c in nums),
 })
+
+ORACLE.update({
+    "run_summary": ORACLE["batch_stats"].rstrip().replace("select ('0x'", "select sum(n_keys)::bigint as unique_keys_processed, count(*) as chunks_processed from (select ('0x'", 1) + ")",
+    "src_pushed_scan": "select o_orderkey, o_totalprice from orders where o_totalprice > 200000 and o_orderstatus = 'F'",
+    "fix_flag_key_exclude": with_(VEHICLES) + f"select * from vehicles where {valid('VIN')}",
+    "fix_year_exclude": with_(VEHICLES) + "select id, year from vehicles where year >= 1997",
+    "fix_outliers_quantity": """select l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+  least(l_quantity, 40.0::double) as l_quantity_capped, l_quantity > 40 as l_quantity_outlier,
+  least(l_extendedprice, 60000.0::double) as l_extendedprice_capped, l_extendedprice > 60000 as l_extendedprice_outlier
+from lineitem""",
+    "clean_job_readback": with_(VEHICLES) + "select * from vehicles where cylinders is not null",
+    "append_readback": with_(VEHICLES) + "select id, VIN, cylinders from vehicles",
+    "load_table_readback": with_(VEHICLES) + "select id + 7300000000 as id, VIN, try_cast(trim(cylinders) as double) as cylinders from vehicles",
+    "csv_quotes_readback": """select doc_id, '"a", "' || lang || '"' || chr(10) || ',' || source as field from documents""",
+    "dq_source_path": ORACLE["dq_docs"],
+})

@@ -3,7 +3,7 @@ one distributed output, report counts. One job, no shuffle."""
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.cleaning import _nullish, dry_run_estimate
 from ..session import observed
@@ -11,17 +11,19 @@ from ..sources.sinks import path_exists, write_table
 from ..sources.tables import normalize_na, read_table
 
 
-def clean(spark: SparkSession, input_path: str, output_path: str,
+def clean(spark: SparkSession, input_path: str | DataFrame, output_path: str,
           column: str = "cylinders", overwrite: bool = True, dry_run: bool = False,
-          normalize: bool = False, fmt: str | None = None) -> dict:
+          normalize: bool = False, fmt: str | None = None,
+          input_fmt: str | None = None) -> dict:
     """Returns ``total_rows, filtered_rows, cleaned_rows, retention_pct``.
 
     ``overwrite=False`` refuses an existing output with ``FileExistsError``
     before doing any work (K3). ``dry_run`` writes nothing and returns the
     head-sample estimate (A8). ``normalize`` folds NA tokens into NULL first
-    (S3) — the text-file reader's behaviour.
+    (S3) — the text-file reader's behaviour. ``input_fmt`` is the format of
+    ``input_path`` where its suffix does not tell.
     """
-    df = read_table(spark, input_path)
+    df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path, fmt=input_fmt)
     if normalize:
         df = normalize_na(df)
     if dry_run:

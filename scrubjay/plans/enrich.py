@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.keys import key_stats, unseen
 from ..operators.merge import merge_lookup
-from ..session import observed, work_dir
+from ..session import drop_dir, observed, work_dir
 from ..sources.sinks import path_exists, stored_bytes, write_table
 from ..sources.tables import normalize_na, read_table, require_columns
-from ..streaming.incremental import read_lookup_cache, seen_keys
+from ..streaming.incremental import append_results, read_lookup_cache, seen_keys
 
 
 def _hot_from_stats(total: int, kstats: DataFrame, key: str, min_share: float = 0.01) -> list:
@@ -52,7 +52,7 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
            cache: str | None = None, overwrite: bool = True, detect_skew: bool = True,
            fmt: str | None = None, broadcast_bytes: int | None = None,
            append: bool = False, normalize: bool = False,
-           co_located: bool = False) -> dict:
+           co_located: bool = False, input_fmt: str | None = None) -> dict:
     """Run one enrichment; returns ``total_rows, vins_enriched,
     successful_enrichments, failed_enrichments, success_rate, rows_updated,
     mean_response_time, keys_per_minute, processing_time`` (A3, A6, A16). ``cache`` is the persistent lookup table folder
@@ -61,13 +61,14 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     (default: ``spark.sql.autoBroadcastJoinThreshold``). ``append`` adds the
     enriched rows to an existing output (e.g. enrich only the rows read with
     ``where cylinders IS NULL`` and append them to an enriched table, K6).
+    ``input_fmt`` is the format of ``input_path`` where its suffix does not tell.
     ``normalize`` folds the text NA tokens (``""``, ``None``, ``NaN``, ...)
     into NULL first, as a pandas-style CSV reader does (S3); then such
     values are filled, not only looked up. ``co_located`` is for an input
     table bucketed by ``key``: the merge keeps its buckets and shuffles only
     the lookup side (see ``merge_lookup``)."""
     t0 = time.time()
-    df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path)
+    df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path, fmt=input_fmt)
     require_columns(df, [key])
     if normalize:
         df = normalize_na(df)
@@ -92,9 +93,7 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     if seen is not None:
         keys = unseen(keys, seen, key)
     t_lookup = time.time()
-    write_table(lookup(keys).withColumn("batch_id", F.lit(run)),
-                f"{cache}/batch_id={run}", mode="overwrite", fmt="parquet")
-    this_run = spark.read.parquet(f"{cache}/batch_id={run}")
+    this_run = append_results(lookup(keys), cache, run)
     st = this_run.agg(F.count(F.lit(1)).alias("n"),
                       F.count_if(F.col("api_cylinders").isNotNull()).alias("ok"),
                       F.avg("api_response_time").alias("t")).first()
@@ -130,6 +129,8 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
         write_table(watched.drop("_filled"), output_path, mode=out_mode, fmt=fmt)
         m = observed(obs, "n", "updated")
         total, updated = int(m["n"]), int(m["updated"])
+        drop_dir(spark, rel_path)
+    drop_dir(spark, stats_path)
     return {"total_rows": total, "vins_enriched": attempted,
             "successful_enrichments": ok, "failed_enrichments": attempted - ok,
             "success_rate": round(ok * 100.0 / attempted, 4) if attempted else None,

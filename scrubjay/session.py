@@ -51,18 +51,32 @@ def get_spark(master: str | None = None, app: str = "scrubjay",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One process holds the driver and its tasks, so a local folder is shared."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a work folder that is no longer needed, on any Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; we read
-    it from the session. Only when it is unset (local tests) do we create one
-    and register it, so lineage cuts never land on a machine-local path on a
-    real cluster.
+    it from the session. When it is unset, a local session gets a temporary
+    folder, registered for the rest of the session; on a cluster this is an
+    error, since executors would each write to their own disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="scrubjay-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)

@@ -38,6 +38,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def probe_targets(spark: SparkSession, file: str | None = None, uri: str | None = None,
+                  table: str | None = None) -> dict[str, bool]:
+    """Which of the given outputs are there already: a file, an object-store URI,
+    a catalog table (K3)."""
+    found = {}
+    if file is not None:
+        found["file"] = path_exists(spark, file)
+    if uri is not None:
+        found["uri"] = path_exists(spark, uri)
+    if table is not None:
+        found["table"] = spark.catalog.tableExists(table)
+    return found
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored under a path (file or folder), from the file system's
     metadata; -1 when absent. Used to decide broadcasts on a proven size."""

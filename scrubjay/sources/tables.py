@@ -63,18 +63,6 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a small input at least ``min_partitions`` (default: the cluster's
-    parallelism) partitions so per-row work uses every core. A large input
-    already has more splits than cores and is returned untouched, so this
-    never adds a shuffle at scale."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def filtered_scan(df: DataFrame, column: str, missing: bool = True) -> DataFrame:
     """``SELECT * WHERE column IS [NOT] NULL``."""
     c = F.col(column)

@@ -1,6 +1,6 @@
 """Incremental, resumable runs with Structured Streaming."""
 
 from .incremental import (  # noqa: F401
-    csv_source, land_csv, stream_clean, stream_enrich, read_lookup_cache, seen_keys,
-    TRANSIENT_ERRORS, job_fingerprint, retry_transient,
+    append_results, compact_cache, csv_source, land_csv, read_lookup_cache, retry_transient,
+    seen_keys, stream_clean, stream_enrich, TRANSIENT_ERRORS,
 )

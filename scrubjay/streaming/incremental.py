@@ -3,71 +3,105 @@
 * ``stream_clean``: each new ``*.csv`` file in a folder is cleaned and
   appended to a Parquet sink; the checkpoint remembers which files are done,
   so reruns only process new files (S8, T1).
-* ``stream_enrich``: rows land in a Parquet file sink; keys needing a value
-  go through streaming ``dropDuplicates``, whose state store remembers every
-  key ever seen, so each is looked up once across micro-batches and runs
-  (T3) at a cost that grows with the batch, not with the lookup table.
-  Results are written per micro-batch id with ``overwrite``, so a replayed
-  batch rewrites the same folder: no duplicates, no lost keys (D4).
-  Transient failures are retried as a batch step (D5); one batch join of
-  the landed rows with the lookup table gives the enriched output (T5).
+* ``stream_enrich``: each micro-batch is written to ``landed/batch_id=N``; its
+  distinct keys that need a value and have no final result yet (an anti-join with
+  the lookup table) are looked up once (T3); its rows are joined with the results of
+  its own keys and written to ``out/batch_id=N`` (T5). All folders are written
+  with ``overwrite`` by micro-batch id, so a replayed batch leaves neither
+  duplicates nor gaps (D4). Work follows the size of the batch; the lookup
+  table is compacted when it has many folders. Transient failures are
+  retried once at the end of a run and their batches merged again (D5).
+
+Lookup tables have one order for all writers: a final result beats a transient
+failure, then the latest ``looked_up_at`` wins.
 """
 
 from __future__ import annotations
 
+import threading
+import time
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
+from ..functions.json import ERR_REQUEST_PREFIX, ERR_TIMEOUT
 from ..operators.cleaning import drop_missing
-from ..functions.keys import usable
-from ..operators.keys import value_missing
+from ..operators.keys import keys_to_enrich, unseen
 from ..operators.merge import merge_lookup
+from ..session import drop_dir
 from ..sources.sinks import path_exists, write_table
 from ..sources.tables import CSV_READ_OPTIONS
-from ..functions.json import ERR_TIMEOUT
 
 # Errors worth another attempt on a later run.
-TRANSIENT_ERRORS = (ERR_TIMEOUT, "API request failed:%")
+TRANSIENT_ERRORS = (ERR_TIMEOUT, ERR_REQUEST_PREFIX.rstrip() + "%")
+MAX_BYTES = 1 << 30  # of input in one micro-batch; raise it with the cluster
 
 
-def job_fingerprint(source: str, config: dict | None = None, n: int = 12) -> str:
-    """Stable id for a (source, settings) pair: MD5 of the source path and
-    the settings as sorted-key JSON, first ``n`` hex digits (F15). Use it to
-    name a job's work folder, so a rerun with the same settings resumes from
-    the same checkpoint and lookup table, and changed settings start fresh.
-    Which files are done is tracked by the stream's own file log (D14)."""
-    import hashlib
-    import json as _json
+def land_csv(df: DataFrame, folder: str, rows_per_file: int = 1_000_000) -> None:
+    """Write ``df`` as CSV part files (a stand-in for uploads): as many as its
+    partitions, more where a partition is large."""
+    write_table(df, folder, mode="overwrite", fmt="csv", maxRecordsPerFile=rows_per_file)
 
-    text = f"{source}:{_json.dumps(config or {}, sort_keys=True, default=str)}"
-    return hashlib.md5(text.encode("utf-8"), usedforsecurity=False).hexdigest()[:n]
 
-
-def land_csv(df: DataFrame, folder: str, files: int = 4) -> None:
-    """Write ``df`` as ``files`` CSV part files (a stand-in for uploads)."""
-    write_table(df.repartition(files), folder, mode="overwrite", fmt="csv")
-
-
-def csv_source(spark: SparkSession, folder: str, schema,
-               max_files_per_trigger: int | None = 1) -> DataFrame:
+def csv_source(spark: SparkSession, folder: str, schema, max_files_per_trigger: int | None = None,
+               max_bytes_per_trigger: int | None = MAX_BYTES) -> DataFrame:
     """Streaming CSV reader over new ``*.csv`` files only (S5, S8). The
-    schema is explicit (no inference on a stream); ``maxFilesPerTrigger``
-    bounds each micro-batch like a chunk size does."""
+    schema is explicit (no inference on a stream). A micro-batch takes files up to
+    ``max_bytes_per_trigger``, each file being one task, or a number of files if
+    ``max_files_per_trigger`` is given."""
     r = (spark.readStream.schema(schema).options(**CSV_READ_OPTIONS)
          .option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return r.csv(folder)
 
 
+class _Progress(StreamingQueryListener):
+    """Adds up the observed counts of every micro-batch. A query's own list of
+    recent progress keeps the last 100 only."""
+
+    def __init__(self, name: str):
+        self.name, self.totals, self.ended = name, {}, {}
+        self.lock = threading.Lock()
+
+    def _end(self, run) -> threading.Event:
+        with self.lock:
+            return self.ended.setdefault(str(run), threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None and row["total_rows"]:
+            t = self.totals.setdefault(str(event.progress.runId), {"batches": 0, "total_rows": 0, "filtered_rows": 0})
+            t["batches"] += 1
+            t["total_rows"] += row["total_rows"]
+            t["filtered_rows"] += row["filtered_rows"]
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(event.runId).set()
+
+    def of(self, run) -> dict:
+        """Totals of a run; its end event comes after all its progress events."""
+        if not self._end(run).wait(120):
+            raise RuntimeError("progress events of the stream did not arrive")
+        return self.totals.get(str(run), {"batches": 0, "total_rows": 0, "filtered_rows": 0})
+
+
 def stream_clean(spark: SparkSession, src: str, sink: str, checkpoint: str, schema,
-                 column: str = "cylinders", max_files_per_trigger: int | None = 1,
-                 normalize: bool = False) -> dict:
+                 column: str = "cylinders", max_files_per_trigger: int | None = None,
+                 normalize: bool = False, max_bytes_per_trigger: int | None = MAX_BYTES) -> dict:
     """Clean every new CSV file into a Parquet sink (append). Runs until the
     files present at start are done (``availableNow``) and returns progress.
     ``normalize`` folds text NA tokens into NULL first (S3)."""
-    s = csv_source(spark, src, schema, max_files_per_trigger)
+    s = csv_source(spark, src, schema, max_files_per_trigger, max_bytes_per_trigger)
     if normalize:
         from ..sources.tables import normalize_na
         s = normalize_na(s)
@@ -75,142 +109,154 @@ def stream_clean(spark: SparkSession, src: str, sink: str, checkpoint: str, sche
     # the CSV reader, so the counts are exact rather than post-pushdown).
     nul = F.count_if(F.col(column).isNull()) if column in s.columns else F.lit(0).cast("bigint")
     watched = s.observe("clean", F.count(F.lit(1)).alias("total_rows"), nul.alias("filtered_rows"))
-    q = (drop_missing(watched, column).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).option("path", sink)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    total = filtered = batches = 0
-    for p in q.recentProgress:
-        m = (p.get("observedMetrics") or {}).get("clean")
-        if m is not None and m["total_rows"]:
-            batches += 1
-            total += m["total_rows"]
-            filtered += m["filtered_rows"]
-    return {"batches": batches, "rows_in": total, "filtered_rows": filtered,
-            "cleaned_rows": total - filtered}
+    progress = _Progress("clean")
+    spark.streams.addListener(progress)
+    try:
+        q = (drop_missing(watched, column).writeStream.format("parquet")
+             .option("checkpointLocation", checkpoint).option("path", sink)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        t = progress.of(q.runId)
+    finally:
+        spark.streams.removeListener(progress)
+    return {"batches": t["batches"], "rows_in": t["total_rows"], "filtered_rows": t["filtered_rows"],
+            "cleaned_rows": t["total_rows"] - t["filtered_rows"]}
+
+
+def _transient(col: str = "api_error_message") -> Column:
+    t = F.lit(False)
+    for pat in TRANSIENT_ERRORS:
+        t = t | F.coalesce(F.col(col).like(pat), F.lit(False))
+    return t
+
+
+def _cache(spark: SparkSession, cache: str, exclude_batch: int | None = None) -> DataFrame | None:
+    if not path_exists(spark, cache):
+        return None
+    c = spark.read.parquet(cache)
+    return c if exclude_batch is None else c.filter(F.col("batch_id") != exclude_batch)
+
+
+def append_results(results: DataFrame, cache: str, batch_id: int) -> DataFrame:
+    """Write lookup results as a folder of the lookup table, stamped with the time;
+    writing the same ``batch_id`` again replaces it. Returns what was written."""
+    spark, path = results.sparkSession, f"{cache}/batch_id={batch_id}"
+    write_table(results.withColumn("looked_up_at", F.lit(time.time_ns() // 1000)), path,
+                mode="overwrite", fmt="parquet")
+    return spark.read.parquet(path)
 
 
 def seen_keys(spark: SparkSession, cache: str, key: str = "VIN",
               exclude_batch: int | None = None) -> DataFrame | None:
     """Keys with a final result in the lookup table (transient failures are
     not final). Just a filtered key scan: the anti-join needs no dedupe."""
-    if not path_exists(spark, cache):
-        return None
-    c = spark.read.parquet(cache)
-    if exclude_batch is not None:
-        c = c.filter(F.col("batch_id") != exclude_batch)
-    for pat in TRANSIENT_ERRORS:
-        c = c.filter(~F.coalesce(F.col("api_error_message").like(pat), F.lit(False)))
-    return c.select(key)
+    c = _cache(spark, cache, exclude_batch)
+    return None if c is None else c.filter(~_transient()).select(key)
 
 
-def read_lookup_cache(spark: SparkSession, cache: str, key: str = "VIN",
-                      exclude_batch: int | None = None) -> DataFrame | None:
-    """Lookup table, one row per key: the latest batch's result wins (a key
-    retried after a transient failure appears in two batches)."""
-    if not path_exists(spark, cache):
-        return None
-    c = spark.read.parquet(cache)
-    if exclude_batch is not None:
-        c = c.filter(F.col("batch_id") != exclude_batch)
+def _latest(c: DataFrame, key: str) -> DataFrame:
+    """One row per key: a final result before a transient failure, then the latest."""
     cols = [x for x in c.columns if x not in (key, "batch_id")]
-    latest = c.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r"))
+    order = F.struct(~_transient(), F.col("looked_up_at"))
+    latest = c.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_r"))
     return latest.select(key, *[F.col("_r")[x].alias(x) for x in cols])
 
 
-def _transient(col: str = "api_error_message"):
-    t = F.lit(False)
-    for pat in TRANSIENT_ERRORS:
-        t = t | F.coalesce(F.col(col).like(pat), F.lit(False))
-    return t
+def read_lookup_cache(spark: SparkSession, cache: str, key: str = "VIN",
+                      exclude_batch: int | None = None) -> DataFrame | None:
+    """Lookup table, one row per key (see ``_latest``)."""
+    c = _cache(spark, cache, exclude_batch)
+    return None if c is None else _latest(c, key).drop("looked_up_at")
+
+
+def compact_cache(spark: SparkSession, cache: str, key: str = "VIN", max_folders: int = 64) -> bool:
+    """Rewrite a lookup table of more than ``max_folders`` folders as one. The new
+    folder is complete before the old ones go, so a crash in between only leaves rows that
+    ``read_lookup_cache`` folds together. Returns whether it was rewritten."""
+    c = _cache(spark, cache)
+    if c is None:
+        return False
+    ids = [r[0] for r in c.select("batch_id").distinct().limit(max_folders + 1).collect()]
+    if len(ids) <= max_folders:
+        return False
+    old = c.inputFiles()
+    folders = sorted({f.rsplit("/", 1)[0] for f in old})
+    write_table(_latest(c, key), f"{cache}/batch_id={time.time_ns() // 1000}", mode="overwrite", fmt="parquet")
+    for f in folders:
+        drop_dir(spark, f)
+    return True
 
 
 def retry_transient(spark: SparkSession, cache: str,
-                    lookup: Callable[[DataFrame], DataFrame], key: str = "VIN") -> int:
-    """Look up again the keys whose latest result is a transient failure
-    (timeouts, request errors) and append them as a new batch; permanent
-    failures stay (D5). Returns how many keys were retried.
+                    lookup: Callable[[DataFrame], DataFrame], key: str = "VIN") -> DataFrame | None:
+    """Look up again the keys whose result is still a transient failure (timeouts,
+    request errors) and append them to the lookup table; permanent failures stay (D5).
+    Returns the results of the retried keys, or None if there were none.
 
     Cheap when nothing failed: a filtered scan of the error column (pushed
     into Parquet) finds the candidates first; only those keys are checked for
-    a later, final result."""
-    import time as _time
-
-    if not path_exists(spark, cache):
-        return 0
-    raw = spark.read.parquet(cache)
+    a final result."""
+    raw = _cache(spark, cache)
+    if raw is None:
+        return None
     cands = raw.filter(_transient()).select(key).distinct()
     if cands.isEmpty():
-        return 0
-    latest = (raw.join(cands, key, "left_semi")
-              .groupBy(key).agg(F.max_by(_transient(), F.col("batch_id")).alias("_still")))
-    failed = latest.filter("_still").select(key)
-    if failed.isEmpty():
-        return 0
-    # ids above any stream batch id, so the retry wins in ``read_lookup_cache``
-    rid = int(_time.time() * 1000)
-    write_table(lookup(failed).withColumn("batch_id", F.lit(rid)),
-                f"{cache}/batch_id={rid}", mode="overwrite", fmt="parquet")
-    return spark.read.parquet(f"{cache}/batch_id={rid}").count()
+        return None
+    still = (raw.join(cands, key, "left_semi").groupBy(key)
+             .agg(F.bool_and(_transient()).alias("_still")).filter("_still").select(key))
+    if still.isEmpty():
+        return None
+    return append_results(lookup(still), cache, time.time_ns() // 1000)
 
 
 def stream_enrich(spark: SparkSession, src: str, work: str, schema,
                   lookup: Callable[[DataFrame], DataFrame], key: str = "VIN",
                   value: str = "cylinders", skip_existing: bool = True,
-                  max_files_per_trigger: int | None = 1,
-                  include_metadata: bool = True, retry: bool = True) -> tuple[DataFrame, dict]:
-    """Incremental enrichment over arriving CSV files.
-
-    Two streaming queries share the source:
-
-    * ``landed``: rows appended to a Parquet file sink, exactly once (its
-      metadata log lists committed files only);
-    * ``keys``: rows needing a value -> their key -> ``dropDuplicates(key)``.
-      The state store remembers every key ever seen (partitioned by key and
-      checkpointed; use the RocksDB provider for very many keys), so each key
-      is emitted once over all runs (T3) without re-reading the lookup table.
-      Each micro-batch looks its new keys up once and overwrites
-      ``cache/batch_id=N``: a replayed batch restores the same state, emits
-      the same keys and rewrites the same folder (D4).
-
-    Afterwards, keys whose latest result is a transient failure are retried
-    once as a batch (D5), and one batch join of all landed rows with the
-    lookup table gives the enriched table (T5). ``lookup(keys_df) ->
-    results_df`` is any lookup operator (table or external). Returns the
-    enriched table and run counters (A5).
+                  max_files_per_trigger: int | None = None,
+                  include_metadata: bool = True, retry: bool = True,
+                  max_bytes_per_trigger: int | None = MAX_BYTES) -> tuple[DataFrame, dict]:
+    """Incremental enrichment over arriving CSV files; see the module's text.
+
+    ``lookup(keys_df) -> results_df`` is any lookup operator (table or external).
+    Returns the enriched table of all runs (empty if nothing has landed) and counters of
+    this run: ``batches``, ``unique_keys_processed`` (keys looked up for the first time, A5) and
+    ``retried``. The results are written before they are used twice, so
+    an external service is called once per key.
     """
-    landed, cache, ckpt = f"{work}/landed", f"{work}/cache", f"{work}/checkpoint"
-    counters = {"batches": 0, "batch_ids": []}
-
-    def per_batch(keys: DataFrame, batch_id: int) -> None:
-        write_table(lookup(keys).withColumn("batch_id", F.lit(batch_id)),
-                    f"{cache}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
+    landed, cache, out, ckpt = f"{work}/landed", f"{work}/cache", f"{work}/out", f"{work}/checkpoint"
+    counters = {"batches": 0, "unique_keys_processed": 0, "retried": 0}
+
+    def merge(batch_id: int) -> None:
+        rows = spark.read.parquet(f"{landed}/batch_id={batch_id}")
+        results = read_lookup_cache(spark, cache, key)
+        mine = results.join(rows.select(key).distinct(), key, "left_semi")
+        write_table(merge_lookup(rows, mine, key, value, include_metadata),
+                    f"{out}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        write_table(batch, f"{landed}/batch_id={batch_id}", mode="overwrite", fmt="parquet")
+        rows = spark.read.parquet(f"{landed}/batch_id={batch_id}")
+        keys = keys_to_enrich(rows, key=key, value=value, skip_existing=skip_existing)
+        seen = seen_keys(spark, cache, key, exclude_batch=batch_id)
+        new = append_results(lookup(keys if seen is None else unseen(keys, seen, key)), cache, batch_id)
         counters["batches"] += 1
-        counters["batch_ids"].append(batch_id)
-
-    s = csv_source(spark, src, schema, max_files_per_trigger)
-    q_land = (s.writeStream.format("parquet").option("path", landed)
-              .option("checkpointLocation", f"{ckpt}/landed").outputMode("append")
-              .trigger(availableNow=True).start())
-    need = s.filter(usable(F.col(key)))
-    if skip_existing and value in s.columns:
-        need = need.filter(value_missing(s, value, "select"))
-    firsts = need.select(key).dropDuplicates([key])
-    q_keys = (firsts.writeStream.foreachBatch(per_batch)
-              .option("checkpointLocation", f"{ckpt}/keys").outputMode("append")
-              .trigger(availableNow=True).start())
-    q_land.awaitTermination()
-    q_keys.awaitTermination()
-    counters["retried"] = retry_transient(spark, cache, lookup, key) if retry else 0
-    # A5: keys this run looked up for the first time.
-    counters["unique_keys_processed"] = (
-        spark.read.parquet(cache).filter(F.col("batch_id").isin(counters["batch_ids"])).count()
-        if counters["batch_ids"] else 0)
-    if not path_exists(spark, landed):
-        return None, counters
-    rows = spark.read.parquet(landed)
-    results = read_lookup_cache(spark, cache, key)
-    if results is None:
+        counters["unique_keys_processed"] += new.count()
+        merge(batch_id)
+
+    s = csv_source(spark, src, schema, max_files_per_trigger, max_bytes_per_trigger)
+    q = (s.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    again = retry_transient(spark, cache, lookup, key) if retry else None
+    if again is not None:
+        counters["retried"] = again.count()
+        touched = (spark.read.parquet(landed).join(again.select(key), key, "left_semi")
+                   .select("batch_id").distinct())
+        for r in touched.collect():  # one number per micro-batch
+            merge(r[0])
+    compact_cache(spark, cache, key)
+    if not path_exists(spark, out):
         from ..operators.lookup import empty_results
-        results = empty_results(spark)
-    return merge_lookup(rows, results, key, value, include_metadata), counters
+        return merge_lookup(spark.createDataFrame([], schema), empty_results(spark), key, value,
+                            include_metadata), counters
+    return spark.read.parquet(out).drop("batch_id"), counters

@@ -8,13 +8,13 @@ from scrubjay.operators.lookup import empty_results, lookup_table
 from scrubjay.operators.merge import merge_lookup, rows_updated
 from scrubjay.operators.metrics import enrich_stats
 
-SAMPLE = [(1, "3GTP1VEC4EG551563", None, "gmc", "sierra"),
-          (2, "1GCSCSE06AZ123805", "8 cylinders", "chevrolet", "silverado"),
-          (3, "INVALIDVIN123456", None, "unknown", "unknown"),
+SAMPLE = [(1, "SCRUBJAY000000101", None, "nimbus", "vento"),
+          (2, "SCRUBJAY0AZ123805", "8 cylinders", "mistral", "sirocco"),
+          (3, "SHRTKEY000000707", None, "unknown", "unknown"),
           (4, "", None, "unknown", "unknown")]
 SCHEMA = "id long, VIN string, cylinders string, make string, model string"
-RESULTS = [("3GTP1VEC4EG551563", 8, "GMC", "Sierra", "2014", None, None, 1.0, None),
-           ("INVALIDVIN123456", None, None, None, None, None, None, 0.5, "Invalid VIN format")]
+RESULTS = [("SCRUBJAY000000101", 8, "NIMBUS", "Vento", "2011", None, None, 1.0, None),
+           ("SHRTKEY000000707", None, None, None, None, None, None, 0.5, "Invalid VIN format")]
 RSCHEMA = ("VIN string, api_cylinders int, api_make string, api_model string, api_year string, "
            "api_engine_displacement string, api_fuel_type string, api_response_time double, "
            "api_error_message string")
@@ -22,12 +22,12 @@ RSCHEMA = ("VIN string, api_cylinders int, api_make string, api_model string, ap
 
 def test_keys_to_enrich(spark):
     df = spark.createDataFrame(SAMPLE, SCHEMA)
-    assert {r.VIN for r in keys_to_enrich(df).collect()} == {"3GTP1VEC4EG551563", "INVALIDVIN123456"}
+    assert {r.VIN for r in keys_to_enrich(df).collect()} == {"SCRUBJAY000000101", "SHRTKEY000000707"}
     assert {r.VIN for r in keys_to_enrich(df, skip_existing=False).collect()} == {
-        "3GTP1VEC4EG551563", "1GCSCSE06AZ123805", "INVALIDVIN123456"}
+        "SCRUBJAY000000101", "SCRUBJAY0AZ123805", "SHRTKEY000000707"}
     # no value column: every usable key
     assert keys_to_enrich(df.drop("cylinders")).count() == 3
-    assert {r.VIN for r in invalid_keys(df).collect()} == {"INVALIDVIN123456"}
+    assert {r.VIN for r in invalid_keys(df).collect()} == {"SHRTKEY000000707"}
 
 
 def test_unseen(spark):
@@ -46,7 +46,7 @@ def test_merge_fill(spark):
     assert out.columns[5:] == ["api_cylinders", "api_make", "api_model", "api_year",
                                "api_engine_displacement", "api_fuel_type", "api_response_time",
                                "api_error_message"]
-    assert rows[1].api_cylinders == 8 and rows[1].api_make == "GMC" and rows[1].cylinders == "8.0"
+    assert rows[1].api_cylinders == 8 and rows[1].api_make == "NIMBUS" and rows[1].cylinders == "8.0"
     assert rows[2].cylinders == "8 cylinders" and rows[2].api_cylinders is None
     assert rows[3].api_error_message == "Invalid VIN format" and rows[3].cylinders is None
     assert rows[4].api_cylinders is None
@@ -54,13 +54,13 @@ def test_merge_fill(spark):
 
 def test_merge_existing_values(spark):
     # only rows 2 and 3 need a value; text None is looked up but not filled
-    df = spark.createDataFrame([(1, "3GTP1VEC4EG551563", "8"), (2, "1GCSCSE06AZ123805", None),
-                                (3, "3GCPWCED5LG130317", ""), (4, "5TFRM5F17HX120972", "6 cylinders"),
-                                (5, "1HGCM82633A004352", "None")], "id long, VIN string, cylinders string")
+    df = spark.createDataFrame([(1, "SCRUBJAY000000101", "8"), (2, "SCRUBJAY0AZ123805", None),
+                                (3, "SCRUBJAY000000505", ""), (4, "SCRUBJAY000000404", "6 cylinders"),
+                                (5, "SCRUBJAY000000202", "None")], "id long, VIN string, cylinders string")
     keys = keys_to_enrich(df)
-    assert {r.VIN for r in keys.collect()} == {"1GCSCSE06AZ123805", "3GCPWCED5LG130317", "1HGCM82633A004352"}
-    attrs = spark.createDataFrame([(k, 8) for k in ["3GTP1VEC4EG551563", "1GCSCSE06AZ123805",
-                                                    "3GCPWCED5LG130317", "1HGCM82633A004352"]],
+    assert {r.VIN for r in keys.collect()} == {"SCRUBJAY0AZ123805", "SCRUBJAY000000505", "SCRUBJAY000000202"}
+    attrs = spark.createDataFrame([(k, 8) for k in ["SCRUBJAY000000101", "SCRUBJAY0AZ123805",
+                                                    "SCRUBJAY000000505", "SCRUBJAY000000202"]],
                                   "vin_key string, api_cylinders int")
     res = lookup_table(keys, attrs)
     rows = {r.id: r for r in merge_lookup(df, res).collect()}
@@ -72,8 +72,8 @@ def test_merge_existing_values(spark):
 
 
 def test_merge_numeric_value_column(spark):
-    df = spark.createDataFrame([(1, "3GTP1VEC4EG551563", None), (2, "3GTP1VEC4EG551563", float("nan")),
-                                (3, "3GTP1VEC4EG551563", 6.0)], "id long, VIN string, cylinders double")
+    df = spark.createDataFrame([(1, "SCRUBJAY000000101", None), (2, "SCRUBJAY000000101", float("nan")),
+                                (3, "SCRUBJAY000000101", 6.0)], "id long, VIN string, cylinders double")
     res = spark.createDataFrame([RESULTS[0]], RSCHEMA)
     rows = {r.id: r.cylinders for r in merge_lookup(df, res).collect()}
     assert rows == {1: 8.0, 2: 8.0, 3: 6.0}
@@ -110,16 +110,16 @@ def test_golden_fill(spark):
     """sample_missing -> sample_enriched_demo: blank values filled with 8.0,
     the row with a value and no key keeps it and gets null api columns."""
     df = spark.createDataFrame(
-        [(7316814884, "3GTP1VEC4EG551563", None), (7316814758, "1GCSCSE06AZ123805", None),
-         (7316814989, "3GCPWCED5LG130317", None), (7316743432, "5TFRM5F17HX120972", None),
-         (7316356412, None, "6 cylinders")], "id long, VIN string, cylinders string")
-    attrs = spark.createDataFrame([(k, 8, "X") for k in ["3GTP1VEC4EG551563", "1GCSCSE06AZ123805",
-                                                         "3GCPWCED5LG130317", "5TFRM5F17HX120972"]],
+        [(7400000001, "SCRUBJAY000000101", None), (7400000002, "SCRUBJAY0AZ123805", None),
+         (7400000003, "SCRUBJAY000000505", None), (7400000004, "SCRUBJAY000000404", None),
+         (7400000005, None, "6 cylinders")], "id long, VIN string, cylinders string")
+    attrs = spark.createDataFrame([(k, 8, "X") for k in ["SCRUBJAY000000101", "SCRUBJAY0AZ123805",
+                                                         "SCRUBJAY000000505", "SCRUBJAY000000404"]],
                                   "vin_key string, api_cylinders int, api_make string")
     out = merge_lookup(df, lookup_table(keys_to_enrich(df), attrs))
     rows = {r.id: r for r in out.collect()}
-    assert [rows[i].cylinders for i in (7316814884, 7316814758, 7316814989, 7316743432)] == ["8.0"] * 4
-    last = rows[7316356412]
+    assert [rows[i].cylinders for i in (7400000001, 7400000002, 7400000003, 7400000004)] == ["8.0"] * 4
+    last = rows[7400000005]
     assert last.cylinders == "6 cylinders" and last.api_cylinders is None and last.api_error_message is None
 
 
@@ -175,6 +175,30 @@ def test_co_located_merge_keeps_bucketing(spark):
     want = sorted(map(tuple, merge_lookup(b, res, hot=None).collect()), key=str)
     assert got == want and len(got) == 20
     # results derived from the same table (the usual case) resolve cleanly
-    attrs = spark.createDataFrame([("3GTP1VEC4EG551563", 8)], "vin_key string, api_cylinders int")
+    attrs = spark.createDataFrame([("SCRUBJAY000000101", 8)], "vin_key string, api_cylinders int")
     derived = merge_lookup(b, lookup_table(keys_to_enrich(b), attrs), co_located=True)
     assert derived.filter("cylinders = '8.0'").count() == 5
+
+
+def test_building_a_merge_starts_no_job(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("merge-build", "")
+    df = spark.createDataFrame([(1, "K", None), (2, None, None), (3, " ", None)], "id long, VIN string, cylinders string")
+    out = merge_lookup(df, spark.createDataFrame([("K", 8, None, None, None, None, None, 0.0, None)], RSCHEMA))
+    assert list(sc.statusTracker().getJobIdsForGroup("merge-build")) == []
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.id, r.cylinders) for r in out.collect()) == [(1, "8.0"), (2, None), (3, None)]
+
+
+def test_unusable_keys_stay_out_of_a_co_located_join(spark):
+    """40% of the keys are NULL or blank: they take no part in the join's tasks."""
+    rows = [(i, [None, " ", f"K{i % 97}", f"K{i % 89}", "K5"][i % 5]) for i in range(5000)]
+    spark.createDataFrame(rows, "id long, VIN string").write.mode("overwrite").bucketBy(4, "VIN").saveAsTable("null_heavy")
+    res = spark.createDataFrame([(f"K{i}", i, None, None, None, None, None, 0.0, None) for i in range(97)], RSCHEMA)
+    out = merge_lookup(spark.table("null_heavy"), res, co_located=True, include_metadata=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and plan.startswith("Union")
+    assert out.count() == 5000 and out.filter("api_cylinders IS NULL").count() == 2000
+    import pytest
+    with pytest.raises(ValueError, match="salt"):
+        merge_lookup(spark.table("null_heavy"), res, co_located=True, hot=["K5"])

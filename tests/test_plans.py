@@ -21,11 +21,11 @@ def _attrs(spark, pairs):
 
 
 def test_enrich_small_batch_and_rerun(spark, tmpdir_path):
-    vins = ["3GTP1VEC4EG551563", "1GCSCSE06AZ123805", "1HGCM82633A004352", "JTDKN3DU7A1234567",
-            "5TFRM5F17HX120972"]
+    vins = ["SCRUBJAY000000101", "SCRUBJAY0AZ123805", "SCRUBJAY000000202", "SCRUBJAY000000303",
+            "SCRUBJAY000000404"]
     src = _csv(spark, [(i, v, None, 2014) for i, v in enumerate(vins)],
                "id long, VIN string, cylinders string, year int", f"{tmpdir_path}/in.csv")
-    attrs = _attrs(spark, [(v, 8, "GMC") for v in vins])
+    attrs = _attrs(spark, [(v, 8, "NIMBUS") for v in vins])
     cache = f"{tmpdir_path}/cache"
     st = enrich(spark, src, f"{tmpdir_path}/out.parquet", lambda k: lookup_table(k, attrs), cache=cache)
     assert (st["total_rows"], st["vins_enriched"], st["successful_enrichments"],
@@ -41,17 +41,17 @@ def test_enrich_small_batch_and_rerun(spark, tmpdir_path):
 
 
 def test_enrich_errors_and_transient_retry(spark, tmpdir_path):
-    src = _csv(spark, [("3GTP1VEC4EG551563",), ("INVALIDVIN123456",), ("1GCSCSE06AZ500500",),
-                       ("1GCSCSE06AZ400400",), ("",)], "VIN string", f"{tmpdir_path}/in.csv")
+    src = _csv(spark, [("SCRUBJAY000000101",), ("SHRTKEY000000707",), ("SCRUBJAY0AZ500500",),
+                       ("SCRUBJAY0AZ400400",), ("",)], "VIN string", f"{tmpdir_path}/in.csv")
     state = f"{tmpdir_path}/down"
     open(state, "w").close()
 
     def fetch(key):
-        if key == "3GTP1VEC4EG551563":
-            return {"Results": [{"EngineCylinders": "8", "Make": "GMC"}]}
-        if key == "1GCSCSE06AZ500500" and os.path.exists(state):
+        if key == "SCRUBJAY000000101":
+            return {"Results": [{"EngineCylinders": "8", "Make": "NIMBUS"}]}
+        if key == "SCRUBJAY0AZ500500" and os.path.exists(state):
             raise TimeoutError()
-        if key == "1GCSCSE06AZ400400":
+        if key == "SCRUBJAY0AZ400400":
             return {"Results": []}
         return {"Results": [{"EngineCylinders": "6"}]}
 
@@ -61,31 +61,31 @@ def test_enrich_errors_and_transient_retry(spark, tmpdir_path):
     assert (st["total_rows"], st["vins_enriched"], st["successful_enrichments"],
             st["failed_enrichments"]) == (5, 4, 1, 3)
     out = {r.VIN: r for r in spark.read.parquet(f"{tmpdir_path}/o1").collect()}
-    assert out["3GTP1VEC4EG551563"].cylinders == 8  # column created from the lookup (P11)
-    assert out["1GCSCSE06AZ500500"].api_error_message == "API request timeout"
+    assert out["SCRUBJAY000000101"].cylinders == 8  # column created from the lookup (P11)
+    assert out["SCRUBJAY0AZ500500"].api_error_message == "API request timeout"
     os.remove(state)  # the service recovers: only the transient failure is retried
     st2 = enrich(spark, src, f"{tmpdir_path}/o2", look, cache=cache, fmt="parquet")
     assert (st2["vins_enriched"], st2["successful_enrichments"]) == (1, 1)
     out2 = {r.VIN: r for r in spark.read.parquet(f"{tmpdir_path}/o2").collect()}
-    assert out2["1GCSCSE06AZ500500"].cylinders == 6
-    assert out2["INVALIDVIN123456"].api_error_message == "Invalid VIN format"
+    assert out2["SCRUBJAY0AZ500500"].cylinders == 6
+    assert out2["SHRTKEY000000707"].api_error_message == "Invalid VIN format"
 
 
 def test_enrich_header_only_single_row_and_many(spark, tmpdir_path):
-    attrs = _attrs(spark, [(f"1GCSCSE06AZ{i:06d}", 8 if i % 2 == 0 else 6, "CHEVROLET")
-                           for i in range(100)] + [("3GTP1VEC4EG551563", 8, "GMC")])
+    attrs = _attrs(spark, [(f"SCRUBJAY0AZ{i:06d}", 8 if i % 2 == 0 else 6, "MISTRAL")
+                           for i in range(100)] + [("SCRUBJAY000000101", 8, "NIMBUS")])
     look = lambda k: lookup_table(k, attrs)
     empty = _csv(spark, [], "id long, VIN string, cylinders string", f"{tmpdir_path}/empty.csv")
     st = enrich(spark, empty, f"{tmpdir_path}/e_out.csv", look, stable_schema=False)
     assert (st["total_rows"], st["vins_enriched"], st["successful_enrichments"]) == (0, 0, 0)
     back = read_table(spark, f"{tmpdir_path}/e_out.csv")
     assert back.count() == 0 and "VIN" in back.columns
-    one = _csv(spark, [(1, "3GTP1VEC4EG551563", None)], "id long, VIN string, cylinders string",
+    one = _csv(spark, [(1, "SCRUBJAY000000101", None)], "id long, VIN string, cylinders string",
                f"{tmpdir_path}/one.csv")
     st = enrich(spark, one, f"{tmpdir_path}/one_out.parquet", look)
     assert (st["total_rows"], st["vins_enriched"], st["successful_enrichments"]) == (1, 1, 1)
     assert spark.read.parquet(f"{tmpdir_path}/one_out.parquet").first().cylinders == "8.0"
-    many = _csv(spark, [(i, f"1GCSCSE06AZ{i:06d}", None) for i in range(100)],
+    many = _csv(spark, [(i, f"SCRUBJAY0AZ{i:06d}", None) for i in range(100)],
                 "id long, VIN string, cylinders string", f"{tmpdir_path}/many.csv")
     st = enrich(spark, many, f"{tmpdir_path}/many_out.parquet", look)
     assert (st["total_rows"], st["vins_enriched"], st["successful_enrichments"]) == (100, 100, 100)
@@ -119,9 +119,9 @@ def test_clean_job(spark, tmpdir_path):
 def test_enrich_missing_rows_and_append(spark, tmpdir_path):
     """Read only rows lacking a value (pushed-down filter), enrich them and
     append to an output table."""
-    rows = [(1, "3GTP1VEC4EG551563", None), (2, "1GCSCSE06AZ123805", "6"), (3, "1HGCM82633A004352", None)]
+    rows = [(1, "SCRUBJAY000000101", None), (2, "SCRUBJAY0AZ123805", "6"), (3, "SCRUBJAY000000202", None)]
     spark.createDataFrame(rows, "id long, VIN string, cylinders string").write.parquet(f"{tmpdir_path}/v.parquet")
-    attrs = _attrs(spark, [("3GTP1VEC4EG551563", 8, "GMC"), ("1HGCM82633A004352", 4, "HONDA")])
+    attrs = _attrs(spark, [("SCRUBJAY000000101", 8, "NIMBUS"), ("SCRUBJAY000000202", 4, "LEVANT")])
     missing = read_table(spark, f"{tmpdir_path}/v.parquet", where="cylinders IS NULL")
     out = f"{tmpdir_path}/enriched.parquet"
     st = enrich(spark, missing, out, lambda k: lookup_table(k, attrs), append=True)
@@ -140,12 +140,12 @@ def test_clean_header_only(spark, tmpdir_path):
 def test_nothing_to_enrich_golden(spark, tmpdir_path):
     """Rows 1-4 have a value and row 5 has no key: nothing is looked up and,
     without a stable schema, the output equals the input."""
-    rows = [(7316814884, "3GTP1VEC4EG551563", "8 cylinders"), (7316814758, "1GCSCSE06AZ123805", "8 cylinders"),
-            (7316814989, "3GCPWCED5LG130317", "8 cylinders"), (7316743432, "5TFRM5F17HX120972", "8 cylinders"),
-            (7316356412, None, "6 cylinders")]
+    rows = [(7400000001, "SCRUBJAY000000101", "8 cylinders"), (7400000002, "SCRUBJAY0AZ123805", "8 cylinders"),
+            (7400000003, "SCRUBJAY000000505", "8 cylinders"), (7400000004, "SCRUBJAY000000404", "8 cylinders"),
+            (7400000005, None, "6 cylinders")]
     schema = "id long, VIN string, cylinders string"
     src = _csv(spark, rows, schema, f"{tmpdir_path}/sample.csv")
-    attrs = _attrs(spark, [("3GTP1VEC4EG551563", 8, "GMC")])
+    attrs = _attrs(spark, [("SCRUBJAY000000101", 8, "NIMBUS")])
     st = enrich(spark, src, f"{tmpdir_path}/out.csv", lambda k: lookup_table(k, attrs), stable_schema=False)
     assert (st["total_rows"], st["vins_enriched"], st["rows_updated"]) == (5, 0, 0)
     back = read_table(spark, f"{tmpdir_path}/out.csv")
@@ -155,9 +155,9 @@ def test_nothing_to_enrich_golden(spark, tmpdir_path):
 
 
 def test_enrich_normalize_fills_na_tokens(spark, tmpdir_path):
-    rows = [(1, "3GTP1VEC4EG551563", "None"), (2, "3GTP1VEC4EG551563", "NaN"), (3, "3GTP1VEC4EG551563", "8")]
+    rows = [(1, "SCRUBJAY000000101", "None"), (2, "SCRUBJAY000000101", "NaN"), (3, "SCRUBJAY000000101", "8")]
     src = _csv(spark, rows, "id long, VIN string, cylinders string", f"{tmpdir_path}/na.csv")
-    attrs = _attrs(spark, [("3GTP1VEC4EG551563", 6, "GMC")])
+    attrs = _attrs(spark, [("SCRUBJAY000000101", 6, "NIMBUS")])
     look = lambda k: lookup_table(k, attrs)
     enrich(spark, src, f"{tmpdir_path}/raw.parquet", look)
     enrich(spark, src, f"{tmpdir_path}/norm.parquet", look, normalize=True)
@@ -171,14 +171,14 @@ def test_enrich_broadcast_or_shuffle_same_output(spark, tmpdir_path):
     """The size check picks broadcast or a shuffle join; results are equal.
     A lookup table full of other inputs' keys is cut to this input's keys
     before it is sized."""
-    vins = [f"1GCSCSE06AZ{i:06d}" for i in range(40)]
+    vins = [f"SCRUBJAY0AZ{i:06d}" for i in range(40)]
     src = _csv(spark, [(i, vins[i % 40], None if i % 3 else "8") for i in range(200)],
                "id long, VIN string, cylinders string", f"{tmpdir_path}/in.csv")
-    attrs = _attrs(spark, [(v, 4 + i % 3, "CHEVROLET") for i, v in enumerate(vins)])
+    attrs = _attrs(spark, [(v, 4 + i % 3, "MISTRAL") for i, v in enumerate(vins)])
     look = lambda k: lookup_table(k, attrs)
     cache = f"{tmpdir_path}/cache"
     # an earlier run over many other keys fills the lookup table
-    other = _csv(spark, [(i, f"3GCPWCED5LG{i:06d}", None) for i in range(3000)],
+    other = _csv(spark, [(i, f"SCRUBJAY1BZ{i:06d}", None) for i in range(3000)],
                  "id long, VIN string, cylinders string", f"{tmpdir_path}/other.csv")
     enrich(spark, other, f"{tmpdir_path}/other_out.parquet", look, cache=cache)
     a = enrich(spark, src, f"{tmpdir_path}/a.parquet", look, cache=cache, broadcast_bytes=1 << 30)
@@ -189,10 +189,10 @@ def test_enrich_broadcast_or_shuffle_same_output(spark, tmpdir_path):
 
 
 def test_enrich_co_located_bucketed_input(spark, tmpdir_path):
-    rows = [(i, f"1GCSCSE06AZ{i % 7:06d}", None if i % 2 else "8") for i in range(50)]
+    rows = [(i, f"SCRUBJAY0AZ{i % 7:06d}", None if i % 2 else "8") for i in range(50)]
     spark.createDataFrame(rows, "id long, VIN string, cylinders string").write.mode("overwrite") \
         .bucketBy(4, "VIN").saveAsTable("enrich_bucketed")
-    attrs = _attrs(spark, [(f"1GCSCSE06AZ{i:06d}", 6, "X") for i in range(7)])
+    attrs = _attrs(spark, [(f"SCRUBJAY0AZ{i:06d}", 6, "X") for i in range(7)])
     st = enrich(spark, spark.table("enrich_bucketed"), f"{tmpdir_path}/out.parquet",
                 lambda k: lookup_table(k, attrs), co_located=True)
     assert st["rows_updated"] == 25

@@ -7,10 +7,10 @@ from scrubjay.operators.profiling import cardinality, key_profile, null_profile,
 from scrubjay.operators.remediation import (cap_outliers, drop_all_null, flag_invalid_key, impute,
                                             null_out_of_range)
 
-ROWS = [(1, "3GTP1VEC4EG551563", 100.0, 2014, None, "white"),
+ROWS = [(1, "SCRUBJAY000000101", 100.0, 2014, None, "white"),
         (2, None, float("nan"), 1975, None, None),
         (3, "SHORT", 3.7e9, None, None, "blue"),
-        (4, "1GCSCSE06AZ12380I", 5.0, 2001, None, "white")]
+        (4, "SCRUBJAY0AZ12380I", 5.0, 2001, None, "white")]
 SCHEMA = "id long, VIN string, price double, year int, county string, paint_color string"
 
 

@@ -3,7 +3,7 @@
 from scrubjay.operators.quality import (NonNull, Range, RowCondition, TableCondition, by_dimension,
                                         export_results, latest, run_suite, vehicle_rules)
 
-ROWS = [(1, "3GTP1VEC4EG551563", "8", 2014), (2, "3GTP1VEC4EG551563", None, 1899),
+ROWS = [(1, "SCRUBJAY000000101", "8", 2014), (2, "SCRUBJAY000000101", None, 1899),
         (3, None, "6", 2025), (4, "SHORT", "4", None)]
 SCHEMA = "id long, VIN string, cylinders string, year int"
 
@@ -94,3 +94,17 @@ def test_flag_uses_unrounded_ratio(spark):
     df = spark.range(3_000_000).selectExpr("case when id = 7 then null else id end as x")
     r = run_suite(df, [NonNull(name="nn", dimension="COMPLETENESS", column="x")]).first()
     assert r.pass_ratio == 1.0 and r.passed_flag is False
+
+
+def test_export_again_replaces_the_run(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "x")], "id long, VIN string")
+    rules = [vehicle_rules()[1]]
+    a = run_suite(df, rules, scan_id="s")
+    assert a.first().job_id == a.first().job_id and a.first().run_ts == a.first().run_ts
+    for _ in range(2):
+        export_results(a, f"{tmpdir_path}/r")
+        export_results(a, "dq_runs", as_table=True)
+    export_results(run_suite(df, rules, scan_id="s"), f"{tmpdir_path}/r")
+    export_results(run_suite(df, rules, scan_id="s"), "dq_runs", as_table=True)
+    assert spark.read.parquet(f"{tmpdir_path}/r").count() == 2 and spark.table("dq_runs").count() == 2
+    assert latest(spark.read.parquet(f"{tmpdir_path}/r"), "s").count() == 1

@@ -37,12 +37,12 @@ def test_put_and_verify(spark, tmpdir_path):
 
 
 def test_load_table_typed(spark):
-    df = spark.createDataFrame([("1", "8.0"), ("2", "6 cylinders")], "id string, cylinders string")
-    n = load_table(df, "typed_listings", mode="overwrite", types={"id": "int", "cylinders": "float"})
+    df = spark.createDataFrame([("7300000001", "8.0"), ("2", "6 cylinders")], "id string, cylinders string")
+    n = load_table(df, "typed_listings", mode="overwrite", types={"id": "bigint", "cylinders": "double"})
     assert n == 2
     t = spark.table("typed_listings")
-    assert dict(t.dtypes) == {"id": "int", "cylinders": "float"}
-    assert sorted((r.id, r.cylinders) for r in t.collect()) == [(1, 8.0), (2, None)]
+    assert dict(t.dtypes) == {"id": "bigint", "cylinders": "double"}
+    assert sorted((r.id, r.cylinders) for r in t.collect()) == [(2, None), (7300000001, 8.0)]
     with pytest.raises(Exception):
         load_table(df, "typed_listings", mode="errorifexists")
 
@@ -51,3 +51,31 @@ def test_require_columns(spark):
     df = spark.createDataFrame([(1,)], "id long")
     with pytest.raises(ValueError, match="must contain a 'VIN' column"):
         require_columns(df, ["VIN"])
+
+
+def test_predicate_reaches_the_reader(spark):
+    from scrubjay.sources.tables import read_table
+
+    df = read_table(spark, "/root/testdata/sf0.001/orders.parquet", where="o_totalprice > 200000", columns=["o_orderkey"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_totalprice,200000.0)" in plan and "o_comment" not in plan
+
+
+def test_probe_targets(spark, tmpdir_path):
+    from scrubjay.sources.sinks import probe_targets
+
+    spark.createDataFrame([(1,)], "i int").write.mode("overwrite").saveAsTable("probed")
+    assert probe_targets(spark, file=tmpdir_path, uri=f"file://{tmpdir_path}/none", table="probed") == {
+        "file": True, "uri": False, "table": True}
+    assert probe_targets(spark, table="never_made") == {"table": False}
+
+
+def test_no_local_work_folder_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    from scrubjay.session import work_dir
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        fake = N(conf=N(get=lambda *a: None), sparkContext=N(getCheckpointDir=lambda: None, master=master))
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            work_dir(fake)

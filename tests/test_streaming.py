@@ -34,13 +34,13 @@ def test_stream_clean_incremental(spark, tmpdir_path):
 
 def test_stream_enrich_looks_up_each_key_once(spark, tmpdir_path):
     src = f"{tmpdir_path}/in"
-    rows = [(i, f"1GCSCSE06AZ{i % 5:06d}", None if i % 2 else "8") for i in range(40)]
+    rows = [(i, f"SCRUBJAY0AZ{i % 5:06d}", None if i % 2 else "8") for i in range(40)]
     df = spark.createDataFrame(rows, SCHEMA)
     write_table(df.repartition(4), src, mode="overwrite", fmt="csv")
-    attrs = spark.createDataFrame([(f"1GCSCSE06AZ{i:06d}", 6) for i in range(5)],
+    attrs = spark.createDataFrame([(f"SCRUBJAY0AZ{i:06d}", 6) for i in range(5)],
                                   "vin_key string, api_cylinders int")
     out, counters = stream_enrich(spark, src, f"{tmpdir_path}/work", SCHEMA,
-                                  lambda k: lookup_table(k, attrs))
+                                  lambda k: lookup_table(k, attrs), max_files_per_trigger=1)
     assert counters["batches"] == 4 and counters["unique_keys_processed"] == 5
     cache = spark.read.parquet(f"{tmpdir_path}/work/cache")
     assert cache.count() == 5  # each key once across micro-batches
@@ -48,22 +48,63 @@ def test_stream_enrich_looks_up_each_key_once(spark, tmpdir_path):
     assert all(got[i] == ("6.0" if i % 2 else "8") for i in range(40))
 
 
-def test_job_fingerprint_resumes_same_folder(spark, tmpdir_path):
-    from scrubjay.streaming import job_fingerprint
+def test_stream_enrich_resumes(spark, tmpdir_path):
+    """A second run over unchanged input does nothing; nothing at all gives an empty table."""
+    src, work = f"{tmpdir_path}/in", f"{tmpdir_path}/work"
+    attrs = spark.createDataFrame([("SCRUBJAY0AZ000001", 6)], "vin_key string, api_cylinders int")
+    look = lambda k: lookup_table(k, attrs)
+    import os
+    os.makedirs(src)
+    none, c0 = stream_enrich(spark, src, work, SCHEMA, look)
+    assert none.count() == 0 and "api_cylinders" in none.columns and c0["batches"] == 0
+    write_table(spark.createDataFrame([(1, "SCRUBJAY0AZ000001", None)], SCHEMA), src, mode="overwrite", fmt="csv")
+    _, c1 = stream_enrich(spark, src, work, SCHEMA, look)
+    out, c2 = stream_enrich(spark, src, work, SCHEMA, look)
+    assert c1["unique_keys_processed"] == 1 and c2["batches"] == 0 and out.count() == 1
 
-    cfg = {"skip_existing": True, "rate": 5.0, "lookup": {"retries": 3}}
-    a = job_fingerprint("/data/in", cfg)
-    assert a == job_fingerprint("/data/in", dict(reversed(list(cfg.items()))))
-    assert a != job_fingerprint("/data/in", {**cfg, "skip_existing": False})
-    assert a != job_fingerprint("/data/other", cfg) and len(a) == 12
-    # the same work folder resumes: a second run over unchanged input does nothing new
-    src = f"{tmpdir_path}/in"
-    write_table(spark.createDataFrame([(1, "1GCSCSE06AZ000001", None)], SCHEMA), src, mode="overwrite", fmt="csv")
-    attrs = spark.createDataFrame([("1GCSCSE06AZ000001", 6)], "vin_key string, api_cylinders int")
-    work = f"{tmpdir_path}/{a}"
-    _, c1 = stream_enrich(spark, src, work, SCHEMA, lambda k: lookup_table(k, attrs))
-    _, c2 = stream_enrich(spark, src, work, SCHEMA, lambda k: lookup_table(k, attrs))
-    assert c1["unique_keys_processed"] == 1 and c2["batches"] == 0
+
+def test_stream_clean_counts_every_batch(spark, tmpdir_path):
+    """More micro-batches than a query keeps progress entries for."""
+    import os
+
+    os.makedirs(f"{tmpdir_path}/in")
+    for i in range(110):
+        with open(f"{tmpdir_path}/in/{i:03d}.csv", "w") as f:
+            f.write(f"id,VIN,cylinders\n{i},A,8\n{i},B,\n")
+    st = stream_clean(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", SCHEMA, max_files_per_trigger=1)
+    assert st == {"batches": 110, "rows_in": 220, "filtered_rows": 110, "cleaned_rows": 110}
+    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 110
+
+
+def test_final_result_beats_transient_failure(spark, tmpdir_path):
+    """Whatever the batch numbers, one order holds; compaction keeps it."""
+    from scrubjay.operators.lookup import RESULT_DDL
+    from scrubjay.streaming import append_results, compact_cache, read_lookup_cache, seen_keys
+
+    cache = f"{tmpdir_path}/cache"
+    row = lambda n, e: spark.createDataFrame([("K", n, None, None, None, None, None, 0.0, e)], RESULT_DDL)
+    append_results(row(None, "API request timeout"), cache, 10 ** 18)
+    append_results(row(6, None), cache, 5)
+    append_results(row(None, "API request failed: reset"), cache, 7)
+    assert [r.api_cylinders for r in read_lookup_cache(spark, cache).collect()] == [6]
+    append_results(row(8, None), cache, 1)
+    assert compact_cache(spark, cache, max_folders=3) and not compact_cache(spark, cache, max_folders=3)
+    assert [r.api_cylinders for r in read_lookup_cache(spark, cache).collect()] == [8]
+    assert seen_keys(spark, cache).count() == 1 and spark.read.parquet(cache).count() == 1
+
+
+def test_stream_batch_looks_up_unseen_keys_by_anti_join(spark, tmpdir_path):
+    plans = []
+    attrs = spark.createDataFrame([("SCRUBJAY0AZ000001", 6)], "vin_key string, api_cylinders int")
+
+    def look(keys):
+        plans.append(keys._jdf.queryExecution().optimizedPlan().toString())
+        return lookup_table(keys, attrs)
+
+    for i in (1, 2):
+        write_table(spark.createDataFrame([(i, f"SCRUBJAY0AZ00000{i}", None)], SCHEMA), f"{tmpdir_path}/in", mode="append", fmt="csv")
+        stream_enrich(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/w", SCHEMA, look)
+    assert "LeftAnti" in plans[1] and "Deduplicate" not in plans[1]
 
 
 def test_stream_enrich_retries_transient_once(spark, tmpdir_path):
@@ -72,13 +113,13 @@ def test_stream_enrich_retries_transient_once(spark, tmpdir_path):
     from scrubjay.operators.lookup import lookup_udf
 
     src = f"{tmpdir_path}/in"
-    rows = [(1, "3GTP1VEC4EG551563", None), (2, "1GCSCSE06AZ500500", None), (3, "BADKEY", None)]
+    rows = [(1, "SCRUBJAY000000101", None), (2, "SCRUBJAY0AZ500500", None), (3, "BADKEY", None)]
     write_table(spark.createDataFrame(rows, SCHEMA), src, mode="overwrite", fmt="csv")
     down = f"{tmpdir_path}/down"
     open(down, "w").close()
 
     def fetch(k):
-        if k == "1GCSCSE06AZ500500" and os.path.exists(down):
+        if k == "SCRUBJAY0AZ500500" and os.path.exists(down):
             os.remove(down)  # fails once, then the service is back
             raise TimeoutError()
         return {"Results": [{"EngineCylinders": "6"}]}
