@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..session import ship_package, work_dir
 
 __all__ = ["table", "materialise", "without", "number_rows", "connected_components",
-           "ship_package", "work_dir", "hex_prefix", "broadcast_value"]
+           "ship_package", "work_dir", "hex_prefix", "broadcast_value", "broadcast_if_small"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,12 @@ def broadcast_value(spark: SparkSession, value):
     return spark.sparkContext.broadcast(value)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A hint to broadcast a written table of a few numbers a row, if it has been counted to be at
+    most ``rows`` long; else the table itself, for a shuffle join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str,
                 salts: int = 16) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each group of ``keys``.

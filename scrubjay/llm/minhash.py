@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import connected_components, materialise, table
+from .common import broadcast_if_small, connected_components, materialise, table
 from .words import NOT_SPACE, buffers, mix, slices, word_hashes
 
 K = 32
@@ -168,6 +168,7 @@ class _Links:
             return False
         active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         heads = active.join(self.classes.select("node", F.col("head").alias("__head")), "node").select("__head").distinct()
+        heads = broadcast_if_small(materialise(heads, "minhash-heads"))  # then texts are not shuffled
         texts = self.docs.join(heads, F.col("__id").eqNullSafe(F.col("__head")), "left_semi").select(self.text)
         sets = (texts.mapInArrow(_sets(self.width, self.text), "node long, shingles binary")
                 .dropDuplicates(["node"]).join(active, "node", "left_semi"))
@@ -265,6 +266,7 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     found = materialise(near_duplicates(docs, doc_id, text, **options), "minhash-found")
     keyed = docs.withColumns({"__id": F.col(doc_id).cast("long"), "__hash": F.xxhash64(text)})
     gone = found.where("NOT leader").select(F.col("doc_id").alias("__i"), F.col("text_hash").alias("__h")).distinct()
+    gone = broadcast_if_small(materialise(gone, "minhash-gone"))
     kept = keyed.join(gone, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__hash") == F.col("__h")), "left_anti")
     twice = found.where("leader AND n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
     if not twice.isEmpty():
