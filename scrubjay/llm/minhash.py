@@ -8,10 +8,10 @@ coordinate is at most K - t + d - 1: posting under the first K - t + 1 coordinat
 third, ... agreeing coordinate, each within that bound.
 
 Lists are never expanded into all pairs. First each member is compared with its list's
-pivot, which joins families of copies; then only members outside the pivot's component are
+pivots, which joins families of copies; then only members outside the first pivot's component are
 compared with the rest; a list with many of them is first split by a further coordinate.
-Candidates must fit in size and agree in t coordinates, counted on four bits of each; what
-remains is confirmed on the full shingle sets.
+Candidates must fit in size and agree in t coordinates, counted on four bits of each, and then
+in enough ranges of a finer sketch; what remains is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -32,6 +32,9 @@ MISS = 1e-8
 FEW = 256
 #: Coordinates by which long lists are split; lists that are still long are then compared in full.
 DEPTH = 3
+#: Pivots of a list that all its members are compared with.
+PIVOTS = 3
+BINS = 256
 _rng = np.random.default_rng(64087)
 _XOR = _rng.integers(0, 1 << 63, K, dtype=np.uint64)
 _MUL = _rng.integers(0, 1 << 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,6 +87,16 @@ def _digest(sign: np.ndarray) -> np.ndarray:
     return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    """One byte for each of ``BINS`` equal ranges of hash values: a digest of the smallest
+    shingle in the range, 0 for an empty range. ``s`` is sorted."""
+    out = np.zeros(BINS, np.uint8)
+    at = (s >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    out[at[first]] = mix(s[first]) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
 def _sign(width: int, text: str):
     def run(batches):
         for batch in batches:
@@ -102,8 +115,9 @@ def _sign(width: int, text: str):
                     [part.column(n) for n in others]
                     + [pa.array([len(s) for s in sets], pa.int64()),
                        pa.array([_class_id(s) if len(s) else None for s in sets], pa.int64()),
-                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(bits[:, 0]), pa.array(bits[:, 1])],
-                    names=others + ["n_shingles", "node", "sig", "x", "y"])
+                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(bits[:, 0]), pa.array(bits[:, 1]),
+                       pa.array([_sketch(s) for s in sets], pa.binary())],
+                    names=others + ["n_shingles", "node", "sig", "x", "y", "sketch"])
     return run
 
 
@@ -118,6 +132,19 @@ def _sets(width: int, text: str):
     return run
 
 
+def _plausible(percent: int):
+    """Pairs whose sketches allow a similarity of ``percent``: of the ranges that are not empty
+    in both, about that share agree; six standard deviations less are allowed."""
+    def run(batches):
+        p = percent / 100
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sa", "sb"))
+            used = ((a > 0) | (b > 0)).sum(axis=1)
+            same = ((a == b) & (a > 0)).sum(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(same >= p * used - 6 * np.sqrt(p * (1 - p) * used)))
+    return run
+
+
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
@@ -162,7 +189,11 @@ class _Links:
         """``candidates(a, b)``: distinct pairs that pass signatures and sizes. Whether links were found."""
         if self.seen is not None:
             candidates = candidates.join(self.seen, ["a", "b"], "left_anti")
-        pairs = materialise(candidates, "minhash-pairs")
+        sketch = self.classes.select("node", "sketch")
+        near = (candidates.join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
+                .join(sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
+                .select("a", "b", "sa", "sb").mapInArrow(_plausible(self.percent), "a long, b long"))
+        pairs = materialise(near, "minhash-pairs")
         self.seen = pairs if self.seen is None else self.seen.union(pairs)
         if pairs.isEmpty():
             return False
@@ -195,10 +226,12 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
         F.xxhash64("i", "v", "band").alias("list"), "i", "node")
     comp, more = None, False
     for depth in range(1, min(DEPTH, t) + 1):
-        sizes = lists.groupBy("list").agg(F.count("*").alias("members"), F.min("node").alias("pivot")).where("members > 1")
+        first = lambda r: F.min(F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node"))["node"]
+        sizes = lists.groupBy("list").agg(F.count("*").alias("members"), *[first(r).alias(f"p{r}") for r in range(PIVOTS)])
+        sizes = sizes.where("members > 1").select("list", F.col("p0").alias("pivot"), F.array(*[f"p{r}" for r in range(PIVOTS)]).alias("pivots"))
         lists = materialise(lists.join(sizes, "list"), "minhash-lists")
         signs = lambda p: classes.select(*[F.col(c).alias(p + c) for c in ("node", "n", "x", "y")])
-        star = _pairs(lists.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        star = _pairs(lists.select(F.col("node").alias("a"), F.explode(F.array_distinct("pivots")).alias("b")))
         star = (star.join(signs("a"), F.col("a") == F.col("anode")).join(signs("b"), F.col("b") == F.col("bnode"))
                 .where(_fits("a", "b", percent, t)).select("a", "b"))
         if links.add(star):
@@ -208,7 +241,7 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
             lists = lists.join(comp, "node", "left").join(roots, "pivot", "left")
         else:
             lists = lists.withColumns({"comp": F.lit(None).cast("long"), "pc": F.lit(None).cast("long")})
-        lists = lists.select("list", "i", "node", "members", F.coalesce("comp", "node").alias("comp"),
+        lists = lists.select("list", "i", "node", F.coalesce("comp", "node").alias("comp"),
                              (F.coalesce("comp", "node") != F.coalesce("pc", "pivot")).alias("outside"))
         apart = lists.groupBy("list").agg(F.count_if("outside").alias("others")).where("others > 0")
         lists = materialise(lists.join(apart, "list").join(signs(""), "node"), "minhash-apart")
@@ -239,11 +272,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     base = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__text"))
     digest = materialise(
         base.select("__id", F.xxhash64("__text").alias("text_hash"), "__text").mapInArrow(
-            _sign(width, "__text"), "__id long, text_hash long, n_shingles long, node long, sig array<int>, x long, y long"), "minhash-digest")
+            _sign(width, "__text"), "__id long, text_hash long, n_shingles long, node long, sig array<int>, x long, y long, sketch binary"), "minhash-digest")
     classes = materialise(
         digest.where("node IS NOT NULL").groupBy("node").agg(
-            F.min_by(F.struct("n_shingles", "sig", "x", "y"), "text_hash").alias("s"), F.min("__id").alias("head"))
-        .select("node", F.col("s.n_shingles").alias("n"), F.col("s.sig").alias("sig"), "s.x", "s.y", "head"), "minhash-classes")
+            F.min_by(F.struct("n_shingles", "sig", "x", "y", "sketch"), "text_hash").alias("s"), F.min("__id").alias("head"))
+        .select("node", F.col("s.n_shingles").alias("n"), F.col("s.sig").alias("sig"), "s.x", "s.y", "s.sketch", "head"), "minhash-classes")
     comp = _link_classes(_Links(base, classes, "__text", width, percent), classes, percent, t, few)
     rows = digest.select("__id", "text_hash", "n_shingles", "node")
     rows = rows.join(comp, "node", "left") if comp is not None else rows.withColumn("comp", F.lit(None).cast("long"))
