@@ -29,12 +29,12 @@ from .words import NOT_SPACE, buffers, mix, slices, word_hashes
 K = 32
 MISS = 1e-8
 #: Members outside a pivot's component that are compared with a whole list; longer lists are split.
-FEW = 256
+FEW = 8192
 #: Coordinates by which long lists are split; lists that are still long are then compared in full.
-DEPTH = 3
+DEPTH = 2
 #: Pivots of a list that all its members are compared with.
 PIVOTS = 3
-BINS = 256
+BINS = 512
 _rng = np.random.default_rng(64087)
 _XOR = _rng.integers(0, 1 << 63, K, dtype=np.uint64)
 _MUL = _rng.integers(0, 1 << 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,15 +133,18 @@ def _sets(width: int, text: str):
 
 
 def _plausible(percent: int):
-    """Pairs whose sketches allow a similarity of ``percent``: of the ranges that are not empty
-    in both, about that share agree; six standard deviations less are allowed."""
+    """Pairs whose sketches allow a similarity of ``percent``. The smallest shingles of the ranges that are
+    not empty in both are a sample, without replacement, of the union; that share of them should be common, less six
+    standard deviations."""
     def run(batches):
         p = percent / 100
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sa", "sb"))
             used = ((a > 0) | (b > 0)).sum(axis=1)
             same = ((a == b) & (a > 0)).sum(axis=1)
-            yield batch.select(["a", "b"]).filter(pa.array(same >= p * used - 6 * np.sqrt(p * (1 - p) * used)))
+            union = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) / (1 + p)
+            left = np.maximum(1 - used / np.maximum(union, 1), 0.02)
+            yield batch.select(["a", "b"]).filter(pa.array(same >= p * used - 6 * np.sqrt(p * (1 - p) * used * left) - 1))
     return run
 
 
@@ -189,10 +192,9 @@ class _Links:
         """``candidates(a, b)``: distinct pairs that pass signatures and sizes. Whether links were found."""
         if self.seen is not None:
             candidates = candidates.join(self.seen, ["a", "b"], "left_anti")
-        sketch = self.classes.select("node", "sketch")
-        near = (candidates.join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
-                .join(sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-                .select("a", "b", "sa", "sb").mapInArrow(_plausible(self.percent), "a long, b long"))
+        sketch = lambda p: self.classes.select(F.col("node").alias(p), F.col("sketch").alias("s" + p), F.col("n").alias("n" + p))
+        near = (candidates.join(sketch("a"), "a").join(sketch("b"), "b")
+                .select("a", "b", "sa", "sb", "na", "nb").mapInArrow(_plausible(self.percent), "a long, b long"))
         pairs = materialise(near, "minhash-pairs")
         self.seen = pairs if self.seen is None else self.seen.union(pairs)
         if pairs.isEmpty():

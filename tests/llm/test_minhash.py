@@ -48,7 +48,7 @@ def test_against_brute_force(spark):
     assert len({w[2] for w in want}) < len(want)
 
 
-@pytest.mark.parametrize("few", [8, 256])
+@pytest.mark.parametrize("few", [8, 8192])
 def test_families_and_common_passages(spark, few):
     """Families of edited copies, and unrelated documents that share a passage; a small
     ``few`` forces long lists to be split by further coordinates."""
