@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..session import ship_package, work_dir
 
 __all__ = ["table", "materialise", "without", "number_rows", "connected_components",
-           "ship_package", "work_dir", "hex_prefix", "broadcast_value", "broadcast_if_small"]
+           "ship_package", "work_dir", "hex_prefix", "broadcast_value", "broadcast_if_small",
+           "first_by_hash"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,14 @@ def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def first_by_hash(df: DataFrame, column: str, rows: int, total: int) -> DataFrame:
+    """At most ``rows`` rows, the first by a hash of ``column``. Rows are thinned by the hash before they are
+    ranked, so tasks send about three times ``rows`` in all, whatever their number."""
+    draw = F.pmod(F.xxhash64(F.lit(1), column), F.lit(1 << 30))
+    share = min(1.0, (3.0 * rows + 50) / max(total, 1)) * (1 << 30)
+    return df.where(draw < F.lit(int(share))).orderBy(draw, column).limit(rows)
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str,
                 salts: int = 16) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each group of ``keys``.

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import broadcast_value, connected_components, materialise, table
+from .common import broadcast_value, connected_components, first_by_hash, materialise, table
 
 #: Vectors that codebooks and depth are fitted on, at most; queries among them for the depth.
 SAMPLE, CALIBRATION = 8192, 1024
@@ -164,7 +164,7 @@ def _link(classes: DataFrame, width: int, cosine: float, recall: float) -> DataF
     """``classes(node, v, copies)`` of one width -> rows (a, b, n): a link, or with null b a count of links."""
     spark = classes.sparkSession
     total = classes.count()
-    rows = classes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("v").toArrow()
+    rows = first_by_hash(classes, "node", SAMPLE, total).select("v").toArrow()
     if not total:
         return None
     index = build_index(_unit(rows["v"], width), total, cosine, recall)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .boosting import Trees, fit_trees
-from .common import broadcast_value, table, without
+from .common import broadcast_value, first_by_hash, table, without
 from .words import slices
 
 #: Pages of the table that are learned from, at most; generated pages.
@@ -350,7 +350,7 @@ def extract_text(pages: DataFrame, model: Trees, html: str = "html") -> DataFram
 def fit_on(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> Trees:
     """The first ``sample`` pages by a hash of their html, at most 100,000 characters long each."""
     some = pages.where((F.length(html) > 0) & (F.length(html) <= 100_000)).select(F.col(html).alias("h"))
-    return fit([r["h"] for r in some.orderBy(F.xxhash64("h"), "h").limit(sample).collect()])
+    return fit([r["h"] for r in first_by_hash(some, "h", sample, some.count()).collect()])
 
 
 def op3_html_text(spark, sf_dir: str) -> DataFrame:
