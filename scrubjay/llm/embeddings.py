@@ -3,9 +3,10 @@
 Unit vectors are cut in halves with a codebook each; pairs of codewords form a grid
 of cells, and every vector is listed in its cell. A query visits cells in
 multi-sequence order (smallest sum of the two halves' squared distances first) and
-verifies the exact cosine with their members. How many cells are visited is calibrated on a bounded
-sample: neighbours are drawn at exactly the threshold cosine, the hardest case,
-and the depth is the one that finds the target share of them.
+verifies the exact cosine with their members. How many cells are visited is calibrated on bounded
+samples of vectors the codebooks were not fitted on: neighbours drawn at exactly the threshold cosine,
+the hardest case, displaced in uniform directions and along the data's own covariance, and the real
+neighbours of the sample among all vectors. The depth is the one that finds the target share of the worst of these.
 
 Equal vectors are one class. A pair of classes is met once, from the class with the
 smaller cell number; inside a block only link counts and a spanning set of links leave the task, so a
@@ -22,9 +23,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import broadcast_value, connected_components, first_by_hash, materialise, table
 
-#: Vectors that codebooks and depth are fitted on, at most; queries among them for the depth.
-SAMPLE, CALIBRATION = 8192, 1024
+#: Vectors that codebooks are fitted on, at most; held-out queries for the depth; displacements of each.
+SAMPLE, CALIBRATION, DRAWS = 8192, 1024, 4
 RECALL = 0.999
+BAND = 0.2  # links in this lowest part of the cosines from the threshold to 1 must meet the target by themselves
+PAIRS = 1 << 21  # rank pairs held at a time
 CELL, MAX_CODEWORDS = 200, 512  # vectors aimed at in a cell; codewords of a half
 BLOCK = 2048                    # members, or queries, in one task's block
 
@@ -63,33 +66,89 @@ class Index:
     def visits(self, unit: np.ndarray) -> np.ndarray:
         """The first ``depth`` cells in multi-sequence order. The cell of ranks (i, j)
         has (i + 1)(j + 1) - 1 cells before it, so only few rank pairs can be among them."""
-        a, b = self._halves(unit)
-        order_a, order_b = a.argsort(axis=1, kind="stable"), b.argsort(axis=1, kind="stable")
-        i, j = np.meshgrid(np.arange(a.shape[1]), np.arange(b.shape[1]), indexing="ij")
+        i, j = np.meshgrid(np.arange(len(self.books[0])), np.arange(len(self.books[1])), indexing="ij")
         some = ((i + 1) * (j + 1) <= self.depth)
         i, j = i[some], j[some]
+        step = max(1, PAIRS // len(i))
+        return np.concatenate([self._first(unit[at:at + step], i, j) for at in range(0, max(len(unit), 1), step)])
+
+    def _first(self, unit: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        a, b = self._halves(unit)
+        order_a, order_b = a.argsort(axis=1, kind="stable"), b.argsort(axis=1, kind="stable")
         sums = np.take_along_axis(a, order_a, 1)[:, i] + np.take_along_axis(b, order_b, 1)[:, j]
         first = sums.argsort(axis=1, kind="stable")[:, :self.depth]
         return (np.take_along_axis(order_a[:, i], first, 1) * b.shape[1] + np.take_along_axis(order_b[:, j], first, 1))
 
+    def ranks(self, unit: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How many cells each vector visits before the given one."""
+        out = np.zeros(len(unit), np.int64)
+        for at in range(0, len(unit), 4096):
+            a, b = self._halves(unit[at:at + 4096])
+            for n, (da, db, cell) in enumerate(zip(a, b, cells[at:at + 4096]), at):
+                limit = da[cell // len(db)] + db[cell % len(db)]
+                out[n] = np.searchsorted(np.sort(db), limit - da, side="left").sum()
+        return out
+
+
+def _depth(ranks: np.ndarray, counts: np.ndarray, recall: float) -> int:
+    """The least depth at which ``recall`` of the neighbours, ``counts`` at each rank, are visited."""
+    order = np.argsort(ranks)
+    reached = np.cumsum(counts[order])
+    return int(ranks[order][np.searchsorted(reached, recall * reached[-1] - 1e-9)]) + 1
+
+
+def _held_out(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Queries and the vectors to fit on; a sample too small to be parted is both."""
+    n = min(CALIBRATION, len(sample) // 8)
+    return (sample[:n], sample[n:]) if n else (sample, sample)
+
 
 def build_index(sample: np.ndarray, vectors: int, cosine: float, recall: float = RECALL) -> Index:
     """``sample``: unit vectors; ``vectors``: how many the index will hold."""
     k = int(np.clip(round(np.sqrt(vectors / CELL)), 1, MAX_CODEWORDS))
     half = sample.shape[1] // 2
-    index = Index((_codebook(sample[:, :half], k), _codebook(sample[:, half:], k)), 1)
+    held, rest = _held_out(sample)
+    index = Index((_codebook(rest[:, :half], k), _codebook(rest[:, half:], k)), 1)
     rng = np.random.default_rng(7)
-    q = sample[:CALIBRATION]
-    side = rng.normal(size=q.shape)
-    side -= (side * q).sum(axis=1, keepdims=True) * q
-    side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
-    there = index.cells(cosine * q + np.sqrt(1 - cosine ** 2) * side)
-    a, b = index._halves(q)
-    ranks = []
-    for da, db, cell in zip(a, b, there):
-        limit = da[cell // b.shape[1]] + db[cell % b.shape[1]]
-        ranks.append(int(np.searchsorted(np.sort(db), limit - da, side="left").sum()))
-    index.depth = int(np.quantile(ranks, recall, method="higher")) + 1
+    q = np.repeat(held, DRAWS, axis=0)
+    values, axes = np.linalg.eigh(np.atleast_2d(np.cov(sample, rowvar=False, bias=True)))
+    for scale in (np.eye(sample.shape[1]), np.sqrt(np.maximum(values, 0))[:, None] * axes.T):
+        side = rng.normal(size=q.shape) @ scale
+        side -= (side * q).sum(axis=1, keepdims=True) * q
+        side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
+        ranks = index.ranks(q, index.cells(cosine * q + np.sqrt(1 - cosine ** 2) * side))
+        index.depth = max(index.depth, _depth(ranks, np.ones(len(ranks)), recall))
+    return index
+
+
+def _real_ranks(shared, width: int, cosine: float):
+    """Real neighbours of the queries in all vectors, as counts by rank of their cell: rows (rank, low, n)."""
+    def run(batches):
+        index, queries = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                unit = _unit(batch.slice(at, 4096).column("v"), width)
+                found = queries @ unit.T
+                q, m = np.nonzero((found >= cosine) & (found < 1 - 1e-12))
+                if not len(q):
+                    continue
+                low = found[q, m] < cosine + BAND * (1 - cosine)
+                # links of a query into the same cell have one rank
+                at_cell, n = np.unique(np.stack([q, index.cells(unit)[m], low], axis=1), axis=0, return_counts=True)
+                ranks = index.ranks(queries[at_cell[:, 0]], at_cell[:, 1])
+                yield pa.RecordBatch.from_arrays([pa.array(ranks), pa.array(at_cell[:, 2].astype(bool)), pa.array(n, pa.int64())], names=["rank", "low", "n"])
+    return run
+
+
+def calibrate(classes: DataFrame, index: Index, queries: np.ndarray, width: int, cosine: float, recall: float) -> Index:
+    """Raises the depth until real neighbours of ``queries`` meet the target, and by themselves those just above ``cosine``."""
+    shared = broadcast_value(classes.sparkSession, (index, queries))  # bounded: codewords and held-out vectors
+    found = (classes.select("v").mapInArrow(_real_ranks(shared, width, cosine), "rank long, low boolean, n long")
+             .groupBy("rank", "low").agg(F.sum("n").alias("n")).toArrow())  # at most two rows for each cell of the grid
+    ranks, low, n = (found[c].to_numpy() for c in ("rank", "low", "n"))
+    for some in (np.ones(len(n), bool), low.astype(bool)):
+        if some.any():
+            index.depth = max(index.depth, _depth(ranks[some], n[some], recall))
     return index
 
 
@@ -164,10 +223,13 @@ def _link(classes: DataFrame, width: int, cosine: float, recall: float) -> DataF
     """``classes(node, v, copies)`` of one width -> rows (a, b, n): a link, or with null b a count of links."""
     spark = classes.sparkSession
     total = classes.count()
-    rows = first_by_hash(classes, "node", SAMPLE, total).select("v").toArrow()
+    rows = first_by_hash(classes, "node", SAMPLE + CALIBRATION, total).select("v").toArrow()
     if not total:
         return None
-    index = build_index(_unit(rows["v"], width), total, cosine, recall)
+    sample = _unit(rows["v"], width)
+    index = build_index(sample, total, cosine, recall)
+    if len(index.books[0]) * len(index.books[1]) > 1:
+        index = calibrate(classes, index, _held_out(sample)[0], width, cosine, recall)
     shared = broadcast_value(spark, index)  # bounded: codewords of two halves
     fields = "node long, v binary, copies long, cell long"
     members = materialise(classes.mapInArrow(_place(shared, width, False), fields), "imi-members")

@@ -65,6 +65,38 @@ def test_recall_of_the_index():
     assert (index.visits(q) == index.cells(y)[:, None]).any(axis=1).mean() >= 0.99
 
 
+@pytest.mark.parametrize("power", [1, 2])
+def test_recall_along_the_data(power):
+    """Neighbours displaced along the covariance of anisotropic data, of vectors the index has not seen."""
+    rng = np.random.default_rng(5)
+    scale = np.arange(1, 65) ** (-power / 2)
+    x = rng.normal(size=(12_000, 64)) * scale
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = embeddings.build_index(x[:9000], 2_000_000, 0.95)
+    q = x[9000:]
+    side = rng.normal(size=q.shape) * scale
+    side -= (side * q).sum(axis=1, keepdims=True) * q
+    y = 0.95 * q + np.sqrt(1 - 0.95 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    assert (index.visits(q) == index.cells(y)[:, None]).any(axis=1).mean() >= 0.995
+
+
+def test_real_neighbours_against_brute_force(spark, monkeypatch):
+    """Near-copies along a few directions of their own, which the covariance of all vectors hardly shows."""
+    monkeypatch.setattr(embeddings, "CELL", 5)
+    rng = np.random.default_rng(6)
+    scale = 1 / np.arange(1, 33)
+    x = rng.normal(size=(5000, 32)) * scale
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = np.zeros((2500, 32))
+    side[:, [3, 20]] = rng.normal(size=(2500, 2))
+    side -= (side * x[:2500]).sum(axis=1, keepdims=True) * x[:2500]
+    y = 0.955 * x[:2500] + np.sqrt(1 - 0.955 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.vstack([x, y])
+    out = embeddings.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    want = (x @ x.T >= 0.95).sum() - len(x)
+    assert want * 0.998 <= sum(r.n_links for r in out) <= want
+
+
 def test_odd_rows(spark):
     v = [1.0, 2.0]
     rows = [(1, v, 0), (1, v, 0), (2, None, 0), (3, [], 0), (4, [0.0, 0.0], 0), (5, [1.0, None], 0), (6, [float("nan"), 1.0], 0), (7, [float("inf"), 1.0], 0),
