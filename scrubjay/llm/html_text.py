@@ -74,7 +74,8 @@ class Dom(HTMLParser):
         self.runs: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.open = [0]
         self.buffer: list[str] = []
-        self.in_link = self.linked = self.silent = 0
+        self.in_link = self.linked = 0
+        self.silent: list[str] = []  # open elements without text
 
     def flush(self):
         if self.buffer:
@@ -96,7 +97,9 @@ class Dom(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag in NO_TEXT:
-            self.silent += 1
+            self.silent.append(tag)
+            return
+        if self.silent:
             return
         if tag in VOID:
             if tag == "hr":
@@ -109,8 +112,6 @@ class Dom(HTMLParser):
             if tag == "a":
                 self.in_link = 1
             return
-        if self.silent:
-            return
         if tag in CLOSES_P:
             self._pop({"p"}, CLOSES_P - {"p"})
         if tag in CLOSED_BY_SAME:
@@ -136,7 +137,10 @@ class Dom(HTMLParser):
 
     def handle_endtag(self, tag):
         if tag in NO_TEXT:
-            self.silent = max(0, self.silent - 1)
+            if tag in self.silent:  # only its own end tag ends an element, with those left open in it
+                del self.silent[len(self.silent) - 1 - self.silent[::-1].index(tag):]
+        elif self.silent:
+            return
         elif tag == "a":
             self.in_link = 0
         elif tag not in INLINE and tag not in VOID:
@@ -263,7 +267,7 @@ def generate(rng: random.Random) -> str:
         if rng.random() < 0.2:
             text = f"{text} {link()} {prose(2, 20)}"
         return rng.choice([f"<p>{text}</p>"] * 6 + [f"<p><b>{text}<br>", f"<h2>{prose(2, 6)}</h2><p>{text}", f"<ul><li>{prose(3, 15)}</li><li>{prose(3, 15)}</li></ul>", f"<blockquote><p>{text}</p></blockquote>",
-                           f"<table><tr><td>{prose(1, 4)}</td><td>{prose(1, 4)}</td></tr></table>", f"<figure><img src=x><figcaption>{prose(3, 12)}</figcaption></figure>", f"<pre>{text}</pre>"])
+                           f"<table><tr><td>{prose(1, 4)}</td><td>{prose(1, 4)}</td></tr></table>", f"<figure><img src=x><figcaption>{prose(3, 12)}</figcaption></figure>", f"<pre>{text}</pre>", f"<noscript><div><img src=x><p>{prose(1, 4)}</p></div></noscript><p>{text}</p>"])
 
     heading = rng.choice([f"<h1>{prose(2, 9)}</h1>", f"<header><h1>{prose(2, 9)}</h1></header>", ""])
     inside = heading + "".join(paragraph() for _ in range(rng.choice([1, 1, 2, 4, 8, 20])))
@@ -275,7 +279,7 @@ def generate(rng: random.Random) -> str:
         start, body = {
             "nav": (out("nav", "menu"), links()), "crumbs": (out("nav", "breadcrumb"), link() + " / " + link()), "header": (out("header", "masthead"), f"<p>{short}</p>" + rng.choice([links(), ""])),
             "footer": (out("footer", "footer"), rng.choice([f"&copy; {short}", links() + f"<p>{short}</p>"])), "side": (out("aside", "sidebar"), rng.choice([links(), f"<h3>{prose(1, 3)}</h3><p>{short}</p>"])),
-            "notice": (out('div class="notice"', "cookie-notice"), rng.choice([short, f"<p>{short}</p><button>{word()}</button>"])), "ad": (out('div class="ad"', "advert"), rng.choice([short, f"<p>{short}</p>", link()])),
+            "notice": (out('div class="notice"', "cookie-notice"), rng.choice([short, f"<p>{short}</p><button>{word()}</button>"])), "ad": (out('div class="ad"', "advert"), rng.choice([short, f"<p>{short}</p>", link(), f"<noscript><div><a href=x>{short}</a></div></noscript><p>{short}</p>"])),
             "form": (out('form action="/s"', "search-form"), f"<label>{short}</label><input name=q><button>{word()}</button>"), "news": (out('form class="newsletter"', "newsletter-signup"), f"<p>{short}</p><input name=e>"),
             "comments": (out('section id="comments"', "comments"), "".join(rng.choice([f'<div class="comment"><p>{prose(2, 40)}</p></div>', f'<article class="comment"><h4>{word()}</h4><p>{prose(2, 40)}</p></article>', f'<li class="comment">{prose(2, 40)}</li>']) for _ in range(rng.randint(1, 6)))),
             "share": (out('div class="share"', "social-share"), links()), "related": (out("aside", "related"), f"<h3>{prose(1, 3)}</h3>" + links()), "bare": ("div", links())}[kind]

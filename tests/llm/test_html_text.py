@@ -46,6 +46,20 @@ def test_one_page(model):
         "an item of the list", "another item", "Last words of the story."])
 
 
+@pytest.mark.parametrize("silent", ["<noscript><div><img src=x></div></noscript>", "<template><section><p>no</p></section></div></template>", "<svg><g></g></div></p></svg>",
+                                    "<object><div></svg>no</div></object>", "<noscript><a href=x>no<br></a></div></noscript>", "<select><option>no</option></div></select>"])
+def test_elements_without_text_close_nothing_outside(silent):
+    """Tags inside them leave the tree as it is without them."""
+    page = "<body><div class=post><p>a</p>{0}<p>b</p></div><div class=advert>{0}<p>c</p></div><p>d <a href=x>e{0}f</a></p>"
+    shape = lambda d: (d.parent, d.tag, d.mask, d.runs)
+    assert shape(X.parse(page.format(silent))) == shape(X.parse(page.format("")))
+
+
+def test_generator_holds_elements_without_text():
+    rng = random.Random(1)
+    assert sum("<noscript><div>" in X.generate(rng) for _ in range(100)) > 5
+
+
 def test_generated_pages(model):
     """Pages of another seed: nearly all content runs are kept, nearly all others are dropped."""
     rng = random.Random(99)
