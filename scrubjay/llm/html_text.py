@@ -65,6 +65,11 @@ def _token_mask(text: str) -> int:
     return mask
 
 
+def _value_mask(value: str) -> int:
+    """Of the whole value; only short ones are remembered."""
+    return _token_mask(value) if len(value) <= 400 else _token_mask.__wrapped__(value)
+
+
 class Dom(HTMLParser):
     """Block elements as parallel lists, and runs of text in page order."""
 
@@ -117,15 +122,15 @@ class Dom(HTMLParser):
         if tag in CLOSED_BY_SAME:
             self._pop(CLOSED_BY_SAME[tag], SCOPE.get(tag, set()))
         self.flush()
-        words, mark = [], None
+        tokens, mark = 0, None
         for k, v in attrs:
             if v and k in ("class", "id", "role", "aria-label"):
-                words.append(v)
+                tokens |= _value_mask(v)
             elif k == MARK:
                 mark = v == "1"
         self.parent.append(self.open[-1])
         self.tag.append(tag)
-        self.mask.append(_token_mask(" ".join(words)[:400]) if words else 0)
+        self.mask.append(tokens)
         self.mark.append(mark)
         self.open.append(len(self.tag) - 1)
 

@@ -55,6 +55,14 @@ def test_elements_without_text_close_nothing_outside(silent):
     assert shape(X.parse(page.format(silent))) == shape(X.parse(page.format("")))
 
 
+@pytest.mark.parametrize("long", ["flex-1 " * 200, "x" * 394 + " ", "u " * 196 + "abc-"])
+def test_whole_attribute_values_are_read(long):
+    mask = lambda attrs: X.parse(f"<div {attrs}>a</div>").mask[1]
+    assert mask(f'class="{long}sidebar"') == mask('class="sidebar"') != 0
+    assert mask(f'class="{long}" id="comments" role="navigation"') == mask('id="comments" role="navigation"') != 0
+    assert mask(f'class="{long}address"') == mask(f'class="{long}adsorption"') == 0  # no word is cut to "ad" or "ads"
+
+
 def test_generator_holds_elements_without_text():
     rng = random.Random(1)
     assert sum("<noscript><div>" in X.generate(rng) for _ in range(100)) > 5
