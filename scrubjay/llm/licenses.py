@@ -1,11 +1,12 @@
 """License scan: an exact set-similarity join of text blocks with templates.
 
-Tokens are ordered globally by how many blocks of the corpus hold them, rarest first. A block
+A notice is found where ``need`` of a template's n tokens stand in a run of ``span`` words, whatever the
+line ends between them. Blocks are overlapping windows of words, of which one holds every such run. Tokens are ordered globally by how many blocks of the corpus hold them, rarest first. A block
 whose words contain at least ``need`` of a template's n tokens holds one of the template's first
 n - need + 1 tokens (its prefix), so blocks are joined to an index of prefixes on the token. The first
 shared token alone produces the pair; blocks that are too short (length
 filter) or whose remaining tokens cannot reach ``need`` (positional filter) are dropped, and the
-overlap of the rest is computed in full. Phrases are templates too, with containment 1 in the
+overlap of the rest is computed in full, in each run of ``span`` words. Phrases are templates too, with containment 1 in the
 whole text; the texts found are then searched for the exact places.
 
 Built-in functions only.
@@ -22,7 +23,7 @@ from .common import materialise, table, without
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BETWEEN_LINES_KEPT = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Base phrases and labels.
 PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
@@ -39,6 +40,7 @@ TEMPLATES = [
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
 ]
 THRESHOLD = 0.8
+STRETCH = 1.5  # words of a run for each word of a template
 OUTPUTS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
 
 
@@ -46,19 +48,20 @@ OUTPUTS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "label
 class Template:
     id: int
     label: str
-    whole: bool           # joined with whole texts, else with lines
+    whole: bool           # joined with whole texts, else with windows
     tokens: tuple[str, ...]
     need: int
+    span: int             # words that the tokens stand in, at most
 
 
 def templates(notices=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> list[Template]:
     out = []
     for text, label in phrases:
         t = tuple(dict.fromkeys(text.split()))
-        out.append(Template(len(out), label, True, t, len(t)))
+        out.append(Template(len(out), label, True, t, len(t), len(text.split())))
     for text, label in notices:
         t = tuple(dict.fromkeys(text.split()))
-        out.append(Template(len(out), label, False, t, math.ceil(threshold * len(t) - 1e-9)))
+        out.append(Template(len(out), label, False, t, math.ceil(threshold * len(t) - 1e-9), math.ceil(STRETCH * len(text.split()))))
     return out
 
 
@@ -72,8 +75,8 @@ def _index(spark, known: list[Template], order: dict[str, int]) -> DataFrame:
     for t in known:
         ranked = sorted(t.tokens, key=order.__getitem__)
         for p, token in enumerate(ranked[:len(ranked) - t.need + 1]):
-            rows.append((token, t.id, t.label, t.whole, p, t.need, ranked))
-    return spark.createDataFrame(rows, "token string, tid int, label string, whole boolean, p int, need int, ranked array<string>")
+            rows.append((token, t.id, t.label, t.whole, p, t.need, t.span, ranked))
+    return spark.createDataFrame(rows, "token string, tid int, label string, whole boolean, p int, need int, span int, ranked array<string>")
 
 
 def _places(text: str, phrase: str, n_words: str) -> tuple[Column, Column, Column]:
@@ -90,7 +93,7 @@ def _places(text: str, phrase: str, n_words: str) -> tuple[Column, Column, Colum
 def scan_licenses(docs: DataFrame, text: str = "text", notices=TEMPLATES, phrases=PHRASES,
                   threshold: float = THRESHOLD, carry: list[str] | None = None) -> DataFrame:
     """``docs`` plus ``n_words``, ``n_base`` (places where a phrase stands), ``first_word``, ``last_word``,
-    ``base_labels``, ``labels`` (also those of notices found in a line) and ``score``, the best containment
+    ``base_labels``, ``labels`` (also those of notices found in a run of words) and ``score``, the best containment
     that meets ``threshold`` (1 for a phrase, 0 for none).
 
     Null and empty texts: no words, empty label lists, null places. Repeated texts get the same answer.
@@ -102,38 +105,46 @@ def scan_licenses(docs: DataFrame, text: str = "text", notices=TEMPLATES, phrase
     of_phrases = sorted({w for t in known if t.whole for w in t.tokens})
     shortest = min((t.need for t in known if t.whole), default=0)
     keep = [c for c in without(docs, OUTPUTS) if carry is None or c in carry]
-    clean = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN_LINES_KEPT, " ")
+    clean = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN, " "))
     rows = docs.select(*keep, F.xxhash64(text).alias("__k1"), F.coalesce(F.crc32(F.encode(text, "UTF-8")), F.lit(-1)).alias("__k2"), clean.alias("__t"))
-    # words of a block that templates know, per line and for the whole text
-    words = lambda s: F.array_remove(F.split(s, "[ \n]"), "")
-    line = lambda s: F.struct(F.array_intersect(_lits(vocabulary), words(s)).alias("toks"), F.size(F.array_distinct(words(s))).alias("size"))
+    # the words that templates know, in their places, for the whole text and for windows of twice the longest run, one
+    # beginning after each longest run
+    step = max((t.span for t in known if not t.whole), default=1)
     least = min((t.need for t in known if not t.whole), default=1)
-    lines = F.filter(F.transform(F.split("__t", "\n"), line), lambda b: F.size(b["toks"]) >= 1)
-    rows = rows.withColumns({
-        "n_words": F.size(words(F.col("__t"))).cast("long"), "__lines": lines,
-        "__whole": F.array_intersect(_lits(of_phrases), words(F.col("__t")))})
-    spaced = F.replace(F.concat(F.lit(" "), F.trim(F.regexp_replace("__t", "[ \n]+", " ")), F.lit(" ")), F.lit(" "), F.lit("  "))
+    rows = rows.withColumn("__w", F.array_remove(F.split("__t", " "), ""))
+    rows = rows.select(*keep, "__k1", "__k2", "__t", F.size("__w").cast("long").alias("n_words"),
+                       F.transform("__w", lambda x: F.when(x.isin(vocabulary), x).otherwise("")).alias("__known"))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n_words") / step).cast("int") - 2))
+    window = lambda k: F.slice("__known", k * step + 1, F.lit(2 * step))
+    block = lambda k: F.struct(F.array_intersect(_lits(vocabulary), window(k)).alias("toks"), window(k).alias("words"))
+    rows = rows.select(*keep, "__k1", "__k2", "__t", "n_words", F.filter(F.transform(starts, block), lambda b: F.size(b["toks"]) >= least).alias("__blocks"),
+                       F.array_intersect(_lits(of_phrases), F.col("__known")).alias("__whole"))
+    spaced = F.replace(F.concat(F.lit(" "), F.col("__t"), F.lit(" ")), F.lit(" "), F.lit("  "))
     rows = rows.withColumn("__text", F.when(F.size("__whole") >= shortest, spaced)).drop("__t")
     rows = materialise(rows, "license-digest")
 
-    counted = rows.select(F.explode("__lines.toks").alias("toks")).select(F.explode("toks").alias("token")).groupBy("token").count().collect()
+    counted = rows.select(F.explode("__blocks.toks").alias("toks")).select(F.explode("toks").alias("token")).groupBy("token").count().collect()
     seen = {r["token"]: r["count"] for r in counted}  # at most one row per token of the templates
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
     index = F.broadcast(_index(spark, known, order))
     ranked = _lits(sorted(vocabulary, key=order.__getitem__))
 
-    long_enough = F.filter("__lines", lambda b: F.size(b["toks"]) >= least)
-    blocks = rows.select("__k1", "__k2", F.explode(long_enough).alias("b")).select(
-        "__k1", "__k2", F.lit(False).alias("whole"), F.col("b.toks").alias("toks"), F.col("b.size").alias("size"))
+    blocks = rows.select("__k1", "__k2", F.explode("__blocks").alias("b")).select(
+        "__k1", "__k2", F.lit(False).alias("whole"), F.col("b.toks").alias("toks"), F.col("b.words").alias("words"), F.size("b.words").alias("size"))
     blocks = blocks.unionByName(rows.where("__text IS NOT NULL").select(
-        "__k1", "__k2", F.lit(True).alias("whole"), F.col("__whole").alias("toks"), F.col("n_words").cast("int").alias("size")))
+        "__k1", "__k2", F.lit(True).alias("whole"), F.col("__whole").alias("toks"), F.lit(None).cast("array<string>").alias("words"), F.col("n_words").cast("int").alias("size")))
+    firsts = {w for t in known for w in sorted(t.tokens, key=order.__getitem__)[:len(t.tokens) - t.need + 1]}
+    blocks = blocks.where(F.arrays_overlap("toks", _lits(sorted(firsts))))
     posted = blocks.withColumn("toks", F.array_intersect(ranked, "toks")).select("*", F.posexplode("toks").alias("at", "token"))
     pairs = posted.join(index, ["token", "whole"]).where(
         (F.col("size") >= F.col("need"))  # length
         & (1 + F.least(F.size("ranked") - F.col("p") - 1, F.size("toks") - F.col("at") - 1) >= F.col("need"))  # position
         & ~F.arrays_overlap("toks", F.slice("ranked", F.lit(1), F.col("p"))))  # the first shared token
     overlap = F.size(F.array_intersect("toks", "ranked"))
-    matched = pairs.withColumn("overlap", overlap).where("overlap >= need").select(
+    run_starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("span") + 1))
+    in_run = F.array_max(F.transform(run_starts, lambda s: F.size(F.array_intersect(F.slice("words", s, F.col("span")), F.col("ranked")))))
+    pairs = pairs.withColumn("overlap", overlap).where("overlap >= need").withColumn("overlap", F.when(F.col("whole"), F.col("overlap")).otherwise(in_run))
+    matched = pairs.where("overlap >= need").select(
         "__k1", "__k2", "whole", "label", (F.col("overlap") / F.size("ranked")).alias("containment"))
 
     key = ["__k1", "__k2"]
@@ -161,7 +172,7 @@ def op4_license_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same rows in DuckDB by comparing every block with every template."""
+    """In DuckDB, every line compared with every template: the same rows where notices stand in short single lines."""
     lit = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
     starts, names, rows = [], [], []
     for i, (phrase, label) in enumerate(PHRASES):

@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -46,6 +47,48 @@ def test_against_brute_force(spark):
         assert r.score == pytest.approx(n[6])
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by"""
+
+
+def runs(text):
+    """Labels and best containment over all runs of words."""
+    w = WORD.findall((text or "").translate(LOWER))
+    labels, best = set(), 0.0
+    for t in L.templates():
+        if not t.whole:
+            most = max(len(set(w[i:i + t.span]) & set(t.tokens)) for i in range(max(1, len(w) - t.span + 1)))
+            if most >= t.need:
+                labels.add(t.label)
+                best = max(best, most / len(t.tokens))
+    return ",".join(sorted(labels)), best
+
+
+def test_wrapped_notices_and_scattered_words(spark):
+    rng = random.Random(8)
+    narrow = lambda s: "\n".join(s.split())
+    texts = [MIT, BSD, GPL, narrow(MIT), narrow(GPL), "\n * ".join(BSD.split("\n")), "released pad under pad the pad mit pad", "released under " + "pad " * 3000 + "the license mit"]
+    want = ["mit", "bsd", "gpl", "mit", "gpl", "bsd", "mit", ""]
+    for _ in range(120):  # notices in all places of windows, stretched to about the length of a run
+        notice = rng.choice(L.TEMPLATES)[0].split()
+        gaps = [x for y in notice for x in [y, *["pad"] * rng.choice([0, 0, 0, 1, 1, 2])]]
+        texts.append(" ".join(["word"] * rng.randint(0, 120) + [x for x in gaps if rng.random() > 0.05] + ["tail"] * rng.randint(0, 120)))
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    out = {r.doc_id: r for r in L.scan_licenses(df).collect()}
+    assert [out[i].labels for i in range(len(want))] == want
+    some = set()
+    for i, t in enumerate(texts):
+        labels, best = runs(t)
+        some.add(labels)
+        if not out[i].n_base:
+            assert (out[i].labels, out[i].score) == (labels, pytest.approx(best)), t
+    assert len(some) > 5 and "" in some
+
+
 def test_oracle(spark):
     out = QUERIES["op4_license_scan"](spark, SF).toPandas().sort_values("doc_id")
     con = duckdb.connect()
