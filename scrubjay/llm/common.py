@@ -82,7 +82,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternates large-star and small-star rounds, each written under the shared
     work folder, until the edge set is a set of stars. A hub's neighbours
     are only aggregated (``min``) and re-joined, never collected in one task's
-    memory; the number of rounds grows with the logarithm of the longest path."""
+    memory; the number of rounds grows with the logarithm of the longest path. An
+    error is raised if ``max_rounds`` do not reach the stars."""
     pairs = lambda d: d.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     cur = materialise(pairs(edges), "cc-edges")
     for _ in range(max_rounds):
@@ -98,5 +99,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         counts = cur.agg(F.count("*"), F.countDistinct("a")).first()
         if counts[0] == counts[1] and cur.join(cur.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break  # every node hangs on one root
+    else:
+        raise RuntimeError(f"connected_components: no stars after {max_rounds} rounds")
     return (cur.select(F.col("a").alias("node"), F.col("b").alias("comp"))
             .union(cur.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()))

@@ -97,6 +97,13 @@ def test_real_neighbours_against_brute_force(spark, monkeypatch):
     assert want * 0.998 <= sum(r.n_links for r in out) <= want
 
 
+def test_unfinished_components_are_an_error(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="no stars"):
+        embeddings.connected_components(path, max_rounds=1)
+    assert {r.comp for r in embeddings.connected_components(path).collect()} == {0}
+
+
 def test_odd_rows(spark):
     v = [1.0, 2.0]
     rows = [(1, v, 0), (1, v, 0), (2, None, 0), (3, [], 0), (4, [0.0, 0.0], 0), (5, [1.0, None], 0), (6, [float("nan"), 1.0], 0), (7, [float("inf"), 1.0], 0),
