@@ -5,8 +5,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import pytest  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+from llm_tables import DOCS  # noqa: E402
 
 
 @pytest.fixture(scope="session", autouse=True)

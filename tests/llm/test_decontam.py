@@ -4,7 +4,7 @@ import re
 
 import pandas as pd
 import pytest
-from conftest import DOCS, SF
+from llm_tables import DOCS, SF
 
 from scrubjay.llm import decontam
 from scrubjay.llm.queries import QUERIES

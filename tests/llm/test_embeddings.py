@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import SF
+from llm_tables import SF
 
 from scrubjay.llm import embeddings
 from scrubjay.llm.queries import QUERIES

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import SF
+from llm_tables import SF
 
 from scrubjay.llm import html_text as X
 from scrubjay.llm.boosting import fit_trees

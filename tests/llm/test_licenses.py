@@ -4,7 +4,7 @@ import re
 import duckdb
 import pandas as pd
 import pytest
-from conftest import DOCS, SF
+from llm_tables import DOCS, SF
 
 from scrubjay.llm import licenses as L
 from scrubjay.llm.queries import ORACLE, QUERIES

@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import DOCS, SF
+from llm_tables import DOCS, SF
 
 from scrubjay.llm import mixing
 from scrubjay.llm.queries import QUERIES

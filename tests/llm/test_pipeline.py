@@ -1,5 +1,5 @@
 import pandas as pd
-from conftest import SF
+from llm_tables import SF
 from test_decontam import brute as leaks
 from test_minhash import brute as copies
 
@@ -50,6 +50,10 @@ def test_run_on_odd_documents(spark, odd_docs, tmpdir_path):
     """Nulls, empty texts and repeated rows go through every stage; so does an empty table."""
     for part in (odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), odd_docs.select("doc_id", "text", "lang", "source", "n_chars").limit(0)):
         docs = part
+        n = [part.count()]
         for name, stage in P.STAGES:
             docs = stage(spark, docs, SF)
-        assert docs.count() >= 0
+            n.append(docs.count())
+        assert set(part.columns) <= set(docs.columns) and {"size", "shard", "slot"} <= set(docs.columns)
+        assert n[1] <= n[0] and n[2] <= n[1] and n[3] <= n[2] and n[5] == n[4] <= 3 * n[3]
+        assert (n[-1] > 0) == (n[0] > 0)

@@ -3,7 +3,7 @@ import zlib
 
 import pandas as pd
 import pytest
-from conftest import SF
+from llm_tables import SF
 
 from scrubjay.llm import sharding
 from scrubjay.llm.queries import QUERIES

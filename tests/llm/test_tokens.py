@@ -1,6 +1,6 @@
 import numpy as np
 import pandas as pd
-from conftest import SF
+from llm_tables import SF
 
 from scrubjay.llm import tokens as T
 from scrubjay.llm.queries import QUERIES
