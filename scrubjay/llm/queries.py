@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import licenses
+from .alignment import op12_token_alignment
 from .decontam import op7_decontamination
 from .embeddings import op1_embedding_near_dedup
 from .html_text import op3_html_text
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
