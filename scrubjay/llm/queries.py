@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses
+from . import licenses, warc
 from .alignment import op12_token_alignment
 from .decontam import op7_decontamination
 from .embeddings import op1_embedding_near_dedup
@@ -25,9 +25,11 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op11_warc_index": warc.op11_warc_index,
     "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
     "op4_license_scan": licenses.oracle_sql(),
+    "op11_warc_index": warc.oracle_sql(),
 }
