@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, warc
+from . import licenses, prefix_trie, warc
 from .alignment import op12_token_alignment
 from .decontam import op7_decontamination
 from .embeddings import op1_embedding_near_dedup
@@ -27,9 +27,11 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_warc_index": warc.op11_warc_index,
     "op12_token_alignment": op12_token_alignment,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
     "op4_license_scan": licenses.oracle_sql(),
     "op11_warc_index": warc.oracle_sql(),
+    "op13_prefix_trie": prefix_trie.oracle_sql(),
 }
