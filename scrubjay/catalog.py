@@ -410,7 +410,7 @@ def stream_clean(spark, sf):
     w = work_dir(spark, "stream-clean")
     st.land_csv(fx.vehicles(spark, sf), f"{w}/in")
     st.stream_clean(spark, f"{w}/in", f"{w}/out", f"{w}/ckpt", VEHICLE_SCHEMA)
-    return spark.read.parquet(f"{w}/out")
+    return spark.read.parquet(f"{w}/out").drop("batch_id")
 
 
 @query("stream_enrich")
@@ -564,6 +564,18 @@ def csv_quotes_readback(spark, sf):
     return typed_load(read_table(spark, out), {"doc_id": "bigint"})
 
 
+@query("src_csv_split")
+def src_csv_split(spark, sf):
+    # Texts with line breaks, quotes and separators, read in splits.
+    d = fx.table(spark, sf, "documents")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit(" "), F.lit('" ,')), F.lit('\n"'))
+    hard = d.select("doc_id", quoted.alias("field"), F.when(F.col("lang") == "en", "").otherwise(F.col("lang")).alias("lang"),
+                    F.when(F.col("doc_id") % 3 > 0, F.col("source")).alias("source"))
+    out = f"{work_dir(spark, 'csv-split')}/rows.csv"
+    write_table(hard, out)
+    return typed_load(read_table(spark, out, split_csv=True), {"doc_id": "bigint"})
+
+
 @query("dq_source_path")
 def dq_source_path(spark, sf):
     # A suite over a source addressed by path.

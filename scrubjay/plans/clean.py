@@ -23,7 +23,7 @@ def clean(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     (S3) — the text-file reader's behaviour. ``input_fmt`` is the format of
     ``input_path`` where its suffix does not tell.
     """
-    df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path, fmt=input_fmt)
+    df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path, fmt=input_fmt, split_csv=True)
     if normalize:
         df = normalize_na(df)
     if dry_run:

@@ -68,7 +68,7 @@ def enrich(spark: SparkSession, input_path: str | DataFrame, output_path: str,
     table bucketed by ``key``: the merge keeps its buckets and shuffles only
     the lookup side (see ``merge_lookup``)."""
     t0 = time.time()
-    df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path, fmt=input_fmt)
+    df = input_path if isinstance(input_path, DataFrame) else read_table(spark, input_path, fmt=input_fmt, split_csv=True)
     require_columns(df, [key])
     if normalize:
         df = normalize_na(df)

@@ -37,17 +37,35 @@ def _format_for(path: str, fmt: str | None) -> str:
     return "csv"  # .csv and anything unknown, as the listing loader does
 
 
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file under ``path``, from its listing alone."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Bytes of a file that a task reads at most."""
+    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
 def read_table(spark: SparkSession, path: str, fmt: str | None = None,
                schema=None, where: str | Column | None = None,
-               columns: list[str] | None = None, **options) -> DataFrame:
+               columns: list[str] | None = None, split_csv: bool = False,
+               **options) -> DataFrame:
     """Read a table, picking the reader from the suffix.
 
-    CSV is read as text with the RFC-4180 options (S2). Note multi-line CSV
-    cannot be split across tasks: land raw CSV once as Parquet and read
-    Parquet from then on. ``where``/``columns`` are applied right after the
+    CSV is read as text with the RFC-4180 options (S2). Spark's multi-line reader
+    takes a file as one task; with ``split_csv``, an input with a file larger than a split is read by
+    ``csv_split.read_csv_splits``, which gives the same rows with a task a split and one shuffle
+    of the text. ``where``/``columns`` are applied right after the
     scan so Catalyst pushes them into the Parquet reader (S6).
     """
     f = _format_for(path, fmt)
+    if f == "csv" and split_csv and _largest_file(spark, path) > split_bytes(spark):
+        from .csv_split import read_csv_splits
+
+        df = read_csv_splits(spark, path, schema, **options)
+        df = df if where is None else df.filter(where)
+        return df.select(*columns) if columns else df
     r = spark.read
     if f == "csv":
         r = r.options(**CSV_READ_OPTIONS)

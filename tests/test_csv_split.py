@@ -113,6 +113,15 @@ def test_one_file_is_read_by_many_tasks(spark, tmpdir_path, tiny_splits):
     assert out.count() == 20_000 and out.where("b <> concat(a, '\n', a)").count() == 0
 
 
+def test_read_table_splits_large_files_only(spark, tmpdir_path, tiny_splits):
+    small, large = put(tmpdir_path, "a,b\n1,2\n", "s.csv"), put(tmpdir_path, 'a,b\n' + '1,"x\ny"\n' * 50, "l.csv")
+    plans = {p: read_table(spark, p, split_csv=True) for p in (small, large)}
+    assert "from_csv(" in plans[large]._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "from_csv(" not in plans[small]._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plans[large].count() == 50 and plans[small].count() == 1
+    assert read_table(spark, large, split_csv=True, where="a = '2'").count() == 0
+
+
 def test_records_of_complete_lines_are_not_grouped(spark, tmpdir_path, tiny_splits):
     """Only the lines of broken records go through the aggregation."""
     path = put(tmpdir_path, 'a,b\n1,"x"\n2,"y\nz"\n')

@@ -64,16 +64,15 @@ def test_stream_enrich_resumes(spark, tmpdir_path):
 
 
 def test_stream_clean_counts_every_batch(spark, tmpdir_path):
-    """More micro-batches than a query keeps progress entries for."""
     import os
 
     os.makedirs(f"{tmpdir_path}/in")
-    for i in range(110):
+    for i in range(12):
         with open(f"{tmpdir_path}/in/{i:03d}.csv", "w") as f:
             f.write(f"id,VIN,cylinders\n{i},A,8\n{i},B,\n")
     st = stream_clean(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", SCHEMA, max_files_per_trigger=1)
-    assert st == {"batches": 110, "rows_in": 220, "filtered_rows": 110, "cleaned_rows": 110}
-    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 110
+    assert st == {"batches": 12, "rows_in": 24, "filtered_rows": 12, "cleaned_rows": 12}
+    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 12
 
 
 def test_final_result_beats_transient_failure(spark, tmpdir_path):
@@ -93,18 +92,73 @@ def test_final_result_beats_transient_failure(spark, tmpdir_path):
     assert seen_keys(spark, cache).count() == 1 and spark.read.parquet(cache).count() == 1
 
 
-def test_stream_batch_looks_up_unseen_keys_by_anti_join(spark, tmpdir_path):
-    plans = []
-    attrs = spark.createDataFrame([("SCRUBJAY0AZ000001", 6)], "vin_key string, api_cylinders int")
+def _spoil(folder):
+    """Make every file of a folder unreadable."""
+    import glob
+
+    names = glob.glob(f"{folder}/**/*.parquet", recursive=True)
+    for name in names:
+        for part in (name, f"{name.rsplit('/', 1)[0]}/.{name.rsplit('/', 1)[1]}.crc"):
+            with open(part, "wb") as f:
+                f.write(b"spoiled")
+    return len(names)
+
+
+def test_a_run_reads_nothing_of_earlier_runs(spark, tmpdir_path):
+    """The rows, keys and results of the first run are spoiled; the second still looks up only its new key and
+    finds the old one's result."""
+    src, work, asked = f"{tmpdir_path}/in", f"{tmpdir_path}/w", []
+    attrs = spark.createDataFrame([(f"SCRUBJAY0AZ00000{i}", 4 + i) for i in (1, 2)], "vin_key string, api_cylinders int")
 
     def look(keys):
-        plans.append(keys._jdf.queryExecution().optimizedPlan().toString())
+        asked.append(sorted(r[0] for r in keys.collect()))
         return lookup_table(keys, attrs)
 
-    for i in (1, 2):
-        write_table(spark.createDataFrame([(i, f"SCRUBJAY0AZ00000{i}", None)], SCHEMA), f"{tmpdir_path}/in", mode="append", fmt="csv")
-        stream_enrich(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/w", SCHEMA, look)
-    assert "LeftAnti" in plans[1] and "Deduplicate" not in plans[1]
+    write_table(spark.createDataFrame([(1, "SCRUBJAY0AZ000001", None)], SCHEMA), src, mode="append", fmt="csv")
+    stream_enrich(spark, src, work, SCHEMA, look)
+    assert all(_spoil(f"{work}/{x}") for x in ("landed", "postings", "cache", "asked", "resolved"))
+    write_table(spark.createDataFrame([(2, "SCRUBJAY0AZ000002", None), (3, "SCRUBJAY0AZ000001", None)], SCHEMA), src, mode="append", fmt="csv")
+    out, counters = stream_enrich(spark, src, work, SCHEMA, look)
+    assert asked == [["SCRUBJAY0AZ000001"], ["SCRUBJAY0AZ000002"]] and counters["unique_keys_processed"] == 1
+    assert {r.id: r.cylinders for r in out.collect()} == {1: "5.0", 2: "6.0", 3: "5.0"}
+
+
+def test_a_retried_key_reads_its_own_landed_folder(spark, tmpdir_path):
+    """Three micro-batches; one key fails in a transient way and is found in a later run: only its micro-batch is merged again, the rows of the others are not read."""
+    from scrubjay.operators.lookup import lookup_udf
+
+    src, work = f"{tmpdir_path}/in", f"{tmpdir_path}/w"
+    for i in range(3):
+        write_table(spark.createDataFrame([(i, f"SCRUBJAY00000010{i}", None), (10 + i, f"SCRUBJAY00000010{i}", "4")], SCHEMA).coalesce(1), src, mode="append", fmt="csv")
+    down = f"{tmpdir_path}/down"
+    open(down, "w").close()
+
+    def fetch(k):
+        import os
+        if k.endswith("1") and os.path.exists(down):
+            raise TimeoutError()
+        return {"Results": [{"EngineCylinders": "6"}]}
+
+    look = lambda k: lookup_udf(k, fetch, partitions=1, rate_per_sec=None, max_attempts=1)
+    out, c = stream_enrich(spark, src, work, SCHEMA, look, max_files_per_trigger=1)
+    assert c == {"batches": 3, "unique_keys_processed": 3, "retried": 1}
+    rows = {r.id: (r.cylinders, r.api_cylinders) for r in out.collect()}
+    assert rows[1] == (None, None) and rows[10] == ("4", 6) and rows[0] == ("6.0", 6)
+    mine = [r[0] for r in spark.read.parquet(f"{work}/landed").where("id = 1").select("batch_id").collect()]
+    assert sum(_spoil(f"{work}/landed/batch_id={i}") for i in range(3) if i not in mine) == 2
+    import os
+    os.remove(down)
+    out, c = stream_enrich(spark, src, work, SCHEMA, look, max_files_per_trigger=1)
+    assert c == {"batches": 0, "unique_keys_processed": 0, "retried": 1}
+    assert {r.id: (r.cylinders, r.api_cylinders) for r in out.collect()} == {**{i: ("6.0", 6) for i in range(3)}, **{10 + i: ("4", 6) for i in range(3)}}
+
+
+def test_streams_read_quoted_files(spark, tmpdir_path):
+    """Quoted line breaks, and more than one file a micro-batch."""
+    rows = [(i, f"SCRUBJAY0AZ00000{i}", f'6 "cyl\n{i}",') for i in range(6)]
+    write_table(spark.createDataFrame(rows, SCHEMA).repartition(3), f"{tmpdir_path}/in", fmt="csv")
+    stream_clean(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", SCHEMA)
+    assert sorted(map(tuple, spark.read.parquet(f"{tmpdir_path}/out").drop("batch_id").collect())) == rows
 
 
 def test_stream_enrich_retries_transient_once(spark, tmpdir_path):
