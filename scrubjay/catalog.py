@@ -564,6 +564,18 @@ def csv_quotes_readback(spark, sf):
     return typed_load(read_table(spark, out), {"doc_id": "bigint"})
 
 
+@query("put_readback")
+def put_readback(spark, sf):
+    # K4: an object is put, refused, and replaced once its successor is proved; what can be read is the last.
+    from .sources.sinks import put_and_verify
+
+    uri = f"{work_dir(spark, 'put')}/orders.csv"
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    done = [put_and_verify(o.limit(1), uri), put_and_verify(o, uri), put_and_verify(o, uri, overwrite=True)]
+    back = typed_load(read_table(spark, uri), {"o_orderkey": "bigint", "o_totalprice": "double"})
+    return back.withColumn("answers", F.lit(str(done)))
+
+
 @query("src_csv_split")
 def src_csv_split(spark, sf):
     # Texts with line breaks, quotes and separators, read in splits.

@@ -381,6 +381,7 @@ from lineitem""",
     "clean_job_readback": with_(VEHICLES) + "select * from vehicles where cylinders is not null",
     "append_readback": with_(VEHICLES) + "select id, VIN, cylinders from vehicles",
     "load_table_readback": with_(VEHICLES) + "select id + 7300000000 as id, VIN, try_cast(trim(cylinders) as double) as cylinders from vehicles",
+    "put_readback": """select o_orderkey, o_orderpriority, o_totalprice, '[True, False, True]' as answers from orders""",
     "src_csv_split": """select doc_id, '"' || replace(text, ' ', '" ,') || chr(10) || '"' as field, case when lang = 'en' then '' else lang end as lang,
   case when doc_id % 3 > 0 then source end as source from documents""",
     "csv_quotes_readback": """select doc_id, '"a", "' || lang || '"' || chr(10) || ',' || source as field from documents""",

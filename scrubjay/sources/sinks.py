@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import _format_for, read_table
+from .publish import readable_path, stage
+from .tables import _format_for
 
 # Spark's CSV writer trims values by default; keep text exactly as it is.
 CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quoteAll": "false",
@@ -17,14 +20,16 @@ def write_table(df: DataFrame, target: str, mode: str = "errorifexists",
     """One distributed write; a directory of part files (K1, K2).
 
     ``mode``: ``overwrite`` / ``errorifexists`` (K3) / ``append`` (K6).
-    Suffix picks the format; anything else is CSV with header.
+    Suffix picks the format; anything else is CSV with header. An existing output is
+    overwritten as a whole when the new one is complete (``publish``): a
+    failed write leaves it as it was.
     """
     f = _format_for(target, fmt)
-    w = df.write.mode(mode)
-    if f == "csv":
-        w = w.options(**CSV_WRITE_OPTIONS)
-    if options:
-        w = w.options(**options)
+    options = ({**CSV_WRITE_OPTIONS} if f == "csv" else {}) | options
+    if mode == "overwrite" and "partitionOverwriteMode" not in options and readable_path(df.sparkSession, target):
+        stage(df, target, f, partition_by, checksum=False, **options).publish()
+        return
+    w = df.write.mode(mode).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.format(f).save(target)
@@ -65,36 +70,48 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 def put_and_verify(df: DataFrame, uri: str, overwrite: bool = False,
                    fmt: str | None = None) -> bool:
-    """Object-store put (K4): refuse (False) when present and not overwriting;
-    after writing, verify by reading the row count back from storage.
-    The row count comes from an ``observe`` on the write itself, so the data
-    is computed once."""
-    from pyspark.sql import Observation, functions as F
-
-    spark = df.sparkSession
-    if path_exists(spark, uri) and not overwrite:
+    """Object-store put (K4): refuse (False) when present and not overwriting. The rows are written
+    beside ``uri`` and read back; only if their count and order-free checksum
+    are those observed on the write do they take its place, else the
+    old object stays and the result is False. The data is computed once."""
+    if readable_path(df.sparkSession, uri) and not overwrite:
         return False
-    obs = Observation("put")
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), uri,
-                mode="overwrite" if overwrite else "errorifexists", fmt=fmt)
-    from ..session import observed
-    written = observed(obs, "rows")["rows"]
-    if not path_exists(spark, uri):
+    f = _format_for(uri, fmt)
+    staged = stage(df, uri, f, **(CSV_WRITE_OPTIONS if f == "csv" else {}))
+    if not staged.verify():
+        staged.drop()
         return False
-    return read_table(spark, uri, fmt=fmt).count() == written
+    staged.publish()
+    return True
 
 
 def load_table(df: DataFrame, name: str, mode: str = "errorifexists",
                types: dict[str, str] | None = None) -> int:
     """Warehouse load (K5): optional typed cast pass, ``saveAsTable`` with
     ``overwrite`` (truncate) / ``errorifexists`` (empty only) / ``append``;
-    returns the loaded row count."""
+    returns the loaded row count. An overwritten table stays until its
+    successor has been written and counted."""
     from pyspark.sql import Observation, functions as F
+    from ..session import observed
     from .tables import typed_load
 
+    spark = df.sparkSession
     if types:
         df = typed_load(df, types)
+    replace = mode == "overwrite" and spark.catalog.tableExists(name)
+    # an existing table is dropped when its successor is complete
+    target = f"{name}__staging_{uuid.uuid4().hex[:12]}" if replace else name
     obs = Observation("load")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).saveAsTable(name)
-    from ..session import observed
-    return int(observed(obs, "rows")["rows"])
+    try:
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists" if replace else mode).saveAsTable(target)
+        rows = int(observed(obs, "rows")["rows"])
+        if replace:
+            if spark.table(target).count() != rows:
+                raise RuntimeError(f"{name}: the table read back does not have the {rows} rows written")
+            spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"ALTER TABLE {target} RENAME TO {name}")
+    except Exception:
+        if replace and spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE IF EXISTS {target}")
+        raise
+    return rows

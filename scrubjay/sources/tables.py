@@ -60,6 +60,9 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
     scan so Catalyst pushes them into the Parquet reader (S6).
     """
     f = _format_for(path, fmt)
+    from .publish import readable_path
+
+    path = readable_path(spark, path) or path  # an output whose replacement was cut off
     if f == "csv" and split_csv and _largest_file(spark, path) > split_bytes(spark):
         from .csv_split import read_csv_splits
 
