@@ -564,6 +564,32 @@ def csv_quotes_readback(spark, sf):
     return typed_load(read_table(spark, out), {"doc_id": "bigint"})
 
 
+@query("prof_sample")
+def prof_sample(spark, sf):
+    # The same orders whatever the split, with scaled counts and their errors.
+    return op.sampled_nulls(fx.vehicles(spark, sf), "id", ["VIN", "cylinders"], 0.1)
+
+
+@query("prof_sketch")
+def prof_sketch(spark, sf):
+    # Sketches by month, stored, then united; the estimates are compared with the exact figures.
+    li = fx.table(spark, sf, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
+    distinct, numeric = ["l_orderkey", "l_returnflag"], ["l_extendedprice", "l_quantity"]
+    path = f"{work_dir(spark, 'sketches')}/by_month"
+    op.sketch_columns(li, ["month"], distinct, numeric).write.parquet(path)
+    got = op.sketch_profile(spark.read.parquet(path), distinct, numeric)
+    exact = op.cardinality(li, distinct).select("column_name", F.col("n_distinct").alias("exactly"))
+    return got.join(exact, "column_name", "left").select(
+        "column_name", "n", F.round("min_value", 2).alias("min_value"), F.round("max_value", 2).alias("max_value"), F.round("avg_value", 4).alias("avg_value"),
+        (F.abs(F.col("n_distinct") - F.col("exactly")) <= 0.04 * F.col("exactly")).alias("distinct_near"))
+
+
+@query("prof_footers")
+def prof_footers(spark, sf):
+    # A9, A10, A13 from Parquet footers.
+    return op.footer_profile(spark, f"{sf.rstrip('/')}/orders.parquet", ["o_orderkey", "o_custkey"])
+
+
 @query("put_readback")
 def put_readback(spark, sf):
     # K4: an object is put, refused, and replaced once its successor is proved; what can be read is the last.

@@ -47,28 +47,26 @@ def empty_results(spark) -> DataFrame:
     return spark.createDataFrame([], RESULT_DDL)
 
 
-def check_unique(attrs: DataFrame, attrs_key: str = "vin_key") -> DataFrame:
-    """Raise if a reference table repeats a key: a lookup would then repeat rows."""
-    twice = attrs.groupBy(attrs_key).count().where("count > 1").limit(3).collect()
-    if twice:
-        raise ValueError(f"repeated {attrs_key}: {[r[0] for r in twice]}")
-    return attrs
-
-
 def lookup_table(keys: DataFrame, attrs: DataFrame, key: str = "VIN",
-                 attrs_key: str = "vin_key") -> DataFrame:
-    """Resolve each raw key against a reference table.
+                 attrs_key: str = "vin_key", on_repeat: str = "error") -> DataFrame:
+    """Resolve each raw key against a reference table (J4): one result a key, always.
 
-    ``attrs`` must be unique on ``attrs_key`` (``check_unique`` tells) and may carry any subset of the
-    ``api_*`` attribute columns (missing ones are NULL). Matching uses the
+    ``attrs`` may carry any subset of the ``api_*`` attribute columns (missing ones are NULL). Its rows are
+    grouped by ``attrs_key`` on their way into the join, by the partitioning the join needs anyway, so repeated keys are
+    found in the same pass: a key that is asked for and has several rows is an error, or, with
+    ``on_repeat="pick"``, gets the smallest row in the order of the columns. A row repeated as a whole counts once. Matching uses the
     normalised key; invalid keys never match. Unmatched valid keys record
     ``No results returned from API``. Response time is 0.0 (no remote call).
     """
+    if on_repeat not in ("error", "pick"):
+        raise ValueError("on_repeat must be 'error' or 'pick'")
     k = split_keys(keys.select(key), key)
     have = set(attrs.columns)
-    a = attrs.select(F.col(attrs_key).alias("_ak"), F.lit(True).alias("_hit"),
-                     *[F.col(c) for c in API_COLUMNS
-                       if c in have and c not in ("api_response_time", "api_error_message")])
+    took = [c for c in API_COLUMNS if c in have and c not in ("api_response_time", "api_error_message")]
+    row = F.struct(*[F.col(c) for c in took], F.lit(True).alias("_hit"))
+    a = (attrs.groupBy(F.col(attrs_key).alias("_ak")).agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
+         .withColumn("_repeated", F.lit(on_repeat == "error") & (F.col("_low") != F.col("_high")))
+         .select("_ak", "_repeated", "_low.*"))
     j = k.join(a, (F.col("_norm") == F.col("_ak")) & F.col("_valid"), "left")
     cols = []
     for c, t in RESULT_COLUMNS:
@@ -78,7 +76,8 @@ def lookup_table(keys: DataFrame, attrs: DataFrame, key: str = "VIN",
             cols.append(F.lit(0.0).alias(c))
         elif c == "api_error_message":
             cols.append(F.when(~F.col("_valid"), F.lit(ERR_INVALID))
-                        .when(F.col("_hit").isNull(), F.lit(ERR_NO_RESULTS)).alias(c))
+                        .when(F.col("_hit").isNull(), F.lit(ERR_NO_RESULTS))
+                        .when(F.col("_repeated"), F.raise_error(F.concat(F.lit(f"repeated {attrs_key}: "), F.col("_ak")))).alias(c))
         elif c in have:
             cols.append(F.col(c).cast(t).alias(c))
         else:
@@ -137,11 +136,15 @@ def _ask(fetch, key, pacer, tries, pause):
     return None, error
 
 
-def _make_caller(fetch, interval, tries, shortest, longest, workers, seed):
+def _make_caller(fetch, interval, tries, shortest, longest, workers, seed, rate=None):
+    """``interval`` is the pause between calls of a task; with ``rate`` it is a barrier stage, whose tasks
+    all run at a time and share the rate by the number that there are."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from concurrent.futures import ThreadPoolExecutor
+        from pyspark import BarrierTaskContext
 
-        pacer, rng = _Pacer(interval), random.Random(seed)
+        pause_of_task = len(BarrierTaskContext.get().getTaskInfos()) / rate if rate else interval
+        pacer, rng = _Pacer(pause_of_task), random.Random(seed)
 
         def pause(i):  # anywhere up to a ceiling that doubles
             return rng.uniform(0.0, min(longest, shortest * 2 ** (i - 1)))
@@ -174,20 +177,21 @@ def lookup_udf(keys: DataFrame, fetch: Callable[[str], object], key: str = "VIN"
 
     ``partitions`` (default: the session's core slots) x ``workers`` threads
     call at once (U2). ``rate_per_sec`` bounds the calls of the whole job, retries
-    included (U3): at most min(partitions, core slots) tasks run at a time, and
-    each spaces its calls by that number over the rate. More partitions than
-    slots run in waves at the same total rate. On a cluster that grows while the job runs,
-    set ``partitions`` to the concurrency wanted; the slots are counted when the query is built.
+    included (U3). Where ``partitions`` fit the core slots, the calls are a barrier stage: its tasks all run at the same time,
+    learn their number when they start and share the rate by it, so the rate holds, and is reached, whatever
+    the cluster has become since the query was built; the stage waits until that many slots are free. More partitions
+    run in waves instead, spaced by the slots counted when the query is built.
     """
     slots = max(1, keys.sparkSession.sparkContext.defaultParallelism)
     k = split_keys(keys.select(key), key)
     targets = k.filter("_valid").select("_norm").distinct()
     n = partitions or slots
     targets = targets.repartition(n, "_norm")
+    at_once = bool(rate_per_sec) and n <= slots
     interval = min(n, slots) / rate_per_sec if rate_per_sec else 0.0
     called = targets.mapInPandas(
-        _make_caller(fetch, interval, max_attempts, base_delay, max_delay, workers, seed),
-        "_norm string, _body string, _call_error string, api_response_time double")
+        _make_caller(fetch, interval, max_attempts, base_delay, max_delay, workers, seed, rate_per_sec if at_once else None),
+        "_norm string, _body string, _call_error string, api_response_time double", barrier=at_once)
     called = called.withColumn("_parsed", parse_results(F.col("_body")))
     dec = decode_response("_parsed")
     decoded = called.select(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import pct
-
+from ..session import work_dir
 
 
 def success():
@@ -47,24 +47,39 @@ def error_dist(results: DataFrame) -> DataFrame:
     return results.groupBy("api_error_message").agg(F.count(F.lit(1)).alias("n_keys"))
 
 
-def batch_id(key_col, n_batches) -> "F.Column":
-    """Deterministic batch of a key: MD5 prefix modulo the batch count.
-    A global ``row_number`` would funnel every key through one task."""
-    h = F.conv(F.substring(F.md5(key_col), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, n_batches)
+def number_in_order(df: DataFrame, order: list[str], out: str = "row_no", partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out``: the place of each row, from 0, in ``order`` (missing values first, ties in any order).
 
+    No task sees all rows: they are dealt into ranges, sorted and numbered in each, and written once under the
+    work folder; the sizes of earlier ranges, one number a range, are added. ``partitions`` is the number of ranges (default:
+    the session's shuffle partitions)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{work_dir(spark, 'numbered')}/rows"
+    # the id is the number of the range and, in its low 33 bits, the place in it
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .withColumn("_id", F.monotonically_increasing_id()).write.parquet(path))
+    rows = spark.read.schema(df.withColumn("_id", F.lit(0).cast("bigint")).schema).parquet(path)
+    ranged = rows.withColumn("_range", F.shiftright("_id", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = (ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    place = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.join(F.broadcast(offsets), "_range").withColumn(out, place).drop("_range", "_id", "_before")
 
-def batch_stats(results: DataFrame, batch_size: int = 100, key: str = "VIN") -> DataFrame:
-    """Per-batch successes, failures and mean response time.
 
-    The batch count is ``ceil(keys / batch_size)``, a scalar subquery
-    (no driver round trip); invalid keys count with 0.0 s. The subquery reads
-    ``results`` a second time, so pass a materialised lookup table (as the
-    enrich job writes), never an unmaterialised external lookup.
-    """
-    n_keys = results.select(F.count(F.lit(1))).scalar()
-    n_batches = F.greatest(F.lit(1), F.ceil(n_keys / F.lit(batch_size))).cast("bigint")
-    b = results.withColumn("batch_id", batch_id(F.col(key), n_batches))
+def assign_batches(results: DataFrame, batch_size: int = 100, key: str = "VIN") -> DataFrame:
+    """``results`` plus ``batch_id`` (P13): batches of exactly ``batch_size`` rows in the order of ``key``, the last one of what is
+    left (F13)."""
+    if batch_size < 1:
+        raise ValueError("batch_size must be at least 1")
+    return number_in_order(results, [key], "_no").withColumn("batch_id", F.expr(f"_no div {int(batch_size)}")).drop("_no")
+
+
+def batch_stats(results: DataFrame, batch_size: int = 100, key: str = "VIN") -> DataFrame:
+    """Per-batch successes, failures and mean response time (A4) of ``assign_batches``;
+    invalid keys count with 0.0 s. ``results`` is read once, for the columns this takes."""
+    b = assign_batches(results.select(key, "api_cylinders", "api_response_time"), batch_size, key)
     return b.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.count_if(success()).alias("successful"),
@@ -73,8 +88,7 @@ def batch_stats(results: DataFrame, batch_size: int = 100, key: str = "VIN") ->
 
 
 def run_summary(results: DataFrame, batch_size: int = 100, key: str = "VIN") -> DataFrame:
-    """``unique_keys_processed`` and ``chunks_processed`` (batches that hold a key) of a
-    batch run (A5). Like ``batch_stats``, give it a written lookup table."""
-    b = batch_stats(results, batch_size, key)
-    return b.agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("unique_keys_processed"),
-                 F.count(F.lit(1)).alias("chunks_processed"))
+    """``unique_keys_processed`` and ``chunks_processed`` (batches of ``batch_size``, the last one may be
+    short) of a batch run (A5)."""
+    return results.agg(F.count(F.lit(1)).alias("unique_keys_processed"),
+                       F.ceil(F.count(F.lit(1)) / F.lit(batch_size)).cast("bigint").alias("chunks_processed"))

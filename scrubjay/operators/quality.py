@@ -224,16 +224,15 @@ def export_results(results: DataFrame, target: str, as_table: bool = False) -> N
     """Add a run's results to a results table or folder, partitioned by ``job_id`` (K8).
     Exporting a job id again replaces its rows, so a retry leaves no duplicates."""
     spark = results.sparkSession
-    if not as_table:
-        w = results.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-        w.partitionBy("job_id").parquet(target)
-    elif spark.catalog.tableExists(target):
-        mode = "spark.sql.sources.partitionOverwriteMode"  # a table insert takes it from the session only
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            results.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set(mode, before)
+    known = as_table and spark.catalog.tableExists(target)
+    if known or not as_table:
+        # a table's folder is written as a folder is: the mode is a setting of this write alone
+        cols = spark.table(target).columns if known else results.columns
+        folder = spark.sql(f"DESCRIBE FORMATTED {target}").where("col_name = 'Location'").first()["data_type"] if known else target
+        w = results.select(*cols).write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+        w.partitionBy("job_id").parquet(folder)
+        if known:
+            spark.catalog.recoverPartitions(target)
+            spark.catalog.refreshTable(target)
     else:
         results.write.partitionBy("job_id").format("parquet").saveAsTable(target)

@@ -9,12 +9,14 @@ def _vin(k: str) -> str:
             f"case when {k} % 13 = 0 then 16 else 17 end))")
 
 
+_OWNER = "(case when o_custkey % 4 = 0 then -o_custkey else o_custkey end)"
+
 VEHICLES = f"""vehicles as (
   select o_orderkey as id,
     case when o_orderkey % 11 = 0 then null
          when o_orderkey % 11 = 1 then ''
-         when o_orderkey % 11 = 2 then concat(' ', {_vin('o_custkey')}, ' ')
-         else {_vin('o_custkey')} end as VIN,
+         when o_orderkey % 11 = 2 then concat(' ', {_vin(_OWNER)}, ' ')
+         else {_vin(_OWNER)} end as VIN,
     case o_orderkey % 7 when 0 then null when 1 then '' when 2 then ' '
          when 3 then 'None' when 4 then '8.0' else '6 cylinders' end as cylinders,
     cast(year(o_orderdate) as integer) as year,
@@ -27,7 +29,7 @@ VIN_ATTRS = f"""vin_attrs as (
     case when c_custkey % 5 = 0 then null else cast(4 + 2 * (c_custkey % 3) as integer) end as api_cylinders,
     c_mktsegment as api_make,
     case when c_custkey % 5 = 0 then null else cast(2000 + c_custkey % 20 as varchar) end as api_year
-  from customer where c_custkey % 4 <> 0)"""
+  from customer)"""
 
 
 def valid(x: str) -> str:
@@ -137,13 +139,11 @@ from vehicles v left join results r on v.VIN = r.VIN""",
                           "done as (select * from vehicles where cylinders in ('8.0', '6 cylinders'))",
                           keys_cte("done"), results_cte()) + stats_sql("done", "results"),
     "error_dist": ENRICH_BASE + "select api_error_message, count(*) as n_keys from results group by 1",
-    "batch_stats": ENRICH_BASE + """, nb as (select greatest(1, cast(ceil(count(*) / 100.0) as bigint)) as n from results)
-select ('0x' || substring(md5(VIN), 1, 8))::bigint % (select n from nb) as batch_id,
-  count(*) as n_keys,
+    "batch_stats": ENRICH_BASE + """select batch_id, count(*) as n_keys,
   count(*) filter (where api_cylinders is not null) as successful,
   count(*) filter (where api_cylinders is null) as failed,
   round(avg(api_response_time), 6) as avg_response_time
-from results group by 1""",
+from (select *, (row_number() over (order by VIN) - 1) // 100 as batch_id from results) group by 1""",
 }
 
 
@@ -370,7 +370,7 @@ from labeled""",
 })
 
 ORACLE.update({
-    "run_summary": ORACLE["batch_stats"].rstrip().replace("select ('0x'", "select sum(n_keys)::bigint as unique_keys_processed, count(*) as chunks_processed from (select ('0x'", 1) + ")",
+    "run_summary": ENRICH_BASE + "select count(*) as unique_keys_processed, cast(ceil(count(*) / 100.0) as bigint) as chunks_processed from results",
     "src_pushed_scan": "select o_orderkey, o_totalprice from orders where o_totalprice > 200000 and o_orderstatus = 'F'",
     "fix_flag_key_exclude": with_(VEHICLES) + f"select * from vehicles where {valid('VIN')}",
     "fix_year_exclude": with_(VEHICLES) + "select id, year from vehicles where year >= 1997",
@@ -381,6 +381,19 @@ from lineitem""",
     "clean_job_readback": with_(VEHICLES) + "select * from vehicles where cylinders is not null",
     "append_readback": with_(VEHICLES) + "select id, VIN, cylinders from vehicles",
     "load_table_readback": with_(VEHICLES) + "select id + 7300000000 as id, VIN, try_cast(trim(cylinders) as double) as cylinders from vehicles",
+    "prof_sample": with_(VEHICLES) + """, s as (
+  select * from vehicles where ('0x' || substring(md5('42:' || id), 1, 8))::bigint < floor(0.1::double * 4294967296)::bigint),
+c as (select 'VIN' as column_name, VIN as v from s union all select 'cylinders', cylinders from s)
+select column_name, count(*) as sample_rows, count(*) filter (where v is null) as sample_nulls,
+  round(count(*) / 0.1::double, 4) as est_rows, round(count(*) filter (where v is null) / 0.1::double, 4) as est_nulls,
+  round(sqrt(count(*) filter (where v is null) * 90.0::double), 4) as est_nulls_error
+from c group by 1""",
+    "prof_sketch": """select 'l_orderkey' as column_name, null::bigint as n, null::double as min_value, null::double as max_value, null::double as avg_value, true as distinct_near
+union all select 'l_returnflag', null, null, null, null, true
+union all select 'l_extendedprice', count(*), round(min(l_extendedprice), 2), round(max(l_extendedprice), 2), round(avg(l_extendedprice), 4), null from lineitem
+union all select 'l_quantity', count(*), round(min(l_quantity), 2), round(max(l_quantity), 2), round(avg(l_quantity), 4), null from lineitem""",
+    "prof_footers": """select 'o_orderkey' as column_name, count(*) as n_rows, count(o_orderkey) as n_present, min(o_orderkey)::varchar as min_value, max(o_orderkey)::varchar as max_value from orders
+union all select 'o_custkey', count(*), count(o_custkey), min(o_custkey)::varchar, max(o_custkey)::varchar from orders""",
     "put_readback": """select o_orderkey, o_orderpriority, o_totalprice, '[True, False, True]' as answers from orders""",
     "src_csv_split": """select doc_id, '"' || replace(text, ' ', '" ,') || chr(10) || '"' as field, case when lang = 'en' then '' else lang end as lang,
   case when doc_id % 3 > 0 then source end as source from documents""",

@@ -130,15 +130,34 @@ def test_one_parse_of_a_response(spark):
     assert len(re.findall(r"from_json\(", plan)) == 1
 
 
-def test_check_unique(spark):
+def test_repeated_reference_keys(spark):
+    """A repeated key that is asked for is an error or one defined row; others, and rows repeated as a whole, do not matter."""
     import pytest
 
-    from scrubjay.operators.lookup import check_unique
+    row = "vin_key string, api_cylinders int, api_make string"
+    attrs = spark.createDataFrame([("SCRUBJAY000000101", 8, "B"), ("SCRUBJAY000000101", 6, "C"), ("SCRUBJAY000000101", 6, None),
+                                   ("SCRUBJAY000000202", 4, "A"), ("SCRUBJAY000000202", 4, "A")], row)
+    ask = lambda *k: spark.createDataFrame([(x,) for x in k], "VIN string")
+    assert [r.api_cylinders for r in lookup_table(ask("SCRUBJAY000000202", "SCRUBJAY000000303"), attrs).orderBy("VIN").collect()] == [4, None]
+    with pytest.raises(Exception, match="repeated vin_key: SCRUBJAY000000101"):
+        lookup_table(ask("SCRUBJAY000000101", "SCRUBJAY000000202"), attrs).collect()
+    got = lookup_table(ask("SCRUBJAY000000101", "SCRUBJAY000000202"), attrs, on_repeat="pick").collect()
+    assert sorted((r.VIN, r.api_cylinders, r.api_make) for r in got) == [("SCRUBJAY000000101", 6, None), ("SCRUBJAY000000202", 4, "A")]
 
-    one = spark.createDataFrame([("A", 1), ("B", 1)], "vin_key string, v int")
-    assert check_unique(one) is one
-    with pytest.raises(ValueError, match="repeated vin_key"):
-        check_unique(one.union(one))
+
+def test_rate_is_shared_by_the_tasks_that_run(spark, tmpdir_path, monkeypatch):
+    """The query was built when the cluster seemed to have three times the slots: the rate still holds and is reached."""
+    import tempfile
+
+    from pyspark import SparkContext
+
+    slots = spark.sparkContext.defaultParallelism
+    with monkeypatch.context() as m:
+        m.setattr(SparkContext, "defaultParallelism", property(lambda self: 3 * slots))
+        calls = _timed_calls(spark, tempfile.mkdtemp(dir=tmpdir_path), 60, 2, 20.0)
+    assert _within(calls, 20, 2) and 59 / (calls[-1] - calls[0]) > 12
+    plan = lookup_udf(spark.createDataFrame([("SCRUBJAY000000101",)], "VIN string"), str, partitions=2)._jdf.queryExecution().optimizedPlan()
+    assert "MapInPandas" in plan.toString() and ", true" in plan.toString()
 
 
 def test_other_key_name_and_self_derived_reference(spark):
