@@ -395,6 +395,28 @@ def lookup_udf(spark, sf):
                       "api_engine_displacement", "api_error_message")
 
 
+_ATTEMPTS: dict[str, int] = {}  # of this Python worker; a task's retries stay in it
+
+
+def flaky_fetch(key: str):
+    """Fails in a transient way until the third attempt of a key, for good where its MD5 starts with 0."""
+    import hashlib
+
+    digest = hashlib.md5(key.encode()).hexdigest()
+    _ATTEMPTS[key] = _ATTEMPTS.get(key, 0) + 1
+    if digest[0] == "0" or _ATTEMPTS[key] % 3:
+        raise ol.TransientLookupError("503")
+    return {"Results": [{"EngineCylinders": str(4 + int(digest[1], 16) % 3)}]}
+
+
+@query("lookup_retry")
+def lookup_retry(spark, sf):
+    # U4: three attempts; transient failures end as data.
+    keys = ok.keys_to_enrich(fx.vehicles(spark, sf))
+    res = ol.lookup_udf(keys, flaky_fetch, rate_per_sec=None, max_attempts=3, base_delay=0.0)
+    return res.select("VIN", "api_cylinders", "api_error_message")
+
+
 # -- streaming and file round trips ------------------------------------------------
 
 from .session import work_dir  # noqa: E402
@@ -590,6 +612,40 @@ def prof_footers(spark, sf):
     return op.footer_profile(spark, f"{sf.rstrip('/')}/orders.parquet", ["o_orderkey", "o_custkey"])
 
 
+@query("required_column")
+def required_column(spark, sf):
+    # Tables with and without the key column; the check reads no row, the count shows what passed.
+    from .sources.tables import require_columns
+
+    out = None
+    for name, df in (("vehicles", fx.vehicles(spark, sf)), ("orders", fx.table(spark, sf, "orders"))):
+        try:
+            n, error = require_columns(df, ["VIN"]).agg(F.count("*").alias("n_rows")), F.lit(None).cast("string")
+        except ValueError as e:
+            n, error = df.agg(F.lit(None).cast("bigint").alias("n_rows")), F.lit(str(e))
+        row = n.select(F.lit(name).alias("table_name"), "n_rows", error.alias("error"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("overwrite_policy")
+def overwrite_policy(spark, sf):
+    # K3: a first run, a refused one, an overwriting one; the rows are those of the last that was allowed.
+    from .plans.clean import clean
+    from .sources.sinks import probe_targets
+
+    at = f"{work_dir(spark, 'policy')}/cleaned.parquet"
+    seen = [probe_targets(spark, file=at)["file"]]
+    clean(spark, fx.vehicles(spark, sf), at, column="VIN", overwrite=False)
+    seen.append(probe_targets(spark, file=at)["file"])
+    try:
+        clean(spark, fx.vehicles(spark, sf), at, column="id", overwrite=False)
+    except FileExistsError:
+        seen.append("refused")
+    clean(spark, fx.vehicles(spark, sf), at, column="cylinders", overwrite=True)
+    return read_table(spark, at).withColumn("seen", F.lit(str(seen)))
+
+
 @query("put_readback")
 def put_readback(spark, sf):
     # K4: an object is put, refused, and replaced once its successor is proved; what can be read is the last.

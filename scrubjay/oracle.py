@@ -394,6 +394,13 @@ union all select 'l_extendedprice', count(*), round(min(l_extendedprice), 2), ro
 union all select 'l_quantity', count(*), round(min(l_quantity), 2), round(max(l_quantity), 2), round(avg(l_quantity), 4), null from lineitem""",
     "prof_footers": """select 'o_orderkey' as column_name, count(*) as n_rows, count(o_orderkey) as n_present, min(o_orderkey)::varchar as min_value, max(o_orderkey)::varchar as max_value from orders
 union all select 'o_custkey', count(*), count(o_custkey), min(o_custkey)::varchar, max(o_custkey)::varchar from orders""",
+    "lookup_retry": with_(VEHICLES, keys_cte(),
+                          f"kn as (select VIN, upper(trim(VIN)) as norm, {valid('VIN')} as valid from keys)")
+    + f"""select VIN, case when valid and substring({_H}, 1, 1) <> '0' then 4 + ('0x' || substring({_H}, 2, 1))::integer % 3 end as api_cylinders,
+  case when not valid then 'Invalid VIN format' when substring({_H}, 1, 1) = '0' then 'API request failed: 503' end as api_error_message from kn""",
+    "required_column": with_(VEHICLES) + """select 'vehicles' as table_name, count(*) as n_rows, null::varchar as error from vehicles
+union all select 'orders', null, 'Input data must contain a ''VIN'' column'""",
+    "overwrite_policy": with_(VEHICLES) + "select *, '[False, True, ''refused'']' as seen from vehicles where cylinders is not null",
     "put_readback": """select o_orderkey, o_orderpriority, o_totalprice, '[True, False, True]' as answers from orders""",
     "src_csv_split": """select doc_id, '"' || replace(text, ' ', '" ,') || chr(10) || '"' as field, case when lang = 'en' then '' else lang end as lang,
   case when doc_id % 3 > 0 then source end as source from documents""",
