@@ -152,8 +152,15 @@ def calibrate(classes: DataFrame, index: Index, queries: np.ndarray, width: int,
     return index
 
 
+def _scaled(rows: list[bytes], width: int) -> np.ndarray:
+    """Vectors, each times the power of two that brings its largest component near 1: no square overflows or vanishes, no digit
+    is lost."""
+    x = np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), width)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(rows: pa.Array, width: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(rows.to_pylist()), np.float64).reshape(len(rows), width)
+    x = _scaled(rows.to_pylist(), width)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -203,7 +210,7 @@ def _verify(cosine: float, width: int):
         group = group.combine_chunks()
         query = group["query"].to_numpy().astype(bool)
         node, copies, home = group["node"].to_numpy(), group["copies"].to_numpy(), group["home"].to_numpy().astype(bool)
-        x = np.frombuffer(b"".join(group["v"].to_pylist()), np.float64).reshape(len(node), width)
+        x = _scaled(group["v"].to_pylist(), width)
         norm = np.linalg.norm(x, axis=1)
         q, m = np.flatnonzero(query), np.flatnonzero(~query)
         link = (x[q] @ x[m].T) / (norm[q][:, None] * norm[m]) >= cosine

@@ -52,6 +52,21 @@ def test_families(spark, monkeypatch, seed, cell, block):
     assert got(embeddings.near_vectors(df)) == sorted(brute([r[0] for r in rows], [r[1] for r in rows]), key=str)
 
 
+@pytest.mark.parametrize("scale", [1e-310, 1e-200, 1e-170, 1e170, 1e200, 1e305])
+def test_any_finite_magnitude(spark, scale):
+    """Scaled copies of two vectors link as the vectors do; brute force takes unscaled ones."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(450, 8))
+    rows = [(i, r.tolist(), r.tolist()) for i, r in enumerate(x)]
+    rows += [(1000 + i, (x[i] * scale / np.abs(x[i]).max()).tolist(), x[i].tolist()) for i in (0, 7)]
+    rows += [(2000, (x[0] * 3).tolist(), x[0].tolist())]
+    df = spark.createDataFrame([(i, v) for i, v, _ in rows], "vec_id long, embedding array<double>")
+    cosine = 0.95 if scale > 1e-300 else 0.9499  # below 1e-308 digits are lost before the vector gets here
+    out = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df, cosine=cosine).collect()}
+    want = {i: (n, c) for i, n, c in brute([r[0] for r in rows], [r[2] for r in rows], cosine)}
+    assert out == want and out[1000][0] >= 2 and out[1007][0] >= 1
+
+
 def test_recall_of_the_index():
     """Neighbours at exactly the threshold are found within the calibrated depth."""
     rng = np.random.default_rng(3)
