@@ -47,20 +47,44 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
+def _long_word(data: np.ndarray, at: int, limit: int, kind: np.ndarray) -> tuple[np.ndarray, int]:
+    """Hash and end of a word that begins at ``at`` and is longer than a segment; ``limit`` is the end of its document."""
+    up, _ = _power_tables()
+    end = at
+    while end < limit:
+        outside = np.flatnonzero(~kind[data[end:min(limit, end + SEGMENT)]])
+        if len(outside):
+            end += int(outside[0])
+            break
+        end = min(limit, end + SEGMENT)
+    total = 0
+    for o in range(at, end, SEGMENT):
+        piece = data[o:min(end, o + SEGMENT)]
+        total += int(np.sum(_BYTE[piece] * up[:len(piece)], dtype=np.uint64)) * pow(_BASE, o - at, 1 << 64)
+    return mix(np.array([(total + end - at) % (1 << 64)], np.uint64)), end
+
+
 def word_hashes(data: np.ndarray, off: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each document the number of words
     before it (n + 1 entries). A word ends where its document ends. Long inputs
-    are worked through in segments that end between words."""
+    are worked through in segments that end between words; a longer word is hashed in pieces."""
     up, down = _power_tables()
     hashes, starts = [], []
     at, n = 0, len(data)
     while at < n:
         stop = min(n, at + SEGMENT)
         inside = kind[data[at:stop]]
-        if stop < n and inside[-1]:  # do not cut a word, unless one word fills the segment
+        if stop < n and inside[-1]:  # do not cut a word
             cut = np.flatnonzero(~inside)
             last_doc = off[np.searchsorted(off, stop, side="right") - 1]
-            stop = max(at + int(cut[-1]) + 1 if len(cut) else 0, int(last_doc) if last_doc > at else 0) or stop
+            whole = max(at + int(cut[-1]) + 1 if len(cut) else 0, int(last_doc) if last_doc > at else 0)
+            if not whole:
+                h, end = _long_word(data, at, int(off[np.searchsorted(off, at, side="right")]), kind)
+                hashes.append(h)
+                starts.append(np.array([at]))
+                at = end
+                continue
+            stop = whole
             inside = inside[:stop - at]
         begin = inside.copy()
         begin[1:] &= ~inside[:-1]

@@ -88,6 +88,23 @@ def test_long_words_and_segments(spark, monkeypatch):
     assert np.diff(whole[1]).tolist() == [50, 1, 0, 2, 0, 1]
 
 
+def test_a_word_longer_than_a_segment(spark):
+    """With the real segment: one word, equal to itself wherever it stands and different from a longer one."""
+    import pyarrow as pa
+
+    from scrubjay.llm import words as W
+
+    long = "x" * (2 * W.SEGMENT + 40) + "y"
+    texts = [f"{long} two three", f"one {long.upper()} three", long, long + "y", None, long + "\x00" + long]
+    h, first = W.word_hashes(*W.buffers(pa.array(texts, pa.string())), W.ALNUM)
+    assert first.tolist() == [0, 3, 6, 7, 8, 8, 10]
+    assert len({h[0], h[4], h[6], h[8], h[9]}) == 1 and h[7] != h[0] and h[2] == h[5]
+    d = spark.createDataFrame([(1, texts[0], None, None, None)], DOCS)
+    item = spark.createDataFrame([(7, f"{long} TWO three")], "item_id long, text string")
+    r = decontam.find_overlaps(d, item).first()
+    assert (r.n_words, r.n_hit) == (3, 3)
+
+
 def test_odd_rows(spark, odd_docs):
     b = spark.createDataFrame([(1, "The MIT license!"), (None, "other text"), (2, None), (3, "")], "item_id long, text string")
     out = decontam.find_overlaps(odd_docs, b)
