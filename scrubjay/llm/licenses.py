@@ -6,7 +6,8 @@ whose words contain at least ``need`` of a template's n tokens holds one of the
 n - need + 1 tokens (its prefix), so blocks are joined to an index of prefixes on the token. The first
 shared token alone produces the pair; blocks that are too short (length
 filter) or whose remaining tokens cannot reach ``need`` (positional filter) are dropped, and the
-overlap of the rest is computed in full, in each run of ``span`` words. Phrases are templates too, with containment 1 in the
+overlap of the rest is computed in full, in each run of ``span`` words. A run must also hold the words that tell
+the licence from others, and none that name another. Phrases are templates too, with containment 1 in the
 whole text; the texts found are then searched for the exact places.
 
 Built-in functions only.
@@ -27,18 +28,30 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Base phrases and labels.
 PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-# Wording of common notices.
+# Wording of common notices, their labels, the words that tell them from other licences (a run
+# without them is no such notice), and words that make a run a notice of another licence.
 TEMPLATES = [
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
-    ("licensed under the apache license version 2 0", "apache-2"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("this work is licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
-    ("licensed under the gnu general public license version 3", "gpl-3"),
-    ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
-    ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
-    ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
+    ("released under the mit license", "mit", "mit", ""),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit", "permission granted", ""),
+    ("released under the apache license", "apache", "apache", "2"),
+    ("licensed under the apache license version 2 0", "apache-2", "apache 2", ""),
+    ("licensed under cc by nc 4 0", "cc-by-nc", "cc nc", ""),
+    ("licensed under cc by sa 4 0", "cc-by-sa", "cc sa", "nc"),
+    ("licensed under cc by 4 0", "cc-by", "cc by", "nc sa nd"),
+    ("this work is licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc", "commons noncommercial", ""),
+    ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa", "commons sharealike", "noncommercial"),
+    ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by", "commons attribution", "noncommercial sharealike noderivatives"),
+    ("released under the gpl license", "gpl", "gpl", ""),
+    ("licensed under the gnu general public license version 3", "gpl-3", "gnu general 3", "lesser affero"),
+    ("licensed under the gnu general public license version 2", "gpl-2", "gnu general 2", "lesser affero"),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl", "gnu general", "lesser affero"),
+    ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", "lgpl", "gnu lesser general", ""),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license", "agpl", "gnu affero general", ""),
+    ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd", "redistribution permitted", ""),
+    ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2", "mozilla", ""),
 ]
+#: A label is left out of a text that also has the one that says more.
+REFINED = {"apache": "apache-2"}
 THRESHOLD = 0.8
 STRETCH = 1.5  # words of a run for each word of a template
 OUTPUTS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -52,6 +65,8 @@ class Template:
     tokens: tuple[str, ...]
     need: int
     span: int             # words that the tokens stand in, at most
+    must: tuple[str, ...] = ()   # tokens that a run must hold
+    never: tuple[str, ...] = ()  # words that it must not hold
 
 
 def templates(notices=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> list[Template]:
@@ -59,9 +74,10 @@ def templates(notices=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD)
     for text, label in phrases:
         t = tuple(dict.fromkeys(text.split()))
         out.append(Template(len(out), label, True, t, len(t), len(text.split())))
-    for text, label in notices:
+    for text, label, *own in notices:
         t = tuple(dict.fromkeys(text.split()))
-        out.append(Template(len(out), label, False, t, math.ceil(threshold * len(t) - 1e-9), math.ceil(STRETCH * len(text.split()))))
+        must, never = (tuple(x.split()) for x in (own or ["", ""]))
+        out.append(Template(len(out), label, False, t, math.ceil(threshold * len(t) - 1e-9), math.ceil(STRETCH * len(text.split())), must, never))
     return out
 
 
@@ -75,8 +91,9 @@ def _index(spark, known: list[Template], order: dict[str, int]) -> DataFrame:
     for t in known:
         ranked = sorted(t.tokens, key=order.__getitem__)
         for p, token in enumerate(ranked[:len(ranked) - t.need + 1]):
-            rows.append((token, t.id, t.label, t.whole, p, t.need, t.span, ranked))
-    return spark.createDataFrame(rows, "token string, tid int, label string, whole boolean, p int, need int, span int, ranked array<string>")
+            rows.append((token, t.id, t.label, t.whole, p, t.need, t.span, ranked, list(t.must), list(t.never)))
+    return spark.createDataFrame(rows, "token string, tid int, label string, whole boolean, p int, need int, span int, ranked array<string>, "
+                                       "must array<string>, never array<string>")
 
 
 def _places(text: str, phrase: str, n_words: str) -> tuple[Column, Column, Column]:
@@ -101,7 +118,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", notices=TEMPLATES, phrase
     names the columns to keep (default all)."""
     spark = docs.sparkSession
     known = templates(notices, phrases, threshold)
-    vocabulary = sorted({w for t in known for w in t.tokens})
+    vocabulary = sorted({w for t in known for w in (*t.tokens, *t.never)})
     of_phrases = sorted({w for t in known if t.whole for w in t.tokens})
     shortest = min((t.need for t in known if t.whole), default=0)
     keep = [c for c in without(docs, OUTPUTS) if carry is None or c in carry]
@@ -142,7 +159,12 @@ def scan_licenses(docs: DataFrame, text: str = "text", notices=TEMPLATES, phrase
         & ~F.arrays_overlap("toks", F.slice("ranked", F.lit(1), F.col("p"))))  # the first shared token
     overlap = F.size(F.array_intersect("toks", "ranked"))
     run_starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - F.col("span") + 1))
-    in_run = F.array_max(F.transform(run_starts, lambda s: F.size(F.array_intersect(F.slice("words", s, F.col("span")), F.col("ranked")))))
+    def held(s: Column) -> Column:
+        run = F.slice("words", s, F.col("span"))
+        fits = (F.size(F.array_intersect(run, F.col("must"))) == F.size("must")) & ~F.arrays_overlap(run, F.col("never"))
+        return F.when(fits, F.size(F.array_intersect(run, F.col("ranked")))).otherwise(0)
+
+    in_run = F.array_max(F.transform(run_starts, held))
     pairs = pairs.withColumn("overlap", overlap).where("overlap >= need").withColumn("overlap", F.when(F.col("whole"), F.col("overlap")).otherwise(in_run))
     matched = pairs.where("overlap >= need").select(
         "__k1", "__k2", "whole", "label", (F.col("overlap") / F.size("ranked")).alias("containment"))
@@ -162,6 +184,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", notices=TEMPLATES, phrase
     none = F.array().cast("array<string>")
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
     base, own = F.coalesce("__base", none), F.coalesce("__labels", none)
+    for less, more in REFINED.items():
+        own = F.when(F.array_contains(F.concat(base, own), more), F.array_remove(own, less)).otherwise(own)
     score = F.when(F.size(base) > 0, 1.0).otherwise(F.coalesce("__best", F.lit(0.0)))
     return out.select(*keep, "n_words", F.coalesce("__n", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
                       joined(base).alias("base_labels"), joined(F.concat(base, own)).alias("labels"), score.alias("score"))
@@ -172,8 +196,8 @@ def op4_license_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """In DuckDB, every line compared with every template: the same rows where notices stand in short single lines."""
-    lit = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    """In DuckDB, every run of words of every text that holds enough of a template's tokens at all."""
+    lit = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]::varchar[]"
     starts, names, rows = [], [], []
     for i, (phrase, label) in enumerate(PHRASES):
         w = phrase.split()
@@ -181,21 +205,23 @@ def oracle_sql() -> str:
         names.append(f"CASE WHEN len(p{i}) > 0 THEN ['{label}'] ELSE [] END")
     for t in templates():
         if not t.whole:
-            rows.append(f"({t.id}, '{t.label}', {lit(t.tokens)}, {t.need})")
+            rows.append(f"({t.id}, '{t.label}', {lit(t.tokens)}, {t.need}, {t.span}, {lit(t.must)}, {lit(t.never)})")
     allp = " || ".join(f"p{i}" for i in range(len(PHRASES)))
     base = " || ".join(names)
+    refined = " OR ".join(f"x = '{a}' AND list_contains(base || coalesce(ls, []), '{b}')" for a, b in REFINED.items())
     return f"""
-WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS s FROM documents),
-d AS (SELECT doc_id, s, regexp_extract_all(s, '{WORD}') AS w FROM t),
-p AS (SELECT doc_id, s, len(w) AS n_words, {', '.join(starts)} FROM d),
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
+p AS (SELECT doc_id, len(w) AS n_words, {', '.join(starts)} FROM d),
 b AS (SELECT *, {allp} AS places, list_distinct({base}) AS base FROM p),
-tpl(tid, label, tokens, need) AS (VALUES {', '.join(rows)}),
-lines AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(s, chr(10))), '{WORD}')) AS ws FROM t),
-hits AS (SELECT doc_id, label, len(list_intersect(ws, tokens)) / len(tokens)::DOUBLE AS c FROM lines, tpl
-         WHERE len(list_intersect(ws, tokens)) >= need),
+tpl(tid, label, tokens, need, span, must, never) AS (VALUES {', '.join(rows)}),
+candidates AS (SELECT * FROM (SELECT doc_id, w, list_distinct(w) AS ws FROM d), tpl WHERE len(list_intersect(ws, tokens)) >= need),
+runs AS (SELECT doc_id, label, tokens, need, must, never, list_distinct(w[i+1:i+span]) AS r
+         FROM (SELECT *, unnest(range(greatest(1, len(w) - span + 1))) AS i FROM candidates)),
+hits AS (SELECT doc_id, label, len(list_intersect(r, tokens)) / len(tokens)::DOUBLE AS c FROM runs
+         WHERE len(list_intersect(r, tokens)) >= need AND list_has_all(r, must) AND NOT list_has_any(r, never)),
 m AS (SELECT doc_id, list(label) AS ls, max(c) AS best FROM hits GROUP BY doc_id)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
        array_to_string(list_sort(base), ',') AS base_labels,
-       array_to_string(list_sort(list_distinct(base || coalesce(ls, []))), ',') AS labels,
+       array_to_string(list_sort(list_distinct(base || list_filter(coalesce(ls, []), lambda x: NOT ({refined})))), ',') AS labels,
        CASE WHEN len(base) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
 FROM b LEFT JOIN m USING (doc_id)"""
