@@ -13,6 +13,7 @@ table's own pages, whose nodes are labelled where semantic elements or attribute
 from __future__ import annotations
 
 import random
+import re
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -31,9 +32,11 @@ ROWS = 256
 OUTPUTS = ["text", "n_chars"]
 
 # HTML element names.
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+INLINE = set(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var "
+             "math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mmultiscripts mtable mtr mtd mstyle mspace mpadded mphantom menclose merror semantics").split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = set("script style title template noscript svg math iframe object select textarea canvas video audio datalist".split())
+NO_TEXT = set("script style title template noscript svg annotation annotation-xml iframe object select textarea canvas video audio datalist".split())
+RAW = {"script", "style", "title", "textarea"}  # nothing but their own end tag ends them
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 CLOSED_BY_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
@@ -73,14 +76,15 @@ def _value_mask(value: str) -> int:
 class Dom(HTMLParser):
     """Block elements as parallel lists, and runs of text in page order."""
 
-    def __init__(self):
+    def __init__(self, ends: dict[str, int] | None = None):
         super().__init__(convert_charrefs=True)
+        self.ends = ends or {}  # of elements without text: end tags still to come less start tags still to come
         self.parent, self.tag, self.mask, self.mark = [-1], ["#page"], [0], [None]
         self.runs: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.open = [0]
         self.buffer: list[str] = []
         self.in_link = self.linked = 0
-        self.silent: list[str] = []  # open elements without text
+        self.silent: list[str] = []  # an open element without text and the elements open in it
 
     def flush(self):
         if self.buffer:
@@ -101,10 +105,13 @@ class Dom(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
+        if self.silent and self.silent[-1] not in RAW and "svg" in self.silent and tag in CLOSES_P and not {"foreignobject", "desc"} & set(self.silent):
+            del self.silent[self.silent.index("svg"):]  # a block is never inside a drawing
         if tag in NO_TEXT:
-            self.silent.append(tag)
-            return
-        if self.silent:
+            self.ends[tag] = self.ends.get(tag, 0) + 1
+        if tag in NO_TEXT or self.silent:
+            if tag not in VOID:
+                self.silent.append(tag)
             return
         if tag in VOID:
             if tag == "hr":
@@ -135,18 +142,26 @@ class Dom(HTMLParser):
         self.open.append(len(self.tag) - 1)
 
     def handle_startendtag(self, tag, attrs):
-        if tag not in NO_TEXT:
+        if tag in NO_TEXT:
+            self.ends[tag] = self.ends.get(tag, 0) + 1
+        elif not self.silent:
             self.handle_starttag(tag, attrs)
             if tag not in VOID:
                 self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
         if tag in NO_TEXT:
-            if tag in self.silent:  # only its own end tag ends an element, with those left open in it
+            self.ends[tag] = self.ends.get(tag, 0) - 1
+        if self.silent:
+            if tag in self.silent:  # with those left open in it
                 del self.silent[len(self.silent) - 1 - self.silent[::-1].index(tag):]
-        elif self.silent:
+                return
+            if tag in NO_TEXT or tag in ("p", "li") or RAW & set(self.silent) or self.ends[self.silent[0]] > 0 or all(self.tag[i] != tag for i in self.open[1:]):
+                return
+            self.silent.clear()  # the end of an element around one that is never closed
+        if tag in NO_TEXT:
             return
-        elif tag == "a":
+        if tag == "a":
             self.in_link = 0
         elif tag not in INLINE and tag not in VOID:
             self._pop({tag}, {"article", "main"} if tag in ("p", "li", "span") else set())
@@ -158,8 +173,14 @@ class Dom(HTMLParser):
                 self.linked += len(data)
 
 
+_SILENT_TAG = re.compile(rf"<(/?)({'|'.join(sorted(NO_TEXT, key=len, reverse=True))})(?=[\s/>])", re.IGNORECASE)
+
+
 def parse(html: str) -> Dom:
-    dom = Dom()
+    ends: dict[str, int] = {}
+    for slash, tag in _SILENT_TAG.findall(html):
+        ends[tag.lower()] = ends.get(tag.lower(), 0) + (1 if slash else -1)
+    dom = Dom(ends)
     dom.feed(html)
     dom.close()
     dom.flush()
@@ -259,6 +280,11 @@ def extract(pages: list[str], model: Trees) -> list[str]:
 
 # -- labelled pages -----------------------------------------------------------------
 
+#: Content whose attributes name other things, as many templates write it.
+MISLEADING = [("article", ' class="post comments-open"'), ("article", ' class="post comments-open sidebar-right"'), ("article", ' class="post tag-popular category-discussion"'),
+              ("article", ' class="hentry has-sidebar no-share footer-fixed"'), ("main", ' class="page nav-open ads-off"'), ("article", ' class="promo-none login-optional search-result"')]
+
+
 def generate(rng: random.Random) -> str:
     """A page whose content is marked."""
     word = lambda: "".join(rng.choice(["an", "re", "sto", "li", "en", "the", "du", "ka"]) for _ in range(rng.randint(1, 4)))
@@ -276,7 +302,7 @@ def generate(rng: random.Random) -> str:
 
     heading = rng.choice([f"<h1>{prose(2, 9)}</h1>", f"<header><h1>{prose(2, 9)}</h1></header>", ""])
     inside = heading + "".join(paragraph() for _ in range(rng.choice([1, 1, 2, 4, 8, 20])))
-    left, right = rng.choice([("article", ""), ("article", ' class="post"'), ("main", ""), ("div", ' class="post-content"'), ("div", ' id="content"'), ("section", ' class="story-body"'), ("div", ' class="entry"'), ("article", "")]), None
+    left, right = rng.choice([("article", ""), ("article", ' class="post"'), ("main", ""), ("div", ' class="post-content"'), ("div", ' id="content"'), ("section", ' class="story-body"'), ("div", ' class="entry"'), ("article", ""), *MISLEADING]), None
     out = lambda tag, token: rng.choice([tag, f'div class="{token}"', f'div id="{token}"', f'section class="{token}"'])
 
     def boiler(kind: str) -> str:
@@ -287,7 +313,7 @@ def generate(rng: random.Random) -> str:
             "notice": (out('div class="notice"', "cookie-notice"), rng.choice([short, f"<p>{short}</p><button>{word()}</button>"])), "ad": (out('div class="ad"', "advert"), rng.choice([short, f"<p>{short}</p>", link(), f"<noscript><div><a href=x>{short}</a></div></noscript><p>{short}</p>"])),
             "form": (out('form action="/s"', "search-form"), f"<label>{short}</label><input name=q><button>{word()}</button>"), "news": (out('form class="newsletter"', "newsletter-signup"), f"<p>{short}</p><input name=e>"),
             "comments": (out('section id="comments"', "comments"), "".join(rng.choice([f'<div class="comment"><p>{prose(2, 40)}</p></div>', f'<article class="comment"><h4>{word()}</h4><p>{prose(2, 40)}</p></article>', f'<li class="comment">{prose(2, 40)}</li>']) for _ in range(rng.randint(1, 6)))),
-            "share": (out('div class="share"', "social-share"), links()), "related": (out("aside", "related"), f"<h3>{prose(1, 3)}</h3>" + links()), "bare": ("div", links())}[kind]
+            "share": (out('div class="share"', "social-share"), links()), "related": (out("aside", "related"), f"<h3>{prose(1, 3)}</h3>" + links()), "bare": (rng.choice(["div", 'div class="block-3"']), links())}[kind]
         return f'<{start} {MARK}="0">{body}</{start.split()[0]}>'
 
     pick = lambda kinds, most: "".join(boiler(rng.choice(kinds)) for _ in range(rng.randint(0, most)))
@@ -302,20 +328,28 @@ def generate(rng: random.Random) -> str:
     return f"<!DOCTYPE html><html><head><title>{prose(1, 6)}</title><style>p{{}}</style></head><body>{body}</body></html>"
 
 
+MAIN_SHARE = 0.4  # of a page's text that an article holds, to be content by that alone
 BAD_TAGS = set("nav footer aside form fieldset button dialog".split())
 
 
 def _labels(dom: Dom, generated: bool) -> list[int | None]:
     """1, 0 or unknown for each node. Nodes above content count as content."""
     own: list[int | None] = []
+    below = [0] * len(dom.tag)
+    for node, text, _ in dom.runs:
+        below[node] += len(text)
+    for i in range(len(below) - 1, 0, -1):
+        below[dom.parent[i]] += below[i]
     for p, tag, mask, mark in zip(dom.parent, dom.tag, dom.mask, dom.mark):
         above = own[p] if p >= 0 else None
         if generated:
             y = int(mark) if mark is not None else above
-        elif above == 0 or tag in BAD_TAGS or mask >> 1 or (tag == "header" and above != 1):
+        elif above == 0 or tag in BAD_TAGS or (tag == "header" and above != 1):
             y = 0
+        elif tag in ("article", "main") and below[len(own)] >= MAIN_SHARE * below[0]:
+            y = 1  # it holds the page's text, whatever its attributes say
         else:
-            y = 1 if tag in ("article", "main") else above
+            y = 0 if mask >> 1 else 1 if tag in ("article", "main") else above
         own.append(y)
     for i in range(len(own) - 1, 0, -1):
         if own[i] == 1 and own[dom.parent[i]] is None:

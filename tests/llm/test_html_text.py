@@ -119,3 +119,45 @@ def test_odd_rows(spark, model):
     assert by[1].text == by[2].text == "" and by[6].n_chars == 11 * 50_000 - 1
     assert X.extract_text(df.limit(0), model).count() == 0
     assert X.fit_on(df.limit(0)).leaf.size > 0
+
+
+@pytest.fixture(scope="module")
+def fitted():
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet").html
+    return X.fit(pages.tolist()[:X.SAMPLE])
+
+
+PROSE = "The river was high in spring, and the old bridge had to be closed for some weeks. People went by boat."
+
+
+@pytest.mark.parametrize("start", ['article class="post comments-open"', 'article class="post comments-open sidebar-right"',
+                                   'article class="post tag-popular category-discussion"', 'main class="page nav-open ads-off"', "article"])
+def test_misleading_words_on_content(fitted, start):
+    """An article is kept, and what stands around it goes, whatever words its class holds."""
+    end = start.split()[0]
+    page = (f'<html><body><nav class="menu"><ul><li><a href=/>Home</a></li><li><a href=/a>About us</a></li></ul></nav><{start}><h1>High water</h1><p>{PROSE}</p><p>{PROSE[::-1]}</p></{end}>'
+            f'<section id="comments"><div class="comment"><p>Nice words, thanks.</p></div></section><footer>Copyright</footer></body></html>')
+    assert X.extract([page], fitted) == ["High water\n" + PROSE + "\n" + PROSE[::-1]]
+
+
+@pytest.mark.parametrize("inside,want", [
+    ("We see that <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds.", "We see that x=2 holds."),
+    ("Seen <svg><title>icon</title><path d=x/><text>no</text></svg>here.", "Seen here."),
+    ("Seen <noscript><div><img src=x><p>off</p></div></noscript>here.", "Seen here."),
+    ("Seen <script>if (a</b) {}</script>here <style>p{}</style>too.", "Seen here too."),
+    ("Seen <video><source src=x>no video</video>here.", "Seen here.")])
+def test_elements_inside_a_sentence(fitted, inside, want):
+    page = f"<html><body><article><p>{PROSE}</p><p>{inside}</p><p>{PROSE}</p></article></body></html>"
+    assert X.extract([page], fitted) == [f"{PROSE}\n{want}\n{PROSE}"]
+
+
+@pytest.mark.parametrize("open_tag", ["<noscript><img src=x>", "<video controls><source src=x>", "<svg><path d=x>", "<object data=x>", "<canvas>"])
+def test_unclosed_silent_elements_end_with_what_is_around_them(fitted, open_tag):
+    """The block they stand in ends them; after it the page goes on."""
+    page = f"<html><body><article><p>{PROSE}</p><div><p>{PROSE}</p>{open_tag}</div><p>{PROSE}</p></article>{open_tag}</body></html>"
+    assert X.extract([page], fitted) == ["\n".join([PROSE] * 3)]
+
+
+def test_a_block_ends_a_drawing(fitted):
+    page = f"<html><body><article><p>{PROSE}</p><svg><path d=x><text>no</text><p>{PROSE}</p><p>{PROSE}</p></article></body></html>"
+    assert X.extract([page], fitted) == ["\n".join([PROSE] * 3)]
