@@ -54,6 +54,11 @@ def first_by_hash(df: DataFrame, column: str, rows: int, total: int) -> DataFram
     return df.where(draw < F.lit(int(share))).orderBy(draw, column).limit(rows)
 
 
+def rank_part(value: Column, salts: int) -> Column:
+    """The part that ``number_rows`` deals a row to; numbers rise with the part, then with the order."""
+    return hex_prefix(F.md5(F.coalesce(value.cast("string"), F.lit(""))), 8) % salts
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str,
                 salts: int = 16) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each group of ``keys``.
@@ -63,8 +68,7 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str,
     by the sizes of the parts before it. Rows that agree in all ``order``
     columns may swap numbers. ``df`` is read twice; materialise it if it is
     costly. ``keys`` must not be null."""
-    part = hex_prefix(F.md5(F.coalesce(F.col(order[0]).cast("string"), F.lit(""))), 8) % salts
-    dealt = df.withColumn("__part", part)
+    dealt = df.withColumn("__part", rank_part(F.col(order[0]), salts))
     by = [*keys, "__part"]
     before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (dealt.groupBy(*by).agg(F.count("*").alias("__n"))

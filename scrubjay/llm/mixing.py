@@ -20,7 +20,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import materialise, number_rows, table, without
+from .common import broadcast_if_small, materialise, number_rows, rank_part, table, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 OUTPUTS = ["size", "source_size", "target", "rate", "copies", "taken"]
@@ -163,6 +163,29 @@ def mix_sources(docs: DataFrame, source: str = "source", text: str = "text", cyc
     return out.withColumn("taken", F.col("copies") * F.col("size")).select(*keep, *OUTPUTS)
 
 
+def mixed_copies(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", rows_per_part: int = 500_000, **options) -> DataFrame:
+    """``docs`` with all their columns, every row as often as ``mix_sources`` takes it; documents without words once.
+
+    Texts are not shuffled: the mix is made on ids, sources and sizes. What it says about a (source, size) cell is how many
+    copies each of its documents gets and up to which one, in the order of the ranks, a document gets one more; that table, a row a
+    cell, is joined to the scan of the documents (broadcast if it has been counted to be short). Of repeated rows
+    at that place all get one more."""
+    digest = materialise(mix_sources(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text")),
+                                     rows_per_part=rows_per_part, carry=["doc_id", "source"], **options), "mix-copies")
+    salts = 16 + digest.count() // rows_per_part
+    place = lambda c: F.struct(rank_part(c, salts), c.alias("id"))
+    cells = digest.groupBy(F.col("source").alias("__s"), F.col("size").alias("__z"), "copies").agg(F.max(place(F.col("doc_id"))).alias("upto"))
+    cells = (cells.groupBy("__s", "__z").agg(F.min("copies").alias("__least"), F.max_by(F.struct("copies", "upto"), "copies").alias("m"))
+             .select("__s", "__z", "__least", F.col("m.copies").alias("__most"), F.col("m.upto").alias("__upto")))
+    cells = broadcast_if_small(materialise(cells, "mix-copies-cells"))
+    keep = docs.columns
+    rows = docs.withColumn("__size", word_count(text)).join(
+        cells, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z")))
+    copies = F.when(place(F.col(doc_id)) <= F.col("__upto"), F.col("__most")).otherwise(F.col("__least"))
+    return (rows.withColumn("__copies", copies).where("__copies > 0")
+            .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[f"`{c}`" for c in keep]))
+
+
 def repeated(mixed: DataFrame) -> DataFrame:
     """The mix itself: every row as often as it is taken."""
     return (mixed.where("copies > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("copies"))))

@@ -73,3 +73,20 @@ def test_odd_rows(spark, odd_docs):
 
 def test_empty_table(spark, odd_docs):
     assert mixing.mix_sources(odd_docs.limit(0)).count() == 0
+
+
+def test_copies_equal_the_mix(spark, odd_docs):
+    """Each row as often as the mix takes it, with its own columns, also those named like the mix's; no text is shuffled."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "'own' AS size", "7 AS Target")
+    want = {r.doc_id: r.copies for r in mixing.mix_sources(docs).collect()}
+    out = mixing.mixed_copies(docs, rows_per_part=50)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert {r[0] for r in out.select("size").distinct().collect()} == {"own"}
+    small = {r.doc_id: r["count"] for r in mixing.mixed_copies(docs).groupBy("doc_id").count().collect()}
+    assert small == {k: v for k, v in want.items() if v} and len(set(small.values())) > 1
+    assert sum(got.values()) > 0 and max(got.values()) <= 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    n = mixing.mixed_copies(odd_docs).groupBy("doc_id", "text").count().collect()
+    assert all(r["count"] >= 1 for r in n if not (r.text or "").strip()) and mixing.mixed_copies(odd_docs.limit(0)).count() == 0
