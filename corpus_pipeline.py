@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scrubjay.llm.common import materialise, ship_package, table
 from scrubjay.llm.decontam import remove_contaminated
 from scrubjay.llm.minhash import drop_near_duplicates
-from scrubjay.llm.mixing import mix_sources, repeated
+from scrubjay.llm.mixing import mixed_copies
 from scrubjay.llm.quality import fit, learnable, score_quality
 from scrubjay.llm.sharding import shard_documents
 
@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go. Null and empty texts hold none and stay."""
     ship_package(spark)
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"), width=WINDOW)
 
@@ -48,11 +48,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources takes it, 0 to 3 times. Documents without
     words stay once; a null source is a source of its own."""
     ship_package(spark)
-    return repeated(mix_sources(docs))
+    return mixed_copies(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with ``size``, ``shard`` and ``slot``; equal texts share a shard."""
+    """All documents with ``size``, ``shard`` and ``slot``; equal texts share a shard, null ones too."""
     ship_package(spark)
     return shard_documents(docs, shards=SHARDS)
 
