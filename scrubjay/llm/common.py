@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..session import ship_package, work_dir
+from ..session import drop_dir, ship_package, work_dir
 
-__all__ = ["table", "materialise", "without", "number_rows", "connected_components",
+__all__ = ["table", "materialise", "discard", "without", "number_rows", "connected_components",
            "ship_package", "work_dir", "hex_prefix", "broadcast_value", "broadcast_if_small",
            "first_by_hash"]
 
@@ -24,6 +24,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*written: DataFrame) -> None:
+    """Remove folders of ``materialise`` that nothing written later still has to be computed from."""
+    for df in written:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            drop_dir(df.sparkSession, folder)
+
+
 def without(df: DataFrame, names: list[str]) -> list[str]:
     """Columns of ``df`` whose names do not clash (in any case) with ``names``:
     an operator's own output column replaces an input column of that name."""
@@ -99,7 +106,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # small star: a node and its smaller neighbours link to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        cur = materialise(pairs(small.union(low.select("a", F.col("m").alias("b")))), "cc-edges")
+        before, cur = cur, materialise(pairs(small.union(low.select("a", F.col("m").alias("b")))), "cc-edges")
+        discard(before)
         counts = cur.agg(F.count("*"), F.countDistinct("a")).first()
         if counts[0] == counts[1] and cur.join(cur.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break  # every node hangs on one root

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import broadcast_if_small, connected_components, materialise, table
+from .common import broadcast_if_small, connected_components, discard, materialise, table
 from .words import NOT_SPACE, buffers, mix, slices, word_hashes
 
 K = 32
@@ -201,8 +201,9 @@ class _Links:
             return False
         active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         heads = active.join(self.classes.select("node", F.col("head").alias("__head")), "node").select("__head").distinct()
-        heads = broadcast_if_small(materialise(heads, "minhash-heads"))  # then texts are not shuffled
-        texts = self.docs.join(heads, F.col("__id").eqNullSafe(F.col("__head")), "left_semi").select(self.text)
+        heads = materialise(heads, "minhash-heads")
+        texts = self.docs.join(broadcast_if_small(heads),  # then texts are not shuffled
+                               F.col("__id").eqNullSafe(F.col("__head")), "left_semi").select(self.text)
         sets = (texts.mapInArrow(_sets(self.width, self.text), "node long, shingles binary")
                 .dropDuplicates(["node"]).join(active, "node", "left_semi"))
         sets = materialise(sets, "minhash-sets")
@@ -210,6 +211,7 @@ class _Links:
                   .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                   .select("a", "b", "sa", "sb"))
         new = materialise(joined.mapInArrow(_confirm(self.percent), "a long, b long"), "minhash-links")
+        discard(sets, heads)
         if new.isEmpty():
             return False
         self.links = new if self.links is None else self.links.union(new)
@@ -226,12 +228,13 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
     lists = classes.select("node", F.posexplode(F.slice("sig", 1, K - t + 1)).alias("i", "v"), band.alias("band"))
     lists = lists.select("node", "i", "v", F.explode(F.array("band", F.col("band") + 1)).alias("band")).select(
         F.xxhash64("i", "v", "band").alias("list"), "i", "node")
-    comp, more = None, False
+    comp, more, done = None, False, []
     for depth in range(1, min(DEPTH, t) + 1):
         first = lambda r: F.min(F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node"))["node"]
         sizes = lists.groupBy("list").agg(F.count("*").alias("members"), *[first(r).alias(f"p{r}") for r in range(PIVOTS)])
         sizes = sizes.where("members > 1").select("list", F.col("p0").alias("pivot"), F.array(*[f"p{r}" for r in range(PIVOTS)]).alias("pivots"))
-        lists = materialise(lists.join(sizes, "list"), "minhash-lists")
+        lists = listed = materialise(lists.join(sizes, "list"), "minhash-lists")
+        discard(*done)
         signs = lambda p: classes.select(*[F.col(c).alias(p + c) for c in ("node", "n", "x", "y")])
         star = _pairs(lists.select(F.col("node").alias("a"), F.explode(F.array_distinct("pivots")).alias("b")))
         star = (star.join(signs("a"), F.col("a") == F.col("anode")).join(signs("b"), F.col("b") == F.col("bnode"))
@@ -247,6 +250,8 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
                              (F.coalesce("comp", "node") != F.coalesce("pc", "pivot")).alias("outside"))
         apart = lists.groupBy("list").agg(F.count_if("outside").alias("others")).where("others > 0")
         lists = materialise(lists.join(apart, "list").join(signs(""), "node"), "minhash-apart")
+        discard(listed)
+        done = [lists]
         last = depth == min(DEPTH, t)
         near = lists if last else lists.where(F.col("others") <= few)
         side = lambda p: [F.col(c).alias(p + c) for c in ("node", "comp", "n", "x", "y", "outside")]
@@ -255,6 +260,7 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
         more = links.add(_pairs(cross.select(F.col("anode").alias("a"), F.col("bnode").alias("b")))) or more
         far = lists.where(F.col("others") > few)
         if last or far.isEmpty():
+            discard(*done)
             return links.components() if more else comp
         far = far.select("list", "i", "node").join(classes.select("node", "sig"), "node")
         lists = far.select("list", "node", "sig", F.explode(F.sequence(F.col("i") + 1, F.lit(K - t + depth))).alias("i"))
