@@ -9,7 +9,8 @@ third, ... agreeing coordinate, each within that bound.
 
 Lists are never expanded into all pairs. First each member is compared with its list's
 pivots, which joins families of copies; then only members outside the first pivot's component are
-compared with the rest; a list with many of them is first split by a further coordinate.
+compared with the rest. In a list with many of them, members related to the same pivot are compared by
+their differences to it (``differences``), others by their signatures, and very long lists are split by a further coordinate.
 Candidates must fit in size and agree in t coordinates, counted on four bits of each, and then
 in enough ranges of a finer sketch; what remains is confirmed on the full shingle sets.
 """
@@ -24,14 +25,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import broadcast_if_small, connected_components, discard, materialise, table
+from .differences import similar_in_groups
 from .words import NOT_SPACE, buffers, mix, slices, word_hashes
 
 K = 32
 MISS = 1e-8
-#: Members outside a pivot's component that are compared with a whole list; longer lists are split.
-FEW = 8192
-#: Coordinates by which long lists are split; lists that are still long are then compared in full.
+#: Members outside a pivot's component that are compared with a whole list; in longer lists differences to pivots are.
+FEW = 16
+#: Lists with more of them are split by further coordinates, at most DEPTH in all; after the last, all pairs go by differences.
+SPLIT = 8192
 DEPTH = 2
+#: Coordinates, counted on four bits, in which a member related to a pivot agrees with it.
+RELATED = 8
 #: Pivots of a list that all its members are compared with.
 PIVOTS = 3
 BINS = 512
@@ -162,18 +167,21 @@ def _confirm(percent: int):
     return run
 
 
+def _differ(ax, ay, bx, by) -> Column:
+    """In how many coordinates the four bits differ."""
+    def count(a, b):
+        d = a.bitwiseXOR(b)
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+    return count(ax, bx) + count(ay, by)
+
+
 def _fits(a: str, b: str, percent: int, t: int) -> Column:
     """Sizes leave a similarity of ``percent`` possible, and at least ``t`` coordinates agree
     in their four bits, as they do if the coordinates agree."""
-    x, ones = F.col, F.lit(0x1111111111111111)
-
-    def differ(c):
-        d = x(a + c).bitwiseXOR(x(b + c))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(ones))
-
+    x = F.col
     sizes = 100 * F.least(x(a + "n"), x(b + "n")) >= percent * F.greatest(x(a + "n"), x(b + "n"))
-    return sizes & (differ("x") + differ("y") <= K - t)
+    return sizes & (_differ(x(a + "x"), x(a + "y"), x(b + "x"), x(b + "y")) <= K - t)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -188,6 +196,16 @@ class _Links:
         self.links: DataFrame | None = None
         self.seen: DataFrame | None = None
 
+    def sets_of(self, active: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Full sets of the distinct nodes ``active``, and a table to discard with them."""
+        heads = active.join(self.classes.select("node", F.col("head").alias("__head")), "node").select("__head").distinct()
+        heads = materialise(heads, "minhash-heads")
+        texts = self.docs.join(broadcast_if_small(heads),  # then texts are not shuffled
+                               F.col("__id").eqNullSafe(F.col("__head")), "left_semi").select(self.text)
+        sets = (texts.mapInArrow(_sets(self.width, self.text), "node long, shingles binary")
+                .dropDuplicates(["node"]).join(active, "node", "left_semi"))
+        return materialise(sets, "minhash-sets"), heads
+
     def add(self, candidates: DataFrame) -> bool:
         """``candidates(a, b)``: distinct pairs that pass signatures and sizes. Whether links were found."""
         if self.seen is not None:
@@ -199,19 +217,12 @@ class _Links:
         self.seen = pairs if self.seen is None else self.seen.union(pairs)
         if pairs.isEmpty():
             return False
-        active = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        heads = active.join(self.classes.select("node", F.col("head").alias("__head")), "node").select("__head").distinct()
-        heads = materialise(heads, "minhash-heads")
-        texts = self.docs.join(broadcast_if_small(heads),  # then texts are not shuffled
-                               F.col("__id").eqNullSafe(F.col("__head")), "left_semi").select(self.text)
-        sets = (texts.mapInArrow(_sets(self.width, self.text), "node long, shingles binary")
-                .dropDuplicates(["node"]).join(active, "node", "left_semi"))
-        sets = materialise(sets, "minhash-sets")
+        sets, spent = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         joined = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
                   .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                   .select("a", "b", "sa", "sb"))
         new = materialise(joined.mapInArrow(_confirm(self.percent), "a long, b long"), "minhash-links")
-        discard(sets, heads)
+        discard(sets, spent)
         if new.isEmpty():
             return False
         self.links = new if self.links is None else self.links.union(new)
@@ -221,7 +232,54 @@ class _Links:
         return None if self.links is None else materialise(connected_components(self.links), "minhash-components")
 
 
-def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few: int) -> DataFrame | None:
+def _cross(lists: DataFrame, percent: int, t: int, *by: str) -> DataFrame:
+    """Pairs of different components that meet outside their list's pivot's component. ``by`` names a column of values that
+    a row does not meet itself, -1 apart."""
+    side = lambda p: [F.col(c).alias(p + c) for c in ("node", "comp", "n", "x", "y", "outside")]
+    a, b, on = lists.where("outside").select("list", *by, *side("a")), lists.select("list", *by, *side("b")), ["list", *by]
+    for c in by:
+        others = F.filter(F.array(*[F.lit(r) for r in range(-1, PIVOTS)]), lambda r: (r == -1) | (r != F.col(c)))
+        a = a.withColumn(c, F.explode(others))
+    cross = a.join(b, on).where("acomp <> bcomp AND (NOT boutside OR anode < bnode)").where(_fits("a", "b", percent, t))
+    return cross.select(F.col("anode").alias("a"), F.col("bnode").alias("b"))
+
+
+def _anchored(lists: DataFrame, listed: DataFrame, classes: DataFrame, split: int | None) -> DataFrame:
+    """``lists`` with the number (-1 for none) and node of the first of its list's pivots that a row is related to. In lists
+    with more than ``split`` others the first pivot is everyone's."""
+    pivots = (listed.join(lists.select("list").distinct(), "list", "left_semi").groupBy("list").agg(F.first("pivots").alias("pivots"))
+              .select("list", F.posexplode("pivots").alias("r", "node"))
+              .join(classes.select("node", "x", "y"), "node")
+              .groupBy("list").agg(F.sort_array(F.collect_list(F.struct("r", "node", "x", "y"))).alias("pivots")))
+    rows = lists.join(pivots, "list")
+    related = F.filter("pivots", lambda p: _differ(p["x"], p["y"], F.col("x"), F.col("y")) <= K - RELATED)
+    if split is not None:
+        related = F.when(F.col("others") > split, F.col("pivots")).otherwise(related)
+    rows = rows.withColumn("pivot", F.get(related, F.lit(0))).drop("pivots")
+    return rows.withColumns({"r": F.coalesce("pivot.r", F.lit(-1)), "pivot": F.col("pivot.node")})
+
+
+def _in_families(links: _Links, rows: DataFrame, comp: DataFrame | None, percent: int) -> DataFrame | None:
+    """Candidates among the rows of lists that are related to the same pivot."""
+    members = rows.where("pivot IS NOT NULL").select("pivot", "node", "n", "comp").distinct()
+    pc = F.col("pivot")
+    if comp is not None:
+        members = members.join(comp.select(F.col("node").alias("pivot"), F.col("comp").alias("pc")), "pivot", "left")
+        pc = F.coalesce("pc", "pivot")
+    members = materialise(members.select("pivot", "node", "n", "comp", (F.col("comp") != pc).alias("outside")), "minhash-family")
+    groups = members.groupBy("pivot").agg(F.count("*").alias("size"), F.max("outside").alias("any")).where("any")
+    members = materialise(members.join(groups.drop("any"), "pivot"), "minhash-members")
+    if members.isEmpty():
+        return None
+    active = members.select("node").union(members.select("pivot")).distinct()
+    sets, spent = links.sets_of(active)
+    pairs, posted = similar_in_groups(members, sets, percent)
+    found = materialise(_pairs(pairs), "minhash-similar")
+    discard(sets, spent, members, posted)
+    return found
+
+
+def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few: int, split: int) -> DataFrame | None:
     # sizes of a similar pair lie in one band or in neighbours, so they share the band of the larger
     width = -math.log(min(percent, 99.9) / 100) * (1 + 1e-9)
     band = F.floor(F.log(F.col("n")) / width)
@@ -250,25 +308,31 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
                              (F.coalesce("comp", "node") != F.coalesce("pc", "pivot")).alias("outside"))
         apart = lists.groupBy("list").agg(F.count_if("outside").alias("others")).where("others > 0")
         lists = materialise(lists.join(apart, "list").join(signs(""), "node"), "minhash-apart")
-        discard(listed)
-        done = [lists]
+        done = [lists, listed]
         last = depth == min(DEPTH, t)
-        near = lists if last else lists.where(F.col("others") <= few)
-        side = lambda p: [F.col(c).alias(p + c) for c in ("node", "comp", "n", "x", "y", "outside")]
-        cross = (near.where("outside").select("list", *side("a")).join(near.select("list", *side("b")), "list")
-                 .where("acomp <> bcomp AND (NOT boutside OR anode < bnode)").where(_fits("a", "b", percent, t)))
-        more = links.add(_pairs(cross.select(F.col("anode").alias("a"), F.col("bnode").alias("b")))) or more
+        found = _cross(lists.where(F.col("others") <= few), percent, t)
         far = lists.where(F.col("others") > few)
+        if far.isEmpty():
+            more = links.add(_pairs(found)) or more
+            break
+        far = materialise(_anchored(far, listed, classes, split if last else None), "minhash-anchored")
+        done.append(far)
+        short = far.where(F.col("others") <= split)
+        found = found.union(_cross(short, percent, t, "r"))
+        related = _in_families(links, far, comp, percent)
+        more = links.add(_pairs(found if related is None else found.union(related))) or more
+        far = far.where(F.col("others") > split)
         if last or far.isEmpty():
-            discard(*done)
-            return links.components() if more else comp
+            break
         far = far.select("list", "i", "node").join(classes.select("node", "sig"), "node")
         lists = far.select("list", "node", "sig", F.explode(F.sequence(F.col("i") + 1, F.lit(K - t + depth))).alias("i"))
         lists = lists.select(F.xxhash64("list", "i", F.col("sig")[F.col("i")]).alias("list"), "i", "node")
+    discard(*done)
+    return links.components() if more else comp
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 85,
-                    few: int = FEW) -> DataFrame:
+                    few: int = FEW, split: int = SPLIT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (smallest doc_id
     reachable over links of at least ``percent`` similarity), ``kept`` (doc_id = component_id) and
     ``leader`` (the row that stands for its component: smallest doc_id, nulls last).
@@ -285,7 +349,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         digest.where("node IS NOT NULL").groupBy("node").agg(
             F.min_by(F.struct("n_shingles", "sig", "x", "y", "sketch"), "text_hash").alias("s"), F.min("__id").alias("head"))
         .select("node", F.col("s.n_shingles").alias("n"), F.col("s.sig").alias("sig"), "s.x", "s.y", "s.sketch", "head"), "minhash-classes")
-    comp = _link_classes(_Links(base, classes, "__text", width, percent), classes, percent, t, few)
+    comp = _link_classes(_Links(base, classes, "__text", width, percent), classes, percent, t, few, split)
     rows = digest.select("__id", "text_hash", "n_shingles", "node")
     rows = rows.join(comp, "node", "left") if comp is not None else rows.withColumn("comp", F.lit(None).cast("long"))
     rows = materialise(rows.withColumn("comp", F.coalesce("comp", "node")).drop("node"), "minhash-rows")

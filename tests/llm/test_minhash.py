@@ -2,11 +2,12 @@ import math
 import random
 import re
 
+import numpy as np
 import pandas as pd
 import pytest
 from llm_tables import DOCS, SF
 
-from scrubjay.llm import minhash
+from scrubjay.llm import differences, minhash
 from scrubjay.llm.common import connected_components
 from scrubjay.llm.queries import QUERIES
 
@@ -49,11 +50,11 @@ def test_against_brute_force(spark):
     assert len({w[2] for w in want}) < len(want)
 
 
-@pytest.mark.parametrize("few", [8, 8192])
-def test_families_and_common_passages(spark, few):
+@pytest.mark.parametrize("few, split", [(8, 8192), (8192, 8192), (0, 8192), (0, 4), (0, 0)])
+def test_families_and_common_passages(spark, few, split):
     """Families of edited copies, and unrelated documents that share a passage; a small
-    ``few`` forces long lists to be split by further coordinates."""
-    rng = random.Random(few)
+    ``few`` forces differences to pivots, a small ``split`` further coordinates."""
+    rng = random.Random(few + split)
     words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
     passage, texts = words(60), []
     for _ in range(4):
@@ -67,7 +68,53 @@ def test_families_and_common_passages(spark, few):
     texts += [" ".join(passage + words(3)) for _ in range(6)] + ["a b", "A  b", "c", None, "", " \t "]
     rng.shuffle(texts)
     df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
-    assert got(minhash.near_duplicates(df, few=few)) == sorted(brute(list(range(len(texts))), texts))
+    assert got(minhash.near_duplicates(df, few=few, split=split)) == sorted(brute(list(range(len(texts))), texts))
+
+
+@pytest.mark.parametrize("few, split", [(0, 8192), (0, 0), (16, 8192)])
+@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80)])
+def test_related_families(spark, few, split, width, percent):
+    """A family whose members are mostly related but not linked, with links between edited members."""
+    rng = random.Random(few + split + percent)
+    base = [f"w{rng.randrange(400)}" for _ in range(90)]
+    texts = []
+    for _ in range(160):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 4, 6, 8, 12])):
+            copy[rng.randrange(90)] = f"e{rng.randrange(60)}"
+        texts.append(" ".join(copy[:rng.choice([90, 90, 86])]))
+        if rng.random() < 0.3:
+            copy[rng.randrange(90)] = "again"
+            texts.append(" ".join(copy))
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    want = brute(list(range(len(texts))), texts, width, percent)
+    assert len({w[2] for w in want}) > 20
+    assert got(minhash.near_duplicates(df, width=width, percent=percent, few=few, split=split)) == sorted(want)
+
+
+@pytest.mark.parametrize("percent", [90, 85, 80])
+def test_differences_find_all_pairs(spark, percent):
+    """All similar pairs of a group with one at least outside the pivot's reach, whatever the pivot."""
+    rng = np.random.default_rng(percent)
+    base = rng.integers(0, 1 << 63, 120, dtype=np.uint64)
+    sets = []
+    for i in range(90):
+        keep = base[rng.random(120) > rng.choice([0.02, 0.1, 0.25])]
+        sets.append(np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, rng.integers(0, 20), dtype=np.uint64)])))
+        if i % 3 == 0:
+            sets.append(np.unique(np.concatenate([sets[-1][3:], rng.integers(0, 1 << 63, 2, dtype=np.uint64)])))
+
+    def similar(a, b):
+        both = len(np.intersect1d(a, b))
+        return 100 * both >= percent * (len(a) + len(b) - both)
+    for pivot in (0, 7, 41):
+        comp = [-1 if similar(s, sets[pivot]) else i for i, s in enumerate(sets)]
+        members = spark.createDataFrame([(pivot, i, len(s), comp[i], comp[i] != -1, len(sets)) for i, s in enumerate(sets)],
+                                        "pivot long, node long, n long, comp long, outside boolean, size long")
+        rows = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, shingles binary")
+        found = {tuple(sorted(map(int, r))) for r in differences.similar_in_groups(members, rows, percent)[0].collect()}
+        want = {(i, j) for j in range(len(sets)) for i in range(j) if comp[i] != comp[j] and similar(sets[i], sets[j])}
+        assert want and want <= found
 
 
 def test_least_matches():
