@@ -55,8 +55,8 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
 
     CSV is read as text with the RFC-4180 options (S2). Spark's multi-line reader
     takes a file as one task; with ``split_csv``, an input with a file larger than a split is read by
-    ``csv_split.read_csv_splits``, which gives the same rows with a task a split and one shuffle
-    of the text. ``where``/``columns`` are applied right after the
+    ``csv_split.read_csv_splits``, which gives the same rows with a task a split and a shuffle
+    of records over the edges of splits alone. ``where``/``columns`` are applied right after the
     scan so Catalyst pushes them into the Parquet reader (S6).
     """
     f = _format_for(path, fmt)

@@ -5,6 +5,7 @@ import os
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 
+from scrubjay.sources import csv_split
 from scrubjay.sources.csv_split import csv_lines, csv_records, read_csv_splits, safe_names
 from scrubjay.sources.sinks import write_table
 from scrubjay.sources.tables import read_table
@@ -130,6 +131,37 @@ def test_records_of_complete_lines_are_not_grouped(spark, tmpdir_path, tiny_spli
     assert sorted(r.record for r in csv_records(csv_lines(spark, path)).collect()) == ['1,"x"', '2,"y\nz"', "a,b"]
 
 
+def test_records_over_batches(spark, tmpdir_path, tiny_splits):
+    """Records that run over the Arrow batches of a split, and over splits."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        for k, text in enumerate(HARD.values()):
+            text += '7,"x\n\n\ny""z\n"\n8,9\n' * 12
+            got, want = both(spark, put(tmpdir_path, text.replace("\n", "\r\n") if k % 2 else text, f"{k}.csv"))
+            assert got == want and got
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_texts_are_neither_sorted_nor_held_by_windows(spark, tmpdir_path, tiny_splits):
+    path = put(tmpdir_path, "a,b\n" + '1,"x\ny"\n' * 50)
+    plan = csv_records(csv_lines(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and not any("value#" in line for line in plan.splitlines() if "Sort [" in line)
+
+
+def test_header_is_read_from_the_first_lines(spark, tmpdir_path, tiny_splits, monkeypatch):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    for name in ("a b.csv", "b.csv"):
+        put(tmpdir_path, '"p\nq",r\n' + "".join(f'{i},"{i}\n{i}"\n' for i in range(5_000)), name)
+    put(tmpdir_path, "", "0.csv")
+    read = []
+    plain = csv_records
+    monkeypatch.setattr(csv_split, "csv_records", lambda lines, *a: read.append(lines) or plain(lines, *a))
+    out = read_csv_splits(spark, tmpdir_path)
+    assert out.columns == ["p\nq", "r"] and all(d.count() <= 1000 for d in read[1:]) and out.count() == 10_000
+
+
 def test_empty_inputs(spark, tmpdir_path):
     path = put(tmpdir_path, "")
     assert read_csv_splits(spark, path, schema="a string").count() == 0
