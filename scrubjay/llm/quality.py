@@ -23,7 +23,7 @@ from .words import buffers, slices
 #: Labelled documents for each label that are learned from, at most.
 SAMPLE = 2000
 DIMS, LEVELS, RANK, NEIGHBOURS = 1024, 8, 48, 15
-ROWS = 512  # documents in a block
+ROWS, BYTES = 512, 1 << 18  # documents in a block, and about the text in it: a worker holds about 100 bytes for one of text
 
 
 def terms(text: pa.Array) -> np.ndarray:
@@ -78,7 +78,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighb
 
     def vectors(batches):
         for batch in batches:
-            for a, b in slices(batch.column("text"), rows=ROWS):
+            for a, b in slices(batch.column("text"), BYTES, ROWS):
                 x = terms(batch.column("text").slice(a, b - a))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(n).slice(a, b - a) for n in ("doc_id", "vote", "side")]
@@ -104,23 +104,27 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighb
     return model
 
 
-def score_quality(docs: DataFrame, model: Neighbours, text: str = "text", output: str = "score") -> DataFrame:
-    """``docs`` plus ``score``, 0 to 1, higher for label 1. Null and empty texts get the share of
-    label 1 among the labelled; with no labels at all every score is 0.5. Repeated rows are
-    scored alike. An input column named ``score`` is replaced."""
-    keep = without(docs, [output])
-    shared = broadcast_value(docs.sparkSession, model)  # bounded by the sample
-
+def _scorer(shared, keep: list[str], text: str, output: str):
     def run(batches):
         m = shared.value
         for batch in batches:
-            for a, b in slices(batch.column("__text"), rows=ROWS):
+            for a, b in slices(batch.column(text), BYTES, ROWS):
                 part = batch.slice(a, b - a)
-                arrays = [part.column(i) for i in range(len(keep))] + [pa.array(m.scores(part.column("__text")), pa.float64())]
+                arrays = [part.column(i) for i in range(len(keep))] + [pa.array(m.scores(part.column(text)), pa.float64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, output])
+    return run
 
+
+def score_quality(docs: DataFrame, model: Neighbours, text: str = "text", output: str = "score") -> DataFrame:
+    """``docs`` plus ``score``, 0 to 1, higher for label 1. Null and empty texts get the share of
+    label 1 among the labelled; with no labels at all every score is 0.5. Repeated rows are
+    scored alike. An input column named ``score`` is replaced."""
+    keep = without(docs, [output])
+    shared = broadcast_value(docs.sparkSession, model)  # bounded by the sample
     fields = [*docs.select(*keep).schema.fields, StructField(output, DoubleType())]
-    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, StructType(fields))
+    if text in keep:  # texts go to the workers once
+        return docs.select(*keep).mapInArrow(_scorer(shared, keep, text, output), StructType(fields))
+    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(_scorer(shared, keep, "__text", output), StructType(fields))
 
 
 def learnable(spark, sf_dir: str, m: int = 5, left_out: int = 0) -> DataFrame:

@@ -106,7 +106,7 @@ def word_hashes(data: np.ndarray, off: np.ndarray, kind: np.ndarray) -> tuple[np
     return np.concatenate(hashes), np.searchsorted(starts, off).astype(np.int64)
 
 
-def slices(column: pa.Array, limit: int = 4 << 20, rows: int = 1 << 20) -> list[tuple[int, int]]:
+def slices(column: pa.Array, limit: int = 1 << 20, rows: int = 1 << 20) -> list[tuple[int, int]]:
     """Runs of at most ``rows`` rows and about ``limit`` bytes of text; one longer text is a run."""
     if not len(column):
         return []

@@ -122,3 +122,26 @@ def test_sample_is_bounded_and_stable(spark):
     assert one == two and [sum(r[0] == g or r[1] == g for r in one) for g in "ab"] == [40, 40]
 
 
+
+
+def test_scoring_sends_texts_once_and_works_in_small_blocks(spark):
+    """A worker's memory follows the text in a block, not the rows of a batch."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    docs = spark.createDataFrame([(1, "a b. C!", "en")], "doc_id long, text string, lang string")
+    model = quality.fit(docs, docs.selectExpr("doc_id", "1D AS label"))
+    plan = quality.score_quality(docs, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__text" not in plan
+    renamed = quality.score_quality(docs, model, output="text")  # the score takes the text's place
+    assert renamed.columns == ["doc_id", "lang", "text"] and renamed.first()["text"] == quality.score_quality(docs, model).first()["score"]
+
+    texts = pa.array([f"Some words, {i} | " * 500 for i in range(512)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    run = quality._scorer(SimpleNamespace(value=model), ["text"], "text", "score")
+    tracemalloc.start()
+    got = pa.Table.from_batches(run([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got["score"].to_numpy(), model.scores(texts)) and got["text"].to_pylist() == texts.to_pylist()
+    assert peak < 100 * 2**20, f"{peak / 2**20:.0f} MB"
