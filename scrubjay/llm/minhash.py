@@ -198,7 +198,7 @@ class _Links:
 
     def sets_of(self, active: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Full sets of the distinct nodes ``active``, and a table to discard with them."""
-        heads = active.join(self.classes.select("node", F.col("head").alias("__head")), "node").select("__head").distinct()
+        heads = active.join(self.classes.select("node", F.col("head").alias("__head")), "node").select("__head")
         heads = materialise(heads, "minhash-heads")
         texts = self.docs.join(broadcast_if_small(heads),  # then texts are not shuffled
                                F.col("__id").eqNullSafe(F.col("__head")), "left_semi").select(self.text)
@@ -211,7 +211,7 @@ class _Links:
         if self.seen is not None:
             candidates = candidates.join(self.seen, ["a", "b"], "left_anti")
         sketch = lambda p: self.classes.select(F.col("node").alias(p), F.col("sketch").alias("s" + p), F.col("n").alias("n" + p))
-        near = (candidates.join(sketch("a"), "a").join(sketch("b"), "b")
+        near = (candidates.join(sketch("b"), "b").join(sketch("a"), "a")  # candidates may lie by b already
                 .select("a", "b", "sa", "sb", "na", "nb").mapInArrow(_plausible(self.percent), "a long, b long"))
         pairs = materialise(near, "minhash-pairs")
         self.seen = pairs if self.seen is None else self.seen.union(pairs)

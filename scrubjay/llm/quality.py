@@ -65,6 +65,16 @@ class Neighbours:
         return np.clip(out, 0, 1)
 
 
+def _gram(x: np.ndarray, block: int = 130) -> np.ndarray:
+    """``x.T @ x`` in double precision, by blocks of columns, so that ``x`` is never held whole in doubles."""
+    out = np.empty((x.shape[1], x.shape[1]))
+    for i in range(0, len(out), block):
+        left = x[:, i:i + block].T.astype(np.float64)
+        for j in range(0, len(out), block):
+            out[i:i + block, j:j + block] = left @ x[:, j:j + block]
+    return out
+
+
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighbours:
     """``documents(doc_id, text)`` and ``labels(doc_id, label)``, both as allowed for learning.
     Conflicting labels of an id are averaged; null labels and ids are left out."""
@@ -94,13 +104,13 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Neighb
     x = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, width)
     side, vote = got["side"].to_numpy(), got["vote"].to_numpy()
     weight = (np.log((n + 1) / ((x > 0).sum(axis=0) + 1)) + 1).astype(np.float32)
-    xw = x * weight
-    values, axes = np.linalg.eigh(xw.T.astype(np.float64) @ xw)
-    basis = axes[:, ::-1][:, :RANK].astype(np.float32)
+    basis = np.linalg.eigh(_gram(x * weight))[1][:, ::-1][:, :RANK].astype(np.float32)
     taken = np.bincount(side, minlength=2)
     shares = np.array([counts.get(s, 0) / max(taken[s], 1) for s in (0, 1)])[side]
     model = Neighbours(weight, basis, np.zeros((0, 1)), vote, shares, prior)
     model.vectors = model.project(x)
+    del got, x
+    pa.default_memory_pool().release_unused()  # the driver's, which later stages share
     return model
 
 

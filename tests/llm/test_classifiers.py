@@ -145,3 +145,19 @@ def test_scoring_sends_texts_once_and_works_in_small_blocks(spark):
     tracemalloc.stop()
     assert np.allclose(got["score"].to_numpy(), model.scores(texts)) and got["text"].to_pylist() == texts.to_pylist()
     assert peak < 100 * 2**20, f"{peak / 2**20:.0f} MB"
+
+
+def test_gram_holds_no_copy_in_doubles():
+    """The driver multiplies the sample's terms by blocks: the same numbers, in less memory than the terms take."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    for rows, columns in ((900, 260), (70, 133), (1, 5)):
+        x = rng.random((rows, columns)).astype(np.float32)
+        assert np.allclose(quality._gram(x), x.astype(np.float64).T @ x.astype(np.float64), rtol=1e-12, atol=0)
+    x = rng.random((4000, 1040)).astype(np.float32)
+    tracemalloc.start()
+    got = quality._gram(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < got.nbytes + x.nbytes

@@ -159,3 +159,19 @@ def test_components(spark, seed):
                 changed = True
     out = connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert dict(map(tuple, out.collect())) == root
+
+
+def test_components_plan_few_shuffles(spark, monkeypatch):
+    """Each shuffle or broadcast of a plan takes a thread and memory of the driver."""
+    from scrubjay.llm import common
+    plans, write = [], common.materialise
+
+    def recorded(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(common, "materialise", recorded)
+    edges = spark.range(50).selectExpr("id * 2 + 1 AS a", "id * 2 + 2 AS b").union(spark.range(40).selectExpr("id AS a", "id + 1 AS b"))
+    out = {r.node: r.comp for r in common.connected_components(edges).collect()}
+    assert out == {n: 0 if n <= 40 else n - 1 + n % 2 for n in range(101)}
+    assert len(plans) >= 3
+    assert all(p.count("Exchange") <= 8 for p in plans[1:])
