@@ -6,6 +6,9 @@ pairs. With DA and DB the symmetric differences of A and B to one pivot,
 t = (|DA| + |DB| - d) / 2 of what sets it apart from the pivot, where d = (1-p) / (1+p) * (|A| + |B|). That holds for any
 pivot; it is selective because edits differ from copy to copy. A join on the first |D| - t + 1 elements of each difference
 finds every such pair if all differences of a group are in one order; rare elements come first.
+
+A pivot that few members resemble makes all of them post what they share. ``central_members`` names the member of a group
+that is nearest to what most of its members hold, as a better pivot.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from .words import mix
 
 #: Members of a group, about, that frequencies are estimated on. They only set the order of elements: results do not depend on them.
 SAMPLE = 4096
+#: The same for the elements that most members of a group hold, which only choose its pivot.
+CENTRE = 256
 #: An element is common in a group from one in so many of its members on.
 RARE = 64
 WORDS = 4  # 64-bit words of a difference's bitmap
@@ -29,6 +34,38 @@ def _difference(row_set, pivot_set) -> np.ndarray:
     return np.setxor1d(a, b, assume_unique=True)
 
 
+def _changed(batches):
+    """How many of a batch's sets differ from their pivot in an element."""
+    for batch in batches:
+        groups: dict[int, list[np.ndarray]] = {}
+        for pivot, a, b in zip(batch.column("pivot").to_pylist(), batch.column("shingles"), batch.column("pshingles")):
+            groups.setdefault(pivot, []).append(_difference(a, b))
+        pivots, els, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for pivot, found in groups.items():
+            el, c = np.unique(np.concatenate(found), return_counts=True)
+            pivots.append(np.full(len(el), pivot, np.int64))
+            els.append(el)
+            counts.append(c)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(pivots)), pa.array(np.concatenate(els).view(np.int64)), pa.array(np.concatenate(counts))],
+            names=["pivot", "el", "c"])
+
+
+def _distances(percent: int):
+    """(100 + percent) |D| - (100 - percent) |A| with D the difference to the group's centre: two sets whose sum is at most 0 are similar."""
+    def run(batches):
+        for batch in batches:
+            far = []
+            for a, b, moved in zip(batch.column("shingles"), batch.column("pshingles"), batch.column("moved")):
+                d = _difference(a, b)
+                if moved.is_valid:
+                    d = np.setxor1d(d, moved.values.to_numpy().view(np.uint64), assume_unique=True)
+                far.append((100 + percent) * len(d) - (100 - percent) * (len(a.as_buffer()) // 8))
+            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("node"), pa.array(far, pa.int64())],
+                                             names=["pivot", "node", "far"])
+    return run
+
+
 def _added(batches):
     """Elements of each set that its pivot lacks."""
     for batch in batches:
@@ -105,6 +142,27 @@ def _posted(p: float):
     return run
 
 
+def _with_sets(members: DataFrame, sets: DataFrame) -> DataFrame:
+    return (members.join(sets, "node")
+            .join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("pshingles")), "pivot"))
+
+
+def _drawn(sample: int):
+    return F.pmod(F.xxhash64(F.lit(5), "node"), F.lit(1 << 20)) * F.col("size") < F.lit(sample << 20)
+
+
+def central_members(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``members(pivot, node, size)`` and ``sets`` as below -> ``(pivot, centre)``: the member nearest to the set of elements that
+    most members hold, as a sample of the group tells."""
+    rows = _with_sets(members.select("pivot", "node", "size"), sets)
+    drawn = members.where(_drawn(CENTRE)).groupBy("pivot").agg(F.count("*").alias("seen"))
+    moved = (rows.where(_drawn(CENTRE)).select("pivot", "shingles", "pshingles").mapInArrow(_changed, "pivot long, el long, c long")
+             .groupBy("pivot", "el").agg(F.sum("c").alias("c")).join(drawn, "pivot").where("2 * c > seen")
+             .groupBy("pivot").agg(F.collect_list("el").alias("moved")))
+    far = rows.join(moved, "pivot", "left").mapInArrow(_distances(percent), "pivot long, node long, far long")
+    return far.groupBy("pivot").agg(F.min(F.struct("far", "node"))["node"].alias("centre"))
+
+
 def similar_in_groups(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """``members(pivot, node, n, comp, outside, size)``: sets of a group, their sizes and components, whether the component is
     not the pivot's, and the group's size. ``sets(node, shingles)``: sorted hashes, pivots included. Returns ``(a, b)``,
@@ -113,11 +171,9 @@ def similar_in_groups(members: DataFrame, sets: DataFrame, percent: int) -> tupl
     its component are not paired with each other; members outside must have been found not similar to it."""
     p = percent / 100
     c = (1 - p) / (1 + p)
-    rows = (members.join(sets, "node")
-            .join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("pshingles")), "pivot"))
-    drawn = F.pmod(F.xxhash64(F.lit(5), "node"), F.lit(1 << 20)) * F.col("size") < F.lit(SAMPLE << 20)
+    rows = _with_sets(members, sets)
     seen = F.least("size", F.lit(SAMPLE))
-    common = (rows.where(drawn).select("pivot", "shingles", "pshingles").mapInArrow(_added, "pivot long, el long")
+    common = (rows.where(_drawn(SAMPLE)).select("pivot", "shingles", "pshingles").mapInArrow(_added, "pivot long, el long")
               .groupBy("pivot", "el").count().join(members.select("pivot", seen.alias("seen")).distinct(), "pivot")
               .where(F.col("count") >= F.greatest(F.lit(2), F.col("seen") / RARE))
               .groupBy("pivot").agg(F.sort_array(F.collect_list(F.struct("count", "el")))["el"].alias("common")))

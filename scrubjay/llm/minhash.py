@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import broadcast_if_small, connected_components, discard, materialise, table
-from .differences import similar_in_groups
+from .differences import central_members, similar_in_groups
 from .words import NOT_SPACE, buffers, mix, slices, word_hashes
 
 K = 32
@@ -259,24 +259,64 @@ def _anchored(lists: DataFrame, listed: DataFrame, classes: DataFrame, split: in
     return rows.withColumns({"r": F.coalesce("pivot.r", F.lit(-1)), "pivot": F.col("pivot.node")})
 
 
-def _in_families(links: _Links, rows: DataFrame, comp: DataFrame | None, percent: int) -> DataFrame | None:
-    """Candidates among the rows of lists that are related to the same pivot."""
-    members = rows.where("pivot IS NOT NULL").select("pivot", "node", "n", "comp").distinct()
-    pc = F.col("pivot")
+def _families(members: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """``members(pivot, node, n)`` with components, of groups that some component but the pivot's is in."""
     if comp is not None:
-        members = members.join(comp.select(F.col("node").alias("pivot"), F.col("comp").alias("pc")), "pivot", "left")
-        pc = F.coalesce("pc", "pivot")
-    members = materialise(members.select("pivot", "node", "n", "comp", (F.col("comp") != pc).alias("outside")), "minhash-family")
+        members = (members.join(comp, "node", "left")
+                   .join(comp.select(F.col("node").alias("pivot"), F.col("comp").alias("pc")), "pivot", "left"))
+    else:
+        members = members.withColumns({"comp": F.lit(None).cast("long"), "pc": F.lit(None).cast("long")})
+    own = F.coalesce("comp", "node")
+    members = materialise(members.select("pivot", "node", "n", own.alias("comp"), (own != F.coalesce("pc", "pivot")).alias("outside")), "minhash-family")
     groups = members.groupBy("pivot").agg(F.count("*").alias("size"), F.max("outside").alias("any")).where("any")
-    members = materialise(members.join(groups.drop("any"), "pivot"), "minhash-members")
+    found = materialise(members.join(groups.drop("any"), "pivot"), "minhash-members")
+    discard(members)
+    return found
+
+
+def _gathered(members: DataFrame) -> DataFrame:
+    """``members(pivot, node, n)`` with groups that lie for the most part in a larger one moved to it, a few steps on. Lists of
+    one family name several pivots; rows of the same pivot stay together, so nothing is lost."""
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("size"))
+    sized = materialise(members.join(sizes, "pivot"), "minhash-sized")
+    largest = sized.groupBy("node").agg(F.max(F.struct("size", "pivot"))["pivot"].alias("to"))
+    into = (sized.join(largest, "node").groupBy("pivot", "to").agg(F.count("*").alias("o"), F.first("size").alias("size"))
+            .where("2 * o >= size").groupBy("pivot").agg(F.max(F.struct("o", "to"))["to"].alias("to")).where("pivot <> to"))
+    into = materialise(into, "minhash-into")
+    step = into
+    for _ in range(2):
+        further = step.select(F.col("pivot").alias("to"), F.col("to").alias("next"))
+        step = step.join(further, "to", "left").select("pivot", F.coalesce("next", "to").alias("to"))
+    out = sized.join(step, "pivot", "left").select(F.coalesce("to", "pivot").alias("pivot"), "node", "n").distinct()
+    out = materialise(out, "minhash-gathered")
+    discard(sized, into)
+    return out
+
+
+def _in_families(links: _Links, rows: DataFrame, comp: DataFrame | None, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Candidates among the rows of lists that are related to the same pivot, and components with the links found on the way.
+    First groups of one family are gathered, a group's central member becomes its pivot, and links to it are confirmed: then
+    members near the centre are one component, which leaves few that have to be compared with each other."""
+    members = _families(rows.where("pivot IS NOT NULL").select("pivot", "node", "n").distinct(), comp)
     if members.isEmpty():
-        return None
-    active = members.select("node").union(members.select("pivot")).distinct()
-    sets, spent = links.sets_of(active)
+        return None, comp
+    members = _gathered(members.select("pivot", "node", "n"))
+    members = members.join(members.groupBy("pivot").agg(F.count("*").alias("size")), "pivot")
+    sets, spent = links.sets_of(members.select("node").union(members.select("pivot")).distinct())
+    centres = materialise(central_members(members, sets, percent), "minhash-centres")
+    members = members.join(centres, "pivot").select(F.col("centre").alias("pivot"), "node", "n").distinct()
+    members = materialise(members, "minhash-central")
+    sizes = links.classes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"))
+    star = members.join(sizes, "pivot").where(100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
+    if links.add(_pairs(star.select(F.col("node").alias("a"), F.col("pivot").alias("b")))):
+        comp = links.components()
+    members = _families(members, comp)
+    if members.isEmpty():
+        return None, comp
     pairs, posted = similar_in_groups(members, sets, percent)
     found = materialise(_pairs(pairs), "minhash-similar")
     discard(sets, spent, members, posted)
-    return found
+    return found, comp
 
 
 def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few: int, split: int) -> DataFrame | None:
@@ -319,7 +359,7 @@ def _link_classes(links: _Links, classes: DataFrame, percent: int, t: int, few:
         done.append(far)
         short = far.where(F.col("others") <= split)
         found = found.union(_cross(short, percent, t, "r"))
-        related = _in_families(links, far, comp, percent)
+        related, comp = _in_families(links, far, comp, percent)
         more = links.add(_pairs(found if related is None else found.union(related))) or more
         far = far.where(F.col("others") > split)
         if last or far.isEmpty():

@@ -117,6 +117,52 @@ def test_differences_find_all_pairs(spark, percent):
         assert want and want <= found
 
 
+@pytest.mark.parametrize("copies", [100, 300])
+def test_families_are_met_at_their_centre(spark, monkeypatch, copies):
+    """Copies of one text, edited each in its own way: half of them resemble the text, few each other. Whatever members the
+    lists name as pivots, differences are posted about once a member and no square of the family is compared."""
+    rng = random.Random(copies)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(copies):
+        copy = list(base)
+        for j in rng.sample(range(200), rng.choice([3, 6, 12, 15, 20])):
+            copy[j] = f"e{i}x{j}"
+        texts.append(" ".join(copy))
+    seen = []
+
+    def similar(members, sets, percent):
+        pairs, posted = differences.similar_in_groups(members, sets, percent)
+        seen.append((members.count(), members.select("node").distinct().count(), pairs.count()))
+        return pairs, posted
+    monkeypatch.setattr(minhash, "similar_in_groups", similar)
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    want = brute(list(range(copies)), texts)
+    assert got(minhash.near_duplicates(df, few=0)) == sorted(want)
+    assert all(members <= 1.5 * nodes and pairs <= 2 * copies for members, nodes, pairs in seen)
+
+
+def test_gathered(spark):
+    """Groups that lie in a larger one for the most part move to it; others stay."""
+    groups = {1: range(10), 2: range(3, 12), 3: [11, 20, 21], 4: [20, 21, 22, 23], 5: [9]}
+    rows = spark.createDataFrame([(p, n, 7) for p, nodes in groups.items() for n in nodes], "pivot long, node long, n long")
+    out = {}
+    for r in minhash._gathered(rows).collect():
+        out.setdefault(r.pivot, []).append(r.node)
+    assert {p: sorted(n) for p, n in out.items()} == {1: list(range(12)), 4: [11, 20, 21, 22, 23]}
+
+
+def test_central_members(spark):
+    """The member that holds what most hold, though the pivot is far from all; a group without drawn rows has one too."""
+    base = set(range(1, 60))
+    sets = {0: set(range(40, 150)), 1: base, 2: base - {3} | {200}, 3: base - {9, 10} | {300, 301}, 4: base | {400}}
+    rows = spark.createDataFrame([(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in sets.items()], "node long, shingles binary")
+    members = spark.createDataFrame([(0, i, 5) for i in range(5)] + [(2, 3, 1)], "pivot long, node long, size long")
+    assert {(r.pivot, r.centre) for r in differences.central_members(members, rows, 85).collect()} == {(0, 1), (2, 3)}
+    members = members.withColumn("size", members["size"] + (1 << 40))
+    assert {r.pivot for r in differences.central_members(members, rows, 85).collect()} == {0, 2}
+
+
 def test_least_matches():
     for p in (0.95, 0.85, 0.8, 0.5):
         t = minhash.least_matches(p)
